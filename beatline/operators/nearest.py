@@ -1,14 +1,15 @@
 """Nearest-station lookup without a join of facts to stations.
 
 The station table is a bounded dimension: it is counted against a row bound,
-folded into one ``array<struct>`` and attached to every fact row as a
+folded into one sorted ``array<struct>`` and attached to every fact row as a
 scalar subquery (computed once, shipped to executors with the task binary).
-Each fact row then takes ``array_min`` over its distances, inside whole-stage
-code: facts are neither shuffled nor multiplied by the number of stations.
+Each fact row then takes the least (distance, station key) over the stations,
+as one expression per station that whole-stage codegen compiles: facts are
+neither shuffled nor multiplied by the number of stations.
 
 Station sets larger than the bound are split into blocks by a hash of the
-station id, each block's size is checked the same way, and the per-row best of
-the blocks is combined with ``least``. The result is exact in both cases.
+station key, each block's size is checked the same way, and the per-row best
+of the blocks is combined with ``least``. The result is exact in both cases.
 """
 
 from __future__ import annotations
@@ -18,24 +19,72 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatline.functions.geo import haversine_km
-from beatline.operators.joins import fits
+from beatline.functions.geo import EARTH_RADIUS_KM
 
 DEFAULT_STATION_ROWS = 50_000
 
+# Up to this many stations per block the search is written out station by
+# station (codegen'd); a larger block goes through an array lambda, which Spark
+# interprets row by row.
+UNROLL_MAX = 64
 
-def _block_best(arr: Column, lat: Column, lon: Column, keep: list[str]) -> Column:
-    """Best ``struct(dist, key, *keep)`` of one array; NULL distances skipped."""
-    cand = F.transform(arr, lambda s: F.struct(
-        haversine_km(lat, lon, s["y"], s["x"]).alias("dist"),
-        s["key"].alias("key"),
-        *[s[k].alias(k) for k in keep]))
-    return F.array_min(F.filter(cand, lambda c: c["dist"].isNotNull()))
+_INF = "cast('Infinity' as double)"
+
+
+def _dist_sql(lat: str, lon: str, coslat: str, y: str, x: str, cos_y: str) -> str:
+    """Haversine km as SQL text, with cos(radians(.)) of both latitudes given
+    (same operations in the same order as ``functions.geo.haversine_km``).
+    NULL coordinates and NaN give +inf, so they lose every comparison."""
+    hl, ho = f"(radians({y} - {lat}) / 2)", f"(radians({x} - {lon}) / 2)"
+    a = f"(sin({hl}) * sin({hl}) + {coslat} * {cos_y} * sin({ho}) * sin({ho}))"
+    d = f"({EARTH_RADIUS_KM!r} * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
+    return f"coalesce(nanvl({d}, {_INF}), {_INF})"
+
+
+def _cand_sql(e: str, lat: str, lon: str, coslat: str, keep: list[str]) -> str:
+    d = _dist_sql(lat, lon, coslat, f"{e}.y", f"{e}.x", f"{e}.cos_y")
+    fields = [f"'dist', {d}", f"'key', {e}.key"] + [f"'{k}', {e}.`{k}`" for k in keep]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _block_best(arr: str, n: int, lat: str, lon: str, coslat: str, keep: list[str]) -> Column:
+    """Least ``struct(dist, key, *keep)`` over the station array column ``arr``
+    (``n`` entries when counted); +inf when there is no finite distance."""
+    lam = F.expr(f"array_min(transform(`{arr}`, s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
+    if n > UNROLL_MAX:
+        return lam
+    parts = [F.expr(_cand_sql(f"`{arr}`[{i}]", lat, lon, coslat, keep)) for i in range(n)]
+    # Entries past the counted n (the table grew since the count) are still searched.
+    rest = F.expr(f"array_min(transform(slice(`{arr}`, {n + 1}, greatest(size(`{arr}`) - {n}, 0)), "
+                  f"s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
+    return F.least(*parts, rest)
 
 
 def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
-    entries = F.struct(F.col(key).alias("key"), F.col("y"), F.col("x"), *[F.col(k) for k in keep])
-    return stations.agg(F.collect_list(entries).alias("arr"))
+    entries = F.struct(F.col(key).alias("key"), F.col("y"), F.col("x"),
+                       F.cos(F.radians("y")).alias("cos_y"), *[F.col(k) for k in keep])
+    return stations.agg(F.sort_array(F.collect_list(entries)).alias("arr"))
+
+
+def _count_upto(df: DataFrame, bound: int) -> int:
+    """Exact row count when it is at most ``bound``, else ``bound + 1``."""
+    return df.limit(bound + 1).count()
+
+
+def _blocks(stations: DataFrame, key: str, max_rows: int) -> list[tuple[DataFrame, int]]:
+    n = _count_upto(stations, max_rows)
+    if n <= max_rows:
+        return [(stations, n)]
+    nblocks = 2 * math.ceil(stations.count() / max_rows)
+    b = F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks))
+    out = []
+    for i in range(nblocks):
+        blk = stations.filter(b == i)
+        size = _count_upto(blk, 2 * max_rows)
+        if size > 2 * max_rows:
+            raise ValueError("station key too skewed to split into bounded blocks")
+        out.append((blk, size))
+    return out
 
 
 def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",
@@ -45,26 +94,21 @@ def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat",
     (lat, lon) among ``stations(y, x, key, *keep)``.
 
     Ties go to the lowest ``key``; stations or facts with NULL coordinates
-    give NULL distances that are skipped; no candidate → ``out`` is NULL.
+    give no distance; with no distance at all ``out`` is NULL.
     """
     keep_l = list(keep)
-    la, lo = F.col(lat), F.col(lon)
-    if fits(stations, max_rows):
-        blocks = [stations]
-    else:
-        n = stations.count()
-        nblocks = 2 * math.ceil(n / max_rows)
-        b = F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks))
-        blocks = [stations.filter(b == i) for i in range(nblocks)]
-        for blk in blocks:
-            if not fits(blk, 2 * max_rows):
-                raise ValueError("station key too skewed to split into bounded blocks")
-    # Attach each block's array as its own column first: a subquery may not sit
+    blocks = _blocks(stations, key, max_rows)
+    coslat = "`__coslat`"
+    cols = {"__coslat": F.cos(F.radians(lat))}
+    # Each block's array becomes its own column first: a subquery may not sit
     # inside the lambda of a higher-order function.
-    arrs = {f"__stations{i}": _station_array(blk, key, keep_l).scalar() for i, blk in enumerate(blocks)}
-    bests = [_block_best(F.col(name), la, lo, keep_l) for name in arrs]
+    arrs = {f"__stations{i}": _station_array(blk, key, keep_l).scalar() for i, (blk, _) in enumerate(blocks)}
+    cols.update(arrs)
+    bests = [_block_best(name, size, f"`{lat}`", f"`{lon}`", coslat, keep_l)
+             for name, (_, size) in zip(arrs, blocks)]
     best = bests[0] if len(bests) == 1 else F.least(*bests)
-    return facts.withColumns(arrs).withColumn(out, best).drop(*arrs)
+    found = F.when(best["dist"] < F.lit(float("inf")), best)
+    return facts.withColumns(cols).withColumn(out, found).drop(*cols)
 
 
 def nearest_distance(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",

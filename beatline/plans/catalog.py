@@ -18,7 +18,7 @@ from beatline.operators import (
 )
 from beatline.operators.nearest import nearest_station
 from beatline.plans import queries as Q
-from beatline.sources import parse_incident_lines, union_periods
+from beatline.sources import drop_header, union_periods
 from beatline.sources import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +27,8 @@ YEAR = S.STANDIN_YEAR
 
 
 def _csv_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents after a CSV round trip: rendered lines parsed by ``from_csv``."""
-    return parse_incident_lines(S.incident_lines(spark, sf_dir, with_headers=False))
+    """Incidents read from both periods' CSV files by the typed CSV reader."""
+    return S.incidents_csv(spark, sf_dir)
 
 
 # --- composites -------------------------------------------------------------------
@@ -91,7 +91,9 @@ def scan_incidents_csv(spark, sf_dir):
 
 
 def scan_lines(spark, sf_dir):
-    return S.incident_lines(spark, sf_dir)
+    """Whole lines of both files, every header line dropped."""
+    lines = S.incident_lines(spark, sf_dir)
+    return drop_header(drop_header(lines, S.FIRST_HEADER), S.SECOND_HEADER)
 
 
 def all_incidents(spark, sf_dir):

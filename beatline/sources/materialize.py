@@ -1,0 +1,45 @@
+"""Write a derived input once into the shared checkpoint folder and reuse it.
+
+The folder is the cluster's ``spark.checkpoint.dir`` (a shared file system on
+a cluster); only when it is unset, as in local tests, a local one is made.
+A dataset counts as present once its ``_SUCCESS`` marker exists, so a write
+that died half-way is redone, never read.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import os
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
+
+from beatline.session import ensure_checkpoint_dir
+
+VERSION = "2"
+
+
+def shared_root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return base.rstrip("/") + "/beatline-inputs"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists (Spark lists it eagerly and fails otherwise)."""
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException:
+        return False
+
+
+def materialize(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of dataset ``name`` derived from ``source``; ``write(path)`` makes it
+    the first time (it must write a Spark output directory to ``path``)."""
+    src = source if "://" in source else os.path.abspath(source)
+    digest = hashlib.sha1(f"{src}|{name}|{VERSION}".encode()).hexdigest()[:12]
+    path = f"{shared_root(spark)}/{name}-{digest}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        write(path)
+    return path

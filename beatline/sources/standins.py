@@ -3,8 +3,12 @@
 The real incident, station, income and reverse-geocode files are not
 available, so the queries run on views that Spark derives from whole driver
 tables (``orders``, ``nation``, ``customer``). Each view is given twice: as
-DataFrame code (what the queries run) and as DuckDB SQL text (what the
-oracle runs); tests check that both give the same rows.
+DataFrame code (``build_*``) and as DuckDB SQL text (what the oracle runs).
+
+The views are written once into the shared checkpoint folder in the form the
+real inputs have: the incident table as Parquet (and as two CSV files, one
+per period, each with its header), the small tables as CSV. The questions
+then read those files through the package's own readers.
 
 Coordinates are 64ths of a degree, so they are exact doubles and safe as
 equi-join keys.
@@ -15,14 +19,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.functions.text import csv_line
 from beatline.functions.time import OCCURRED_PATTERN
-from beatline.schemas import INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER
+from beatline.schemas import (
+    GEOCODE_HEADER, INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, INCOME_HEADER,
+    STATION_HEADER,
+)
+from beatline.sources.csv import (
+    read_geocodes_csv, read_incidents_csv, read_incomes_csv, read_stations_csv,
+)
+from beatline.sources.materialize import materialize
+from beatline.sources.text import read_lines
 
 # Year of the category-by-area question (the driver's dates run 1995-2001).
 STANDIN_YEAR = 1997
 # Second-period header: the later file names the area column without the blank.
-SECOND_HEADER = ",".join(h.strip() for h in INCIDENT_HEADER)
+SECOND_HEADER_NAMES = tuple(h.strip() for h in INCIDENT_HEADER)
+SECOND_HEADER = ",".join(SECOND_HEADER_NAMES)
 FIRST_HEADER = ",".join(INCIDENT_HEADER)
 
 
@@ -34,7 +46,13 @@ def _grid(idx: Column, base: float) -> Column:
     return F.lit(base) + idx.cast("double") / 64.0
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _files(spark: SparkSession) -> int:
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
+# --- the views, computed from the driver tables ------------------------------------
+
+def build_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One incident per order: the date is the order date, the rest is a
     deterministic function of the keys (with NULLs, gaps and odd values)."""
     o = _table(spark, sf_dir, "orders")
@@ -57,7 +75,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 stations, one per nation; areas 26 and 27 have none."""
     n = F.col("n_nationkey")
     return _table(spark, sf_dir, "nation").select(
@@ -70,7 +88,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ZIP: customers grouped into 60 ZIPs, money as text
     (``$12,345``), ``---`` for two ZIPs without an estimate."""
     cu = _table(spark, sf_dir, "customer")
@@ -85,7 +103,7 @@ def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinate → ZIP text, one point per customer key, de-duplicated.
 
     ZIP text is a single code, a ``code,99999`` list, or ``N/A``.
@@ -102,31 +120,90 @@ def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def incident_lines(spark: SparkSession, sf_dir: str, *, with_headers: bool = True) -> DataFrame:
-    """Incidents rendered as CSV lines in the public 28-column layout.
-
-    Fields holding a comma are quoted, as a CSV writer does; with
-    ``with_headers`` both period headers are added as lines, as two files
-    read line by line would give.
-    """
-    inc = incidents(spark, sf_dir)
+def incident_file_frame(inc: DataFrame, header: tuple[str, ...] = INCIDENT_HEADER) -> DataFrame:
+    """Incidents in the public 28-column file layout, named by ``header``;
+    dates as ``MM/dd/yyyy hh:mm:ss a`` text, unknown columns empty."""
     text = F.date_format("occurred_at", OCCURRED_PATTERN)
-    have = {"incident_id", "time_hhmm", "area_id", "area_name", "category",
-            "weapon_code", "premises", "lat", "lon", "crime_desc"}
-    fields = []
-    for name, _ in INCIDENT_COLUMNS:
+    have = set(inc.columns)
+    cols = []
+    for (name, dtype), head in zip(INCIDENT_COLUMNS, header):
         if name in ("reported_text", "occurred_text"):
-            fields.append(text)
+            c = text
         elif name in have:
-            fields.append(F.col(name))
+            c = F.col(name)
         else:
-            fields.append(F.lit(None))
-    lines = inc.select(csv_line(*fields).alias("value"))
-    if with_headers:
-        heads = spark.range(2).select(
-            F.when(F.col("id") == 0, FIRST_HEADER).otherwise(SECOND_HEADER).alias("value"))
-        lines = heads.unionByName(lines)
-    return lines
+            c = F.lit(None).cast(dtype)
+        cols.append(c.alias(head))
+    return inc.select(*cols)
+
+
+# --- the views as files, written once into the shared folder ---------------------
+
+_CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false"}
+# The two incident files split at this date (like 2010-2019 and 2020-present).
+PERIOD_CUT = "2000-01-01 00:00:00"
+
+
+def _write_csv(df: DataFrame, path: str, files: int) -> None:
+    df.repartition(files).write.mode("overwrite").options(**_CSV_WRITE).csv(path)
+
+
+def incidents_path(spark: SparkSession, sf_dir: str) -> str:
+    """Parquet incident table, range-partitioned by date into several files so
+    a date filter skips whole files by their min/max statistics."""
+    def write(path):
+        (build_incidents(spark, sf_dir).repartitionByRange(_files(spark), "occurred_at")
+         .sortWithinPartitions("occurred_at").write.mode("overwrite").parquet(path))
+    return materialize(spark, sf_dir, "incidents", write)
+
+
+def incident_csv_paths(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The incident CSV files of both periods (each file starts with a header;
+    the second period names the area column without the trailing blank)."""
+    inc = spark.read.parquet(incidents_path(spark, sf_dir))
+    cut = F.lit(PERIOD_CUT).cast("timestamp_ntz")
+    half = max(1, _files(spark) // 2)
+    first = materialize(spark, sf_dir, "incidents-csv-1", lambda p: _write_csv(
+        incident_file_frame(inc.filter(F.col("occurred_at") < cut)), p, half))
+    second = materialize(spark, sf_dir, "incidents-csv-2", lambda p: _write_csv(
+        incident_file_frame(inc.filter(F.col("occurred_at") >= cut), SECOND_HEADER_NAMES), p, half))
+    return [first, second]
+
+
+def _dim_csv(spark: SparkSession, sf_dir: str, name: str, build, header: tuple[str, ...]) -> str:
+    return materialize(spark, sf_dir, name, lambda p: _write_csv(
+        build(spark, sf_dir).toDF(*header), p, 1))
+
+
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed incidents (Parquet)."""
+    return spark.read.parquet(incidents_path(spark, sf_dir))
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations read from their CSV file (``X,Y,FID,DIVISION,LOCATION,PREC``)."""
+    return read_stations_csv(spark, _dim_csv(spark, sf_dir, "stations", build_stations, STATION_HEADER))
+
+
+def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incomes read from their CSV file (quoted fields with commas)."""
+    return read_incomes_csv(spark, _dim_csv(spark, sf_dir, "incomes", build_incomes, INCOME_HEADER))
+
+
+def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reverse geocodes read from their CSV file (``LAT,LON,ZIPcode``)."""
+    return read_geocodes_csv(spark, _dim_csv(spark, sf_dir, "geocodes", build_geocodes, GEOCODE_HEADER))
+
+
+def incidents_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed incidents read back from both periods' CSV files."""
+    return read_incidents_csv(spark, incident_csv_paths(spark, sf_dir))
+
+
+def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incident CSV files of both periods as whole text lines (headers included)."""
+    return read_lines(spark, incident_csv_paths(spark, sf_dir))
 
 
 def core(df: DataFrame) -> DataFrame:
@@ -183,6 +260,7 @@ def _duck_field(expr: str) -> str:
 
 
 def _lines_sql() -> str:
+    """Body lines of the incident CSV files (header lines not included)."""
     have = {"incident_id", "time_hhmm", "area_id", "area_name", "category",
             "weapon_code", "premises", "lat", "lon", "crime_desc"}
     text = "strftime(occurred_at, '%m/%d/%Y %I:%M:%S %p')"
@@ -194,9 +272,7 @@ def _lines_sql() -> str:
             parts.append(_duck_field(name))
         else:
             parts.append("''")
-    heads = (f"select '{FIRST_HEADER}' as value union all select '{SECOND_HEADER}' as value")
-    return (f"{heads} union all select concat_ws(',', {', '.join(parts)}) as value "
-            f"from incidents")
+    return f"select concat_ws(',', {', '.join(parts)}) as value from incidents"
 
 
 LINES_SQL = _lines_sql()
