@@ -50,14 +50,13 @@ def _cand_sql(e: str, lat: str, lon: str, coslat: str, keep: list[str]) -> str:
 def _block_best(arr: str, n: int, lat: str, lon: str, coslat: str, keep: list[str]) -> Column:
     """Least ``struct(dist, key, *keep)`` over the station array column ``arr``
     (``n`` entries when counted); +inf when there is no finite distance."""
-    lam = F.expr(f"array_min(transform(`{arr}`, s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
     if n > UNROLL_MAX:
-        return lam
-    parts = [F.expr(_cand_sql(f"`{arr}`[{i}]", lat, lon, coslat, keep)) for i in range(n)]
+        return F.expr(f"array_min(transform(`{arr}`, s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
+    parts = [_cand_sql(f"`{arr}`[{i}]", lat, lon, coslat, keep) for i in range(n)]
     # Entries past the counted n (the table grew since the count) are still searched.
-    rest = F.expr(f"array_min(transform(slice(`{arr}`, {n + 1}, greatest(size(`{arr}`) - {n}, 0)), "
-                  f"s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
-    return F.least(*parts, rest)
+    parts.append(f"array_min(transform(slice(`{arr}`, {n + 1}, greatest(size(`{arr}`) - {n}, 0)), "
+                 f"s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
+    return F.expr(f"least({', '.join(parts)})")
 
 
 def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:

@@ -130,8 +130,10 @@ def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, inc
     facts meet only the geocodes of those areas.
     """
     selected = extreme_areas(incomes, k, drop_nulls)
+    # ≤ 2k rows by construction, so it needs no count before a broadcast.
+    selected = F.broadcast(selected) if strategy in (None, "auto", "broadcast") else with_strategy(selected, strategy)
     geo = geocodes.select("lat", "lon", to_int(first_list_item("zip_text")).alias("zip"))
-    geo_sel = geo.join(with_strategy(selected, strategy, max_rows), "zip").select("lat", "lon")
+    geo_sel = geo.join(selected, "zip").select("lat", "lon")
     facts = not_null(in_year(incidents, "occurred_at", year), "category").select("lat", "lon", "category")
     matched = facts.join(with_strategy(geo_sel, strategy, max_rows), ["lat", "lon"])
     counted = count_by(matched, [label_of("category").alias("category")])

@@ -34,12 +34,18 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+# Datasets this process has already seen complete (they are never rewritten).
+_DONE: set[str] = set()
+
+
 def materialize(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
     """Path of dataset ``name`` derived from ``source``; ``write(path)`` makes it
     the first time (it must write a Spark output directory to ``path``)."""
     src = source if "://" in source else os.path.abspath(source)
     digest = hashlib.sha1(f"{src}|{name}|{VERSION}".encode()).hexdigest()[:12]
     path = f"{shared_root(spark)}/{name}-{digest}"
-    if not exists(spark, f"{path}/_SUCCESS"):
-        write(path)
+    if path not in _DONE:
+        if not exists(spark, f"{path}/_SUCCESS"):
+            write(path)
+        _DONE.add(path)
     return path
