@@ -103,11 +103,14 @@ def incomes_parsed(incomes: DataFrame) -> DataFrame:
     return incomes.withColumn("income", parse_money("income_text"))
 
 
-def extreme_areas(incomes: DataFrame, k: int = EXTREME_AREAS, drop_nulls: bool = True) -> DataFrame:
-    """ZIPs of the ``k`` richest and ``k`` poorest areas (bag union, ≤ 2k rows;
-    income ties → lower ZIP first)."""
-    return top_and_bottom(incomes_parsed(incomes), "income", k, keep=["zip"],
-                          tie_break=["zip"], drop_nulls=drop_nulls)
+def extreme_areas(incomes: DataFrame, k: int = EXTREME_AREAS, drop_nulls: bool = True,
+                  distinct: bool = False) -> DataFrame:
+    """ZIPs of the ``k`` richest and ``k`` poorest areas (≤ 2k rows; income
+    ties → lower ZIP first). A bag union, so with fewer than 2k areas a ZIP
+    can appear twice and its incidents count twice; ``distinct`` keeps one."""
+    sel = top_and_bottom(incomes_parsed(incomes), "income", k, keep=["zip"],
+                         tie_break=["zip"], drop_nulls=drop_nulls)
+    return sel.distinct() if distinct else sel
 
 
 def geocoded(incidents: DataFrame, geocodes: DataFrame, strategy: str | None = "auto",
@@ -121,6 +124,7 @@ def geocoded(incidents: DataFrame, geocodes: DataFrame, strategy: str | None = "
 def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, incomes: DataFrame,
                                   year: int, *, k: int = EXTREME_AREAS,
                                   strategy: str | None = "auto", drop_nulls: bool = True,
+                                  distinct: bool = False,
                                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Victims of ``year`` by descent label, in the ``k`` richest and ``k``
     poorest ZIP areas.
@@ -129,7 +133,7 @@ def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, inc
     but the ≤ 2k selected ZIPs are joined to the geocode table first, so the
     facts meet only the geocodes of those areas.
     """
-    selected = extreme_areas(incomes, k, drop_nulls)
+    selected = extreme_areas(incomes, k, drop_nulls, distinct)
     # ≤ 2k rows by construction, so it needs no count before a broadcast.
     selected = F.broadcast(selected) if strategy in (None, "auto", "broadcast") else with_strategy(selected, strategy)
     geo = geocodes.select("lat", "lon", to_int(first_list_item("zip_text")).alias("zip"))
@@ -179,14 +183,23 @@ def yearly_area_distance(incidents: DataFrame, stations: DataFrame,
 
 def division_distance_stats(incidents: DataFrame, stations: DataFrame,
                             strategy: str | None = "auto",
-                            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                            max_rows: int = DEFAULT_BROADCAST_ROWS,
+                            aliases: dict[str, str] | None = None) -> DataFrame:
     """Per area name: mean distance from armed incidents to the station whose
     division equals the upper-cased area name, and the count (areas without
-    such a station keep their count and get a NULL mean)."""
+    such a station keep their count and get a NULL mean).
+
+    ``aliases`` maps upper-cased area names to division names where the two
+    spellings differ (e.g. ``{"N HOLLYWOOD": "NORTH HOLLYWOOD"}``).
+    """
     armed = not_null(incidents, "weapon_code")
     st = stations.select("division", F.col("y").alias("st_y"), F.col("x").alias("st_x"))
     st = with_strategy(st, strategy, max_rows)
-    j = armed.join(st, F.upper(armed["area_name"]) == st["division"], "left")
+    key = F.upper(armed["area_name"])
+    if aliases:
+        amap = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+        key = F.coalesce(F.try_element_at(amap, key), key)
+    j = armed.join(st, key == st["division"], "left")
     j = j.withColumn("distance", haversine_km("lat", "lon", "st_y", "st_x").cast("float"))
     out = _distance_report(j, "area_name", "division", "distance")
     return sort_by_count(out, "crime_count", "division")

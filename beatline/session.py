@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) on a cluster")
     path = tempfile.mkdtemp(prefix="beatline-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

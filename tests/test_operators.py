@@ -141,3 +141,22 @@ def test_checked_broadcast_falls_back(spark):
     assert j1.count() == 5 and j2.count() == 50
     assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_extreme_areas_distinct_and_aliases(spark):
+    inc = spark.createDataFrame([(1, "$1"), (2, "$2")], "zip int, income_text string")
+    assert sorted(r.zip for r in Q.extreme_areas(inc, 3).collect()) == [1, 1, 2, 2]
+    assert sorted(r.zip for r in Q.extreme_areas(inc, 3, distinct=True).collect()) == [1, 2]
+    st = spark.createDataFrame([(1, 1, "NORTH HOLLYWOOD", 34.0, -118.0)],
+                               "fid int, prec int, division string, y double, x double")
+    facts = spark.createDataFrame([(1, "N Hollywood", 100, 34.0, -118.0)],
+                                  "incident_id int, area_name string, weapon_code int, lat double, lon double")
+    plain = Q.division_distance_stats(facts, st).first()
+    mapped = Q.division_distance_stats(facts, st, aliases={"N HOLLYWOOD": "NORTH HOLLYWOOD"}).first()
+    assert plain.average_distance is None and mapped.average_distance == "0.000"
+
+
+def test_write_table(spark, tmp_path):
+    from beatline.sources.sinks import write_table
+    write_table(spark.range(3), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
