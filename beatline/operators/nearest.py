@@ -31,32 +31,46 @@ UNROLL_MAX = 64
 _INF = "cast('Infinity' as double)"
 
 
-def _dist_sql(lat: str, lon: str, coslat: str, y: str, x: str, cos_y: str) -> str:
-    """Haversine km as SQL text, with cos(radians(.)) of both latitudes given
-    (same operations in the same order as ``functions.geo.haversine_km``).
-    NULL coordinates and NaN give +inf, so they lose every comparison."""
+def _a_sql(lat: str, lon: str, coslat: str, y: str, x: str, cos_y: str) -> str:
+    """The haversine term ``a`` as SQL text, with cos(radians(.)) of both
+    latitudes given (same operations, same order as ``geo.haversine_km``)."""
     hl, ho = f"(radians({y} - {lat}) / 2)", f"(radians({x} - {lon}) / 2)"
-    a = f"(sin({hl}) * sin({hl}) + {coslat} * {cos_y} * sin({ho}) * sin({ho}))"
+    return f"(sin({hl}) * sin({hl}) + {coslat} * {cos_y} * sin({ho}) * sin({ho}))"
+
+
+def _dist_of_a(a: str) -> str:
+    """Distance from ``a``; NULL coordinates and NaN give +inf, so they lose
+    every comparison."""
     d = f"({EARTH_RADIUS_KM!r} * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
     return f"coalesce(nanvl({d}, {_INF}), {_INF})"
 
 
-def _cand_sql(e: str, lat: str, lon: str, coslat: str, keep: list[str]) -> str:
-    d = _dist_sql(lat, lon, coslat, f"{e}.y", f"{e}.x", f"{e}.cos_y")
-    fields = [f"'dist', {d}", f"'key', {e}.key"] + [f"'{k}', {e}.`{k}`" for k in keep]
+def _struct_sql(dist: str, e: str, keep: list[str]) -> str:
+    fields = [f"'dist', {dist}", f"'key', {e}.key"] + [f"'{k}', {e}.`{k}`" for k in keep]
     return f"named_struct({', '.join(fields)})"
 
 
-def _block_best(arr: str, n: int, lat: str, lon: str, coslat: str, keep: list[str]) -> Column:
-    """Least ``struct(dist, key, *keep)`` over the station array column ``arr``
-    (``n`` entries when counted); +inf when there is no finite distance."""
+def _lambda_best(arr_sql: str, lat: str, lon: str, coslat: str, keep: list[str]) -> str:
+    a = _a_sql(lat, lon, coslat, "s.y", "s.x", "s.cos_y")
+    return f"array_min(transform({arr_sql}, s -> {_struct_sql(_dist_of_a(a), 's', keep)}))"
+
+
+def _block_terms(arr: str, n: int, lat: str, lon: str, coslat: str,
+                 keep: list[str]) -> tuple[dict[str, Column], str]:
+    """(per-station ``a`` columns, SQL of the block's least candidate).
+
+    The ``a`` terms get their own projection so each is computed once and
+    the final expression stays small; entries past the counted ``n`` (the
+    table grew since the count) are still searched by an array lambda.
+    """
     if n > UNROLL_MAX:
-        return F.expr(f"array_min(transform(`{arr}`, s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
-    parts = [_cand_sql(f"`{arr}`[{i}]", lat, lon, coslat, keep) for i in range(n)]
-    # Entries past the counted n (the table grew since the count) are still searched.
-    parts.append(f"array_min(transform(slice(`{arr}`, {n + 1}, greatest(size(`{arr}`) - {n}, 0)), "
-                 f"s -> {_cand_sql('s', lat, lon, coslat, keep)}))")
-    return F.expr(f"least({', '.join(parts)})")
+        return {}, _lambda_best(f"`{arr}`", lat, lon, coslat, keep)
+    a_cols = {f"{arr}_a{i}": F.expr(_a_sql(lat, lon, coslat, f"`{arr}`[{i}].y", f"`{arr}`[{i}].x",
+                                            f"`{arr}`[{i}].cos_y")) for i in range(n)}
+    parts = [_struct_sql(_dist_of_a(f"`{name}`"), f"`{arr}`[{i}]", keep) for i, name in enumerate(a_cols)]
+    parts.append(_lambda_best(f"slice(`{arr}`, {n + 1}, greatest(size(`{arr}`) - {n}, 0))",
+                              lat, lon, coslat, keep))
+    return a_cols, f"least({', '.join(parts)})"
 
 
 def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
@@ -98,16 +112,19 @@ def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat",
     keep_l = list(keep)
     blocks = _blocks(stations, key, max_rows)
     coslat = "`__coslat`"
-    cols = {"__coslat": F.cos(F.radians(lat))}
     # Each block's array becomes its own column first: a subquery may not sit
     # inside the lambda of a higher-order function.
     arrs = {f"__stations{i}": _station_array(blk, key, keep_l).scalar() for i, (blk, _) in enumerate(blocks)}
-    cols.update(arrs)
-    bests = [_block_best(name, size, f"`{lat}`", f"`{lon}`", coslat, keep_l)
-             for name, (_, size) in zip(arrs, blocks)]
-    best = bests[0] if len(bests) == 1 else F.least(*bests)
-    found = F.when(best["dist"] < F.lit(float("inf")), best)
-    return facts.withColumns(cols).withColumn(out, found).drop(*cols)
+    base = {"__coslat": F.cos(F.radians(lat)), **arrs}
+    a_cols, bests = {}, []
+    for name, (_, size) in zip(arrs, blocks):
+        cols, best = _block_terms(name, size, f"`{lat}`", f"`{lon}`", coslat, keep_l)
+        a_cols.update(cols)
+        bests.append(best)
+    best = bests[0] if len(bests) == 1 else f"least({', '.join(bests)})"
+    found = F.when(F.col("__best.dist") < F.lit(float("inf")), F.col("__best"))
+    return (facts.withColumns(base).withColumns(a_cols).withColumn("__best", F.expr(best))
+            .withColumn(out, found).drop(*base, *a_cols, "__best"))
 
 
 def nearest_distance(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",
