@@ -55,22 +55,31 @@ def _lambda_best(arr_sql: str, lat: str, lon: str, coslat: str, keep: list[str])
     return f"array_min(transform({arr_sql}, s -> {_struct_sql(_dist_of_a(a), 's', keep)}))"
 
 
-def _block_terms(arr: str, n: int, lat: str, lon: str, coslat: str,
-                 keep: list[str]) -> tuple[dict[str, Column], str]:
-    """(per-station ``a`` columns, SQL of the block's least candidate).
-
-    The ``a`` terms get their own projection so each is computed once and
-    the final expression stays small; entries past the counted ``n`` (the
-    table grew since the count) are still searched by an array lambda.
+def _unrolled(df: DataFrame, arr: str, n: int, lat: str, lon: str, coslat: str,
+              keep: list[str], best: str) -> DataFrame:
+    """Add struct column ``best`` for one station array of ``n`` entries,
+    written out station by station on plain doubles (compact generated code):
+    the haversine terms, the distances, their least, then the first entry
+    (lowest key, the array being sorted by key) whose distance equals it.
+
+    Each step is its own projection, so every value is computed once. If the
+    table grew between the count and the run the job fails rather than skip
+    the new stations.
     """
-    if n > UNROLL_MAX:
-        return {}, _lambda_best(f"`{arr}`", lat, lon, coslat, keep)
-    a_cols = {f"{arr}_a{i}": F.expr(_a_sql(lat, lon, coslat, f"`{arr}`[{i}].y", f"`{arr}`[{i}].x",
-                                            f"`{arr}`[{i}].cos_y")) for i in range(n)}
-    parts = [_struct_sql(_dist_of_a(f"`{name}`"), f"`{arr}`[{i}]", keep) for i, name in enumerate(a_cols)]
-    parts.append(_lambda_best(f"slice(`{arr}`, {n + 1}, greatest(size(`{arr}`) - {n}, 0))",
-                              lat, lon, coslat, keep))
-    return a_cols, f"least({', '.join(parts)})"
+    entry = [f"get(`{arr}`, {i})" for i in range(n)]
+    a = {f"{best}_a{i}": F.expr(_a_sql(lat, lon, coslat, f"{e}.y", f"{e}.x", f"{e}.cos_y"))
+         for i, e in enumerate(entry)}
+    d = {f"{best}_d{i}": F.expr(_dist_of_a(f"`{name}`")) for i, name in enumerate(a)}
+    names = list(d)
+    m, i_col = f"{best}_m", f"{best}_i"
+    least_d = f"`{names[0]}`" if n == 1 else f"least({', '.join(f'`{x}`' for x in names)})"
+    guard = (f"CASE WHEN size(`{arr}`) > {n} THEN raise_error('station table changed during the query') "
+             f"ELSE {least_d} END")
+    idx = "CASE " + " ".join(f"WHEN `{x}` = `{m}` THEN {i}" for i, x in enumerate(names)) + " END"
+    out = _struct_sql(f"`{m}`", f"get(`{arr}`, `{i_col}`)", keep)
+    return (df.withColumns(a).withColumns(d).withColumn(m, F.expr(guard))
+            .withColumn(i_col, F.expr(idx)).withColumn(best, F.expr(out))
+            .drop(*a, *d, m, i_col))
 
 
 def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
@@ -115,16 +124,19 @@ def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat",
     # Each block's array becomes its own column first: a subquery may not sit
     # inside the lambda of a higher-order function.
     arrs = {f"__stations{i}": _station_array(blk, key, keep_l).scalar() for i, (blk, _) in enumerate(blocks)}
-    base = {"__coslat": F.cos(F.radians(lat)), **arrs}
-    a_cols, bests = {}, []
-    for name, (_, size) in zip(arrs, blocks):
-        cols, best = _block_terms(name, size, f"`{lat}`", f"`{lon}`", coslat, keep_l)
-        a_cols.update(cols)
-        bests.append(best)
-    best = bests[0] if len(bests) == 1 else f"least({', '.join(bests)})"
+    df = facts.withColumns({"__coslat": F.cos(F.radians(lat)), **arrs})
+    bests = []
+    for b, (name, (_, size)) in enumerate(zip(arrs, blocks)):
+        col = f"__best{b}"
+        if size > UNROLL_MAX or size == 0:
+            df = df.withColumn(col, F.expr(_lambda_best(f"`{name}`", f"`{lat}`", f"`{lon}`", coslat, keep_l)))
+        else:
+            df = _unrolled(df, name, size, f"`{lat}`", f"`{lon}`", coslat, keep_l, col)
+        bests.append(col)
+    best = F.col(bests[0]) if len(bests) == 1 else F.least(*[F.col(c) for c in bests])
+    df = df.withColumn("__best", best)
     found = F.when(F.col("__best.dist") < F.lit(float("inf")), F.col("__best"))
-    return (facts.withColumns(base).withColumns(a_cols).withColumn("__best", F.expr(best))
-            .withColumn(out, found).drop(*base, *a_cols, "__best"))
+    return df.withColumn(out, found).drop("__coslat", *arrs, *bests, "__best")
 
 
 def nearest_distance(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",
