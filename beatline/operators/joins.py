@@ -24,9 +24,19 @@ STRATEGIES: tuple[str, ...] = ("auto", "broadcast", "merge", "shuffle_hash")
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+def count_upto(df: DataFrame, bound: int) -> int:
+    """Exact row count when it is at most ``bound``, else ``bound + 1``.
+
+    Runs as ``take``: Spark reads one partition first and more only while
+    rows are missing, so a table far over the bound is not read whole. Only
+    a column-free marker per row reaches the driver, at most ``bound + 1``.
+    """
+    return len(df.select(F.lit(1).alias("_")).take(bound + 1))
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return count_upto(df, max_rows) <= max_rows
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatline.functions.geo import EARTH_RADIUS_KM
+from beatline.operators.joins import count_upto
 
 DEFAULT_STATION_ROWS = 50_000
 
@@ -88,13 +89,8 @@ def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
     return stations.agg(F.sort_array(F.collect_list(entries)).alias("arr"))
 
 
-def _count_upto(df: DataFrame, bound: int) -> int:
-    """Exact row count when it is at most ``bound``, else ``bound + 1``."""
-    return df.limit(bound + 1).count()
-
-
 def _blocks(stations: DataFrame, key: str, max_rows: int) -> list[tuple[DataFrame, int]]:
-    n = _count_upto(stations, max_rows)
+    n = count_upto(stations, max_rows)
     if n <= max_rows:
         return [(stations, n)]
     nblocks = 2 * math.ceil(stations.count() / max_rows)
@@ -102,7 +98,7 @@ def _blocks(stations: DataFrame, key: str, max_rows: int) -> list[tuple[DataFram
     out = []
     for i in range(nblocks):
         blk = stations.filter(b == i)
-        size = _count_upto(blk, 2 * max_rows)
+        size = count_upto(blk, 2 * max_rows)
         if size > 2 * max_rows:
             raise ValueError("station key too skewed to split into bounded blocks")
         out.append((blk, size))

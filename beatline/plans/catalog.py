@@ -90,6 +90,20 @@ def scan_incidents_csv(spark, sf_dir):
     return S.core(_csv_incidents(spark, sf_dir))
 
 
+def typed_incidents(spark, sf_dir):
+    """Date texts parsed by pattern, numbers typed (the CSV schema)."""
+    return _csv_incidents(spark, sf_dir).select(
+        "incident_id", "reported_on", "occurred_at", "victim_age", "area_id", "lat", "lon")
+
+
+def scan_incomes(spark, sf_dir):
+    return S.incomes(spark, sf_dir)
+
+
+def scan_geocodes(spark, sf_dir):
+    return S.geocodes(spark, sf_dir)
+
+
 def scan_lines(spark, sf_dir):
     """Whole lines of both files, every header line dropped."""
     lines = S.incident_lines(spark, sf_dir)
@@ -198,6 +212,9 @@ QUERIES: dict[str, Query] = {
     "incident_profile": incident_profile,
     "incident_row_count": incident_row_count,
     "scan_incidents_csv": scan_incidents_csv,
+    "typed_incidents": typed_incidents,
+    "scan_incomes": scan_incomes,
+    "scan_geocodes": scan_geocodes,
     "scan_lines": scan_lines,
     "all_incidents": all_incidents,
     "armed_incidents": armed_incidents,

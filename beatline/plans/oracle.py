@@ -158,6 +158,11 @@ from best group by division
         "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),
     "scan_incidents_csv": with_views(f"select {CORE} from incidents", "incidents"),
+    "typed_incidents": with_views(
+        "select incident_id, cast(occurred_at as date) as reported_on, occurred_at, "
+        "cast(null as integer) as victim_age, area_id, lat, lon from incidents", "incidents"),
+    "scan_incomes": with_views("select zip, community, income_text from incomes", "incomes"),
+    "scan_geocodes": with_views("select lat, lon, zip_text from geocodes", "geocodes"),
     "scan_lines": with_views("select value from lines", "lines"),
     "all_incidents": with_views(f"select {CORE} from incidents", "incidents"),
     "armed_incidents": with_views(f"select {CORE} from incidents where weapon_code is not null", "incidents"),

@@ -83,3 +83,37 @@ def test_refused_strategy(spark):
     from beatline.operators import with_strategy
     with pytest.raises(ValueError):
         with_strategy(spark.range(3), "shuffle_replicate_nl")
+
+
+def test_hot_join_key_is_split_by_adaptive_execution(spark):
+    """A third of the incidents on one coordinate: under a shuffle strategy
+    adaptive execution splits the hot partition; rows equal the broadcast plan."""
+    from pyspark.sql import functions as F
+    from beatline.plans import queries as Q
+    facts = spark.range(60000).select(
+        F.col("id").alias("incident_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(34.0)).otherwise(33.5 + (F.col("id") % 64) / 64.0).alias("lat"),
+        F.lit(-118.25).alias("lon"))
+    geo = spark.range(64).select((33.5 + F.col("id") / 64.0).alias("lat"), F.lit(-118.25).alias("lon"),
+                                 (F.col("id") + 90000).cast("string").alias("zip_text"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        merged = Q.geocoded(facts, geo, strategy="merge")
+        plan = _final_plan(merged)
+        assert "SortMergeJoin" in plan and "skew=true" in plan
+        rows = sorted(tuple(r) for r in merged.collect())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert rows == sorted(tuple(r) for r in Q.geocoded(facts, geo, strategy="broadcast").collect())
+    assert len(rows) == 60000
