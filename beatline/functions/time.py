@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,5 +64,19 @@ def year_range(ts, year: int) -> Column:
     are cast to the column's type by the analyzer.
     """
     c = as_col(ts)
-    lo, hi = _dt.datetime(year, 1, 1), _dt.datetime(year + 1, 1, 1)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    # Bounds from text, so neither the Python nor the session time zone moves them.
+    lo = F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{year + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    return (c >= lo) & (c < hi)
+
+
+def pattern_text(ts) -> Column:
+    """A ``timestamp_ntz`` as ``MM/dd/yyyy hh:mm:ss a`` text, built from its
+    fields so no time zone (and no daylight-saving gap) is involved."""
+    c = as_col(ts)
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    h12 = F.when(F.hour(c) % 12 == 0, 12).otherwise(F.hour(c) % 12)
+    return F.concat(two(F.month(c)), F.lit("/"), two(F.dayofmonth(c)), F.lit("/"),
+                    F.lpad(F.year(c).cast("string"), 4, "0"), F.lit(" "), two(h12), F.lit(":"),
+                    two(F.minute(c)), F.lit(":"), two(F.second(c)), F.lit(" "),
+                    F.when(F.hour(c) < 12, "AM").otherwise("PM"))

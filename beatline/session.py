@@ -42,10 +42,16 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. On a cluster ``spark.checkpoint.dir``
-    names a shared folder and is used as is; only when it is unset (local
-    tests) a fresh local folder is set."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    names a shared folder and is used as is; only when it is unset in local
+    mode (tests) a fresh local folder is set."""
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext here
+        if conf_dir:
+            return conf_dir
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+    current = sc.getCheckpointDir() or conf_dir
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.functions.time import OCCURRED_PATTERN
+from beatline.functions.time import pattern_text
 from beatline.schemas import (
     GEOCODE_HEADER, INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, INCOME_HEADER,
     STATION_HEADER,
@@ -47,7 +47,10 @@ def _grid(idx: Column, base: float) -> Column:
 
 
 def _files(spark: SparkSession) -> int:
-    return max(2, spark.sparkContext.defaultParallelism)
+    try:
+        return max(2, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
 # --- the views, computed from the driver tables ------------------------------------
@@ -123,7 +126,7 @@ def build_geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incident_file_frame(inc: DataFrame, header: tuple[str, ...] = INCIDENT_HEADER) -> DataFrame:
     """Incidents in the public 28-column file layout, named by ``header``;
     dates as ``MM/dd/yyyy hh:mm:ss a`` text, unknown columns empty."""
-    text = F.date_format("occurred_at", OCCURRED_PATTERN)
+    text = pattern_text("occurred_at")
     have = set(inc.columns)
     cols = []
     for (name, dtype), head in zip(INCIDENT_COLUMNS, header):

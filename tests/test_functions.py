@@ -87,3 +87,22 @@ def test_csv_line_and_field(spark):
     got = [tuple(r) for r in ldf.select(field("value", 1), field("value", 2), field("value", 9)).collect()]
     # a plain split: the quoted comma splits the field
     assert got == [('"b', 'c"', None), (None, None, None)]
+
+
+def test_zone_free_text_and_year_bounds(spark):
+    from beatline.functions import year_range
+    from beatline.functions.time import pattern_text
+    rows = [(dt.datetime(1997, 1, 1, 0, 0),), (dt.datetime(1996, 12, 31, 23, 59, 59),),
+            (dt.datetime(1998, 1, 1, 0, 0),), (dt.datetime(1997, 10, 12, 13, 5, 9),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        got = df.select(pattern_text("t").alias("s"), year_range("t", 1997).alias("y")).collect()
+        back = df.select((parse_timestamp(pattern_text("t")) == F.col("t")).alias("same")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r.s for r in got] == ["01/01/1997 12:00:00 AM", "12/31/1996 11:59:59 PM",
+                                  "01/01/1998 12:00:00 AM", "10/12/1997 01:05:09 PM"]
+    assert [r.y for r in got] == [True, False, False, True]
+    assert all(r.same for r in back)
