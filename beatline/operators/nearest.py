@@ -24,10 +24,11 @@ from beatline.operators.joins import count_upto
 
 DEFAULT_STATION_ROWS = 50_000
 
-# Up to this many stations per block the search is written out station by
-# station (codegen'd); a larger block goes through an array lambda, which Spark
-# interprets row by row.
+# Up to UNROLL_TOTAL stations per block the search is written out station by
+# station (compiled), UNROLL_MAX at a time; a larger block goes through an
+# array lambda, which Spark interprets row by row.
 UNROLL_MAX = 64
+UNROLL_TOTAL = 128
 
 _INF = "cast('Infinity' as double)"
 
@@ -56,29 +57,30 @@ def _lambda_best(arr_sql: str, lat: str, lon: str, coslat: str, keep: list[str])
     return f"array_min(transform({arr_sql}, s -> {_struct_sql(_dist_of_a(a), 's', keep)}))"
 
 
-def _unrolled(df: DataFrame, arr: str, n: int, lat: str, lon: str, coslat: str,
-              keep: list[str], best: str) -> DataFrame:
-    """Add struct column ``best`` for one station array of ``n`` entries,
+def _unrolled(df: DataFrame, arr: str, lo: int, hi: int, lat: str, lon: str, coslat: str,
+              keep: list[str], best: str, total: int | None = None) -> DataFrame:
+    """Add struct column ``best`` for entries ``lo..hi-1`` of one station array,
     written out station by station on plain doubles (compact generated code):
     the haversine terms, the distances, their least, then the first entry
     (lowest key, the array being sorted by key) whose distance equals it.
 
-    Each step is its own projection, so every value is computed once. If the
-    table grew between the count and the run the job fails rather than skip
-    the new stations.
+    Each step is its own projection, so every value is computed once. With
+    ``total`` set, a table that grew between the count and the run fails the
+    job rather than have its new stations skipped.
     """
-    entry = [f"get(`{arr}`, {i})" for i in range(n)]
+    entry = {i: f"get(`{arr}`, {i})" for i in range(lo, hi)}
     a = {f"{best}_a{i}": F.expr(_a_sql(lat, lon, coslat, f"{e}.y", f"{e}.x", f"{e}.cos_y"))
-         for i, e in enumerate(entry)}
-    d = {f"{best}_d{i}": F.expr(_dist_of_a(f"`{name}`")) for i, name in enumerate(a)}
-    names = list(d)
+         for i, e in entry.items()}
+    d = {f"{best}_d{i}": F.expr(_dist_of_a(f"`{best}_a{i}`")) for i in entry}
     m, i_col = f"{best}_m", f"{best}_i"
-    least_d = f"`{names[0]}`" if n == 1 else f"least({', '.join(f'`{x}`' for x in names)})"
-    guard = (f"CASE WHEN size(`{arr}`) > {n} THEN raise_error('station table changed during the query') "
-             f"ELSE {least_d} END")
-    idx = "CASE " + " ".join(f"WHEN `{x}` = `{m}` THEN {i}" for i, x in enumerate(names)) + " END"
+    names = list(d)
+    least_d = f"`{names[0]}`" if len(names) == 1 else f"least({', '.join(f'`{x}`' for x in names)})"
+    if total is not None:
+        least_d = (f"CASE WHEN size(`{arr}`) > {total} THEN "
+                   f"raise_error('station table changed during the query') ELSE {least_d} END")
+    idx = "CASE " + " ".join(f"WHEN `{best}_d{i}` = `{m}` THEN {i}" for i in entry) + " END"
     out = _struct_sql(f"`{m}`", f"get(`{arr}`, `{i_col}`)", keep)
-    return (df.withColumns(a).withColumns(d).withColumn(m, F.expr(guard))
+    return (df.withColumns(a).withColumns(d).withColumn(m, F.expr(least_d))
             .withColumn(i_col, F.expr(idx)).withColumn(best, F.expr(out))
             .drop(*a, *d, m, i_col))
 
@@ -124,10 +126,18 @@ def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat",
     bests = []
     for b, (name, (_, size)) in enumerate(zip(arrs, blocks)):
         col = f"__best{b}"
-        if size > UNROLL_MAX or size == 0:
+        if size > UNROLL_TOTAL or size == 0:
             df = df.withColumn(col, F.expr(_lambda_best(f"`{name}`", f"`{lat}`", f"`{lon}`", coslat, keep_l)))
         else:
-            df = _unrolled(df, name, size, f"`{lat}`", f"`{lon}`", coslat, keep_l, col)
+            # chunks of UNROLL_MAX entries; earlier chunks hold lower keys, so
+            # least over (dist, key) keeps the lowest key on a tie
+            chunks = [f"{col}_c{j}" for j in range(math.ceil(size / UNROLL_MAX))]
+            for j, c in enumerate(chunks):
+                lo = j * UNROLL_MAX
+                df = _unrolled(df, name, lo, min(lo + UNROLL_MAX, size), f"`{lat}`", f"`{lon}`",
+                               coslat, keep_l, c, total=size if j == 0 else None)
+            best_c = F.col(chunks[0]) if len(chunks) == 1 else F.least(*[F.col(c) for c in chunks])
+            df = df.withColumn(col, best_c).drop(*chunks)
         bests.append(col)
     best = F.col(bests[0]) if len(bests) == 1 else F.least(*[F.col(c) for c in bests])
     df = df.withColumn("__best", best)

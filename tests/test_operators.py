@@ -97,10 +97,12 @@ def test_nearest_matches_brute_force_all_paths(spark, monkeypatch):
             else:
                 assert got[i][1] == e[1] and math.isclose(got[i][0], e[0], rel_tol=1e-12)
 
-    check(nearest_station(facts, st, out="n"))                      # 91 > UNROLL_MAX: array lambda
+    check(nearest_station(facts, st, out="n"))                      # 91: two unrolled chunks
     monkeypatch.setattr(nearest_mod, "UNROLL_MAX", 200)
-    check(nearest_station(facts, st, out="n"))                      # unrolled
+    check(nearest_station(facts, st, out="n"))                      # one unrolled chunk
     check(nearest_station(facts, st, out="n", max_rows=20))         # blocks beyond the bound
+    monkeypatch.setattr(nearest_mod, "UNROLL_TOTAL", 50)
+    check(nearest_station(facts, st, out="n"))                      # array lambda
 
 
 def test_nearest_distance_null_coordinates(spark):

@@ -96,3 +96,14 @@ def test_incomes_quoted_commas(spark):
     rows = {r.zip: r for r in inc.collect()}
     assert rows[90001].community == "Los Angeles (South Los Angeles), Florence-Graham"
     assert rows[90272].income_text == "$166,021"
+
+
+def test_lines_equal_typed_counts_without_commas(spark, tmp_path):
+    h1 = ",".join(INCIDENT_HEADER)
+    rows = [_incident_line(i, "03/01/2015 12:00:00 AM", t, 5, "Harbor", p, "102", "33.75", "-118.28")
+            for i, (t, p) in enumerate([(600, "STREET"), (1300, "STREET"), (2200, "SIDEWALK"),
+                                        (2200, "ALLEY STREET"), (459, "STREET")])]
+    p1 = _write(tmp_path / "c.csv", [h1] + rows)
+    a = {r.day_segment: r.crime_count for r in Q.day_segment_counts_lines(read_lines(spark, p1), h1).collect()}
+    b = {r.day_segment: r.crime_count for r in Q.day_segment_counts(read_incidents_csv(spark, p1)).collect()}
+    assert a == b == {"Morning": 1, "Afternoon": 1, "Night": 1, "Undefined": 1}
