@@ -38,11 +38,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 _DONE: set[str] = set()
 
 
-def materialize(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
+def materialize(spark: SparkSession, source: str, name: str, write: Callable[[str], None],
+                salt: str = "") -> str:
     """Path of dataset ``name`` derived from ``source``; ``write(path)`` makes it
-    the first time (it must write a Spark output directory to ``path``)."""
+    the first time (it must write a Spark output directory to ``path``).
+    ``salt`` (e.g. a hash of the deriving code) makes a changed recipe write
+    a new dataset instead of reusing an old one."""
     src = source if "://" in source else os.path.abspath(source)
-    digest = hashlib.sha1(f"{src}|{name}|{VERSION}".encode()).hexdigest()[:12]
+    digest = hashlib.sha1(f"{src}|{name}|{VERSION}|{salt}".encode()).hexdigest()[:12]
     path = f"{shared_root(spark)}/{name}-{digest}"
     if path not in _DONE:
         if not exists(spark, f"{path}/_SUCCESS"):

@@ -16,6 +16,8 @@ equi-join keys.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,14 @@ def _grid(idx: Column, base: float) -> Column:
     return F.lit(base) + idx.cast("double") / 64.0
 
 
+# A change to this module's recipes writes new input files instead of reusing old ones.
+_RECIPE = hashlib.sha1(open(__file__, "rb").read()).hexdigest()[:12]
+
+
+def _materialize(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    return materialize(spark, sf_dir, name, write, salt=_RECIPE)
+
+
 def _files(spark: SparkSession) -> int:
     try:
         return max(2, spark.sparkContext.defaultParallelism)
@@ -158,7 +168,7 @@ def incidents_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path):
         (build_incidents(spark, sf_dir).repartitionByRange(_files(spark), "occurred_at")
          .sortWithinPartitions("occurred_at").write.mode("overwrite").parquet(path))
-    return materialize(spark, sf_dir, "incidents", write)
+    return _materialize(spark, sf_dir, "incidents", write)
 
 
 def incident_csv_paths(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -167,15 +177,15 @@ def incident_csv_paths(spark: SparkSession, sf_dir: str) -> list[str]:
     inc = spark.read.parquet(incidents_path(spark, sf_dir))
     cut = F.lit(PERIOD_CUT).cast("timestamp_ntz")
     half = max(1, _files(spark) // 2)
-    first = materialize(spark, sf_dir, "incidents-csv-1", lambda p: _write_csv(
+    first = _materialize(spark, sf_dir, "incidents-csv-1", lambda p: _write_csv(
         incident_file_frame(inc.filter(F.col("occurred_at") < cut)), p, half))
-    second = materialize(spark, sf_dir, "incidents-csv-2", lambda p: _write_csv(
+    second = _materialize(spark, sf_dir, "incidents-csv-2", lambda p: _write_csv(
         incident_file_frame(inc.filter(F.col("occurred_at") >= cut), SECOND_HEADER_NAMES), p, half))
     return [first, second]
 
 
 def _dim_csv(spark: SparkSession, sf_dir: str, name: str, build, header: tuple[str, ...]) -> str:
-    return materialize(spark, sf_dir, name, lambda p: _write_csv(
+    return _materialize(spark, sf_dir, name, lambda p: _write_csv(
         build(spark, sf_dir).toDF(*header), p, 1))
 
 
