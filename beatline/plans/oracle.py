@@ -11,6 +11,7 @@ from beatline.functions.geo import EARTH_RADIUS_KM
 from beatline.functions.text import DESCENT_LABELS, UNKNOWN_LABEL
 from beatline.functions.time import DAY_SEGMENTS, UNDEFINED_SEGMENT
 from beatline.plans.queries import EXTREME_AREAS, FIREARM_CODES, STREET_TEXT, TOP_MONTHS
+from beatline.schemas import INCIDENT_COLUMNS
 from beatline.sources.standins import FIRST_HEADER, STANDIN_YEAR, with_views
 
 CORE = "incident_id, occurred_at, time_hhmm, area_id, area_name, category, weapon_code, premises, lat, lon"
@@ -104,6 +105,23 @@ _ND = ("nd", f"select i.incident_id, i.occurred_at, min({hav('i.lat', 'i.lon', '
              f"where i.weapon_code between {LO} and {HI} group by i.incident_id, i.occurred_at")
 
 
+def _profile_columns():
+    """(column, Spark type, non-NULL count SQL) of the typed incident files."""
+    present = {"incident_id", "time_hhmm", "area_id", "area_name", "category", "weapon_code",
+               "premises", "lat", "lon", "crime_desc"}
+    cols = []
+    for name, dtype in INCIDENT_COLUMNS:
+        if name in ("reported_text", "occurred_text"):
+            n = "count(*)"
+        elif name in present:
+            n = f"count({name})"
+        else:
+            n = "cast(0 as bigint)"
+        cols.append((name, dtype.simpleString(), n))
+    cols += [("occurred_at", "timestamp_ntz", "count(occurred_at)"), ("reported_on", "date", "count(occurred_at)")]
+    return cols
+
+
 ORACLE: dict[str, str] = {
     "top_months_by_count": TOP_MONTHS_ORACLE,
     "top_months_by_count_sql": TOP_MONTHS_ORACLE,
@@ -151,10 +169,7 @@ from best group by division
 """, "incidents", "stations", ctes=_NEAREST),
     "incident_profile": with_views(" union all ".join(
         f"select '{c}' as column_name, '{t}' as data_type, true as nullable, "
-        f"count({c}) as non_null, count(*) as row_count from incidents"
-        for c, t in (("incident_id", "bigint"), ("occurred_at", "timestamp_ntz"), ("time_hhmm", "int"),
-                     ("area_id", "int"), ("area_name", "string"), ("category", "string"),
-                     ("weapon_code", "int"), ("premises", "string"), ("lat", "double"), ("lon", "double"))),
+        f"{n} as non_null, count(*) as row_count from incidents" for c, t, n in _profile_columns()),
         "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),
     "scan_incidents_csv": with_views(f"select {CORE} from incidents", "incidents"),
