@@ -1,6 +1,6 @@
 """Run one question on real input files, as a job for ``spark-submit``.
 
-    spark-submit --py-files beatline.zip -m beatline top-months \\
+    spark-submit --py-files beatline.zip beatline/__main__.py top-months \\
         --incidents hdfs:///data/crime_2010_2019.csv hdfs:///data/crime_2020_now.csv
 
     python -m beatline nearest-division --incidents ... --stations ... --out hdfs:///out/q42b
