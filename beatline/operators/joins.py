@@ -66,6 +66,17 @@ def with_strategy(small: DataFrame, strategy: str | None,
 
 
 def join_dim(facts: DataFrame, dim: DataFrame, on: list[str] | Column, how: str = "inner",
-             strategy: str | None = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join facts to a dimension with the strategy applied to the dimension side."""
+             strategy: str | None = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS,
+             hint_side: str = "dimension") -> DataFrame:
+    """Join facts to a dimension under a strategy.
+
+    The hint goes on the dimension (the build side of a hash join) by default.
+    ``hint_side="facts"`` puts a ``merge``/``shuffle_hash`` hint on the facts
+    instead, which reproduces plans that build the hash table from the facts;
+    a broadcast always goes on the dimension.
+    """
+    if hint_side == "facts" and strategy in ("merge", "shuffle_hash"):
+        return facts.hint(strategy).join(dim, on, how)
+    if hint_side not in ("dimension", "facts"):
+        raise ValueError(f"hint_side must be 'dimension' or 'facts', not {hint_side!r}")
     return facts.join(with_strategy(dim, strategy, max_rows), on, how)

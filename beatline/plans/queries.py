@@ -17,7 +17,7 @@ from beatline.functions import (
     day_segment, field, first_list_item, haversine_km, label_of, parse_money,
     thousands, to_int,
 )
-from beatline.operators.joins import DEFAULT_BROADCAST_ROWS, with_strategy
+from beatline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim, with_strategy
 from beatline.operators.nearest import nearest_distance, nearest_station
 from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_and_count, not_null,
@@ -124,7 +124,7 @@ def geocoded(incidents: DataFrame, geocodes: DataFrame, strategy: str | None = "
 def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, incomes: DataFrame,
                                   year: int, *, k: int = EXTREME_AREAS,
                                   strategy: str | None = "auto", drop_nulls: bool = True,
-                                  distinct: bool = False,
+                                  distinct: bool = False, hint_side: str = "dimension",
                                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Victims of ``year`` by descent label, in the ``k`` richest and ``k``
     poorest ZIP areas.
@@ -134,12 +134,15 @@ def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, inc
     facts meet only the geocodes of those areas.
     """
     selected = extreme_areas(incomes, k, drop_nulls, distinct)
-    # ≤ 2k rows by construction, so it needs no count before a broadcast.
-    selected = F.broadcast(selected) if strategy in (None, "auto", "broadcast") else with_strategy(selected, strategy)
     geo = geocodes.select("lat", "lon", to_int(first_list_item("zip_text")).alias("zip"))
-    geo_sel = geo.join(selected, "zip").select("lat", "lon")
+    if strategy in (None, "auto", "broadcast"):
+        # ≤ 2k rows by construction, so it needs no count before a broadcast.
+        geo_sel = geo.join(F.broadcast(selected), "zip")
+    else:
+        geo_sel = join_dim(geo, selected, "zip", strategy=strategy, hint_side=hint_side)
     facts = not_null(in_year(incidents, "occurred_at", year), "category").select("lat", "lon", "category")
-    matched = facts.join(with_strategy(geo_sel, strategy, max_rows), ["lat", "lon"])
+    matched = join_dim(facts, geo_sel.select("lat", "lon"), ["lat", "lon"], strategy=strategy,
+                       max_rows=max_rows, hint_side=hint_side)
     counted = count_by(matched, [label_of("category").alias("category")])
     return sort_by_count(counted, "crime_count", "category")
 
@@ -184,7 +187,8 @@ def yearly_area_distance(incidents: DataFrame, stations: DataFrame,
 def division_distance_stats(incidents: DataFrame, stations: DataFrame,
                             strategy: str | None = "auto",
                             max_rows: int = DEFAULT_BROADCAST_ROWS,
-                            aliases: dict[str, str] | None = None) -> DataFrame:
+                            aliases: dict[str, str] | None = None,
+                            hint_side: str = "dimension") -> DataFrame:
     """Per area name: mean distance from armed incidents to the station whose
     division equals the upper-cased area name, and the count (areas without
     such a station keep their count and get a NULL mean).
@@ -194,12 +198,12 @@ def division_distance_stats(incidents: DataFrame, stations: DataFrame,
     """
     armed = not_null(incidents, "weapon_code")
     st = stations.select("division", F.col("y").alias("st_y"), F.col("x").alias("st_x"))
-    st = with_strategy(st, strategy, max_rows)
-    key = F.upper(armed["area_name"])
+    key = F.upper(F.col("area_name"))
     if aliases:
         amap = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
         key = F.coalesce(F.try_element_at(amap, key), key)
-    j = armed.join(st, key == st["division"], "left")
+    j = join_dim(armed, st, key == F.col("division"), "left", strategy=strategy,
+                 max_rows=max_rows, hint_side=hint_side)
     j = j.withColumn("distance", haversine_km("lat", "lon", "st_y", "st_x").cast("float"))
     out = _distance_report(j, "area_name", "division", "distance")
     return sort_by_count(out, "crime_count", "division")

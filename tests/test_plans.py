@@ -117,3 +117,16 @@ def test_hot_join_key_is_split_by_adaptive_execution(spark):
                 spark.conf.set(k, v)
     assert rows == sorted(tuple(r) for r in Q.geocoded(facts, geo, strategy="broadcast").collect())
     assert len(rows) == 60000
+
+
+def test_hint_on_the_facts_side(spark):
+    """hint_side='facts' reproduces a hash table built from the incidents."""
+    from beatline.plans import queries as Q
+    from beatline.sources import standins as S
+    inc, st = S.incidents(spark, SF_SMALL), S.stations(spark, SF_SMALL)
+    left = Q.division_distance_stats(inc, st, strategy="shuffle_hash", hint_side="facts")
+    right = Q.division_distance_stats(inc, st, strategy="shuffle_hash")
+    pl, pr = _final_plan(left), _final_plan(right)
+    assert "ShuffledHashJoin" in pl and "BuildLeft" in pl
+    assert "ShuffledHashJoin" in pr and "BuildRight" in pr
+    assert sorted(tuple(r) for r in left.collect()) == sorted(tuple(r) for r in right.collect())
