@@ -130,3 +130,21 @@ def test_hint_on_the_facts_side(spark):
     assert "ShuffledHashJoin" in pl and "BuildLeft" in pl
     assert "ShuffledHashJoin" in pr and "BuildRight" in pr
     assert sorted(tuple(r) for r in left.collect()) == sorted(tuple(r) for r in right.collect())
+
+
+def test_zip_first_join_order_equals_reference_order(spark):
+    """Joining the selected ZIPs to the geocodes first gives the same rows as
+    incidents ⟕ geocodes, then ⋈ selected ZIPs (the written order)."""
+    from pyspark.sql import functions as F
+    from beatline.functions import first_list_item, label_of, to_int
+    from beatline.plans import queries as Q
+    from beatline.sources import standins as S
+    inc, geo, incomes = (S.incidents(spark, SF_SMALL), S.geocodes(spark, SF_SMALL),
+                         S.incomes(spark, SF_SMALL))
+    facts = inc.filter(F.year("occurred_at") == S.STANDIN_YEAR).filter(F.col("category").isNotNull())
+    j = facts.join(geo, ["lat", "lon"], "left").withColumn("zip_head", first_list_item("zip_text"))
+    sel = Q.extreme_areas(incomes)
+    written = (j.join(sel, to_int("zip_head") == sel["zip"])
+               .groupBy(label_of("category").alias("category")).agg(F.count(F.lit(1)).alias("crime_count")))
+    ours = Q.category_counts_extreme_areas(inc, geo, incomes, S.STANDIN_YEAR)
+    assert sorted(tuple(r) for r in ours.collect()) == sorted(tuple(r) for r in written.collect())
