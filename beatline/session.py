@@ -1,12 +1,11 @@
 """Session helpers: local sessions for tests and benches, and the shared
-checkpoint folder for cutting lineage on a cluster."""
+checkpoint folder (derived inputs, streaming state)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every session of this package should have; on a cluster they go
 # in spark-defaults or spark-submit, here they are applied to local sessions.
@@ -61,14 +60,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="beatline-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives the loss
-    of the executors that computed ``df``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def bench_cores() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))
