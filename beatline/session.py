@@ -23,6 +23,26 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for ``spark-submit`` sized to the input.
+
+    Scan splits and shuffle partitions of ``partition_bytes`` each keep every
+    task's data well inside executor memory; the shuffle partition count covers
+    the case where the incidents themselves are shuffled (a join beyond the
+    broadcast bound), and adaptive execution coalesces it down when only
+    partial aggregates travel.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    conf = {k: v for k, v in RECOMMENDED_CONF.items() if not k.startswith("spark.ui")}
+    conf.update({
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+    })
+    return conf
+
+
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   app: str = "beatline", **conf) -> SparkSession:
     """A ``local[cores]`` session with UI off and AQE on."""

@@ -162,3 +162,11 @@ def test_write_table(spark, tmp_path):
     from beatline.sources.sinks import write_table
     write_table(spark.range(3), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_cluster_conf_sizes_partitions():
+    from beatline.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 16
