@@ -174,13 +174,18 @@ def incidents_path(spark: SparkSession, sf_dir: str) -> str:
 def incident_csv_paths(spark: SparkSession, sf_dir: str) -> list[str]:
     """The incident CSV files of both periods (each file starts with a header;
     the second period names the area column without the trailing blank)."""
-    inc = spark.read.parquet(incidents_path(spark, sf_dir))
     cut = F.lit(PERIOD_CUT).cast("timestamp_ntz")
     half = max(1, _files(spark) // 2)
-    first = _materialize(spark, sf_dir, "incidents-csv-1", lambda p: _write_csv(
-        incident_file_frame(inc.filter(F.col("occurred_at") < cut)), p, half))
-    second = _materialize(spark, sf_dir, "incidents-csv-2", lambda p: _write_csv(
-        incident_file_frame(inc.filter(F.col("occurred_at") >= cut), SECOND_HEADER_NAMES), p, half))
+
+    def period(cond, header):
+        def write(p):
+            inc = incidents(spark, sf_dir).filter(cond)
+            _write_csv(incident_file_frame(inc, header), p, half)
+        return write
+    first = _materialize(spark, sf_dir, "incidents-csv-1",
+                         period(F.col("occurred_at") < cut, INCIDENT_HEADER))
+    second = _materialize(spark, sf_dir, "incidents-csv-2",
+                          period(F.col("occurred_at") >= cut, SECOND_HEADER_NAMES))
     return [first, second]
 
 
@@ -189,34 +194,52 @@ def _dim_csv(spark: SparkSession, sf_dir: str, name: str, build, header: tuple[s
         build(spark, sf_dir).toDF(*header), p, 1))
 
 
+# Readers of the write-once inputs, per session: listing the files and reading
+# Parquet footers again for every question would only repeat the same answer.
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
+def _reader(spark: SparkSession, path: str, read) -> DataFrame:
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[key] = read(path)
+    return df
+
+
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed incidents (Parquet)."""
-    return spark.read.parquet(incidents_path(spark, sf_dir))
+    return _reader(spark, incidents_path(spark, sf_dir), spark.read.parquet)
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations read from their CSV file (``X,Y,FID,DIVISION,LOCATION,PREC``)."""
-    return read_stations_csv(spark, _dim_csv(spark, sf_dir, "stations", build_stations, STATION_HEADER))
+    path = _dim_csv(spark, sf_dir, "stations", build_stations, STATION_HEADER)
+    return _reader(spark, path, lambda p: read_stations_csv(spark, p))
 
 
 def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incomes read from their CSV file (quoted fields with commas)."""
-    return read_incomes_csv(spark, _dim_csv(spark, sf_dir, "incomes", build_incomes, INCOME_HEADER))
+    path = _dim_csv(spark, sf_dir, "incomes", build_incomes, INCOME_HEADER)
+    return _reader(spark, path, lambda p: read_incomes_csv(spark, p))
 
 
 def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reverse geocodes read from their CSV file (``LAT,LON,ZIPcode``)."""
-    return read_geocodes_csv(spark, _dim_csv(spark, sf_dir, "geocodes", build_geocodes, GEOCODE_HEADER))
+    path = _dim_csv(spark, sf_dir, "geocodes", build_geocodes, GEOCODE_HEADER)
+    return _reader(spark, path, lambda p: read_geocodes_csv(spark, p))
 
 
 def incidents_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed incidents read back from both periods' CSV files."""
-    return read_incidents_csv(spark, incident_csv_paths(spark, sf_dir))
+    paths = incident_csv_paths(spark, sf_dir)
+    return _reader(spark, "|".join(paths) + "|csv", lambda _: read_incidents_csv(spark, paths))
 
 
 def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incident CSV files of both periods as whole text lines (headers included)."""
-    return read_lines(spark, incident_csv_paths(spark, sf_dir))
+    paths = incident_csv_paths(spark, sf_dir)
+    return _reader(spark, "|".join(paths) + "|lines", lambda _: read_lines(spark, paths))
 
 
 def core(df: DataFrame) -> DataFrame:
