@@ -6,6 +6,8 @@
     python -m beatline nearest-division --incidents ... --stations ... --out hdfs:///out/q42b
 
 The result is shown (``--show`` rows) or written as Parquet (``--out``).
+``convert`` stores the incident CSV files once as Parquet partitioned by year;
+later runs read it with ``--incidents-format parquet``.
 Session settings (executors, memory, checkpoint folder) come from
 ``spark-submit``; nothing here sets them.
 """
@@ -22,12 +24,16 @@ from beatline.sources import (
     first_line, read_geocodes_csv, read_incidents_csv, read_incomes_csv, read_lines,
     read_stations_csv,
 )
+from beatline.sources.csv import write_incidents_parquet
 from beatline.sources.sinks import write_table
 from beatline.operators import profile, row_count
 
 
 def _build(args, spark: SparkSession) -> DataFrame:
-    inc = lambda: read_incidents_csv(spark, args.incidents)
+    if args.incidents_format == "parquet":
+        inc = lambda: spark.read.parquet(*args.incidents)
+    else:
+        inc = lambda: read_incidents_csv(spark, args.incidents)
     st = lambda: read_stations_csv(spark, args.stations)
     q = args.question
     if q == "top-months":
@@ -54,18 +60,25 @@ def _build(args, spark: SparkSession) -> DataFrame:
         return profile(inc())
     if q == "count":
         return row_count(inc())
+    if q == "convert":
+        if not args.out:
+            raise SystemExit("convert needs --out")
+        write_incidents_parquet(inc(), args.out)
+        return spark.read.parquet(args.out)
     raise SystemExit(f"unknown question {q}")
 
 
 QUESTIONS = ("top-months", "day-segments", "day-segments-lines", "extreme-areas",
              "yearly-area-distance", "division-distance", "yearly-nearest", "nearest-division",
-             "profile", "count")
+             "profile", "count", "convert")
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="beatline", description="Run one incident question.")
     p.add_argument("question", choices=QUESTIONS)
-    p.add_argument("--incidents", nargs="+", required=True, help="incident CSV files (all periods)")
+    p.add_argument("--incidents", nargs="+", required=True, help="incident files (all periods)")
+    p.add_argument("--incidents-format", default="csv", choices=("csv", "parquet"),
+                   help="parquet: a table written by the convert question")
     p.add_argument("--stations", help="station CSV")
     p.add_argument("--incomes", help="income-by-ZIP CSV")
     p.add_argument("--geocodes", help="coordinate-to-ZIP CSV")
@@ -83,6 +96,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"beatline-{args.question}").getOrCreate()
     df = _build(args, spark)
+    if args.question == "convert":
+        return df
     if args.out:
         write_table(df, args.out)
     else:

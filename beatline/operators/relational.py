@@ -25,9 +25,18 @@ def not_null(df: DataFrame, *cols: str) -> DataFrame:
     return df.filter(cond)
 
 
+# Partition column written by ``sources.csv.write_incidents_parquet``.
+YEAR_PARTITION = "occurred_year"
+
+
 def in_year(df: DataFrame, ts: str, year: int) -> DataFrame:
-    """Rows whose ``ts`` falls in ``year`` (range form: pushed to Parquet)."""
-    return df.filter(year_range(ts, year))
+    """Rows whose ``ts`` falls in ``year``: a range on ``ts`` (pushed to the
+    Parquet scan) plus, on a table partitioned by ``occurred_year``, an
+    equality on that column (whole other years' folders are skipped)."""
+    out = df.filter(year_range(ts, year))
+    if ts == "occurred_at" and YEAR_PARTITION in df.columns:
+        out = out.filter(F.col(YEAR_PARTITION) == year)
+    return out
 
 
 def code_between(df: DataFrame, col: str, lo: int, hi: int) -> DataFrame:

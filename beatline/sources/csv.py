@@ -90,3 +90,18 @@ def read_geocodes_csv(spark: SparkSession, path: Paths) -> DataFrame:
     """Reverse-geocode file ``LAT,LON,ZIPcode`` (ZIPcode may be a comma list)."""
     return read_csv(spark, path, GEOCODE_SCHEMA)
 
+
+
+def write_incidents_parquet(incidents: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store typed incidents as Parquet partitioned by ``occurred_year``, so
+    later questions read only the columns they use and a year filter skips
+    other years' folders.
+
+    Rows are range-partitioned by date (never hashed by year, which would send
+    a whole year to one task): each task writes one date slice, sorted, so
+    files are few and their min/max statistics stay narrow.
+    """
+    from beatline.operators.relational import YEAR_PARTITION
+    (incidents.withColumn(YEAR_PARTITION, F.year("occurred_at"))
+     .repartitionByRange("occurred_at").sortWithinPartitions("occurred_at")
+     .write.mode(mode).partitionBy(YEAR_PARTITION).parquet(path))

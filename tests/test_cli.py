@@ -24,3 +24,18 @@ def test_cli_writes_results(spark, tmp_path):
     assert _rows(spark.read.parquet(out2)) == [("Afternoon", 1)]
     df = main(["top-months", "--sql", "--incidents", p1, p2, "--show", "5"], spark)
     assert _rows(df) == _rows(Q.top_months_by_count(inc))
+
+
+def test_convert_then_query_parquet(spark, tmp_path):
+    p1, p2, _, _ = _two_periods(tmp_path)
+    pq = str(tmp_path / "pq")
+    main(["convert", "--incidents", p1, p2, "--out", pq], spark)
+    t = spark.read.parquet(pq)
+    assert "occurred_year" in t.columns and t.count() == 3
+    from beatline.operators import in_year
+    sel = in_year(t, "occurred_at", 2015)
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "occurred_year" in plan
+    assert sorted(r.incident_id for r in sel.collect()) == [1, 2]
+    df = main(["top-months", "--incidents-format", "parquet", "--incidents", pq, "--show", "3"], spark)
+    assert _rows(df) == _rows(Q.top_months_by_count(read_incidents_csv(spark, [p1, p2])))
