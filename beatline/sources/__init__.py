@@ -1,7 +1,7 @@
 """Readers: typed CSV, whole lines, Parquet, and stand-in views."""
 
 from beatline.sources.csv import (
-    parse_incident_lines, read_csv, read_geocodes_csv, read_incidents_csv,
+    parse_csv_lines, parse_incident_lines, read_csv, read_geocodes_csv, read_incidents_csv,
     read_incidents_csv_inferred, read_incomes_csv, read_stations_csv,
     rename_by_header, type_incidents,
 )
@@ -9,7 +9,7 @@ from beatline.sources.parquet import read_parquet, union_periods
 from beatline.sources.text import drop_header, first_line, read_lines
 
 __all__ = [
-    "parse_incident_lines", "read_csv", "read_geocodes_csv", "read_incidents_csv",
+    "parse_csv_lines", "parse_incident_lines", "read_csv", "read_geocodes_csv", "read_incidents_csv",
     "read_incidents_csv_inferred", "read_incomes_csv", "read_stations_csv",
     "rename_by_header", "type_incidents", "read_parquet", "union_periods",
     "drop_header", "first_line", "read_lines",

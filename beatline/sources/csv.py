@@ -68,12 +68,16 @@ def read_incidents_csv_inferred(spark: SparkSession, paths: Paths) -> DataFrame:
     return type_incidents(raw.withColumns(casts))
 
 
+def parse_csv_lines(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """CSV text lines (no header) → typed rows, with the same parser as the
+    file reader (``from_csv``: quotes honoured, bad fields → NULL)."""
+    parsed = lines.select(F.from_csv(F.col(value), ddl(schema), {"mode": "PERMISSIVE"}).alias("r"))
+    return parsed.select("r.*")
+
+
 def parse_incident_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """CSV text lines (no header) → typed incidents, with the same parser as
-    the file reader (``from_csv``: quotes honoured, bad fields → NULL)."""
-    parsed = lines.select(F.from_csv(F.col(value), ddl(INCIDENT_CSV_SCHEMA),
-                                     {"mode": "PERMISSIVE"}).alias("r"))
-    return type_incidents(parsed.select("r.*"))
+    """CSV text lines (no header) → typed incidents."""
+    return type_incidents(parse_csv_lines(lines, INCIDENT_CSV_SCHEMA, value))
 
 
 def read_stations_csv(spark: SparkSession, path: Paths) -> DataFrame:

@@ -20,15 +20,15 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from beatline.functions.time import pattern_text
 from beatline.schemas import (
-    GEOCODE_HEADER, INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, INCOME_HEADER,
-    STATION_HEADER,
-)
-from beatline.sources.csv import (
-    read_geocodes_csv, read_incidents_csv, read_incomes_csv, read_stations_csv,
+    INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, STATION_HEADER,
 )
+from beatline.functions.text import csv_line
+from beatline.schemas import GEOCODE_SCHEMA, INCOME_SCHEMA
+from beatline.sources.csv import parse_csv_lines, read_incidents_csv, read_stations_csv
 from beatline.sources.materialize import materialize
 from beatline.sources.text import read_lines
 
@@ -218,16 +218,24 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reader(spark, path, lambda p: read_stations_csv(spark, p))
 
 
+def _as_csv_rows(df: DataFrame, schema) -> DataFrame:
+    """``df`` rendered as CSV text lines (strings quoted when they hold a comma)
+    and parsed back with the CSV parser under ``schema``."""
+    quoted = tuple(f.dataType == StringType() for f in schema)
+    lines = df.select(csv_line(*[F.col(f.name) for f in schema], quoted=quoted).alias("value"))
+    return parse_csv_lines(lines, schema)
+
+
 def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incomes read from their CSV file (quoted fields with commas)."""
-    path = _dim_csv(spark, sf_dir, "incomes", build_incomes, INCOME_HEADER)
-    return _reader(spark, path, lambda p: read_incomes_csv(spark, p))
+    """Incomes by ZIP, derived from the whole customer table on every call and
+    passed through the CSV parser (quoted fields with commas, money text)."""
+    return _as_csv_rows(build_incomes(spark, sf_dir), INCOME_SCHEMA)
 
 
 def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reverse geocodes read from their CSV file (``LAT,LON,ZIPcode``)."""
-    path = _dim_csv(spark, sf_dir, "geocodes", build_geocodes, GEOCODE_HEADER)
-    return _reader(spark, path, lambda p: read_geocodes_csv(spark, p))
+    """Coordinate → ZIP text, derived from the whole customer table on every
+    call and passed through the CSV parser (``LAT,LON,ZIPcode``)."""
+    return _as_csv_rows(build_geocodes(spark, sf_dir), GEOCODE_SCHEMA)
 
 
 def incidents_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
