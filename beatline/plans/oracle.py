@@ -89,20 +89,18 @@ where i.weapon_code is not null
 group by i.area_name
 """, "incidents", "stations")
 
+# Brute force for the oracle: per incident, scalar subqueries over every station.
+_HAV_IS = hav('i.lat', 'i.lon', 's.y', 's.x')
 _NEAREST = (
-    ("cand", f"select i.incident_id, s.division, s.fid, {hav('i.lat', 'i.lon', 's.y', 's.x')} as d "
-             f"from incidents i cross join stations s where i.weapon_code is not null"),
-    ("ranked", "select incident_id, division, d, "
-               "row_number() over (partition by incident_id order by d, fid) as rn "
-               "from cand where d is not null"),
-    ("best", "select i.incident_id, r.division, r.d from incidents i "
-             "left join ranked r on i.incident_id = r.incident_id and r.rn = 1 "
-             "where i.weapon_code is not null"),
+    ("best", f"select i.incident_id, "
+             f"(select s.division from stations s where {_HAV_IS} is not null "
+             f"order by {_HAV_IS}, s.fid limit 1) as division, "
+             f"(select min({_HAV_IS}) from stations s) as d "
+             f"from incidents i where i.weapon_code is not null"),
 )
 
-_ND = ("nd", f"select i.incident_id, i.occurred_at, min({hav('i.lat', 'i.lon', 's.y', 's.x')}) as d "
-             f"from incidents i cross join stations s "
-             f"where i.weapon_code between {LO} and {HI} group by i.incident_id, i.occurred_at")
+_ND = ("nd", f"select i.incident_id, i.occurred_at, (select min({_HAV_IS}) from stations s) as d "
+             f"from incidents i where i.weapon_code between {LO} and {HI}")
 
 
 def _profile_columns():
