@@ -3,7 +3,7 @@
     spark-submit --py-files beatline.zip beatline/__main__.py top-months \\
         --incidents hdfs:///data/crime_2010_2019.csv hdfs:///data/crime_2020_now.csv
 
-    python -m beatline nearest-division --incidents ... --stations ... --out hdfs:///out/q42b
+    python -m beatline nearest-division --incidents ... --stations ... --out hdfs:///results/nearest_division
 
 The result is shown (``--show`` rows) or written as Parquet (``--out``).
 ``convert`` stores the incident CSV files once as Parquet partitioned by year;
