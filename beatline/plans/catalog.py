@@ -184,13 +184,17 @@ def extreme_areas(spark, sf_dir):
     return Q.extreme_areas(S.incomes(spark, sf_dir))
 
 
-def _labels_in_pandas(codes):
-    return codes.map(DESCENT_LABELS).fillna("Unknown")
+def custom_row_function(spark, sf_dir):
+    """The user hook with a pandas function (the label map, as a user would write it)."""
+    labels = dict(DESCENT_LABELS)
 
+    # Defined here so it travels to the Python workers by value: they need not
+    # be able to import this package.
+    def labels_in_pandas(codes):
+        return codes.map(labels).fillna("Unknown")
 
-def custom_row_function(spark, sf_dir):
     inc = S.incidents(spark, sf_dir).select("incident_id", "category")
-    return with_udf(inc, "label", _labels_in_pandas, "string", "category")
+    return with_udf(inc, "label", labels_in_pandas, "string", "category")
 
 
 QUERIES: dict[str, Query] = {
