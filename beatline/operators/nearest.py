@@ -8,7 +8,7 @@ as one expression per station that whole-stage codegen compiles: facts are
 neither shuffled nor multiplied by the number of stations.
 
 Station sets larger than the bound are split into blocks by a hash of the
-station key, each block's size is checked the same way, and the per-row best
+whole station row, each block's size is checked the same way, and the per-row best
 of the blocks is combined with ``least``. The result is exact in both cases.
 """
 
@@ -91,18 +91,25 @@ def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
     return stations.agg(F.sort_array(F.collect_list(entries)).alias("arr"))
 
 
-def _blocks(stations: DataFrame, key: str, max_rows: int) -> list[tuple[DataFrame, int]]:
+def _blocks(stations: DataFrame, key: str, keep: list[str],
+            max_rows: int) -> list[tuple[DataFrame, int]]:
+    """The station table as one block, or as hash blocks of bounded size.
+
+    The hash covers the whole station (key, position, kept columns), so many
+    stations sharing one key still spread over the blocks; only identical
+    duplicate rows could overfill a block, and that is reported.
+    """
     n = count_upto(stations, max_rows)
     if n <= max_rows:
         return [(stations, n)]
     nblocks = 2 * math.ceil(stations.count() / max_rows)
-    b = F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks))
+    b = F.pmod(F.xxhash64(F.col(key), F.col("y"), F.col("x"), *[F.col(k) for k in keep]), F.lit(nblocks))
     out = []
     for i in range(nblocks):
         blk = stations.filter(b == i)
         size = count_upto(blk, 2 * max_rows)
         if size > 2 * max_rows:
-            raise ValueError("station key too skewed to split into bounded blocks")
+            raise ValueError("too many identical station rows to split into bounded blocks")
         out.append((blk, size))
     return out
 
@@ -117,7 +124,7 @@ def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat",
     give no distance; with no distance at all ``out`` is NULL.
     """
     keep_l = list(keep)
-    blocks = _blocks(stations, key, max_rows)
+    blocks = _blocks(stations, key, keep_l, max_rows)
     coslat = "`__coslat`"
     # Each block's array becomes its own column first: a subquery may not sit
     # inside the lambda of a higher-order function.
