@@ -170,3 +170,17 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_nearest_blocks_with_one_shared_key(spark):
+    """A third (here all) of the stations share one key: the hash blocks still
+    stay bounded and the answer is exact."""
+    rnd = random.Random(11)
+    st_rows = [(1, f"D{i:02d}", 33.5 + rnd.randrange(64) / 64, -118.75 + rnd.randrange(48) / 64) for i in range(60)]
+    f_rows = [(i, 33.5 + rnd.randrange(64) / 64, -118.75 + rnd.randrange(48) / 64) for i in range(50)]
+    got = {r.id: (r.n.dist, r.n.division) for r in
+           nearest_station(spark.createDataFrame(f_rows, "id int, lat double, lon double"),
+                           _stations(spark, st_rows), out="n", max_rows=10).collect()}
+    for i, la, lo in f_rows:
+        d, div = min((_hav(la, lo, y, x), dv) for _, dv, y, x in st_rows)
+        assert got[i][1] == div and math.isclose(got[i][0], d, rel_tol=1e-12)
