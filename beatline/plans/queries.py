@@ -17,7 +17,7 @@ from beatline.functions import (
     day_segment, field, first_list_item, haversine_km, label_of, parse_money,
     thousands, to_int,
 )
-from beatline.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim, with_strategy
+from beatline.operators.joins import DEFAULT_BROADCAST_ROWS, fits, join_dim, with_strategy
 from beatline.operators.nearest import nearest_distance, nearest_station
 from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_and_count, not_null,
@@ -141,8 +141,13 @@ def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, inc
     else:
         geo_sel = join_dim(geo, selected, "zip", strategy=strategy, hint_side=hint_side)
     facts = not_null(in_year(incidents, "occurred_at", year), "category").select("lat", "lon", "category")
-    matched = join_dim(facts, geo_sel.select("lat", "lon"), ["lat", "lon"], strategy=strategy,
-                       max_rows=max_rows, hint_side=hint_side)
+    geo_sel = geo_sel.select("lat", "lon")
+    if strategy in (None, "auto", "broadcast") and fits(geo, max_rows):
+        # the whole geocode table is within the bound, so its subset is too
+        matched = facts.join(F.broadcast(geo_sel), ["lat", "lon"])
+    else:
+        matched = join_dim(facts, geo_sel, ["lat", "lon"], strategy=strategy,
+                           max_rows=max_rows, hint_side=hint_side)
     counted = count_by(matched, [label_of("category").alias("category")])
     return sort_by_count(counted, "crime_count", "category")
 

@@ -20,13 +20,11 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from beatline.functions.time import pattern_text
 from beatline.schemas import (
     INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, STATION_HEADER,
 )
-from beatline.functions.text import csv_line
 from beatline.schemas import GEOCODE_SCHEMA, INCOME_SCHEMA
 from beatline.sources.csv import parse_csv_lines, read_incidents_csv, read_stations_csv
 from beatline.sources.materialize import materialize
@@ -194,8 +192,9 @@ def _dim_csv(spark: SparkSession, sf_dir: str, name: str, build, header: tuple[s
         build(spark, sf_dir).toDF(*header), p, 1))
 
 
-# Readers of the write-once inputs, per session: listing the files and reading
-# Parquet footers again for every question would only repeat the same answer.
+# DataFrames of the inputs, per session: listing the files, reading Parquet
+# footers and analysing the derivations again for every question would only
+# repeat the same answer (the data is still read when a question runs).
 _READERS: dict[tuple[int, str], DataFrame] = {}
 
 
@@ -219,23 +218,22 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _as_csv_rows(df: DataFrame, schema) -> DataFrame:
-    """``df`` rendered as CSV text lines (strings quoted when they hold a comma)
-    and parsed back with the CSV parser under ``schema``."""
-    quoted = tuple(f.dataType == StringType() for f in schema)
-    lines = df.select(csv_line(*[F.col(f.name) for f in schema], quoted=quoted).alias("value"))
+    """``df`` written as CSV text lines (``to_csv``: fields with a comma are
+    quoted) and parsed back with the CSV parser under ``schema``."""
+    lines = df.select(F.to_csv(F.struct(*[F.col(f.name) for f in schema])).alias("value"))
     return parse_csv_lines(lines, schema)
 
 
 def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incomes by ZIP, derived from the whole customer table on every call and
-    passed through the CSV parser (quoted fields with commas, money text)."""
-    return _as_csv_rows(build_incomes(spark, sf_dir), INCOME_SCHEMA)
+    """Incomes by ZIP, derived from the whole customer table when the question
+    runs and passed through the CSV parser (quoted fields, money text)."""
+    return _reader(spark, f"{sf_dir}|incomes", lambda _: _as_csv_rows(build_incomes(spark, sf_dir), INCOME_SCHEMA))
 
 
 def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coordinate → ZIP text, derived from the whole customer table on every
-    call and passed through the CSV parser (``LAT,LON,ZIPcode``)."""
-    return _as_csv_rows(build_geocodes(spark, sf_dir), GEOCODE_SCHEMA)
+    """Coordinate → ZIP text, derived from the whole customer table when the
+    question runs and passed through the CSV parser (``LAT,LON,ZIPcode``)."""
+    return _reader(spark, f"{sf_dir}|geocodes", lambda _: _as_csv_rows(build_geocodes(spark, sf_dir), GEOCODE_SCHEMA))
 
 
 def incidents_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
