@@ -80,9 +80,9 @@ def _unrolled(df: DataFrame, arr: str, lo: int, hi: int, lat: str, lon: str, cos
                    f"raise_error('station table changed during the query') ELSE {least_d} END")
     idx = "CASE " + " ".join(f"WHEN `{best}_d{i}` = `{m}` THEN {i}" for i in entry) + " END"
     out = _struct_sql(f"`{m}`", f"get(`{arr}`, `{i_col}`)", keep)
+    # the working columns are left for the caller's final select to prune
     return (df.withColumns(a).withColumns(d).withColumn(m, F.expr(least_d))
-            .withColumn(i_col, F.expr(idx)).withColumn(best, F.expr(out))
-            .drop(*a, *d, m, i_col))
+            .withColumn(i_col, F.expr(idx)).withColumn(best, F.expr(out)))
 
 
 def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
@@ -144,12 +144,12 @@ def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat",
                 df = _unrolled(df, name, lo, min(lo + UNROLL_MAX, size), f"`{lat}`", f"`{lon}`",
                                coslat, keep_l, c, total=size if j == 0 else None)
             best_c = F.col(chunks[0]) if len(chunks) == 1 else F.least(*[F.col(c) for c in chunks])
-            df = df.withColumn(col, best_c).drop(*chunks)
+            df = df.withColumn(col, best_c)
         bests.append(col)
     best = F.col(bests[0]) if len(bests) == 1 else F.least(*[F.col(c) for c in bests])
     df = df.withColumn("__best", best)
     found = F.when(F.col("__best.dist") < F.lit(float("inf")), F.col("__best"))
-    return df.withColumn(out, found).drop("__coslat", *arrs, *bests, "__best")
+    return df.select(*[F.col(f"`{c}`") for c in facts.columns if c != out], found.alias(out))
 
 
 def nearest_distance(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",
