@@ -44,3 +44,39 @@ def test_labels_rule(spark, codes):
     df = spark.createDataFrame([(c,) for c in codes], "c string")
     got = [r[0] for r in df.select(label_of("c")).collect()]
     assert got == [DESCENT_LABELS.get(c, "Unknown") for c in codes]
+
+
+coord = st.integers(0, 63)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(coord, coord), min_size=1, max_size=30),
+       st.lists(st.tuples(st.one_of(st.none(), coord), coord), min_size=1, max_size=30))
+def test_nearest_equals_brute_force(spark, stations, points):
+    """Nearest station on a 1/64° grid (many exact ties) equals a Python scan
+    in key order with a strict '<', i.e. the lowest key wins a tie."""
+    import math
+    from beatline.functions.geo import EARTH_RADIUS_KM
+    from beatline.operators import nearest_station
+
+    def hav(a1, o1, a2, o2):
+        hl, ho = math.radians(a2 - a1) / 2, math.radians(o2 - o1) / 2
+        a = (math.sin(hl) * math.sin(hl)
+             + math.cos(math.radians(a1)) * math.cos(math.radians(a2)) * math.sin(ho) * math.sin(ho))
+        return EARTH_RADIUS_KM * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+
+    st_rows = [(i + 1, f"D{i}", 34 + y / 64, -118 + x / 64) for i, (y, x) in enumerate(stations)]
+    f_rows = [(i, None if y is None else 34 + y / 64, -118 + x / 64) for i, (y, x) in enumerate(points)]
+    got = {r.id: r.n for r in nearest_station(
+        spark.createDataFrame(f_rows, "id int, lat double, lon double"),
+        spark.createDataFrame(st_rows, "fid int, division string, y double, x double"), out="n").collect()}
+    for i, la, lo in f_rows:
+        if la is None:
+            assert got[i] is None
+            continue
+        best = None
+        for fid, div, y, x in st_rows:
+            d = hav(la, lo, y, x)
+            if best is None or d < best[0]:
+                best = (d, fid)
+        assert got[i].key == best[1] and math.isclose(got[i].dist, best[0], rel_tol=1e-12, abs_tol=1e-9)
