@@ -165,7 +165,12 @@ def with_area_distance(incidents: DataFrame, stations: DataFrame, default_point=
                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``distance`` (km, double) from each incident to the station of its area;
     an area without a station measures to ``default_point`` (lat, lon)."""
-    pts = with_strategy(_station_points(stations), strategy, max_rows)
+    pts = _station_points(stations)
+    if strategy in (None, "auto", "broadcast") and fits(stations, max_rows):
+        # one row per precinct is no more than the station rows counted here
+        pts = F.broadcast(pts)
+    else:
+        pts = with_strategy(pts, strategy, max_rows)
     j = incidents.join(pts, incidents["area_id"] == pts["prec"], "left")
     lat0, lon0 = default_point
     return j.withColumn("distance", haversine_km(
