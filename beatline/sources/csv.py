@@ -106,6 +106,11 @@ def write_incidents_parquet(incidents: DataFrame, path: str, mode: str = "overwr
     files are few and their min/max statistics stay narrow.
     """
     from beatline.operators.relational import YEAR_PARTITION
-    (incidents.withColumn(YEAR_PARTITION, F.year("occurred_at"))
-     .repartitionByRange("occurred_at").sortWithinPartitions("occurred_at")
-     .write.mode(mode).partitionBy(YEAR_PARTITION).parquet(path))
+    (year_partitioned(incidents).write.mode(mode).partitionBy(YEAR_PARTITION).parquet(path))
+
+
+def year_partitioned(incidents: DataFrame) -> DataFrame:
+    """Incidents with ``occurred_year``, range-partitioned and sorted by date."""
+    from beatline.operators.relational import YEAR_PARTITION
+    return (incidents.withColumn(YEAR_PARTITION, F.year("occurred_at"))
+            .repartitionByRange("occurred_at").sortWithinPartitions("occurred_at"))

@@ -39,3 +39,11 @@ def test_convert_then_query_parquet(spark, tmp_path):
     assert sorted(r.incident_id for r in sel.collect()) == [1, 2]
     df = main(["top-months", "--incidents-format", "parquet", "--incidents", pq, "--show", "3"], spark)
     assert _rows(df) == _rows(Q.top_months_by_count(read_incidents_csv(spark, [p1, p2])))
+
+
+def test_conversion_never_hashes_a_year_into_one_task(spark, tmp_path):
+    from beatline.sources.csv import year_partitioned
+    p1, p2, _, _ = _two_periods(tmp_path)
+    plan = year_partitioned(read_incidents_csv(spark, [p1, p2]))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(occurred_at" in plan.lower()
+    assert "hashpartitioning(occurred_year" not in plan.lower()
