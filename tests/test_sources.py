@@ -107,3 +107,17 @@ def test_lines_equal_typed_counts_without_commas(spark, tmp_path):
     a = {r.day_segment: r.crime_count for r in Q.day_segment_counts_lines(read_lines(spark, p1), h1).collect()}
     b = {r.day_segment: r.crime_count for r in Q.day_segment_counts(read_incidents_csv(spark, p1)).collect()}
     assert a == b == {"Morning": 1, "Afternoon": 1, "Night": 1, "Undefined": 1}
+
+
+def test_first_line_of_empty_file_and_positional_union(spark, tmp_path):
+    empty = tmp_path / "empty.txt"
+    empty.write_text("")
+    assert first_line(spark, str(empty)) is None
+    a = spark.createDataFrame([(1, "x")], "area_id int, area_name string")
+    b = spark.createDataFrame([("y", 2)], "area_name string, area_id int")
+    by_name = sorted(tuple(r) for r in union_periods(a, b).collect())
+    assert by_name == [(1, "x"), (2, "y")]
+    c = spark.createDataFrame([(3, "z")], "AREA int, name string")
+    positional = union_periods(a, c, by_name=False)
+    assert positional.columns == ["area_id", "area_name"]
+    assert sorted(tuple(r) for r in positional.collect()) == [(1, "x"), (3, "z")]
