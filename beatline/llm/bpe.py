@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import pre_tokenizers
 
-from beatline.llm.chunks import Chunks
-from beatline.llm.common import ship
+from beatline.llm.chunks import Chunks, Memory
+from beatline.llm.common import add_arrays
 
 #: The pre-splitting of byte-level vocabularies (a fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words that a worker remembers before it starts anew.
-PIECES = 300_000
+#: Words of a generation that a worker remembers, and the bytes up to which a plain list serves merging.
+PIECES, SHORT = 100_000, 48
 NEVER = np.int64(1) << 40
 
 
@@ -46,7 +46,7 @@ def byte_letters() -> dict[str, int]:
 class Bpe:
     """Tables of one vocabulary file and the words seen so far."""
 
-    def __init__(self, path: str, most: int = PIECES):
+    def __init__(self, path: str, pieces: int = PIECES):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, letters = spec["model"], byte_letters()
@@ -82,7 +82,11 @@ class Bpe:
             whole[m] = ok and whole[a] and whole[b]
         self.token = {b: i for i, b in enumerate(self.bytes)
                       if b and whole[i] and i not in self.special.values()}
-        self.longest = max(map(len, self.token))
+        #: The longest token that starts with these three bytes; shorter ones have two at most.
+        self.reach: dict[bytes, int] = {}
+        for b in self.token:
+            if len(b) > 2:
+                self.reach[b[:3]] = max(len(b), self.reach.get(b[:3], 0))
         self.split = regex.compile(SPLIT).findall
         # Letters and digits of the regex library that the tokenizer's older Unicode tables lack.
         recent = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(
@@ -97,8 +101,9 @@ class Bpe:
         self.exact_split = regex.compile(
             SPLIT.replace(r"[^\s\p{L}\p{N}]", rf"(?:{odd}|[^\s\p{{L}}\p{{N}}])").replace(
                 r"\p{L}+", rf"(?:(?!{odd})\p{{L}})+").replace(r"\p{N}+", rf"(?:(?!{odd})\p{{N}})+")).findall
-        self.pieces: dict[str, bytes] = {}
-        self.most, self.chunks = most, Chunks(self.code)
+        self.pieces = Memory(lambda words: [
+            pack(f"<{len(ids)}I", *ids) for ids in self.encode_words([w.encode() for w in words])], pieces)
+        self.chunks = Chunks(self.code)
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a * self.size + b
@@ -131,9 +136,9 @@ class Bpe:
         return ok
 
     def propose(self, word: bytes) -> list[int]:
-        out, i, n, token = [], 0, len(word), self.token
+        out, i, n, token, reach = [], 0, len(word), self.token, self.reach.get
         while i < n:
-            j = min(n, i + self.longest)
+            j = min(n, i + reach(word[i:i + 3], 2))
             while (t := token.get(word[i:j])) is None:
                 j -= 1
             out.append(t)
@@ -141,9 +146,24 @@ class Bpe:
         return out
 
     def merge(self, word: bytes) -> list[int]:
-        """Merges of lowest rank first, then leftmost, on a linked list with a heap."""
+        """Merges of lowest rank first, then leftmost; on a linked list with a heap if long."""
         ids = [self.byte_id[c] for c in word]
         n = len(ids)
+        if n <= SHORT:
+            rule, none = self.rule.get, (int(NEVER), -1)
+            ways = [rule(p, none) for p in zip(ids, ids[1:])]
+            while ways:
+                best = min(ways)
+                if best is none:
+                    break
+                i = ways.index(best)
+                ids[i:i + 2] = [best[1]]
+                del ways[i]
+                if i < len(ways):
+                    ways[i] = rule((best[1], ids[i + 1]), none)
+                if i:
+                    ways[i - 1] = rule((ids[i - 1], best[1]), none)
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*p, i, ids[i], ids[i + 1]) for i in range(n - 1) if (p := self.rule.get((ids[i], ids[i + 1])))]
         heapq.heapify(heap)
@@ -178,14 +198,7 @@ class Bpe:
     def code(self, strings: list[str]) -> list[bytes]:
         """The ids of each string, which holds no special token, from the pieces it splits into."""
         split = [self.split(t) if t.isascii() or not self.odd(t) else self.exact_split(t) for t in strings]
-        seen = set().union(*split)
-        new = seen.difference(self.pieces)
-        if len(self.pieces) + len(new) > self.most:
-            self.pieces.clear()
-            new = seen
-        for w, ids in zip(new, self.encode_words([w.encode() for w in new])):
-            self.pieces[w] = np.array(ids, "<u4").tobytes()
-        get = self.pieces.__getitem__
+        get = self.pieces.learn(set().union(*split))
         return [b"".join(map(get, words)) for words in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -218,52 +231,51 @@ def loaded(path: str) -> Bpe:
     return _LOADED[path]
 
 
-def _others(df: DataFrame, out: str) -> list[T.StructField]:
-    return [f for f in df.schema.fields if f.name.lower() != out.lower()]
+IDS = T.ArrayType(T.IntegerType(), False)
+
+
+def _lists(coded: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, coded)], dtype=np.int64) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+
+
+def _texts(bpe: Bpe, ids: list[np.ndarray]) -> pa.Array:
+    return pa.array(list(map(bpe.decode, ids)), pa.string())
 
 
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds ``out``: the ids of the column ``text`` in the vocabulary file ``path`` (which every
     machine must have there). Other columns stay; no shuffle."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    ship(df.sparkSession)
-    keep = _others(df, out)
-    schema = T.StructType([*keep, T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         bpe = loaded(path)
-        for b in batches:
-            coded = bpe.encode([t or "" for t in b.column(len(keep)).to_pylist()])
-            ends = np.cumsum([0, *map(len, coded)], dtype=np.int64) // 4
-            flat = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
-            old = [b.column(i).cast(arrow.field(i).type) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*old, lists.cast(arrow.field(len(keep)).type)], schema=arrow)
+        return lambda texts: [_lists(bpe.encode([t or "" for t in texts.to_pylist()]))]
 
-    return df.select(*[F.col(f"`{f.name}`") for f in keep], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    return add_arrays(df, [text], T.StructType([T.StructField(out, IDS)]), make)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``: the text of the ids, special tokens included; null ids count as none."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+    def make():
+        bpe = loaded(path)
+        return lambda col: [_texts(bpe, [
+            np.array([i for i in v or () if i is not None], np.int64) for v in col.to_pylist()])]
+
+    return add_arrays(df, [ids], T.StructType([T.StructField(out, T.StringType())]), make)
 
-    ship(df.sparkSession)
-    keep = _others(df, out)
-    schema = T.StructType([*keep, T.StructField(out, T.StringType(), False)])
-    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Adds the ids and the text that they decode to, in one pass over the table."""
+    def make():
         bpe = loaded(path)
-        for b in batches:
-            col = b.column(len(keep))
-            texts = [bpe.decode(np.asarray(v.values.drop_null() if v.is_valid else [], np.int64))
-                     for v in col]
-            old = [b.column(i).cast(arrow.field(i).type) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*old, pa.array(texts, pa.string())], schema=arrow)
-
-    return df.select(*[F.col(f"`{f.name}`") for f in keep], F.col(f"`{ids}`").alias("__ids")).mapInArrow(run, schema)
+
+        def both(texts: pa.Array) -> list[pa.Array]:
+            coded = bpe.encode([t or "" for t in texts.to_pylist()])
+            return [_lists(coded), _texts(bpe, [np.frombuffer(c, "<u4") for c in coded])]
+
+        return both
+
+    adds = T.StructType([T.StructField(ids, IDS), T.StructField(out, T.StringType())])
+    return add_arrays(df, [text], adds, make)
 
 
 def digests(df: DataFrame) -> DataFrame:

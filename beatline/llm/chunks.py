@@ -9,16 +9,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-#: Chunks that a Python worker remembers before it starts anew, and characters of a slice of texts.
-MEMO, SLICE = 600_000, 4_000_000
+#: Entries of a memory's generation, and characters of a slice of texts.
+MEMO, SLICE = 250_000, 1_000_000
+
+
+class Memory:
+    """Results by string, in two generations: when the new one is full it replaces the old
+    one, so strings in use stay and memory is bounded."""
+
+    def __init__(self, make: Callable[[list[str]], list], most: int = MEMO):
+        self.make, self.most = make, most
+        self.new: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+
+    def learn(self, strings: set[str]) -> Callable[[str], object]:
+        """Makes what is missing and returns the lookup, good until the next call."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        missing = strings.difference(self.new)
+        if missing and self.old:
+            for s in missing & self.old.keys():
+                self.new[s] = self.old[s]
+            missing.difference_update(self.old)
+        if missing:
+            todo = list(missing)
+            self.new.update(zip(todo, self.make(todo)))
+        return self.new.__getitem__
 
 
 class Chunks:
     """``coder`` maps strings to their ids as bytes, each string on its own."""
 
     def __init__(self, coder: Callable[[list[str]], list[bytes]], most: int = MEMO):
-        self.coder, self.most = coder, most
-        self.memo: dict[str, bytes | None] = {}
+        self.coder, self.memory = coder, Memory(self._make, most)
+
+    def _make(self, chunks: list[str]) -> list[bytes | None]:
+        """A chunk with a leading newline stands for itself, any other for itself after a space;
+        None if white space would meet white space."""
+        odd = {c for c in chunks if not c or c[-1].isspace()}
+        plain = [c for c in chunks if c not in odd] if odd else chunks
+        coded = self.coder([c if c[0] == "\n" else " " + c for c in plain])
+        if not odd:
+            return coded
+        rest = iter(coded)
+        return [None if c in odd else next(rest) for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -33,34 +67,18 @@ class Chunks:
         return out
 
     def _slice(self, texts: list[str]) -> list[bytes]:
-        # A chunk with a leading newline stands for itself, any other for itself after a space.
         split = [t.replace("\n", " \n").split(" ") for t in texts]
-        first = [c[0] for c in split]
-        rest = [c[1:] for c in split]
-        seen = set().union(*rest)
-        new = seen.difference(self.memo)
-        if len(self.memo) + len(new) > self.most:
-            self.memo.clear()
-            new = seen
-        plain = []
-        for c in new:
-            if not c or c[-1].isspace():
-                self.memo[c] = None
-            else:
-                plain.append(c)
-        self.memo.update(zip(plain, self.coder([c if c[0] == "\n" else " " + c for c in plain])))
-        whole = [k for k, f in enumerate(first) if f and f[-1].isspace() and rest[k]]
-        heads = self.coder(first)
-        get = self.memo.__getitem__
-        out = []
-        for k, (head, chunks) in enumerate(zip(heads, rest)):
+        first = [c.pop(0) for c in split]
+        get = self.memory.learn(set().union(*split))
+        out: list[bytes] = []
+        whole = []
+        for k, (head, chunks) in enumerate(zip(self.coder(first), split)):
             ids = list(map(get, chunks))
-            if None in ids:
+            if None in ids or chunks and first[k] and first[k][-1].isspace():
                 whole.append(k)
                 out.append(b"")
             else:
                 out.append(head + b"".join(ids))
-        again = sorted(set(whole))
-        for k, ids in zip(again, self.coder([texts[k] for k in again])):
+        for k, ids in zip(whole, self.coder([texts[k] for k in whole])):
             out[k] = ids
         return out

@@ -68,26 +68,45 @@ def fold(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def add_columns(df: DataFrame, reads: list[str], adds: T.StructType,
-                make: Callable[[], Callable[..., Iterable]]) -> DataFrame:
+def add_arrays(df: DataFrame, reads: list[str], adds: T.StructType,
+               make: Callable[[], Callable[..., list[pa.Array]]], rows: int = 256) -> DataFrame:
     """``df`` plus the columns ``adds`` (which replace columns of the same name).
 
-    ``make()`` runs once a task and returns the function that maps lists of the values of
-    ``reads`` (one list per column, one batch at a time) to a row of the new columns each."""
+    ``make()`` runs once a task and returns the function that maps the columns ``reads``, at
+    most ``rows`` rows of them at a time, to the new columns."""
     ship(df.sparkSession)
     keep = [f for f in df.schema.fields if f.name.lower() not in {a.lower() for a in adds.names}]
     source = df.select(*[F.col(f"`{f.name}`") for f in keep],
                        *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(reads)])
     schema = T.StructType([*keep, *adds.fields])
     arrow = to_arrow_schema(schema)
-    n_keep, n_in = len(keep), len(reads)
+    n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
-        for b in batches:
-            rows = list(each(*(b.column(n_keep + i).to_pylist() for i in range(n_in))))
-            new = [pa.array([r[k] for r in rows], arrow.field(n_keep + k).type) for k in range(len(adds.fields))]
-            old = [b.column(i).cast(arrow.field(i).type) for i in range(n_keep)]
-            yield pa.RecordBatch.from_arrays([*old, *new], schema=arrow)
+        for batch in batches:
+            for i in range(0, batch.num_rows, rows):
+                b = batch.slice(i, rows)
+                new = each(*b.columns[n:])
+                yield pa.RecordBatch.from_arrays(
+                    [c.cast(f.type) for c, f in zip([*b.columns[:n], *new], arrow)], schema=arrow)
 
     return source.mapInArrow(run, schema)
+
+
+def add_columns(df: DataFrame, reads: list[str], adds: T.StructType,
+                make: Callable[[], Callable[..., Iterable]]) -> DataFrame:
+    """As :func:`add_arrays`, where the function maps lists of values to a row of the new
+    columns for each."""
+    types = [f.type for f in to_arrow_schema(adds)]
+
+    def make_arrays() -> Callable[..., list[pa.Array]]:
+        each = make()
+
+        def arrays(*columns: pa.Array) -> list[pa.Array]:
+            made = list(each(*(c.to_pylist() for c in columns)))
+            return [pa.array([r[k] for r in made], t) for k, t in enumerate(types)]
+
+        return arrays
+
+    return add_arrays(df, reads, adds, make_arrays)

@@ -21,8 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(ids, path))
+    return bpe.digests(bpe.encode_decode(docs, path))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
