@@ -16,6 +16,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
@@ -34,6 +35,8 @@ from beatline.llm.chunks import Chunks
 from beatline.llm.common import ship
 
 FRAME_IDS = 1 << 18
+#: Strings coded in one call of the library, and chunks of a generation that a worker remembers.
+JOINT, MEMO = 1024, 400_000
 #: Fixed values of the seekable zstandard layout: skippable frames and the table's end mark.
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
@@ -42,17 +45,36 @@ _LOADED: dict[str, Chunks] = {}
 
 
 def coder(path: str) -> Chunks:
-    """The library's tokenizer, read once in each Python worker, with a memory of chunks."""
-    if path not in _LOADED:
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-
-        def code(strings: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes()
-                    for e in tok.encode_batch_fast(strings, add_special_tokens=False)]
-
-        _LOADED[path] = Chunks(code)
+    """The library's tokenizer, read once in each Python worker, with a memory of chunks.
+
+    Strings are coded many at a time, joined by a special token, at which the library cuts
+    a text before all else; a string that holds that token is coded alone."""
+    if path in _LOADED:
+        return _LOADED[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    mark, mark_id = next(((t.content, i) for i, t in tok.get_added_tokens_decoder().items()
+                          if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)), (None, -1))
+
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def code(strings: list[str]) -> list[bytes]:
+        alone = {i for i, s in enumerate(strings) if mark is None or mark in s}
+        joint = [s for i, s in enumerate(strings) if i not in alone] if alone else strings
+        out: list[bytes] = []
+        for i in range(0, len(joint), JOINT):
+            ids = ids_of(mark.join(joint[i:i + JOINT]))
+            data, cuts = ids.tobytes(), 4 * np.flatnonzero(ids == mark_id)
+            out += [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
+        if not alone:
+            return out
+        rest = iter(out)
+        return [ids_of(s).tobytes() if i in alone else next(rest) for i, s in enumerate(strings)]
+
+    _LOADED[path] = Chunks(code, MEMO)
     return _LOADED[path]
 
 
