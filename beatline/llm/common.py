@@ -18,15 +18,15 @@ import beatline
 from beatline.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Makes this package importable in the Python workers, as ``--py-files`` does.
 
-    Also bounds the rows of an Arrow batch, so that a batch of very long texts stays small."""
+    Also bounds the bytes of an Arrow batch, so that a batch of very long texts stays small."""
     sc = spark.sparkContext
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(beatline.__file__))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.llm import bpe, mixing, pii, quality, tokenfile, toxicity
+from beatline.llm import bpe, langid, minhash, mixing, pii, quality, tokenfile, toxicity
 from beatline.llm.common import fold, shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -50,6 +50,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "quality_probability")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    named = langid.identify(docs.select("doc_id", "text"), docs.where(fold("doc_id", 4) != 2))
+    return named.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=80)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.digests(pii.find(docs))
@@ -61,6 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
+    "op8_language": op8_language,
+    "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
 }
 
