@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.llm import bpe, langid, minhash, mixing, pii, quality, tokenfile, toxicity
+from beatline.llm import bpe, langid, minhash, mixing, pii, quality, tokenfile, toxicity, vecjoin
 from beatline.llm.common import fold, shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,6 +31,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecjoin.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -68,6 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_vectors": op3_vectors,
     "op4_mixing": op4_mixing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
