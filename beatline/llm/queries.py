@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.llm import bpe, langid, minhash, mixing, pii, quality, tokenfile, toxicity, vecjoin
+import corpus_pipeline
+from beatline.llm import bpe, langid, lm, minhash, mixing, pii, quality, tokenfile, toxicity, vecjoin
 from beatline.llm.common import fold, shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -39,6 +40,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, public_tokenizers.path(VOCABULARY), fold("doc_id", 10) == 0)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     files = tokenfile.write(docs, shared_folder(spark, "token-files"), public_tokenizers.path(VOCABULARY))
@@ -74,11 +80,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_vectors": op3_vectors,
     "op4_mixing": op4_mixing,
+    "op5_lm": op5_lm,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_minhash": op9_minhash,
     "op10_pii": op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {"op4_mixing": mixing.SQL}

@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -197,16 +198,32 @@ FEATURES = T.StructType([T.StructField("__votes", T.LongType()),
                          T.StructField("__words", T.ArrayType(T.IntegerType()))])
 
 
-def score(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` (with doc_id) without its texts, with score and predicted.
+@dataclass
+class Classifier:
+    """A linear classifier over votes and vocabulary entries."""
 
-    ``train_on`` holds the documents (doc_id, text) whose labels may be learned from."""
+    voters: list[str]
+    vocabulary: list[str]
+    weights: list[float]
+    constant: float
+
+    def each(self) -> Voters:
+        return Voters(self.voters, self.vocabulary)
+
+    def odds(self, votes: int, words: list[int]) -> float:
+        fired = sum(w for i, w in enumerate(self.weights[:VOTERS]) if votes >> i & 1)
+        return self.constant + fired + sum(self.weights[VOTERS + k] for k in words)
+
+
+def fit(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text") -> tuple[Classifier, DataFrame]:
+    """The classifier, and ``df`` without its texts with their votes and entries (FEATURES)."""
     ship(df.sparkSession)
     labelled = cut(sample(train_on.select("doc_id", "text"), labels), "toxicity-sample")
     voters, vocabulary = lexicon_of(labelled)
+    made = Classifier(voters, vocabulary, [0.0] * (VOTERS + len(vocabulary)), -2.0)
 
     def make():
-        each = Voters(voters, vocabulary)
+        each = made.each()
         return lambda texts: map(each, texts)
 
     featured = cut(add_columns(df, [text], FEATURES, make).drop(text), "toxicity")
@@ -216,28 +233,48 @@ def score(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "te
     for r in rows:
         known.setdefault(r["__votes"], [0.0, 0.0])[r["toxic"]] += 1
     patterns = sorted({r["__votes"] for r in counted} | known.keys())
+    if not patterns:
+        return made, featured
     at = {p: i for i, p in enumerate(patterns)}
     counts, labelled_counts = np.zeros(len(patterns)), np.zeros((len(patterns), 2))
     for r in counted:
         counts[at[r["__votes"]]] = r["n"]
     for p, c in known.items():
         labelled_counts[at[p]] = c
-    weights, constant = np.zeros(VOTERS + len(vocabulary)), -2.0
-    if patterns:
-        votes = bits(np.array(patterns, np.int64))
-        posterior = LabelModel(votes, np.maximum(counts, labelled_counts.sum(axis=1)), labelled_counts).posterior(votes)
-        if rows:
-            inputs = np.zeros((len(rows), VOTERS + len(vocabulary)), np.float32)
-            for i, r in enumerate(rows):
-                inputs[i, :VOTERS] = votes[at[r["__votes"]]]
-                inputs[i, [VOTERS + k for k in r["__words"]]] = 1
-            targets = posterior[[at[r["__votes"]] for r in rows]]
-        else:
-            inputs, targets = np.pad(votes, ((0, 0), (0, len(vocabulary)))), posterior
-        weights, constant = train(inputs, targets)
-    table = F.array(*[F.lit(float(w)) for w in weights])
-    fired = F.aggregate(F.sequence(F.lit(0), F.lit(VOTERS - 1)), F.lit(constant), lambda a, i: a + F.when(
+    votes = bits(np.array(patterns, np.int64))
+    posterior = LabelModel(votes, np.maximum(counts, labelled_counts.sum(axis=1)), labelled_counts).posterior(votes)
+    if rows:
+        inputs = np.zeros((len(rows), VOTERS + len(vocabulary)), np.float32)
+        for i, r in enumerate(rows):
+            inputs[i, :VOTERS] = votes[at[r["__votes"]]]
+            inputs[i, [VOTERS + k for k in r["__words"]]] = 1
+        targets = posterior[[at[r["__votes"]] for r in rows]]
+    else:
+        inputs, targets = np.pad(votes, ((0, 0), (0, len(vocabulary)))), posterior
+    weights, constant = train(inputs, targets)
+    return Classifier(voters, vocabulary, weights.tolist(), constant), featured
+
+
+def score(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` (with doc_id) without its texts, with score and predicted.
+
+    ``train_on`` holds the documents (doc_id, text) whose labels may be learned from."""
+    made, featured = fit(df, labels, train_on, text)
+    table = F.array(*[F.lit(w) for w in made.weights])
+    fired = F.aggregate(F.sequence(F.lit(0), F.lit(VOTERS - 1)), F.lit(made.constant), lambda a, i: a + F.when(
         F.getbit("__votes", i) == 1, F.get(table, i)).otherwise(0.0))
     total = F.aggregate("__words", fired, lambda a, k: a + F.get(table, k + VOTERS))
     return featured.withColumn("score", 1 / (1 + F.exp(-total))).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)).drop("__votes", "__words")
+
+
+def reject(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not predicted toxic, in a second pass over their texts."""
+    made, _ = fit(df.select("doc_id", text), labels, train_on, text)
+
+    def make():
+        each = made.each()
+        return lambda texts: ((made.odds(*each(t)) >= 0,) for t in texts)
+
+    flagged = add_columns(df, [text], T.StructType([T.StructField("__toxic", T.BooleanType())]), make)
+    return flagged.where("NOT __toxic").select(*[F.col(f"`{c}`") for c in df.columns])
