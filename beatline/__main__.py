@@ -42,12 +42,12 @@ def _build(args, spark: SparkSession) -> DataFrame:
         return Q.day_segment_counts(inc())
     if q == "day-segments-lines":
         lines = read_lines(spark, args.incidents)
-        header = args.header or first_line(spark, args.incidents[0])
+        header = args.header or first_line(spark, args.incidents)
         return Q.day_segment_counts_lines(lines, header)
     if q == "extreme-areas":
         return Q.category_counts_extreme_areas(
             inc(), read_geocodes_csv(spark, args.geocodes), read_incomes_csv(spark, args.incomes),
-            args.year, strategy=args.strategy, drop_nulls=not args.keep_null_incomes)
+            args.year, strategy=args.strategy, drop_nulls=args.drop_null_incomes)
     if q == "yearly-area-distance":
         return Q.yearly_area_distance(inc(), st(), strategy=args.strategy)
     if q == "division-distance":
@@ -86,9 +86,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--strategy", default="auto", choices=("auto", "broadcast", "merge", "shuffle_hash"))
     p.add_argument("--sql", action="store_true", help="top-months as SQL text")
     p.add_argument("--header", help="header line to drop (default: first line of the first file)")
-    p.add_argument("--keep-null-incomes", action="store_true")
+    p.add_argument("--drop-null-incomes", action="store_true",
+                   help="areas without an income are not the poorest")
     p.add_argument("--out", help="write the result here as Parquet instead of showing it")
-    p.add_argument("--show", type=int, default=100)
+    p.add_argument("--show", type=int, help="rows to print (default: all)")
     return p
 
 
@@ -101,7 +102,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     if args.out:
         write_table(df, args.out)
     else:
-        df.show(args.show, truncate=False)
+        df.show(df.count() if args.show is None else args.show, truncate=False)
     return df
 
 

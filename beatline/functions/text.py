@@ -58,23 +58,3 @@ def field(line, pos: int, sep: str = ",") -> Column:
     line-oriented reader.
     """
     return F.get(F.split(as_col(line), sep), pos)
-
-
-def csv_field(x, quote: bool = True) -> Column:
-    """One field of a CSV line: NULL → empty; with ``quote``, wrapped in quotes
-    when it holds ``,`` or ``"`` (numbers and dates never need it)."""
-    s = F.coalesce(as_col(x).cast("string"), F.lit(""))
-    if not quote:
-        return s
-    needs_quotes = s.contains(",") | s.contains('"')
-    return F.when(needs_quotes, F.concat(F.lit('"'), F.replace(s, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(s)
-
-
-def csv_line(*cols, quoted: tuple[bool, ...] | None = None) -> Column:
-    """Render columns as one CSV line (RFC-4180 quoting, NULL as empty).
-
-    ``quoted[i]`` False skips the quoting test for a column known to hold
-    no separator (numbers, dates), which keeps the expression small.
-    """
-    flags = quoted or (True,) * len(cols)
-    return F.concat_ws(",", *(csv_field(c, q) for c, q in zip(cols, flags)))

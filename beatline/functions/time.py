@@ -38,12 +38,6 @@ def parse_date(text, pattern: str = OCCURRED_PATTERN) -> Column:
     return F.try_to_date(as_col(text), pattern)
 
 
-def hhmm(ts) -> Column:
-    """Clock time of a timestamp as an HHMM integer (e.g. 23:59 → 2359)."""
-    c = as_col(ts)
-    return F.hour(c) * 100 + F.minute(c)
-
-
 def day_segment(time_hhmm) -> Column:
     """Part-of-day label for an HHMM integer; NULL and gaps → Undefined."""
     t = as_col(time_hhmm)

@@ -1,17 +1,17 @@
 """DataFrame → DataFrame operators."""
 
-from beatline.operators.joins import checked_broadcast, fits, join_dim, with_strategy
+from beatline.operators.joins import estimated_bytes, join_dim, with_strategy
 from beatline.operators.nearest import nearest_distance, nearest_station
 from beatline.operators.profile import profile
 from beatline.operators.relational import (
-    code_between, containing, count_by, in_year, mean_and_count, not_null,
+    code_between, containing, count_by, in_year, mean_and_count, mean_of_counted, not_null,
     rank_within, row_count, sort_by_count, top_and_bottom, top_k,
 )
 from beatline.operators.udf import with_udf
 
 __all__ = [
-    "checked_broadcast", "fits", "join_dim", "with_strategy", "nearest_distance",
+    "estimated_bytes", "join_dim", "with_strategy", "nearest_distance",
     "nearest_station", "profile", "code_between", "containing", "count_by", "in_year",
-    "mean_and_count", "not_null", "rank_within", "row_count", "sort_by_count",
+    "mean_and_count", "mean_of_counted", "not_null", "rank_within", "row_count", "sort_by_count",
     "top_and_bottom", "top_k", "with_udf",
 ]

@@ -1,10 +1,9 @@
-"""Join strategies and size-checked broadcasts.
+"""Join strategies.
 
-A side is broadcast only after counting it against a row bound (an action
-over at most ``max_rows + 1`` rows of a dimension table, never of the facts).
-Beyond the bound the join stays a shuffle join, which adaptive execution may
-still turn into a broadcast from runtime sizes, and whose skewed partitions
-it splits (``spark.sql.adaptive.skewJoin.enabled``).
+Every join here is an equi-join of facts, counted per key beforehand where a key may be
+hot, with a dimension. ``auto`` leaves the choice to Spark: it broadcasts a side by the
+bytes it knows, at planning or, adaptively, at run time, and beyond that limit sorts and
+merges, splitting skewed partitions. No function here runs a job.
 """
 
 from __future__ import annotations
@@ -20,63 +19,39 @@ log = logging.getLogger(__name__)
 Strategy = Literal["auto", "broadcast", "merge", "shuffle_hash"]
 STRATEGIES: tuple[str, ...] = ("auto", "broadcast", "merge", "shuffle_hash")
 
-# Row bound for broadcasting a dimension; about 16 MB at 200 bytes a row.
-DEFAULT_BROADCAST_ROWS = 100_000
+# Bytes that a side asked to be broadcast may have by Spark's estimate.
+BROADCAST_BYTES = 256 << 20
 
 
-def count_upto(df: DataFrame, bound: int) -> int:
-    """Exact row count when it is at most ``bound``, else ``bound + 1``.
-
-    Runs as ``take``: Spark reads one partition first and more only while
-    rows are missing, so a table far over the bound is not read whole. Only
-    a column-free marker per row reaches the driver, at most ``bound + 1``.
-    """
-    return len(df.select(F.lit(1).alias("_")).take(bound + 1))
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return count_upto(df, max_rows) <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the table's size, from file sizes and the plan (no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(small)`` when it fits the bound, else ``small`` unchanged."""
-    if fits(small, max_rows):
-        return F.broadcast(small)
-    log.warning("side has more than %d rows: not broadcast, shuffle join instead", max_rows)
-    return small
-
-
-def with_strategy(small: DataFrame, strategy: str | None,
-                  max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def with_strategy(small: DataFrame, strategy: str | None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark the small (build) side of a join with a strategy.
 
-    ``auto``: size-checked broadcast, else the planner's choice.
-    ``broadcast``: same check (a requested broadcast is still bounded).
-    ``merge``: sort-merge join. ``shuffle_hash``: shuffled hash join that
-    builds its table from this side. Pairwise strategies (shuffle-replicate
-    nested loop, cartesian) are refused: every join here is an equi-join.
+    ``auto``: Spark's choice by bytes. ``broadcast``: broadcast if the estimate
+    allows, else Spark's choice. ``merge``: sort-merge join. ``shuffle_hash``:
+    shuffled hash join that builds its table from this side. Pairwise
+    strategies (shuffle-replicate nested loop, cartesian) are refused: every
+    join here is an equi-join.
     """
     strategy = strategy or "auto"
-    if strategy in ("auto", "broadcast"):
-        return checked_broadcast(small, max_rows)
+    if strategy == "broadcast":
+        size = estimated_bytes(small)
+        if size <= max_bytes:
+            return F.broadcast(small)
+        log.warning("side has about %d bytes: left to the planner instead of broadcast", size)
+        return small
     if strategy in ("merge", "shuffle_hash"):
         return small.hint(strategy)
+    if strategy == "auto":
+        return small
     raise ValueError(f"unknown or refused join strategy {strategy!r}; use one of {STRATEGIES}")
 
 
 def join_dim(facts: DataFrame, dim: DataFrame, on: list[str] | Column, how: str = "inner",
-             strategy: str | None = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS,
-             hint_side: str = "dimension") -> DataFrame:
-    """Join facts to a dimension under a strategy.
-
-    The hint goes on the dimension (the build side of a hash join) by default.
-    ``hint_side="facts"`` puts a ``merge``/``shuffle_hash`` hint on the facts
-    instead, which reproduces plans that build the hash table from the facts;
-    a broadcast always goes on the dimension.
-    """
-    if hint_side == "facts" and strategy in ("merge", "shuffle_hash"):
-        return facts.hint(strategy).join(dim, on, how)
-    if hint_side not in ("dimension", "facts"):
-        raise ValueError(f"hint_side must be 'dimension' or 'facts', not {hint_side!r}")
-    return facts.join(with_strategy(dim, strategy, max_rows), on, how)
+             strategy: str | None = "auto", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join facts to a dimension under a strategy, whose hint goes on the dimension."""
+    return facts.join(with_strategy(dim, strategy, max_bytes), on, how)

@@ -1,160 +1,82 @@
 """Nearest-station lookup without a join of facts to stations.
 
-The station table is a bounded dimension: it is counted against a row bound,
-folded into one sorted ``array<struct>`` and attached to every fact row as a
-scalar subquery (computed once, shipped to executors with the task binary).
-Each fact row then takes the least (distance, station key) over the stations,
-as one expression per station that whole-stage codegen compiles: facts are
-neither shuffled nor multiplied by the number of stations.
-
-Station sets larger than the bound are split into blocks by a hash of the
-whole station row, each block's size is checked the same way, and the per-row best
-of the blocks is combined with ``least``. The result is exact in both cases.
+The stations, one per position, are folded into one array and attached to every fact
+row as a scalar subquery (computed once, shipped with the tasks). The array is cut into
+strips: runs of stations in the order of latitude, about as many strips as a strip has
+stations. A fact takes an upper bound from one station of each strip, leaves out the
+strips whose latitudes alone are further away than that, and takes the least (distance,
+key) of the stations in the others. So it looks at a few times the square root of the
+number of stations, the result is exact, and facts are neither shuffled nor multiplied.
+
+The array is as long as the station table, which has to fit a task's memory.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatline.functions.geo import EARTH_RADIUS_KM
-from beatline.operators.joins import count_upto
-
-DEFAULT_STATION_ROWS = 50_000
-
-# Up to UNROLL_TOTAL stations per block the search is written out station by
-# station (compiled), UNROLL_MAX at a time; a larger block goes through an
-# array lambda, which Spark interprets row by row.
-UNROLL_MAX = 64
-UNROLL_TOTAL = 128
-
-_INF = "cast('Infinity' as double)"
+from beatline.functions.geo import EARTH_RADIUS_KM, haversine_km
 
+_FAR = float("inf")
 
-def _a_sql(lat: str, lon: str, coslat: str, y: str, x: str, cos_y: str) -> str:
-    """The haversine term ``a`` as SQL text, with cos(radians(.)) of both
-    latitudes given (same operations, same order as ``geo.haversine_km``)."""
-    hl, ho = f"(radians({y} - {lat}) / 2)", f"(radians({x} - {lon}) / 2)"
-    return f"(sin({hl}) * sin({hl}) + {coslat} * {cos_y} * sin({ho}) * sin({ho}))"
 
+def _strips(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
+    """One row: strips of (low, high, some, items); stations at one position count as the one with
+    the lowest key, then the lowest kept values."""
+    entry = F.struct(F.col("y"), F.col("x"), F.col(key).alias("key"), *[F.col(k) for k in keep])
+    placed = stations.where("y IS NOT NULL AND x IS NOT NULL AND NOT isnan(y) AND NOT isnan(x)")
+    first = placed.groupBy("y", "x").agg(F.min(entry).alias("entry"))
+    one = first.agg(F.sort_array(F.collect_list("entry")).alias("all"))
+    size = F.greatest(F.ceil(F.sqrt(F.size("all"))), F.lit(1)).cast("int")
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)), size), lambda i: i <= F.size("all"))
 
-def _dist_of_a(a: str) -> str:
-    """Distance from ``a``; NULL coordinates and NaN give +inf, so they lose
-    every comparison."""
-    d = f"({EARTH_RADIUS_KM!r} * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
-    return f"coalesce(nanvl({d}, {_INF}), {_INF})"
+    def strip(i: Column) -> Column:
+        items = F.slice("all", i, size)
+        ys = F.transform(items, lambda e: e["y"])
+        middle = F.get(items, F.floor(F.size(items) / 2).cast("int"))
+        return F.struct(F.array_min(ys).alias("low"), F.array_max(ys).alias("high"), middle.alias("some"), items.alias("items"))
 
+    return one.select(F.transform(starts, strip).alias("strips"))
 
-def _struct_sql(dist: str, e: str, keep: list[str]) -> str:
-    fields = [f"'dist', {dist}", f"'key', {e}.key"] + [f"'{k}', {e}.`{k}`" for k in keep]
-    return f"named_struct({', '.join(fields)})"
 
-
-def _lambda_best(arr_sql: str, lat: str, lon: str, coslat: str, keep: list[str]) -> str:
-    a = _a_sql(lat, lon, coslat, "s.y", "s.x", "s.cos_y")
-    return f"array_min(transform({arr_sql}, s -> {_struct_sql(_dist_of_a(a), 's', keep)}))"
-
-
-def _unrolled(df: DataFrame, arr: str, lo: int, hi: int, lat: str, lon: str, coslat: str,
-              keep: list[str], best: str, total: int | None = None) -> DataFrame:
-    """Add struct column ``best`` for entries ``lo..hi-1`` of one station array,
-    written out station by station on plain doubles (compact generated code):
-    the haversine terms, the distances, their least, then the first entry
-    (lowest key, the array being sorted by key) whose distance equals it.
-
-    Each step is its own projection, so every value is computed once. With
-    ``total`` set, a table that grew between the count and the run fails the
-    job rather than have its new stations skipped.
-    """
-    entry = {i: f"get(`{arr}`, {i})" for i in range(lo, hi)}
-    a = {f"{best}_a{i}": F.expr(_a_sql(lat, lon, coslat, f"{e}.y", f"{e}.x", f"{e}.cos_y"))
-         for i, e in entry.items()}
-    d = {f"{best}_d{i}": F.expr(_dist_of_a(f"`{best}_a{i}`")) for i in entry}
-    m, i_col = f"{best}_m", f"{best}_i"
-    names = list(d)
-    least_d = f"`{names[0]}`" if len(names) == 1 else f"least({', '.join(f'`{x}`' for x in names)})"
-    if total is not None:
-        least_d = (f"CASE WHEN size(`{arr}`) > {total} THEN "
-                   f"raise_error('station table changed during the query') ELSE {least_d} END")
-    idx = "CASE " + " ".join(f"WHEN `{best}_d{i}` = `{m}` THEN {i}" for i in entry) + " END"
-    out = _struct_sql(f"`{m}`", f"get(`{arr}`, `{i_col}`)", keep)
-    # the working columns are left for the caller's final select to prune
-    return (df.withColumns(a).withColumns(d).withColumn(m, F.expr(least_d))
-            .withColumn(i_col, F.expr(idx)).withColumn(best, F.expr(out)))
-
-
-def _station_array(stations: DataFrame, key: str, keep: list[str]) -> DataFrame:
-    entries = F.struct(F.col(key).alias("key"), F.col("y"), F.col("x"),
-                       F.cos(F.radians("y")).alias("cos_y"), *[F.col(k) for k in keep])
-    return stations.agg(F.sort_array(F.collect_list(entries)).alias("arr"))
-
-
-def _blocks(stations: DataFrame, key: str, keep: list[str],
-            max_rows: int) -> list[tuple[DataFrame, int]]:
-    """The station table as one block, or as hash blocks of bounded size.
-
-    The hash covers the whole station (key, position, kept columns), so many
-    stations sharing one key still spread over the blocks; only identical
-    duplicate rows could overfill a block, and that is reported.
-    """
-    n = count_upto(stations, max_rows)
-    if n <= max_rows:
-        return [(stations, n)]
-    nblocks = 2 * math.ceil(stations.count() / max_rows)
-    b = F.pmod(F.xxhash64(F.col(key), F.col("y"), F.col("x"), *[F.col(k) for k in keep]), F.lit(nblocks))
-    out = []
-    for i in range(nblocks):
-        blk = stations.filter(b == i)
-        size = count_upto(blk, 2 * max_rows)
-        if size > 2 * max_rows:
-            raise ValueError("too many identical station rows to split into bounded blocks")
-        out.append((blk, size))
-    return out
+def _distance(lat: str, lon: str, e: Column) -> Column:
+    """km to a station; facts without coordinates are infinitely far."""
+    return F.coalesce(F.nanvl(haversine_km(lat, lon, e["y"], e["x"]), F.lit(_FAR)), F.lit(_FAR))
 
 
 def nearest_station(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",
                     key: str = "fid", keep: tuple[str, ...] = ("division",),
-                    out: str = "nearest", max_rows: int = DEFAULT_STATION_ROWS) -> DataFrame:
+                    out: str = "nearest") -> DataFrame:
     """Add ``out: struct<dist double, key, *keep>``: the nearest station to
     (lat, lon) among ``stations(y, x, key, *keep)``.
 
     Ties go to the lowest ``key``; stations or facts with NULL coordinates
     give no distance; with no distance at all ``out`` is NULL.
     """
-    keep_l = list(keep)
-    blocks = _blocks(stations, key, keep_l, max_rows)
-    coslat = "`__coslat`"
-    # Each block's array becomes its own column first: a subquery may not sit
-    # inside the lambda of a higher-order function.
-    arrs = {f"__stations{i}": _station_array(blk, key, keep_l).scalar() for i, (blk, _) in enumerate(blocks)}
-    df = facts.withColumns({"__coslat": F.cos(F.radians(lat)), **arrs})
-    bests = []
-    for b, (name, (_, size)) in enumerate(zip(arrs, blocks)):
-        col = f"__best{b}"
-        if size > UNROLL_TOTAL or size == 0:
-            df = df.withColumn(col, F.expr(_lambda_best(f"`{name}`", f"`{lat}`", f"`{lon}`", coslat, keep_l)))
-        else:
-            # chunks of UNROLL_MAX entries; earlier chunks hold lower keys, so
-            # least over (dist, key) keeps the lowest key on a tie
-            chunks = [f"{col}_c{j}" for j in range(math.ceil(size / UNROLL_MAX))]
-            for j, c in enumerate(chunks):
-                lo = j * UNROLL_MAX
-                df = _unrolled(df, name, lo, min(lo + UNROLL_MAX, size), f"`{lat}`", f"`{lon}`",
-                               coslat, keep_l, c, total=size if j == 0 else None)
-            best_c = F.col(chunks[0]) if len(chunks) == 1 else F.least(*[F.col(c) for c in chunks])
-            df = df.withColumn(col, best_c)
-        bests.append(col)
-    best = F.col(bests[0]) if len(bests) == 1 else F.least(*[F.col(c) for c in bests])
-    df = df.withColumn("__best", best)
-    found = F.when(F.col("__best.dist") < F.lit(float("inf")), F.col("__best"))
-    return df.select(*[F.col(f"`{c}`") for c in facts.columns if c != out], found.alias(out))
+    names = list(keep)
+    df = facts.withColumn("__strips", _strips(stations, key, names).scalar())
+    bound = F.array_min(F.transform("__strips", lambda s: _distance(lat, lon, s["some"])))
+    df = df.withColumn("__bound", bound)
+    here = F.col(lat)
+
+    def close(s: Column) -> Column:
+        gap = F.greatest(s["low"] - here, here - s["high"], F.lit(0.0))
+        return F.radians(gap) * EARTH_RADIUS_KM <= F.col("__bound") * (1 + 1e-9) + 1e-6
+
+    def best(s: Column) -> Column:
+        return F.array_min(F.transform(s["items"], lambda e: F.struct(
+            _distance(lat, lon, e).alias("dist"), e["key"].alias("key"), *[e[k].alias(k) for k in names])))
+
+    found = F.array_min(F.transform(F.filter("__strips", close), best))
+    df = df.withColumn("__best", found)
+    result = F.when(F.col("__best.dist") < F.lit(_FAR), F.col("__best"))
+    return df.select(*[F.col(f"`{c}`") for c in facts.columns if c != out], result.alias(out))
 
 
 def nearest_distance(facts: DataFrame, stations: DataFrame, *, lat: str = "lat", lon: str = "lon",
-                     out: str = "nearest_distance", max_rows: int = DEFAULT_STATION_ROWS) -> DataFrame:
+                     out: str = "nearest_distance") -> DataFrame:
     """Add the distance (km, double) to the nearest station; NULL coordinates → NULL."""
     tmp = f"__{out}"
-    return (nearest_station(facts, stations, lat=lat, lon=lon, keep=(), out=tmp, max_rows=max_rows)
+    return (nearest_station(facts, stations, lat=lat, lon=lon, keep=(), out=tmp)
             .withColumn(out, F.col(f"{tmp}.dist")).drop(tmp))

@@ -67,6 +67,15 @@ def mean_and_count(df: DataFrame, keys: Sequence[str | Column], value: str, coun
     return df.groupBy(*keys).agg(F.avg(value).alias(mean_name), F.count(counted).alias(count_name))
 
 
+def mean_of_counted(df: DataFrame, keys: Sequence[str | Column], value: str, weight: str, counted: str,
+                    mean_name: str = "mean", count_name: str = "count") -> DataFrame:
+    """The same over rows that each stand for ``weight`` rows with the same value, of which
+    ``counted`` are to be counted."""
+    has = F.when(F.col(value).isNotNull(), F.col(weight))
+    mean = F.try_divide(F.sum(F.col(value).cast("double") * F.col(weight)), F.sum(has))
+    return df.groupBy(*keys).agg(mean.alias(mean_name), F.sum(counted).alias(count_name))
+
+
 # --- ranks, sorts, limits -----------------------------------------------------------
 
 def rank_within(df: DataFrame, partition: Sequence[str], order_desc: str, name: str = "rank",
@@ -79,12 +88,12 @@ def rank_within(df: DataFrame, partition: Sequence[str], order_desc: str, name:
 
 
 def top_k(df: DataFrame, order: str | Column, k: int, *, descending: bool = True,
-          tie_break: Sequence[str] = (), drop_nulls: bool = True) -> DataFrame:
+          tie_break: Sequence[str] = (), drop_nulls: bool = False) -> DataFrame:
     """First ``k`` rows by ``order`` (ties broken by ``tie_break`` ascending).
 
     Spark plans this as a per-partition top-k plus one merge of
-    ``k × partitions`` rows. NULL ``order`` values are dropped by default;
-    with ``drop_nulls=False`` they sort as in Spark (first when ascending).
+    ``k × partitions`` rows. NULL ``order`` values sort as in Spark (first
+    when ascending, last when descending); ``drop_nulls`` leaves them out.
     """
     o = as_col(order)
     src = df.filter(o.isNotNull()) if drop_nulls else df
@@ -93,7 +102,7 @@ def top_k(df: DataFrame, order: str | Column, k: int, *, descending: bool = True
 
 
 def top_and_bottom(df: DataFrame, order: str, k: int, keep: Sequence[str],
-                   tie_break: Sequence[str] = (), drop_nulls: bool = True) -> DataFrame:
+                   tie_break: Sequence[str] = (), drop_nulls: bool = False) -> DataFrame:
     """Bag union of the ``k`` highest and ``k`` lowest rows (they may overlap)."""
     top = top_k(df, order, k, descending=True, tie_break=tie_break, drop_nulls=drop_nulls)
     bottom = top_k(df, order, k, descending=False, tie_break=tie_break, drop_nulls=drop_nulls)

@@ -1,7 +1,8 @@
 """Registered questions: name → ``(spark, sf_dir) → DataFrame`` on the stand-in views.
 
-Every entry reads whole driver tables (through ``sources.standins``), so its
-work grows with the scale factor.
+Every entry derives its inputs from whole driver tables (``sources.standins``)
+when it is called, so its work grows with the scale factor. Entries about CSV
+files or text lines write those files first and read them back.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.functions import DESCENT_LABELS, day_segment, label_of, thousands
+from beatline.functions import day_segment, label_of, thousands
 from beatline.operators import (
     code_between, containing, in_year, not_null, profile, row_count, top_k, with_udf,
 )
 from beatline.operators.nearest import nearest_station
 from beatline.plans import queries as Q
-from beatline.sources import drop_header, union_periods
+from beatline.sources import drop_header, read_incidents_csv, union_periods
 from beatline.sources import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,11 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEAR = S.STANDIN_YEAR
 
 
-def _csv_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents read from both periods' CSV files by the typed CSV reader."""
-    return S.incidents_csv(spark, sf_dir)
-
-
 # --- composites -------------------------------------------------------------------
 
 def top_months_by_count(spark, sf_dir):
@@ -41,6 +37,15 @@ def top_months_by_count_sql(spark, sf_dir):
     return Q.top_months_by_count_sql(S.incidents(spark, sf_dir))
 
 
+def top_months_by_count_csv(spark, sf_dir):
+    """From the two period files: read, united, dates parsed, counted."""
+    return Q.top_months_by_count(S.incidents_csv(spark, sf_dir))
+
+
+def day_segment_counts_csv(spark, sf_dir):
+    return Q.day_segment_counts(S.incidents_csv(spark, sf_dir))
+
+
 def incidents_per_month(spark, sf_dir):
     return Q.monthly_counts(S.incidents(spark, sf_dir))
 
@@ -55,54 +60,59 @@ def day_segment_counts_lines(spark, sf_dir):
 
 def category_counts_extreme_areas(spark, sf_dir, strategy="auto"):
     return Q.category_counts_extreme_areas(
-        S.incidents(spark, sf_dir), S.geocodes(spark, sf_dir), S.incomes(spark, sf_dir),
+        S.incidents(spark, sf_dir), S.build_geocodes(spark, sf_dir), S.build_incomes(spark, sf_dir),
         YEAR, strategy=strategy)
 
 
 def yearly_area_distance(spark, sf_dir):
-    return Q.yearly_area_distance(S.incidents(spark, sf_dir), S.stations(spark, sf_dir))
+    return Q.yearly_area_distance(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir))
 
 
 def division_distance_stats(spark, sf_dir, strategy="auto"):
-    return Q.division_distance_stats(S.incidents(spark, sf_dir), S.stations(spark, sf_dir),
+    return Q.division_distance_stats(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir),
                                      strategy=strategy)
 
 
 def yearly_nearest_distance(spark, sf_dir):
-    return Q.yearly_nearest_distance(S.incidents(spark, sf_dir), S.stations(spark, sf_dir))
+    return Q.yearly_nearest_distance(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir))
 
 
 def nearest_division_stats(spark, sf_dir):
-    return Q.nearest_division_stats(S.incidents(spark, sf_dir), S.stations(spark, sf_dir))
+    return Q.nearest_division_stats(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir))
 
 
 # --- sources and profile -------------------------------------------------------------
 
 def incident_profile(spark, sf_dir):
     """Every column of the typed incident files: type, nullability, non-NULL count."""
-    return profile(_csv_incidents(spark, sf_dir))
+    return profile(S.incidents_csv(spark, sf_dir))
 
 
 def incident_row_count(spark, sf_dir):
-    return row_count(_csv_incidents(spark, sf_dir))
+    return row_count(S.incidents_csv(spark, sf_dir))
 
 
 def scan_incidents_csv(spark, sf_dir):
-    return S.core(_csv_incidents(spark, sf_dir))
+    return S.core(S.incidents_csv(spark, sf_dir))
 
 
 def typed_incidents(spark, sf_dir):
     """Date texts parsed by pattern, numbers typed (the CSV schema)."""
-    return _csv_incidents(spark, sf_dir).select(
+    return S.incidents_csv(spark, sf_dir).select(
         "incident_id", "reported_on", "occurred_at", "victim_age", "area_id", "lat", "lon")
 
 
+def scan_stations(spark, sf_dir):
+    """A file with a byte order mark and the columns in another order."""
+    return S.stations_csv(spark, sf_dir)
+
+
 def scan_incomes(spark, sf_dir):
-    return S.incomes(spark, sf_dir)
+    return S.incomes_csv(spark, sf_dir)
 
 
 def scan_geocodes(spark, sf_dir):
-    return S.geocodes(spark, sf_dir)
+    return S.geocodes_csv(spark, sf_dir)
 
 
 def scan_lines(spark, sf_dir):
@@ -112,11 +122,8 @@ def scan_lines(spark, sf_dir):
 
 
 def all_incidents(spark, sf_dir):
-    inc = S.core(S.incidents(spark, sf_dir))
-    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
-    first = inc.filter(F.col("occurred_at") < cut)
-    second = inc.filter(F.col("occurred_at") >= cut)
-    return union_periods(first, second)
+    """The two period files, each read on its own, as one table."""
+    return union_periods(*(S.core(read_incidents_csv(spark, p)) for p in S.incident_csv_paths(spark, sf_dir)))
 
 
 # --- filters --------------------------------------------------------------------------
@@ -150,58 +157,60 @@ def category_labels(spark, sf_dir):
 
 
 def parse_money(spark, sf_dir):
-    return Q.incomes_parsed(S.incomes(spark, sf_dir)).select("zip", "income_text", "income")
+    return Q.incomes_parsed(S.build_incomes(spark, sf_dir)).select("zip", "income_text", "income")
 
 
 def geocode_incidents(spark, sf_dir):
-    facts = not_null(in_year(S.incidents(spark, sf_dir), "occurred_at", YEAR), "category")
-    return Q.geocoded(facts.select("incident_id", "lat", "lon"), S.geocodes(spark, sf_dir))
+    facts = S.incidents(spark, sf_dir).select("incident_id", "lat", "lon")
+    return Q.geocoded(facts, S.build_geocodes(spark, sf_dir))
 
 
 def incident_station_distance(spark, sf_dir):
-    d = Q.with_area_distance(S.incidents(spark, sf_dir), S.stations(spark, sf_dir))
+    d = Q.with_area_distance(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir))
     return d.select("incident_id", "area_id", thousands("distance", 3).alias("distance"))
 
 
 def nearest_station_per_incident(spark, sf_dir):
-    armed = not_null(S.incidents(spark, sf_dir), "weapon_code")
-    n = nearest_station(armed, S.stations(spark, sf_dir), keep=("division",), out="n")
+    n = nearest_station(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir), keep=("division",), out="n")
     return n.select("incident_id", F.col("n.division").alias("division"),
                     thousands(F.col("n.dist"), 3).alias("distance"))
 
 
 def richest_areas(spark, sf_dir):
-    inc = Q.incomes_parsed(S.incomes(spark, sf_dir))
+    inc = Q.incomes_parsed(S.build_incomes(spark, sf_dir))
     return top_k(inc, "income", Q.EXTREME_AREAS, tie_break=["zip"]).select("zip", "income")
 
 
 def poorest_areas(spark, sf_dir):
-    inc = Q.incomes_parsed(S.incomes(spark, sf_dir))
+    inc = Q.incomes_parsed(S.build_incomes(spark, sf_dir))
     return top_k(inc, "income", Q.EXTREME_AREAS, descending=False, tie_break=["zip"]).select("zip", "income")
 
 
 def extreme_areas(spark, sf_dir):
-    return Q.extreme_areas(S.incomes(spark, sf_dir))
+    return Q.extreme_areas(S.build_incomes(spark, sf_dir))
 
 
 def custom_row_function(spark, sf_dir):
-    """The user hook with a pandas function (the label map, as a user would write it)."""
-    labels = dict(DESCENT_LABELS)
+    """The user hook with a pandas function: in how many digits a number and its reverse differ
+    (Spark has no such distance of texts)."""
 
     # Defined here so it travels to the Python workers by value: they need not
     # be able to import this package.
-    def labels_in_pandas(codes):
-        return codes.map(labels).fillna("Unknown")
+    def differing_digits(ids):
+        texts = ids.astype(str).str.zfill(12)
+        return texts.map(lambda t: sum(a != b for a, b in zip(t, reversed(t))))
 
     inc = S.incidents(spark, sf_dir).select("incident_id", "category")
-    return with_udf(inc, "label", labels_in_pandas, "string", "category")
+    return with_udf(inc, "differing_digits", differing_digits, "long", "incident_id")
 
 
 QUERIES: dict[str, Query] = {
     "top_months_by_count": top_months_by_count,
     "top_months_by_count_sql": top_months_by_count_sql,
+    "top_months_by_count_csv": top_months_by_count_csv,
     "incidents_per_month": incidents_per_month,
     "day_segment_counts": day_segment_counts,
+    "day_segment_counts_csv": day_segment_counts_csv,
     "day_segment_counts_lines": day_segment_counts_lines,
     "category_counts_extreme_areas": category_counts_extreme_areas,
     "extreme_areas_broadcast": partial(category_counts_extreme_areas, strategy="broadcast"),
@@ -218,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "incident_row_count": incident_row_count,
     "scan_incidents_csv": scan_incidents_csv,
     "typed_incidents": typed_incidents,
+    "scan_stations": scan_stations,
     "scan_incomes": scan_incomes,
     "scan_geocodes": scan_geocodes,
     "scan_lines": scan_lines,

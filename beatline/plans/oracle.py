@@ -1,43 +1,116 @@
-"""Independent DuckDB SQL for every registered question (the correctness oracle).
+"""DuckDB SQL for every registered question, on its own: the correctness oracle.
 
-Written against the driver's base tables; the stand-in views are inlined as
-CTEs (``standins.with_views``). Computed columns carry the same aliases as
-the Spark results.
+Nothing is imported from the package. The views that ``sources.standins`` derives are
+stated here a second time, as SQL over the driver's base tables, and all fixed values
+(labels, parts of the day, the files' columns, codes) are literals.
 """
 
 from __future__ import annotations
 
-from beatline.functions.geo import EARTH_RADIUS_KM
-from beatline.functions.text import DESCENT_LABELS, UNKNOWN_LABEL
-from beatline.functions.time import DAY_SEGMENTS, UNDEFINED_SEGMENT
-from beatline.plans.queries import EXTREME_AREAS, FIREARM_CODES, STREET_TEXT, TOP_MONTHS
-from beatline.schemas import INCIDENT_COLUMNS
-from beatline.sources.standins import FIRST_HEADER, STANDIN_YEAR, with_views
-
 CORE = "incident_id, occurred_at, time_hhmm, area_id, area_name, category, weapon_code, premises, lat, lon"
-Y0, Y1 = f"TIMESTAMP '{STANDIN_YEAR}-01-01'", f"TIMESTAMP '{STANDIN_YEAR + 1}-01-01'"
-LO, HI = FIREARM_CODES
+Y0, Y1 = "TIMESTAMP '1997-01-01'", "TIMESTAMP '1998-01-01'"
+
+# One incident per order.
+INCIDENTS = """
+select o_orderkey as incident_id,
+ case when o_orderkey % 97 <> 5 then o_orderdate + to_hours(cast(o_orderkey * 7 % 24 as integer))
+   + to_minutes(cast(o_orderkey // 24 % 60 as integer)) end as occurred_at,
+ occurred_at + interval 30 hour as reported_at,
+ case when o_orderkey % 89 <> 3 then cast(o_orderkey * 7 % 24 * 100 + o_orderkey // 24 % 60 as integer) end as time_hhmm,
+ cast(o_custkey % 27 + 1 as integer) as area_id,
+ 'Area ' || cast(o_custkey % 27 + 1 as varchar) as area_name,
+ case when o_orderkey % 13 <> 0 then cast(o_orderkey * 11 % 90 + 10 as integer) end as victim_age,
+ case when o_orderkey % 17 <> 0 then substr('ABCDFGHIJKLOPSUVWXZQ', cast(o_orderkey % 20 + 1 as integer), 1) end as category,
+ case when o_orderkey % 3 <> 0 then cast(o_orderkey % 450 + 100 as integer) end as weapon_code,
+ case o_orderkey % 4 when 0 then 'STREET' when 1 then 'PARKING LOT' when 2 then 'STREET, SIDE' end as premises,
+ case when o_orderkey % 9 = 0 then 0.0::double when o_orderkey % 101 <> 0
+   then 33.5 + (o_custkey * 37 % 4096)::double / 1024.0 end as lat,
+ case when o_orderkey % 9 = 0 then 0.0::double
+   else -118.75 + ((o_custkey * 91 + o_custkey // 4096) % 4096)::double / 1024.0 end as lon,
+ case when o_orderkey % 5 = 0 then 'THEFT, "PETTY"' else 'THEFT' end as crime_desc
+from orders
+"""
+
+# One station per nation.
+STATIONS = """
+select -118.75 + (n_nationkey * 163 % 4096)::double / 1024.0 as x,
+ 33.5 + (n_nationkey * 211 % 4096)::double / 1024.0 as y,
+ cast(n_nationkey + 1 as integer) as fid, 'AREA ' || cast(n_nationkey + 1 as varchar) as division,
+ n_name as location, cast(n_nationkey + 1 as integer) as prec
+from nation
+"""
+
+# One ZIP for 25 customers.
+INCOMES = """
+select cast(z + 90000 as integer) as zip, 'The "Old" Town, ' || cast(z as varchar) as community,
+ case when (z + 90000) % 29 = 7 then '---' else '$' || format('{:,}', amount) end as income_text
+from (select c_custkey // 25 as z, sum(cast(floor(c_acctbal) as bigint)) as amount from customer group by 1)
+"""
+
+# One place per customer, some of them unknown.
+GEOCODES = """
+select distinct case when nowhere then 0.0::double else 33.5 + li::double / 1024.0 end as lat,
+ case when nowhere then 0.0::double else -118.75 + lo::double / 1024.0 end as lon,
+ case when nowhere or li % 64 = 5 then 'N/A' when even then cast(zip as varchar) || ',99999'
+   else cast(zip as varchar) end as zip_text
+from (select c_custkey % 1000 = 0 as nowhere, c_custkey % 2 = 0 as even, c_custkey // 25 + 90000 as zip,
+        c_custkey * 37 % 4096 as li, (c_custkey * 91 + c_custkey // 4096) % 4096 as lo from customer)
+"""
+
+
+def _csv_text(expr: str) -> str:
+    """A field of a CSV line: quoted if it holds a comma or a quote, quotes doubled."""
+    t = f"coalesce(cast({expr} as varchar), '')"
+    return f"""case when {t} similar to '.*[,"].*' then '"' || replace({t}, '"', '""') || '"' else {t} end"""
+
+
+_DATE = "strftime({}, '%m/%d/%Y %I:%M:%S %p')"
+# The files' 28 columns: name in the typed table, type there, and the value written (none: empty).
+FILE_COLUMNS = (
+    ("incident_id", "bigint", "incident_id"), ("reported_text", "string", _DATE.format("reported_at")),
+    ("occurred_text", "string", _DATE.format("occurred_at")), ("time_hhmm", "int", "time_hhmm"),
+    ("area_id", "int", "area_id"), ("area_name", "string", "area_name"), ("report_district", "int", None),
+    ("part", "int", None), ("crime_code", "int", None), ("crime_desc", "string", "crime_desc"),
+    ("mocodes", "string", None), ("victim_age", "int", "victim_age"), ("victim_sex", "string", None),
+    ("category", "string", "category"), ("premises_code", "int", None), ("premises", "string", "premises"),
+    ("weapon_code", "int", "weapon_code"), ("weapon_desc", "string", None), ("status", "string", None),
+    ("status_desc", "string", None), ("crime_code_1", "int", None), ("crime_code_2", "int", None),
+    ("crime_code_3", "int", None), ("crime_code_4", "int", None), ("location", "string", None),
+    ("cross_street", "string", None), ("lat", "double", "lat"), ("lon", "double", "lon"),
+)
+LINES = "select concat_ws(',', " + ", ".join(
+    _csv_text(value) if value else "''" for _, _, value in FILE_COLUMNS) + ") as value from incidents"
+
+
+def with_views(body: str, *names: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
+    """``body`` after the views it names and then any further (name, sql) CTEs, in order."""
+    views = {"incidents": INCIDENTS, "stations": STATIONS, "incomes": INCOMES, "geocodes": GEOCODES, "lines": LINES}
+    wanted = set(names) | ({"incidents"} if "lines" in names else set())
+    parts = [(n, q) for n, q in views.items() if n in wanted] + list(ctes)
+    return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts) + "\n" + body
 
 
 def seg(t: str) -> str:
-    whens = []
-    for label, ranges in DAY_SEGMENTS:
-        cond = " or ".join(f"({t} >= {lo} and {t} < {hi})" for lo, hi in ranges)
-        whens.append(f"when {cond} then '{label}'")
-    return f"(case {' '.join(whens)} else '{UNDEFINED_SEGMENT}' end)"
+    """Part of the day of an HHMM number."""
+    return (f"case when {t} >= 500 and {t} <= 1158 then 'Morning' when {t} >= 1200 and {t} <= 1658 then 'Afternoon' "
+            f"when {t} >= 1700 and {t} <= 2058 then 'Evening' "
+            f"when ({t} >= 2100 and {t} <= 2359) or ({t} >= 0 and {t} <= 458) then 'Night' else 'Undefined' end")
 
 
 def label(c: str) -> str:
-    whens = " ".join(f"when '{k}' then '{v}'" for k, v in DESCENT_LABELS.items())
-    return f"coalesce(case {c} {whens} end, '{UNKNOWN_LABEL}')"
+    """Victim code to label."""
+    return f"""case {c} when 'A' then 'Other Asian' when 'B' then 'Black' when 'C' then 'Chinese' when 'D' then 'Cambodian'
+ when 'F' then 'Filipino' when 'G' then 'Guamanian' when 'H' then 'Hispanic/Latin/Mexican'
+ when 'I' then 'American Indian/Alaskan Native' when 'J' then 'Japanese' when 'K' then 'Korean' when 'L' then 'Laotian'
+ when 'O' then 'Other' when 'P' then 'Pacific Islander' when 'S' then 'Samoan' when 'U' then 'Hawaiian'
+ when 'V' then 'Vietnamese' when 'W' then 'White' when 'Z' then 'Asian Indian' else 'Unknown' end"""
 
 
 def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    hl = f"(radians({lat2} - {lat1}) / 2)"
-    ho = f"(radians({lon2} - {lon1}) / 2)"
-    a = (f"(sin({hl}) * sin({hl}) + cos(radians({lat1})) * cos(radians({lat2}))"
-         f" * sin({ho}) * sin({ho}))")
-    return f"({EARTH_RADIUS_KM} * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
+    """Great-circle km on a sphere of radius 6371."""
+    a = (f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+         f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))")
+    return f"(case when {a} is not null then 6371.0 * 2 * asin(sqrt(least({a}, 1.0))) end)"
 
 
 def fmt3(x: str) -> str:
@@ -65,12 +138,17 @@ select year, month, crime_count, rank from (
          cast(rank() over (partition by year(occurred_at) order by count(*) desc) as integer) as rank
   from incidents where occurred_at is not null
   group by year(occurred_at), month(occurred_at)) t
-where rank <= {TOP_MONTHS}
+where rank <= 3
+""", "incidents")
+
+DAY_SEGMENTS_ORACLE = with_views(f"""
+select {seg('time_hhmm')} as day_segment, count(*) as crime_count
+from incidents where premises like '%STREET%' group by 1
 """, "incidents")
 
 _INC = ("inc", "select zip, income_text, " + money("income_text") + " as income from incomes")
-_SEL = ("sel", f"(select zip from inc where income is not null order by income desc, zip limit {EXTREME_AREAS})"
-               f" union all (select zip from inc where income is not null order by income asc, zip limit {EXTREME_AREAS})")
+_SEL = ("sel", f"(select zip from inc order by income desc nulls last, zip limit 3)"
+               f" union all (select zip from inc order by income asc nulls first, zip limit 3)")
 _GEO = ("geo", f"select lat, lon, try_cast({zip_head('zip_text')} as integer) as zip from geocodes")
 
 EXTREME_ORACLE = with_views(f"""
@@ -91,50 +169,43 @@ group by i.area_name
 
 # Brute force for the oracle: per incident, scalar subqueries over every station.
 _HAV_IS = hav('i.lat', 'i.lon', 's.y', 's.x')
-_NEAREST = (
-    ("best", f"select i.incident_id, "
-             f"(select s.division from stations s where {_HAV_IS} is not null "
-             f"order by {_HAV_IS}, s.fid limit 1) as division, "
-             f"(select min({_HAV_IS}) from stations s) as d "
-             f"from incidents i where i.weapon_code is not null"),
-)
+def _nearest(where: str) -> tuple[tuple[str, str], ...]:
+    return (
+        ("best", f"select i.incident_id, "
+                 f"(select s.division from stations s where {_HAV_IS} is not null "
+                 f"order by {_HAV_IS}, s.fid limit 1) as division, "
+                 f"(select min({_HAV_IS}) from stations s) as d "
+                 f"from incidents i where {where}"),
+    )
+
 
 _ND = ("nd", f"select i.incident_id, i.occurred_at, (select min({_HAV_IS}) from stations s) as d "
-             f"from incidents i where i.weapon_code between {LO} and {HI}")
-
-
-def _profile_columns():
-    """(column, Spark type, non-NULL count SQL) of the typed incident files."""
-    present = {"incident_id", "time_hhmm", "area_id", "area_name", "category", "weapon_code",
-               "premises", "lat", "lon", "crime_desc"}
-    cols = []
-    for name, dtype in INCIDENT_COLUMNS:
-        if name in ("reported_text", "occurred_text"):
-            n = "count(*)"
-        elif name in present:
-            n = f"count({name})"
-        else:
-            n = "cast(0 as bigint)"
-        cols.append((name, dtype.simpleString(), n))
-    cols += [("occurred_at", "timestamp_ntz", "count(occurred_at)"), ("reported_on", "date", "count(occurred_at)")]
-    return cols
+             f"from incidents i where i.weapon_code between 100 and 199")
+
+
+def _profile() -> str:
+    counted = [(n, t, "occurred_at" if n == "occurred_text" else "reported_at" if n == "reported_text" else v)
+               for n, t, v in FILE_COLUMNS]
+    counted += [("occurred_at", "timestamp_ntz", "occurred_at"), ("reported_on", "date", "reported_at")]
+    return " union all ".join(
+        f"select '{n}' as column_name, '{t}' as data_type, true as nullable, "
+        f"{f'count({v})' if v else 'cast(0 as bigint)'} as non_null, count(*) as row_count from incidents" for n, t, v in counted)
 
 
 ORACLE: dict[str, str] = {
     "top_months_by_count": TOP_MONTHS_ORACLE,
     "top_months_by_count_sql": TOP_MONTHS_ORACLE,
+    "top_months_by_count_csv": TOP_MONTHS_ORACLE,
     "incidents_per_month": with_views("""
 select cast(year(occurred_at) as integer) as year, cast(month(occurred_at) as integer) as month,
        count(*) as crime_count
 from incidents where occurred_at is not null group by 1, 2
 """, "incidents"),
-    "day_segment_counts": with_views(f"""
-select {seg('time_hhmm')} as day_segment, count(*) as crime_count
-from incidents where premises like '%{STREET_TEXT}%' group by 1
-""", "incidents"),
+    "day_segment_counts": DAY_SEGMENTS_ORACLE,
+    "day_segment_counts_csv": DAY_SEGMENTS_ORACLE,
     "day_segment_counts_lines": with_views(f"""
 select {seg("try_cast(string_split(value, ',')[4] as integer)")} as day_segment, count(*) as crime_count
-from lines where value <> '{FIRST_HEADER}' and contains(string_split(value, ',')[16], '{STREET_TEXT}')
+from lines where contains(string_split(value, ',')[16], 'STREET')
 group by 1
 """, "lines"),
     "category_counts_extreme_areas": EXTREME_ORACLE,
@@ -147,7 +218,7 @@ select cast(year(i.occurred_at) as integer) as year,
          as average_distance,
        count(i.incident_id) as crime_count
 from incidents i left join stations s on i.area_id = s.prec
-where i.weapon_code between {LO} and {HI}
+where i.weapon_code between 100 and 199
 group by 1
 """, "incidents", "stations"),
     "division_distance_stats": DIVISION_ORACLE,
@@ -164,16 +235,14 @@ select {initcap('division')} as division,
        {fmt3("avg(coalesce(d, 'inf'::double))")} as average_distance,
        count(incident_id) as crime_count
 from best group by division
-""", "incidents", "stations", ctes=_NEAREST),
-    "incident_profile": with_views(" union all ".join(
-        f"select '{c}' as column_name, '{t}' as data_type, true as nullable, "
-        f"{n} as non_null, count(*) as row_count from incidents" for c, t, n in _profile_columns()),
-        "incidents"),
+""", "incidents", "stations", ctes=_nearest("i.weapon_code is not null")),
+    "incident_profile": with_views(_profile(), "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),
     "scan_incidents_csv": with_views(f"select {CORE} from incidents", "incidents"),
     "typed_incidents": with_views(
-        "select incident_id, cast(occurred_at as date) as reported_on, occurred_at, "
-        "cast(null as integer) as victim_age, area_id, lat, lon from incidents", "incidents"),
+        "select incident_id, cast(reported_at as date) as reported_on, occurred_at, "
+        "victim_age, area_id, lat, lon from incidents", "incidents"),
+    "scan_stations": with_views("select x, y, fid, division, location, prec from stations", "stations"),
     "scan_incomes": with_views("select zip, community, income_text from incomes", "incomes"),
     "scan_geocodes": with_views("select lat, lon, zip_text from geocodes", "geocodes"),
     "scan_lines": with_views("select value from lines", "lines"),
@@ -182,9 +251,9 @@ from best group by division
     "incidents_in_year": with_views(
         f"select {CORE} from incidents where occurred_at >= {Y0} and occurred_at < {Y1} "
         f"and category is not null", "incidents"),
-    "street_incidents": with_views(f"select {CORE} from incidents where premises like '%{STREET_TEXT}%'",
+    "street_incidents": with_views(f"select {CORE} from incidents where premises like '%STREET%'",
                                    "incidents"),
-    "firearm_incidents": with_views(f"select {CORE} from incidents where weapon_code between {LO} and {HI}",
+    "firearm_incidents": with_views(f"select {CORE} from incidents where weapon_code between 100 and 199",
                                     "incidents"),
     "day_segments": with_views(f"select incident_id, time_hhmm, {seg('time_hhmm')} as day_segment "
                                f"from incidents", "incidents"),
@@ -195,7 +264,6 @@ from best group by division
     "geocode_incidents": with_views(f"""
 select i.lat, i.lon, i.incident_id, {zip_head('g.zip_text')} as zip
 from incidents i left join geocodes g on i.lat = g.lat and i.lon = g.lon
-where i.occurred_at >= {Y0} and i.occurred_at < {Y1} and i.category is not null
 """, "incidents", "geocodes"),
     "incident_station_distance": with_views(f"""
 select i.incident_id, i.area_id,
@@ -204,14 +272,15 @@ from incidents i left join stations s on i.area_id = s.prec
 """, "incidents", "stations"),
     "nearest_station": with_views(f"""
 select incident_id, division, {fmt3('d')} as distance from best
-""", "incidents", "stations", ctes=_NEAREST),
+""", "incidents", "stations", ctes=_nearest("true")),
     "richest_areas": with_views(f"""
-select zip, income from inc where income is not null order by income desc, zip limit {EXTREME_AREAS}
+select zip, income from inc order by income desc nulls last, zip limit 3
 """, "incomes", ctes=(_INC,)),
     "poorest_areas": with_views(f"""
-select zip, income from inc where income is not null order by income asc, zip limit {EXTREME_AREAS}
+select zip, income from inc order by income asc nulls first, zip limit 3
 """, "incomes", ctes=(_INC,)),
     "extreme_areas": with_views("select zip from sel", "incomes", ctes=(_INC, _SEL)),
-    "custom_row_function": with_views(f"select incident_id, category, {label('category')} as label "
-                                      f"from incidents", "incidents"),
+    "custom_row_function": with_views(
+        "select incident_id, category, cast(hamming(t, reverse(t)) as bigint) as differing_digits "
+        "from (select *, lpad(cast(incident_id as varchar), 12, '0') as t from incidents)", "incidents"),
 }

@@ -4,8 +4,7 @@ Inputs are typed DataFrames with the snake_case columns of ``schemas.py``
 (incidents: ``incident_id, occurred_at, time_hhmm, area_id, area_name,
 category, weapon_code, premises, lat, lon``; stations: ``x, y, fid, division,
 prec``; incomes: ``zip, income_text``; geocodes: ``lat, lon, zip_text``).
-No function here runs a job on the fact table; the only actions are the
-row-bound checks on dimension tables done by the join helpers.
+No function here runs a job.
 """
 
 from __future__ import annotations
@@ -17,10 +16,10 @@ from beatline.functions import (
     day_segment, field, first_list_item, haversine_km, label_of, parse_money,
     thousands, to_int,
 )
-from beatline.operators.joins import DEFAULT_BROADCAST_ROWS, fits, join_dim, with_strategy
+from beatline.operators.joins import BROADCAST_BYTES, join_dim, with_strategy
 from beatline.operators.nearest import nearest_distance, nearest_station
 from beatline.operators.relational import (
-    code_between, containing, count_by, in_year, mean_and_count, not_null,
+    code_between, containing, count_by, in_year, mean_and_count, mean_of_counted, not_null,
     rank_within, sort_by_count, top_and_bottom,
 )
 from beatline.sources.text import drop_header
@@ -53,18 +52,20 @@ def top_months_by_count(incidents: DataFrame, ts: str = "occurred_at",
 
 
 TOP_MONTHS_SQL = """
-SELECT year, month, crime_count, rank
-FROM (
-    SELECT YEAR({ts}) AS year,
-           MONTH({ts}) AS month,
-           COUNT(*) AS crime_count,
-           RANK() OVER (PARTITION BY YEAR({ts}) ORDER BY COUNT(*) DESC) AS rank
+WITH dated AS (
+    SELECT date_part('YEAR', {ts}) AS year, date_part('MONTH', {ts}) AS month
     FROM {view}
-    WHERE {ts} IS NOT NULL
-    GROUP BY year, month
-) AS ranked
-WHERE rank <= {top}
-ORDER BY year, rank, month
+    WHERE isnotnull({ts})
+),
+monthly AS (
+    SELECT year, month, count(1) AS crime_count FROM dated GROUP BY ALL
+),
+placed AS (
+    SELECT *, rank() OVER busiest AS rank
+    FROM monthly
+    WINDOW busiest AS (PARTITION BY year ORDER BY crime_count DESC)
+)
+SELECT * FROM placed WHERE rank BETWEEN 1 AND {top} ORDER BY year, rank, month
 """
 
 
@@ -84,7 +85,7 @@ def day_segment_counts(incidents: DataFrame, premises_text: str = STREET_TEXT) -
     return sort_by_count(counted, "crime_count", "day_segment")
 
 
-def day_segment_counts_lines(lines: DataFrame, header: str, premises_text: str = STREET_TEXT,
+def day_segment_counts_lines(lines: DataFrame, header: str | None, premises_text: str = STREET_TEXT,
                              value: str = "value") -> DataFrame:
     """Q2 over raw CSV lines: header lines dropped, fields taken by position
     after a split on every comma (a quoted comma shifts later fields)."""
@@ -103,10 +104,11 @@ def incomes_parsed(incomes: DataFrame) -> DataFrame:
     return incomes.withColumn("income", parse_money("income_text"))
 
 
-def extreme_areas(incomes: DataFrame, k: int = EXTREME_AREAS, drop_nulls: bool = True,
+def extreme_areas(incomes: DataFrame, k: int = EXTREME_AREAS, drop_nulls: bool = False,
                   distinct: bool = False) -> DataFrame:
     """ZIPs of the ``k`` richest and ``k`` poorest areas (≤ 2k rows; income
-    ties → lower ZIP first). A bag union, so with fewer than 2k areas a ZIP
+    ties → lower ZIP first; areas without an income are the poorest, unless
+    ``drop_nulls`` leaves them out). A bag union, so with fewer than 2k areas a ZIP
     can appear twice and its incidents count twice; ``distinct`` keeps one."""
     sel = top_and_bottom(incomes_parsed(incomes), "income", k, keep=["zip"],
                          tie_break=["zip"], drop_nulls=drop_nulls)
@@ -114,42 +116,34 @@ def extreme_areas(incomes: DataFrame, k: int = EXTREME_AREAS, drop_nulls: bool =
 
 
 def geocoded(incidents: DataFrame, geocodes: DataFrame, strategy: str | None = "auto",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left join incidents to the reverse-geocode table on exact (lat, lon);
     ``zip`` is the first ZIP of the geocode's list (text)."""
     geo = geocodes.select("lat", "lon", first_list_item("zip_text").alias("zip"))
-    return incidents.join(with_strategy(geo, strategy, max_rows), ["lat", "lon"], "left")
+    return incidents.join(with_strategy(geo, strategy, max_bytes), ["lat", "lon"], "left")
 
 
 def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, incomes: DataFrame,
                                   year: int, *, k: int = EXTREME_AREAS,
-                                  strategy: str | None = "auto", drop_nulls: bool = True,
-                                  distinct: bool = False, hint_side: str = "dimension",
-                                  max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                                  strategy: str | None = "auto", drop_nulls: bool = False,
+                                  distinct: bool = False, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Victims of ``year`` by descent label, in the ``k`` richest and ``k``
     poorest ZIP areas.
 
-    Same rows as "incidents ⟕ geocodes on (lat, lon), then ⋈ selected ZIPs",
-    but the ≤ 2k selected ZIPs are joined to the geocode table first, so the
-    facts meet only the geocodes of those areas.
+    Same rows as "incidents ⟕ geocodes on (lat, lon), then ⋈ selected ZIPs", but
+    the ≤ 2k selected ZIPs meet the geocode table first, and the incidents are
+    counted by place and label before the join, so a place with very many of
+    them is one row a label and task.
     """
     selected = extreme_areas(incomes, k, drop_nulls, distinct)
     geo = geocodes.select("lat", "lon", to_int(first_list_item("zip_text")).alias("zip"))
-    if strategy in (None, "auto", "broadcast"):
-        # ≤ 2k rows by construction, so it needs no count before a broadcast.
-        geo_sel = geo.join(F.broadcast(selected), "zip")
-    else:
-        geo_sel = join_dim(geo, selected, "zip", strategy=strategy, hint_side=hint_side)
-    facts = not_null(in_year(incidents, "occurred_at", year), "category").select("lat", "lon", "category")
-    geo_sel = geo_sel.select("lat", "lon")
-    if strategy in (None, "auto", "broadcast") and fits(geo, max_rows):
-        # the whole geocode table is within the bound, so its subset is too
-        matched = facts.join(F.broadcast(geo_sel), ["lat", "lon"])
-    else:
-        matched = join_dim(facts, geo_sel, ["lat", "lon"], strategy=strategy,
-                           max_rows=max_rows, hint_side=hint_side)
-    counted = count_by(matched, [label_of("category").alias("category")])
-    return sort_by_count(counted, "crime_count", "category")
+    # ≤ 2k rows by construction, so a small side whatever the data.
+    selected = selected.hint(strategy) if strategy in ("merge", "shuffle_hash") else F.broadcast(selected)
+    places = geo.join(selected, "zip").select("lat", "lon")
+    facts = not_null(in_year(incidents, "occurred_at", year), "category", "lat", "lon")
+    counted = count_by(facts, ["lat", "lon", label_of("category").alias("category")], "n")
+    matched = join_dim(counted, places, ["lat", "lon"], strategy=strategy, max_bytes=max_bytes)
+    return sort_by_count(matched.groupBy("category").agg(F.sum("n").alias("crime_count")), "crime_count", "category")
 
 
 # --- Q4 ---------------------------------------------------------------------------
@@ -162,15 +156,10 @@ def _station_points(stations: DataFrame) -> DataFrame:
 
 def with_area_distance(incidents: DataFrame, stations: DataFrame, default_point=(0.0, 0.0),
                        strategy: str | None = "auto",
-                       max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``distance`` (km, double) from each incident to the station of its area;
     an area without a station measures to ``default_point`` (lat, lon)."""
-    pts = _station_points(stations)
-    if strategy in (None, "auto", "broadcast") and fits(stations, max_rows):
-        # one row per precinct is no more than the station rows counted here
-        pts = F.broadcast(pts)
-    else:
-        pts = with_strategy(pts, strategy, max_rows)
+    pts = with_strategy(_station_points(stations), strategy, max_bytes)
     j = incidents.join(pts, incidents["area_id"] == pts["prec"], "left")
     lat0, lon0 = default_point
     return j.withColumn("distance", haversine_km(
@@ -178,45 +167,51 @@ def with_area_distance(incidents: DataFrame, stations: DataFrame, default_point=
     )).drop("prec", "st_y", "st_x")
 
 
-def _distance_report(df: DataFrame, key: str, out_key: str, dist: str) -> DataFrame:
-    g = mean_and_count(df, [F.col(key).alias(out_key)], dist, "incident_id",
-                       "mean_distance", "crime_count")
-    return g.select(out_key, thousands("mean_distance", 3).alias("average_distance"), "crime_count")
+def _by_place(incidents: DataFrame, *keys: str) -> DataFrame:
+    """Incidents counted by ``keys`` and place: ``n`` rows, ``ids`` of them with an id."""
+    return incidents.groupBy(*keys, "lat", "lon").agg(
+        F.count(F.lit(1)).alias("n"), F.count("incident_id").alias("ids"))
+
+
+def _report(grouped: DataFrame, out_key: str) -> DataFrame:
+    return grouped.select(out_key, thousands("mean_distance", 3).alias("average_distance"), "crime_count")
 
 
 def yearly_area_distance(incidents: DataFrame, stations: DataFrame,
                          strategy: str | None = "auto") -> DataFrame:
     """Per year: mean distance (32-bit, 3 decimals) from firearm incidents to
-    the station of their area, and their count."""
+    the station of their area, and their count. The incidents are counted by
+    year, area and place before the join."""
     fire = code_between(incidents, "weapon_code", *FIREARM_CODES).withColumn("year", F.year("occurred_at"))
-    d = with_area_distance(fire, stations, strategy=strategy)
+    d = with_area_distance(_by_place(fire, "year", "area_id"), stations, strategy=strategy)
     d = d.withColumn("distance", F.col("distance").cast("float"))
-    return _distance_report(d, "year", "year", "distance").orderBy("year")
+    means = mean_of_counted(d, ["year"], "distance", "n", "ids", "mean_distance", "crime_count")
+    return _report(means, "year").orderBy("year")
 
 
 def division_distance_stats(incidents: DataFrame, stations: DataFrame,
                             strategy: str | None = "auto",
-                            max_rows: int = DEFAULT_BROADCAST_ROWS,
-                            aliases: dict[str, str] | None = None,
-                            hint_side: str = "dimension") -> DataFrame:
+                            max_bytes: int = BROADCAST_BYTES,
+                            aliases: dict[str, str] | None = None) -> DataFrame:
     """Per area name: mean distance from armed incidents to the station whose
     division equals the upper-cased area name, and the count (areas without
-    such a station keep their count and get a NULL mean).
+    such a station keep their count and get a NULL mean). The incidents are
+    counted by area and place before the join, so a hot area is dealt out
+    over its places and a hot place is one row a task.
 
     ``aliases`` maps upper-cased area names to division names where the two
     spellings differ (e.g. ``{"N HOLLYWOOD": "NORTH HOLLYWOOD"}``).
     """
-    armed = not_null(incidents, "weapon_code")
+    armed = _by_place(not_null(incidents, "weapon_code"), "area_name")
     st = stations.select("division", F.col("y").alias("st_y"), F.col("x").alias("st_x"))
     key = F.upper(F.col("area_name"))
     if aliases:
         amap = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
         key = F.coalesce(F.try_element_at(amap, key), key)
-    j = join_dim(armed, st, key == F.col("division"), "left", strategy=strategy,
-                 max_rows=max_rows, hint_side=hint_side)
+    j = join_dim(armed, st, key == F.col("division"), "left", strategy=strategy, max_bytes=max_bytes)
     j = j.withColumn("distance", haversine_km("lat", "lon", "st_y", "st_x").cast("float"))
-    out = _distance_report(j, "area_name", "division", "distance")
-    return sort_by_count(out, "crime_count", "division")
+    means = mean_of_counted(j, [F.col("area_name").alias("division")], "distance", "n", "ids", "mean_distance", "crime_count")
+    return sort_by_count(_report(means, "division"), "crime_count", "division")
 
 
 def yearly_nearest_distance(incidents: DataFrame, stations: DataFrame) -> DataFrame:
@@ -225,7 +220,8 @@ def yearly_nearest_distance(incidents: DataFrame, stations: DataFrame) -> DataFr
     fire = code_between(incidents, "weapon_code", *FIREARM_CODES).withColumn("year", F.year("occurred_at"))
     d = nearest_distance(fire, stations, out="distance")
     d = d.withColumn("distance", F.col("distance").cast("float"))
-    return _distance_report(d, "year", "year", "distance").orderBy("year")
+    means = mean_and_count(d, ["year"], "distance", "incident_id", "mean_distance", "crime_count")
+    return _report(means, "year").orderBy("year")
 
 
 def nearest_division_stats(incidents: DataFrame, stations: DataFrame) -> DataFrame:
@@ -237,6 +233,4 @@ def nearest_division_stats(incidents: DataFrame, stations: DataFrame) -> DataFra
     n = n.select("incident_id", F.col("nearest.division").alias("division"),
                  F.coalesce(F.col("nearest.dist"), F.lit(float("inf"))).alias("distance"))
     g = mean_and_count(n, ["division"], "distance", "incident_id", "mean_distance", "crime_count")
-    out = g.select(F.initcap("division").alias("division"),
-                   thousands("mean_distance", 3).alias("average_distance"), "crime_count")
-    return sort_by_count(out, "crime_count", "division")
+    return sort_by_count(_report(g.withColumn("division", F.initcap("division")), "division"), "crime_count", "division")

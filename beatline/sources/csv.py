@@ -1,50 +1,83 @@
 """Typed CSV sources (incidents, stations, incomes, geocodes).
 
 All readers take any Hadoop path or list of paths (``hdfs://``, ``s3a://``,
-local) and a declared schema, so there is no inference pass; the header line
-is skipped and columns are taken by position, which is also how two yearly
-files whose header text differs (``AREA `` vs ``AREA``) line up.
+local). Columns are found by the text of the file's header line, blanks and a
+byte order mark around it removed, so files whose columns stand in another
+order, or whose header differs in blanks (``AREA `` and ``AREA``), line up; a
+file without a needed column fails. Quotes inside a quoted field are doubled.
+A field that does not parse as its type becomes NULL and can be listed in a
+column of bad fields.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beatline.functions.time import parse_date, parse_timestamp
 from beatline.schemas import (
-    GEOCODE_SCHEMA, INCIDENT_CSV_SCHEMA, INCIDENT_RENAME, INCOME_SCHEMA,
-    STATION_SCHEMA, ddl,
+    GEOCODE_HEADER, GEOCODE_SCHEMA, INCIDENT_CSV_SCHEMA, INCIDENT_HEADER, INCOME_HEADER,
+    INCOME_SCHEMA, STATION_HEADER, STATION_SCHEMA, ddl,
 )
 
 Paths = str | Sequence[str]
 
+# --- fixed values: how the public files quote (a quote in a field is doubled).
+CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
+BYTE_ORDER_MARK = "\ufeff"
 
-def read_csv(spark: SparkSession, paths: Paths, schema: T.StructType | None = None,
-             *, header: bool = True, **options) -> DataFrame:
-    """CSV with a declared schema; ``schema=None`` falls back to inference.
 
-    Inference costs one extra distributed pass over the files and is only
-    meant for exploring a new file.
-    """
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    if schema is None:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(schema)
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+def plain_header(text: str) -> str:
+    """Header text without blanks and byte order mark around it."""
+    return text.strip().strip(BYTE_ORDER_MARK).strip()
+
+
+def read_csv_text(spark: SparkSession, path: str, **options) -> DataFrame:
+    """One CSV file, or folder of files with one header, as text columns named by the header.
+    Files of a folder whose header differs from the first one's fail the read."""
+    reader = spark.read.options(header=True, inferSchema=False, enforceSchema=False, **CSV_OPTIONS, **options)
+    raw = reader.csv(path)
+    return raw.toDF(*map(plain_header, raw.columns))
+
+
+def typed_by_header(raw: DataFrame, columns: Mapping[str, T.StructField], bad_fields: str | None = None,
+                    where: str = "the file") -> DataFrame:
+    """Columns of text ``raw``, picked by header, named and typed by ``columns`` (header → field).
+
+    ``bad_fields`` names an extra array column with the names of the fields whose text isn't a
+    value of their type."""
+    missing = [h for h in columns if h not in raw.columns]
+    if missing:
+        raise ValueError(f"{where} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+
+    def cast(head: str, field: T.StructField) -> Column:
+        return F.col(f"`{head}`").try_cast(field.dataType)
 
+    out = [cast(h, f).alias(f.name) for h, f in columns.items()]
+    if bad_fields:
+        out.append(F.array_compact(F.array(*[
+            F.when(F.col(f"`{h}`").isNotNull() & cast(h, f).isNull(), f.name) for h, f in columns.items()])).alias(bad_fields))
+    return raw.select(*out)
 
-def rename_by_header(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename columns of an inferred read through ``mapping``; header text is
-    compared with surrounding blanks removed (``'AREA '`` = ``'AREA'``)."""
-    norm = {k.strip(): v for k, v in mapping.items()}
-    return df.withColumnsRenamed({c: norm[c.strip()] for c in df.columns if c.strip() in norm})
+
+def read_by_header(spark: SparkSession, paths: Paths, header: Sequence[str], schema: T.StructType,
+                   bad_fields: str | None = None, **options) -> DataFrame:
+    """CSV files, each read by its own header line, as one table with the columns of ``schema``;
+    ``header`` gives the header texts of its fields, in order."""
+    columns = {plain_header(h): f for h, f in zip(header, schema.fields)}
+    parts = [typed_by_header(read_csv_text(spark, p, **options), columns, bad_fields, p)
+             for p in ([paths] if isinstance(paths, str) else paths)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_csv_inferred(spark: SparkSession, paths: Paths, **options) -> DataFrame:
+    """CSV with inferred types, for a look at a new file: one more pass over all of it."""
+    reader = spark.read.options(header=True, inferSchema=True, **CSV_OPTIONS, **options)
+    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
 def type_incidents(raw: DataFrame) -> DataFrame:
@@ -55,23 +88,15 @@ def type_incidents(raw: DataFrame) -> DataFrame:
     })
 
 
-def read_incidents_csv(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_incidents_csv(spark: SparkSession, paths: Paths, bad_fields: str | None = None) -> DataFrame:
     """Incident files (one or several periods) → typed, snake_case DataFrame."""
-    return type_incidents(read_csv(spark, paths, INCIDENT_CSV_SCHEMA))
-
-
-def read_incidents_csv_inferred(spark: SparkSession, paths: Paths) -> DataFrame:
-    """The reference's way: header names + inferred types, then renamed and typed."""
-    raw = rename_by_header(read_csv(spark, paths, None), INCIDENT_RENAME)
-    casts = {n: F.col(n).try_cast(t) for n, t in
-             ((f.name, f.dataType) for f in INCIDENT_CSV_SCHEMA) if n in raw.columns}
-    return type_incidents(raw.withColumns(casts))
+    return type_incidents(read_by_header(spark, paths, INCIDENT_HEADER, INCIDENT_CSV_SCHEMA, bad_fields))
 
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """CSV text lines (no header) → typed rows, with the same parser as the
-    file reader (``from_csv``: quotes honoured, bad fields → NULL)."""
-    parsed = lines.select(F.from_csv(F.col(value), ddl(schema), {"mode": "PERMISSIVE"}).alias("r"))
+    """CSV text lines (no header) → typed rows by position, quoted as in the files
+    (``from_csv``: bad fields → NULL)."""
+    parsed = lines.select(F.from_csv(F.col(value), ddl(schema), CSV_OPTIONS).alias("r"))
     return parsed.select("r.*")
 
 
@@ -81,19 +106,18 @@ def parse_incident_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_stations_csv(spark: SparkSession, path: Paths) -> DataFrame:
-    """Station file ``X,Y,FID,DIVISION,LOCATION,PREC`` (a leading BOM is fine)."""
-    return read_csv(spark, path, STATION_SCHEMA)
+    """Station file with the columns X, Y, FID, DIVISION, LOCATION, PREC (a leading BOM is fine)."""
+    return read_by_header(spark, path, STATION_HEADER, STATION_SCHEMA)
 
 
 def read_incomes_csv(spark: SparkSession, path: Paths) -> DataFrame:
     """Income file: quoted fields with commas; money kept as text (``income_text``)."""
-    return read_csv(spark, path, INCOME_SCHEMA)
+    return read_by_header(spark, path, INCOME_HEADER, INCOME_SCHEMA)
 
 
 def read_geocodes_csv(spark: SparkSession, path: Paths) -> DataFrame:
-    """Reverse-geocode file ``LAT,LON,ZIPcode`` (ZIPcode may be a comma list)."""
-    return read_csv(spark, path, GEOCODE_SCHEMA)
-
+    """Reverse-geocode file with the columns LAT, LON, ZIPcode (ZIPcode may be a comma list)."""
+    return read_by_header(spark, path, GEOCODE_HEADER, GEOCODE_SCHEMA)
 
 
 def write_incidents_parquet(incidents: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -101,16 +125,19 @@ def write_incidents_parquet(incidents: DataFrame, path: str, mode: str = "overwr
     later questions read only the columns they use and a year filter skips
     other years' folders.
 
-    Rows are range-partitioned by date (never hashed by year, which would send
-    a whole year to one task): each task writes one date slice, sorted, so
-    files are few and their min/max statistics stay narrow.
+    Rows are range-partitioned by date and, within a date, by the row's hash
+    (never hashed by year, which would send a whole year to one task): each
+    task writes one slice, sorted by date, so files are few and their min/max
+    statistics stay narrow, and a hot day or the rows without a date spread
+    over several tasks.
     """
     from beatline.operators.relational import YEAR_PARTITION
     (year_partitioned(incidents).write.mode(mode).partitionBy(YEAR_PARTITION).parquet(path))
 
 
 def year_partitioned(incidents: DataFrame) -> DataFrame:
-    """Incidents with ``occurred_year``, range-partitioned and sorted by date."""
+    """Incidents with ``occurred_year``, range-partitioned by date and row hash, sorted by date."""
     from beatline.operators.relational import YEAR_PARTITION
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in incidents.columns])
     return (incidents.withColumn(YEAR_PARTITION, F.year("occurred_at"))
-            .repartitionByRange("occurred_at").sortWithinPartitions("occurred_at"))
+            .repartitionByRange(F.col("occurred_at"), spread).sortWithinPartitions("occurred_at"))

@@ -1,15 +1,10 @@
-"""Parquet source and the union of period tables."""
+"""The union of period tables."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table; filters and projections on it reach the scan."""
-    return spark.read.parquet(path)
+from pyspark.sql import DataFrame
 
 
 def union_periods(*periods: DataFrame, by_name: bool = True) -> DataFrame:

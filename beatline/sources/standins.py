@@ -2,34 +2,35 @@
 
 The real incident, station, income and reverse-geocode files are not
 available, so the queries run on views that Spark derives from whole driver
-tables (``orders``, ``nation``, ``customer``). Each view is given twice: as
-DataFrame code (``build_*``) and as DuckDB SQL text (what the oracle runs).
-
-The incident view is written once into the shared checkpoint folder in the
-forms the real input has: Parquet, and two CSV files (one per period, each
-with its header); the stations are written as CSV. The questions read those
-files through the package's own readers. The income and geocode views are
-derived from the whole customer table whenever a question runs (so the
-work grows with the data) and pass through the CSV parser as text lines.
-
-Coordinates are 64ths of a degree, so they are exact doubles and safe as
-equi-join keys.
+tables (``orders``, ``nation``, ``customer``) whenever a question runs. Where a
+file is the point (CSV, text lines), the view is written as CSV files into a
+new folder of the shared checkpoint folder, each time, and read back by the
+package's own readers; no copy outlives the question that made it.
+
+``beatline.plans.oracle`` states the same views as SQL of its own.
+
+Coordinates are 1024ths of a degree, so they are exact doubles and safe as
+equi-join keys. About one incident in nine lies at (0, 0), as unknown places
+do in the real files; some have no date, no coordinates or no time.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatline.functions.text import DESCENT_LABELS
 from beatline.functions.time import pattern_text
 from beatline.schemas import (
-    INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, STATION_HEADER,
+    GEOCODE_HEADER, INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, INCOME_HEADER,
+)
+from beatline.session import ensure_checkpoint_dir
+from beatline.sources.csv import (
+    BYTE_ORDER_MARK, read_geocodes_csv, read_incidents_csv, read_incomes_csv, read_stations_csv,
 )
-from beatline.schemas import GEOCODE_SCHEMA, INCOME_SCHEMA
-from beatline.sources.csv import parse_csv_lines, read_incidents_csv, read_stations_csv
-from beatline.sources.materialize import materialize
 from beatline.sources.text import read_lines
 
 # Year of the category-by-area question (the driver's dates run 1995-2001).
@@ -38,6 +39,10 @@ STANDIN_YEAR = 1997
 SECOND_HEADER_NAMES = tuple(h.strip() for h in INCIDENT_HEADER)
 SECOND_HEADER = ",".join(SECOND_HEADER_NAMES)
 FIRST_HEADER = ",".join(INCIDENT_HEADER)
+# The two incident files split at this date (like 2010-2019 and 2020-present).
+PERIOD_CUT = "2000-01-01 00:00:00"
+# Victim codes of the fixture: the known ones and one that no label has.
+VICTIM_CODES = "".join(DESCENT_LABELS) + "Q"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,46 +50,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _grid(idx: Column, base: float) -> Column:
-    return F.lit(base) + idx.cast("double") / 64.0
+    return F.lit(base) + idx.cast("double") / 1024.0
 
 
-# A change to this module's recipes writes new input files instead of reusing old ones.
-_RECIPE = hashlib.sha1(open(__file__, "rb").read()).hexdigest()[:12]
-
-
-def _materialize(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    return materialize(spark, sf_dir, name, write, salt=_RECIPE)
-
-
-def _files(spark: SparkSession) -> int:
-    try:
-        return max(2, spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
-        return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+def _place(c: Column) -> tuple[Column, Column]:
+    """Grid indices of a customer's home: one place for each customer."""
+    return c * 37 % 4096, (c * 91 + F.floor(c / 4096)) % 4096
 
 
 # --- the views, computed from the driver tables ------------------------------------
 
 def build_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One incident per order: the date is the order date, the rest is a
-    deterministic function of the keys (with NULLs, gaps and odd values)."""
-    o = _table(spark, sf_dir, "orders")
+    """One incident per order: the order's day with a time of day, at the customer's place; the
+    rest is a deterministic function of the keys (with NULLs, gaps and odd values)."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
+    hour, minute = k * 7 % 24, F.floor(k / 24) % 60
+    li, lo = _place(c)
     area = (c % 27 + 1).cast("int")
-    return o.select(
+    at = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hour.cast("int"), minute.cast("int"))
+    dated = k % 97 != 5
+    return _table(spark, sf_dir, "orders").select(
         k.alias("incident_id"),
-        F.col("o_orderdate").alias("occurred_at"),
-        (((k * 7) % 24) * 100 + F.floor(k / 24) % 60).cast("int").alias("time_hhmm"),
+        F.when(dated, at).alias("occurred_at"),
+        F.when(dated, at + F.make_dt_interval(F.lit(1), F.lit(6))).alias("reported_at"),
+        F.when(k % 89 != 3, (hour * 100 + minute).cast("int")).alias("time_hhmm"),
         area.alias("area_id"),
         F.concat(F.lit("Area "), area.cast("string")).alias("area_name"),
-        F.when(k % 17 != 0, F.substring(F.lit("ABCDFGHIJKLOPSUVWXZQ"), (k % 20 + 1).cast("int"), 1))
+        F.when(k % 13 != 0, (k * 11 % 90 + 10).cast("int")).alias("victim_age"),
+        F.when(k % 17 != 0, F.substring(F.lit(VICTIM_CODES), (k % len(VICTIM_CODES) + 1).cast("int"), 1))
         .alias("category"),
         F.when(k % 3 != 0, (k % 450 + 100).cast("int")).alias("weapon_code"),
         F.when(k % 4 == 0, "STREET").when(k % 4 == 1, "PARKING LOT")
         .when(k % 4 == 2, "STREET, SIDE").alias("premises"),
-        F.when(k % 101 != 0, _grid(k * 37 % 64, 33.5)).alias("lat"),
-        _grid(k * 91 % 48, -118.75).alias("lon"),
-        F.when(k % 5 == 0, "THEFT, PETTY").otherwise("THEFT").alias("crime_desc"),
+        F.when(k % 9 == 0, 0.0).when(k % 101 != 0, _grid(li, 33.5)).alias("lat"),
+        F.when(k % 9 == 0, 0.0).otherwise(_grid(lo, -118.75)).alias("lon"),
+        F.when(k % 5 == 0, 'THEFT, "PETTY"').otherwise("THEFT").alias("crime_desc"),
     )
 
 
@@ -92,8 +92,8 @@ def build_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 stations, one per nation; areas 26 and 27 have none."""
     n = F.col("n_nationkey")
     return _table(spark, sf_dir, "nation").select(
-        _grid(n * 29 % 48, -118.75).alias("x"),
-        _grid(n * 53 % 64, 33.5).alias("y"),
+        _grid(n * 163 % 4096, -118.75).alias("x"),
+        _grid(n * 211 % 4096, 33.5).alias("y"),
         (n + 1).cast("int").alias("fid"),
         F.concat(F.lit("AREA "), (n + 1).cast("string")).alias("division"),
         F.col("n_name").alias("location"),
@@ -102,234 +102,105 @@ def build_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per ZIP: customers grouped into 60 ZIPs, money as text
-    (``$12,345``), ``---`` for two ZIPs without an estimate."""
-    cu = _table(spark, sf_dir, "customer")
-    g = cu.groupBy((F.col("c_custkey") % 60).alias("z")).agg(
-        F.sum(F.floor("c_acctbal")).alias("amount"))
+    """One row per ZIP, 25 customers each, money as text (``$12,345``), ``---`` for some ZIPs
+    without an estimate."""
+    z = F.floor(F.col("c_custkey") / 25)
+    g = _table(spark, sf_dir, "customer").groupBy(z.alias("z")).agg(F.sum(F.floor("c_acctbal")).alias("amount"))
     zip_ = (F.col("z") + 90000).cast("int")
     return g.select(
         zip_.alias("zip"),
-        F.concat(F.lit("Community, "), F.col("z").cast("string")).alias("community"),
+        F.concat(F.lit('The "Old" Town, '), F.col("z").cast("string")).alias("community"),
         F.when(zip_ % 29 == 7, "---")
         .otherwise(F.concat(F.lit("$"), F.format_number("amount", 0))).alias("income_text"),
     )
 
 
 def build_geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coordinate → ZIP text, one point per customer key, de-duplicated.
+    """Coordinate → ZIP text, one point per customer, some of them at (0, 0), de-duplicated.
 
     ZIP text is a single code, a ``code,99999`` list, or ``N/A``.
     """
     c = F.col("c_custkey")
-    li, lo = c * 37 % 64, c * 91 % 48
-    cell = li * 48 + lo
-    zip_ = (cell % 60 + 90000).cast("string")
+    li, lo = _place(c)
+    zip_ = (F.floor(c / 25) + 90000).cast("string")
+    nowhere = c % 1000 == 0
     return _table(spark, sf_dir, "customer").select(
-        _grid(li, 33.5).alias("lat"),
-        _grid(lo, -118.75).alias("lon"),
-        F.when(li == 5, "N/A").when(cell % 2 == 0, F.concat(zip_, F.lit(",99999")))
+        F.when(nowhere, 0.0).otherwise(_grid(li, 33.5)).alias("lat"),
+        F.when(nowhere, 0.0).otherwise(_grid(lo, -118.75)).alias("lon"),
+        F.when(nowhere | (li % 64 == 5), "N/A").when(c % 2 == 0, F.concat(zip_, F.lit(",99999")))
         .otherwise(zip_).alias("zip_text"),
     ).distinct()
 
 
-def incident_file_frame(inc: DataFrame, header: tuple[str, ...] = INCIDENT_HEADER) -> DataFrame:
+def incident_file_frame(inc: DataFrame, header: Sequence[str] = INCIDENT_HEADER) -> DataFrame:
     """Incidents in the public 28-column file layout, named by ``header``;
     dates as ``MM/dd/yyyy hh:mm:ss a`` text, unknown columns empty."""
-    text = pattern_text("occurred_at")
-    have = set(inc.columns)
+    given = {"reported_text": pattern_text("reported_at"), "occurred_text": pattern_text("occurred_at")}
     cols = []
     for (name, dtype), head in zip(INCIDENT_COLUMNS, header):
-        if name in ("reported_text", "occurred_text"):
-            c = text
-        elif name in have:
-            c = F.col(name)
-        else:
-            c = F.lit(None).cast(dtype)
+        c = given.get(name, F.col(name) if name in inc.columns else F.lit(None).cast(dtype))
         cols.append(c.alias(head))
     return inc.select(*cols)
 
 
-# --- the views as files, written once into the shared folder ---------------------
+# --- the views as files ---------------------------------------------------------------
 
-_CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
+_CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
               "ignoreTrailingWhiteSpace": "false"}
-# The two incident files split at this date (like 2010-2019 and 2020-present).
-PERIOD_CUT = "2000-01-01 00:00:00"
-
-
-def _write_csv(df: DataFrame, path: str, files: int) -> None:
-    df.repartition(files).write.mode("overwrite").options(**_CSV_WRITE).csv(path)
 
 
-def incidents_path(spark: SparkSession, sf_dir: str) -> str:
-    """Parquet incident table, range-partitioned by date into several files so
-    a date filter skips whole files by their min/max statistics."""
-    def write(path):
-        (build_incidents(spark, sf_dir).repartitionByRange(_files(spark), "occurred_at")
-         .sortWithinPartitions("occurred_at").write.mode("overwrite").parquet(path))
-    return _materialize(spark, sf_dir, "incidents", write)
+def _write_csv(df: DataFrame, name: str) -> str:
+    """Writes ``df`` as CSV files, each with a header, in a new shared folder."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/beatline-inputs/{name}-{uuid.uuid4().hex}"
+    df.write.options(**_CSV_WRITE).csv(path)
+    return path
 
 
 def incident_csv_paths(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The incident CSV files of both periods (each file starts with a header;
-    the second period names the area column without the trailing blank)."""
+    """The incident CSV files of both periods (each file starts with a header; the second
+    period names the area column without the trailing blank, and holds the rows without a date)."""
     cut = F.lit(PERIOD_CUT).cast("timestamp_ntz")
-    half = max(1, _files(spark) // 2)
-
-    def period(cond, header):
-        def write(p):
-            inc = incidents(spark, sf_dir).filter(cond)
-            _write_csv(incident_file_frame(inc, header), p, half)
-        return write
-    first = _materialize(spark, sf_dir, "incidents-csv-1",
-                         period(F.col("occurred_at") < cut, INCIDENT_HEADER))
-    second = _materialize(spark, sf_dir, "incidents-csv-2",
-                          period(F.col("occurred_at") >= cut, SECOND_HEADER_NAMES))
-    return [first, second]
-
-
-def _dim_csv(spark: SparkSession, sf_dir: str, name: str, build, header: tuple[str, ...]) -> str:
-    return _materialize(spark, sf_dir, name, lambda p: _write_csv(
-        build(spark, sf_dir).toDF(*header), p, 1))
-
-
-# DataFrames of the inputs, per session: listing the files, reading Parquet
-# footers and analysing the derivations again for every question would only
-# repeat the same answer (the data is still read when a question runs).
-_READERS: dict[tuple[int, str], DataFrame] = {}
-
-
-def _reader(spark: SparkSession, path: str, read) -> DataFrame:
-    key = (id(spark), path)
-    df = _READERS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READERS[key] = read(path)
-    return df
+    inc = build_incidents(spark, sf_dir)
+    early = F.coalesce(F.col("occurred_at") < cut, F.lit(False))
+    return [_write_csv(incident_file_frame(inc.filter(early), INCIDENT_HEADER), "incidents-1"),
+            _write_csv(incident_file_frame(inc.filter(~early), SECOND_HEADER_NAMES), "incidents-2")]
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed incidents (Parquet)."""
-    return _reader(spark, incidents_path(spark, sf_dir), spark.read.parquet)
-
-
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stations read from their CSV file (``X,Y,FID,DIVISION,LOCATION,PREC``)."""
-    path = _dim_csv(spark, sf_dir, "stations", build_stations, STATION_HEADER)
-    return _reader(spark, path, lambda p: read_stations_csv(spark, p))
-
-
-def _as_csv_rows(df: DataFrame, schema) -> DataFrame:
-    """``df`` written as CSV text lines (``to_csv``: fields with a comma are
-    quoted) and parsed back with the CSV parser under ``schema``."""
-    lines = df.select(F.to_csv(F.struct(*[F.col(f.name) for f in schema])).alias("value"))
-    return parse_csv_lines(lines, schema)
-
-
-def incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incomes by ZIP, derived from the whole customer table when the question
-    runs and passed through the CSV parser (quoted fields, money text)."""
-    return _reader(spark, f"{sf_dir}|incomes", lambda _: _as_csv_rows(build_incomes(spark, sf_dir), INCOME_SCHEMA))
-
-
-def geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coordinate → ZIP text, derived from the whole customer table when the
-    question runs and passed through the CSV parser (``LAT,LON,ZIPcode``)."""
-    return _reader(spark, f"{sf_dir}|geocodes", lambda _: _as_csv_rows(build_geocodes(spark, sf_dir), GEOCODE_SCHEMA))
+    """Typed incidents, derived from all orders."""
+    return build_incidents(spark, sf_dir)
 
 
-def incidents_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incidents_csv(spark: SparkSession, sf_dir: str, bad_fields: str | None = None) -> DataFrame:
     """Typed incidents read back from both periods' CSV files."""
-    paths = incident_csv_paths(spark, sf_dir)
-    return _reader(spark, "|".join(paths) + "|csv", lambda _: read_incidents_csv(spark, paths))
+    return read_incidents_csv(spark, incident_csv_paths(spark, sf_dir), bad_fields)
 
 
 def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incident CSV files of both periods as whole text lines (headers included)."""
-    paths = incident_csv_paths(spark, sf_dir)
-    return _reader(spark, "|".join(paths) + "|lines", lambda _: read_lines(spark, paths))
+    return read_lines(spark, incident_csv_paths(spark, sf_dir))
 
 
-def core(df: DataFrame) -> DataFrame:
-    return df.select(*INCIDENT_CORE)
+def stations_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations read from a CSV file whose header starts with a byte order mark and has the
+    columns in another order than the package's."""
+    st = build_stations(spark, sf_dir).select(
+        F.col("fid").alias(BYTE_ORDER_MARK + "FID"), F.col("prec").alias("PREC"), F.col("x").alias("X"),
+        F.col("y").alias("Y"), F.col("division").alias("DIVISION"), F.col("location").alias("LOCATION "))
+    return read_stations_csv(spark, _write_csv(st, "stations"))
 
 
-# ----------------------------------------------------------------------------
-# The same views as DuckDB SQL (CTE bodies), used by the oracle.
-
-INCIDENTS_SQL = """
-select o_orderkey as incident_id, o_orderdate as occurred_at,
- cast(((o_orderkey*7)%24)*100 + (o_orderkey//24)%60 as integer) as time_hhmm,
- cast(o_custkey%27+1 as integer) as area_id,
- concat('Area ', cast(cast(o_custkey%27+1 as integer) as varchar)) as area_name,
- case when o_orderkey%17<>0 then substr('ABCDFGHIJKLOPSUVWXZQ', cast(o_orderkey%20+1 as integer), 1) end as category,
- case when o_orderkey%3<>0 then cast(o_orderkey%450+100 as integer) end as weapon_code,
- case when o_orderkey%4=0 then 'STREET' when o_orderkey%4=1 then 'PARKING LOT'
-      when o_orderkey%4=2 then 'STREET, SIDE' end as premises,
- case when o_orderkey%101<>0 then 33.5 + cast(o_orderkey*37%64 as double)/64.0 end as lat,
- -118.75 + cast(o_orderkey*91%48 as double)/64.0 as lon,
- case when o_orderkey%5=0 then 'THEFT, PETTY' else 'THEFT' end as crime_desc
-from orders
-"""
+def incomes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incomes by ZIP read from a CSV file (quoted fields with commas and quotes, money text)."""
+    return read_incomes_csv(spark, _write_csv(build_incomes(spark, sf_dir).toDF(*INCOME_HEADER), "incomes"))
 
-STATIONS_SQL = """
-select -118.75 + cast(n_nationkey*29%48 as double)/64.0 as x,
- 33.5 + cast(n_nationkey*53%64 as double)/64.0 as y,
- cast(n_nationkey+1 as integer) as fid,
- concat('AREA ', cast(n_nationkey+1 as varchar)) as division,
- n_name as location, cast(n_nationkey+1 as integer) as prec
-from nation
-"""
 
-INCOMES_SQL = """
-select cast(z+90000 as integer) as zip, concat('Community, ', cast(z as varchar)) as community,
- case when (z+90000)%29=7 then '---' else concat('$', format('{:,}', amount)) end as income_text
-from (select c_custkey%60 as z, sum(cast(floor(c_acctbal) as bigint)) as amount
-      from customer group by c_custkey%60)
-"""
-
-GEOCODES_SQL = """
-select distinct 33.5 + cast(li as double)/64.0 as lat, -118.75 + cast(lo as double)/64.0 as lon,
- case when li=5 then 'N/A'
-      when (li*48+lo)%2=0 then concat(cast((li*48+lo)%60+90000 as varchar), ',99999')
-      else cast((li*48+lo)%60+90000 as varchar) end as zip_text
-from (select c_custkey*37%64 as li, c_custkey*91%48 as lo from customer)
-"""
+def geocodes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinate → ZIP text read from a CSV file (``LAT,LON,ZIPcode``)."""
+    return read_geocodes_csv(spark, _write_csv(build_geocodes(spark, sf_dir).toDF(*GEOCODE_HEADER), "geocodes"))
 
 
-def _duck_field(expr: str) -> str:
-    s = f"coalesce(cast({expr} as varchar), '')"
-    return (f"(case when contains({s}, ',') or contains({s}, '\"') "
-            f"then concat('\"', replace({s}, '\"', '\"\"'), '\"') else {s} end)")
-
-
-def _lines_sql() -> str:
-    """Body lines of the incident CSV files (header lines not included)."""
-    have = {"incident_id", "time_hhmm", "area_id", "area_name", "category",
-            "weapon_code", "premises", "lat", "lon", "crime_desc"}
-    text = "strftime(occurred_at, '%m/%d/%Y %I:%M:%S %p')"
-    parts = []
-    for name, _ in INCIDENT_COLUMNS:
-        if name in ("reported_text", "occurred_text"):
-            parts.append(_duck_field(text))
-        elif name in have:
-            parts.append(_duck_field(name))
-        else:
-            parts.append("''")
-    return f"select concat_ws(',', {', '.join(parts)}) as value from incidents"
-
-
-LINES_SQL = _lines_sql()
-
-
-def with_views(body: str, *names: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
-    """Prefix ``body`` with the views it needs (``incidents``, ``stations`` ...)
-    and then any further ``(name, sql)`` CTEs, in order."""
-    defs = {"incidents": INCIDENTS_SQL, "stations": STATIONS_SQL,
-            "incomes": INCOMES_SQL, "geocodes": GEOCODES_SQL, "lines": LINES_SQL}
-    order = ["incidents", "stations", "incomes", "geocodes", "lines"]
-    need = [n for n in order if n in names]
-    if "lines" in need and "incidents" not in need:
-        need.insert(0, "incidents")
-    parts = [(n, defs[n]) for n in need] + list(ctes)
-    return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts) + "\n" + body
+def core(df: DataFrame) -> DataFrame:
+    return df.select(*INCIDENT_CORE)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beatline.functions import (
-    csv_line, day_segment, field, first_list_item, haversine_km, hhmm, label_of,
+    day_segment, field, first_list_item, haversine_km, label_of,
     parse_date, parse_money, parse_timestamp, thousands, to_int,
 )
 
@@ -35,11 +35,6 @@ def test_parse_timestamp_and_date(spark):
     assert df.select(parse_timestamp("s")).schema[0].dataType.simpleString() == "timestamp_ntz"
 
 
-def test_hhmm(spark):
-    df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 23, 59),)], "t timestamp_ntz")
-    assert df.select(hhmm("t")).first()[0] == 2359
-
-
 def test_parse_money(spark):
     rows = [("$1,234",), ("---",), ("No 2021 estimate ($90,546 in 2020)",), (None,), ("$166,021",)]
     df = spark.createDataFrame(rows, "s string")
@@ -79,13 +74,10 @@ def test_thousands(spark):
     assert [r[0] for r in df.select(thousands("x", 3)).collect()] == ["12,345.679", None, "∞"]
 
 
-def test_csv_line_and_field(spark):
-    df = spark.createDataFrame([("a", "b,c", None, 'q"t'), ("x", "y", "z", "w")], "p string, q string, r string, s string")
-    lines = [r[0] for r in df.select(csv_line("p", "q", "r", "s")).collect()]
-    assert lines == ['a,"b,c",,"q""t"', "x,y,z,w"]
-    ldf = spark.createDataFrame([(lines[0],), ("short",)], "value string")
+def test_field_is_a_plain_split(spark):
+    ldf = spark.createDataFrame([('a,"b,c",,"q""t"',), ("short",)], "value string")
     got = [tuple(r) for r in ldf.select(field("value", 1), field("value", 2), field("value", 9)).collect()]
-    # a plain split: the quoted comma splits the field
+    # the quoted comma splits the field
     assert got == [('"b', 'c"', None), (None, None, None)]
 
 

@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 
 from beatline.functions.geo import EARTH_RADIUS_KM
 from beatline.operators import (
-    checked_broadcast, nearest_distance, nearest_station, profile, rank_within, top_and_bottom,
+    nearest_distance, nearest_station, profile, rank_within, top_and_bottom,
     top_k, with_udf,
 )
-from beatline.operators import nearest as nearest_mod
 from beatline.plans import queries as Q
 
 
 def _hav(lat1, lon1, lat2, lon2):
-    hl, ho = math.radians(lat2 - lat1) / 2, math.radians(lon2 - lon1) / 2
-    a = math.sin(hl) * math.sin(hl) + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * math.sin(ho) * math.sin(ho)
-    return EARTH_RADIUS_KM * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+    """Distance by the chord between two points of the sphere."""
+    def point(lat, lon):
+        t, p = math.radians(lat), math.radians(lon)
+        return math.cos(t) * math.cos(p), math.cos(t) * math.sin(p), math.sin(t)
+    return EARTH_RADIUS_KM * 2 * math.asin(min(1.0, math.dist(point(lat1, lon1), point(lat2, lon2)) / 2))
+
+
+def _close(a, b):
+    return math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-6)
 
 
 def test_rank_ties_keep_more_than_k(spark):
@@ -32,9 +37,9 @@ def test_top_k_ties_and_nulls(spark):
     df = spark.createDataFrame([(90003, 10.0), (90001, 10.0), (90002, 5.0), (90004, None)],
                                "zip int, income float")
     assert [r.zip for r in top_k(df, "income", 2, tie_break=["zip"]).collect()] == [90001, 90003]
-    assert [r.zip for r in top_k(df, "income", 1, descending=False, tie_break=["zip"]).collect()] == [90002]
-    kept = top_k(df, "income", 1, descending=False, tie_break=["zip"], drop_nulls=False).collect()
-    assert [r.zip for r in kept] == [90004]
+    dropped = top_k(df, "income", 1, descending=False, tie_break=["zip"], drop_nulls=True).collect()
+    assert [r.zip for r in dropped] == [90002]
+    assert [r.zip for r in top_k(df, "income", 1, descending=False, tie_break=["zip"]).collect()] == [90004]
 
 
 def test_top_and_bottom_overlap(spark):
@@ -70,39 +75,50 @@ def test_nearest_skips_null_station_coordinates(spark):
     assert nearest_station(facts, st, out="n").first().n.division == "B"
 
 
-def test_nearest_matches_brute_force_all_paths(spark, monkeypatch):
-    rnd = random.Random(7)
-    st_rows = [(i, f"D{i}", 33.5 + rnd.randrange(64) / 64, -118.75 + rnd.randrange(48) / 64) for i in range(1, 91)]
-    st_rows.append((91, "NULL", None, -118.0))
-    f_rows = [(i, None if i % 13 == 0 else 33.5 + rnd.randrange(64) / 64, -118.75 + rnd.randrange(48) / 64)
-              for i in range(300)]
-    expect = {}
+def _brute(f_rows, st_rows):
+    out = {}
     for i, la, lo in f_rows:
-        best = None
-        for fid, div, y, x in st_rows:
-            if la is None or y is None:
-                continue
-            d = _hav(la, lo, y, x)
-            if best is None or (d, fid) < best:
-                best = (d, fid)
-        expect[i] = best
-    st = _stations(spark, st_rows)
-    facts = spark.createDataFrame(f_rows, "id int, lat double, lon double")
+        known = [(_hav(la, lo, y, x), fid) for fid, _, y, x in st_rows if la is not None and y is not None]
+        out[i] = min(known) if known else None
+    return out
+
+
+def _same(df, expect):
+    got = {r.id: r.n for r in df.collect()}
+    assert got.keys() == expect.keys()
+    for i, e in expect.items():
+        assert (got[i] is None) == (e is None)
+        assert e is None or (_close(got[i].dist, e[0]) and got[i].key == e[1])
+
+
+def test_nearest_matches_brute_force(spark):
+    """Stations all over the world, some without a position; places with none."""
+    rnd = random.Random(7)
+    for size in (1, 2, 7, 91, 400):
+        st_rows = [(i, f"D{i}", rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(1, size + 1)]
+        st_rows.append((size + 1, "NULL", None, -118.0))
+        f_rows = [(i, None if i % 13 == 0 else rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(200)]
+        facts = spark.createDataFrame(f_rows, "id int, lat double, lon double")
+        _same(nearest_station(facts, _stations(spark, st_rows), out="n"), _brute(f_rows, st_rows))
 
-    def check(df):
-        got = {r.id: (None if r.n is None else (r.n.dist, r.n.key)) for r in df.collect()}
-        for i, e in expect.items():
-            if e is None:
-                assert got[i] is None
-            else:
-                assert got[i][1] == e[1] and math.isclose(got[i][0], e[0], rel_tol=1e-12)
 
-    check(nearest_station(facts, st, out="n"))                      # 91: two unrolled chunks
-    monkeypatch.setattr(nearest_mod, "UNROLL_MAX", 200)
-    check(nearest_station(facts, st, out="n"))                      # one unrolled chunk
-    check(nearest_station(facts, st, out="n", max_rows=20))         # blocks beyond the bound
-    monkeypatch.setattr(nearest_mod, "UNROLL_TOTAL", 50)
-    check(nearest_station(facts, st, out="n"))                      # array lambda
+def test_nearest_with_many_identical_stations(spark):
+    """Any number of stations at one place are one, with the lowest key."""
+    st = _stations(spark, [(i, "SAME", 34.0, -118.0) for i in range(1, 42)] + [(99, "OTHER", 35.0, -118.0)])
+    facts = spark.createDataFrame([(1, 34.1, -118.0), (2, 34.9, -118.0)], "id int, lat double, lon double")
+    got = {r.id: (r.n.key, r.n.division) for r in nearest_station(facts, st, out="n").collect()}
+    assert got == {1: (1, "SAME"), 2: (99, "OTHER")}
+
+
+def test_nearest_at_the_antipode_and_without_stations(spark):
+    rnd = random.Random(5)
+    f_rows = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 0)) for i in range(2000)]
+    facts = spark.createDataFrame(f_rows, "id int, lat double, lon double")
+    pairs = facts.select("id", "lat", "lon", (-F.col("lat")).alias("y"), (F.col("lon") + 180).alias("x"))
+    from beatline.functions import haversine_km
+    far = pairs.select(haversine_km("lat", "lon", "y", "x").alias("d")).collect()
+    assert all(r.d is not None and abs(r.d - math.pi * EARTH_RADIUS_KM) < 1 for r in far)
+    assert all(r.n is None for r in nearest_station(facts, _stations(spark, []), out="n").collect())
 
 
 def test_nearest_distance_null_coordinates(spark):
@@ -135,14 +151,20 @@ def test_with_udf_both_modes(spark):
     assert isinstance(pd.Series([1]), pd.Series)
 
 
-def test_checked_broadcast_falls_back(spark):
+def test_broadcast_is_bounded_by_bytes(spark):
+    from beatline.operators import estimated_bytes, with_strategy
     small = spark.range(5)
-    big = spark.range(50)
-    j1 = spark.range(100).join(checked_broadcast(small, 10), "id")
-    j2 = spark.range(100).join(checked_broadcast(big, 10), "id")
-    assert j1.count() == 5 and j2.count() == 50
-    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
+    assert 0 < estimated_bytes(small) < 1000
+    for most, marked in ((1000, True), (1, False)):
+        j = spark.range(100).join(with_strategy(small, "broadcast", most), "id")
+        assert ("broadcast" in j._jdf.queryExecution().analyzed().toString().lower()) == marked
+        assert j.count() == 5
+
+
+def test_poorest_areas_without_income_come_first(spark):
+    inc = spark.createDataFrame([(1, "$5"), (2, "---"), (3, "$1"), (4, "$9")], "zip int, income_text string")
+    assert [r.zip for r in Q.extreme_areas(inc, 2).collect()] == [4, 1, 2, 3]
+    assert [r.zip for r in Q.extreme_areas(inc, 2, drop_nulls=True).collect()] == [4, 1, 3, 1]
 
 
 def test_extreme_areas_distinct_and_aliases(spark):
@@ -170,17 +192,3 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 16
-
-
-def test_nearest_blocks_with_one_shared_key(spark):
-    """A third (here all) of the stations share one key: the hash blocks still
-    stay bounded and the answer is exact."""
-    rnd = random.Random(11)
-    st_rows = [(1, f"D{i:02d}", 33.5 + rnd.randrange(64) / 64, -118.75 + rnd.randrange(48) / 64) for i in range(60)]
-    f_rows = [(i, 33.5 + rnd.randrange(64) / 64, -118.75 + rnd.randrange(48) / 64) for i in range(50)]
-    got = {r.id: (r.n.dist, r.n.division) for r in
-           nearest_station(spark.createDataFrame(f_rows, "id int, lat double, lon double"),
-                           _stations(spark, st_rows), out="n", max_rows=10).collect()}
-    for i, la, lo in f_rows:
-        d, div = min((_hav(la, lo, y, x), dv) for _, dv, y, x in st_rows)
-        assert got[i][1] == div and math.isclose(got[i][0], d, rel_tol=1e-12)

@@ -9,6 +9,9 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from beatline.functions import DESCENT_LABELS
+from beatline.plans.catalog import QUERIES
+from beatline.plans.oracle import ORACLE
 
 TABLES = ["orders", "nation", "customer"]
 
@@ -37,10 +40,32 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_oracle_is_independent():
+    """It imports nothing of the package, so a wrong value on either side shows."""
+    import ast
+    import beatline.plans.oracle as O
+    names = [n for node in ast.walk(ast.parse(open(O.__file__).read())) if isinstance(node, (ast.Import, ast.ImportFrom))
+             for n in ([node.module] if isinstance(node, ast.ImportFrom) else [a.name for a in node.names])]
+    assert not any(n and n.startswith("beatline") for n in names)
+
+
+@pytest.mark.parametrize("key,change", [
+    ("day_segments", lambda m: m.setattr("beatline.functions.time.DAY_SEGMENTS", (("Morning", ((500, 1200),)), ("Afternoon", ((1200, 1659),)),
+                                         ("Evening", ((1700, 2059),)), ("Night", ((2100, 2360), (0, 459)))))),
+    ("category_labels", lambda m: m.setitem(DESCENT_LABELS, "W", "Wight")),
+])
+def test_a_wrong_value_is_seen(spark, con, monkeypatch, key, change):
+    change(monkeypatch)
+    df = QUERIES[key](spark, SF_SMALL)
+    cur = con.execute(ORACLE[key])
+    assert _rows(df.columns, df.collect()) != _rows([d[0] for d in cur.description], cur.fetchall())
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
     cur = con.execute(E.oracle_sql()[key])

@@ -1,10 +1,16 @@
 """Physical plans: join strategy per variant, pushdown, pruning, no Python or
 pairwise operators in the questions."""
 
+import re
+
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from beatline.operators import in_year
+from beatline.plans import queries as Q
+from beatline.plans.catalog import QUERIES
+from beatline.sources import standins as S
 
 
 def _final_plan(df) -> str:
@@ -15,7 +21,7 @@ def _final_plan(df) -> str:
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for k, fn in E.queries().items():
+    for k, fn in QUERIES.items():
         out[k] = _final_plan(fn(spark, SF_SMALL))
     return out
 
@@ -47,19 +53,47 @@ def test_nearest_does_not_shuffle_facts(plans):
     assert "Join" not in main
 
 
-def test_year_filter_reaches_parquet(plans):
-    p = plans["incidents_in_year"]
+def test_filter_and_projection_reach_a_parquet_table(spark, tmp_path):
+    S.incidents(spark, SF_SMALL).write.parquet(str(tmp_path / "inc"))
+    inc = spark.read.parquet(str(tmp_path / "inc"))
+    p = _final_plan(in_year(inc, "occurred_at", 1997))
     assert "GreaterThanOrEqual(occurred_at" in p and "LessThan(occurred_at" in p
+    p = _final_plan(Q.top_months_by_count(inc))
+    assert "ReadSchema: struct<occurred_at:timestamp_ntz>" in p
+    assert "WindowGroupLimit" in p
 
 
 def test_projection_pruned(plans):
-    p = plans["top_months_by_count"]
-    assert "ReadSchema: struct<occurred_at:timestamp_ntz>" in p
-    assert "WindowGroupLimit" in p
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plans["top_months_by_count"]
+
+
+def test_facts_are_counted_before_the_join(plans):
+    """The shuffled side of the shuffle strategies is a partial count, not the incidents."""
+    for k in ("extreme_areas_merge", "extreme_areas_shuffle_hash", "division_distance_merge", "division_distance_shuffle_hash"):
+        p = plans[k].split("== Initial Plan ==")[0]
+        assert re.search(r"Exchange hashpartitioning\((lat|area_name).*\n.*HashAggregate\(keys=\[.*functions=\[partial_", p), k
+
+
+def test_no_job_while_planning(spark):
+    """Only the keys about CSV files run jobs (they write the files) before their result is asked for."""
+    files = {"top_months_by_count_csv", "day_segment_counts_csv", "day_segment_counts_lines", "incident_profile",
+             "incident_row_count", "scan_incidents_csv", "typed_incidents", "scan_stations", "scan_incomes",
+             "scan_geocodes", "scan_lines", "all_incidents"}
+    sc = spark.sparkContext
+    store = sc._jsc.sc().statusStore()
+    # listing a Parquet table's schema is a job of its own; do that once before counting
+    seen = {}
+    for k in sorted(set(QUERIES) - files):
+        before = store.jobsList(None).size()
+        QUERIES[k](spark, SF_SMALL)
+        seen[k] = store.jobsList(None).size() - before
+    # at most the schema of each table read
+    assert all(n <= 3 for n in seen.values()), seen
+    assert seen["day_segments"] == seen["incidents_per_month"] == seen["custom_row_function"]
 
 
 def test_sql_and_dataframe_forms_agree(spark):
-    q = E.queries()
+    q = QUERIES
     a = sorted(tuple(r) for r in q["top_months_by_count"](spark, SF_SMALL).collect())
     b = sorted(tuple(r) for r in q["top_months_by_count_sql"](spark, SF_SMALL).collect())
     assert a == b and a
@@ -72,7 +106,7 @@ def test_sql_and_dataframe_forms_agree(spark):
                                        "extreme_areas_shuffle_hash"]),
 ])
 def test_variants_agree_with_base(spark, base, variants):
-    q = E.queries()
+    q = QUERIES
     ref = sorted(tuple(r) for r in q[base](spark, SF_SMALL).collect())
     assert ref
     for v in variants:
@@ -85,62 +119,39 @@ def test_refused_strategy(spark):
         with_strategy(spark.range(3), "shuffle_replicate_nl")
 
 
-def test_hot_join_key_is_split_by_adaptive_execution(spark):
-    """A third of the incidents on one coordinate: under a shuffle strategy
-    adaptive execution splits the hot partition; rows equal the broadcast plan."""
-    from pyspark.sql import functions as F
-    from beatline.plans import queries as Q
-    facts = spark.range(60000).select(
-        F.col("id").alias("incident_id"),
+def _hot_incidents(spark):
+    """A third of 300,000 incidents at one place of one area."""
+    return spark.range(300_000).select(
+        F.col("id").alias("incident_id"), F.lit(100).alias("weapon_code"), F.lit("W").alias("category"),
+        F.lit("1997-05-05 00:00:00").cast("timestamp_ntz").alias("occurred_at"),
+        F.when(F.col("id") % 3 == 0, "Area 1").otherwise(F.concat(F.lit("Area "), (F.col("id") % 25 + 1).cast("string"))).alias("area_name"),
         F.when(F.col("id") % 3 == 0, F.lit(34.0)).otherwise(33.5 + (F.col("id") % 64) / 64.0).alias("lat"),
         F.lit(-118.25).alias("lon"))
+
+
+@pytest.mark.parametrize("strategy", ["merge", "shuffle_hash"])
+def test_hot_key_travels_as_counts(spark, strategy):
+    """At default thresholds a hot place or area crosses the shuffle as one row a task."""
+    inc, st = _hot_incidents(spark), S.build_stations(spark, SF_SMALL)
     geo = spark.range(64).select((33.5 + F.col("id") / 64.0).alias("lat"), F.lit(-118.25).alias("lon"),
                                  (F.col("id") + 90000).cast("string").alias("zip_text"))
-    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        merged = Q.geocoded(facts, geo, strategy="merge")
-        plan = _final_plan(merged)
-        assert "SortMergeJoin" in plan and "skew=true" in plan
-        rows = sorted(tuple(r) for r in merged.collect())
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    assert rows == sorted(tuple(r) for r in Q.geocoded(facts, geo, strategy="broadcast").collect())
-    assert len(rows) == 60000
-
-
-def test_hint_on_the_facts_side(spark):
-    """hint_side='facts' reproduces a hash table built from the incidents."""
-    from beatline.plans import queries as Q
-    from beatline.sources import standins as S
-    inc, st = S.incidents(spark, SF_SMALL), S.stations(spark, SF_SMALL)
-    left = Q.division_distance_stats(inc, st, strategy="shuffle_hash", hint_side="facts")
-    right = Q.division_distance_stats(inc, st, strategy="shuffle_hash")
-    pl, pr = _final_plan(left), _final_plan(right)
-    assert "ShuffledHashJoin" in pl and "BuildLeft" in pl
-    assert "ShuffledHashJoin" in pr and "BuildRight" in pr
-    assert sorted(tuple(r) for r in left.collect()) == sorted(tuple(r) for r in right.collect())
+    incomes = spark.range(64).select((F.col("id") + 90000).cast("int").alias("zip"), F.lit("$1").alias("income_text"))
+    for df, ref in ((Q.division_distance_stats(inc, st, strategy=strategy), Q.division_distance_stats(inc, st)),
+                    (Q.category_counts_extreme_areas(inc, geo, incomes, 1997, strategy=strategy),
+                     Q.category_counts_extreme_areas(inc, geo, incomes, 1997))):
+        rows = sorted(tuple(r) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan()
+        assert rows == sorted(tuple(r) for r in ref.collect()) and rows
+        text = plan.toString().split("== Initial Plan ==")[0]
+        assert re.search(r"Exchange hashpartitioning\((lat|area_name).*\n.*functions=\[partial_count", text)
 
 
 def test_zip_first_join_order_equals_reference_order(spark):
     """Joining the selected ZIPs to the geocodes first gives the same rows as
     incidents ⟕ geocodes, then ⋈ selected ZIPs (the written order)."""
-    from pyspark.sql import functions as F
     from beatline.functions import first_list_item, label_of, to_int
-    from beatline.plans import queries as Q
-    from beatline.sources import standins as S
-    inc, geo, incomes = (S.incidents(spark, SF_SMALL), S.geocodes(spark, SF_SMALL),
-                         S.incomes(spark, SF_SMALL))
+    inc, geo, incomes = (S.incidents(spark, SF_SMALL), S.build_geocodes(spark, SF_SMALL),
+                         S.build_incomes(spark, SF_SMALL))
     facts = inc.filter(F.year("occurred_at") == S.STANDIN_YEAR).filter(F.col("category").isNotNull())
     j = facts.join(geo, ["lat", "lon"], "left").withColumn("zip_head", first_list_item("zip_text"))
     sel = Q.extreme_areas(incomes)

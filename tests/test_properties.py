@@ -1,5 +1,7 @@
 """Property tests: column functions against plain-Python statements of the rules."""
 
+import bisect
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -7,18 +9,14 @@ from beatline.functions import day_segment, label_of, parse_money
 from beatline.functions.text import DESCENT_LABELS
 
 
-def segment_rule(t):
-    if t is None:
-        return "Undefined"
-    if 500 <= t < 1159:
-        return "Morning"
-    if 1200 <= t < 1659:
-        return "Afternoon"
-    if 1700 <= t < 2059:
-        return "Evening"
-    if 2100 <= t <= 2359 or 0 <= t < 459:
-        return "Night"
-    return "Undefined"
+# Minute of the clock (HHMM) from which a label holds, up to the next entry.
+SEGMENTS = [(-10**9, "Undefined"), (0, "Night"), (459, "Undefined"), (500, "Morning"), (1159, "Undefined"),
+            (1200, "Afternoon"), (1659, "Undefined"), (1700, "Evening"), (2059, "Undefined"), (2100, "Night"),
+            (2360, "Undefined")]
+
+
+def expected_segment(t):
+    return "Undefined" if t is None else SEGMENTS[bisect.bisect_right(SEGMENTS, (t, "~")) - 1][1]
 
 
 @settings(max_examples=10, deadline=None)
@@ -26,7 +24,7 @@ def segment_rule(t):
 def test_day_segment_rule(spark, times):
     df = spark.createDataFrame([(t,) for t in times], "t int")
     got = [r[0] for r in df.select(day_segment("t")).collect()]
-    assert got == [segment_rule(t) for t in times]
+    assert got == [expected_segment(t) for t in times]
 
 
 @settings(max_examples=10, deadline=None)
@@ -55,15 +53,9 @@ coord = st.integers(0, 63)
 def test_nearest_equals_brute_force(spark, stations, points):
     """Nearest station on a 1/64° grid (many exact ties) equals a Python scan
     in key order with a strict '<', i.e. the lowest key wins a tie."""
-    import math
-    from beatline.functions.geo import EARTH_RADIUS_KM
-    from beatline.operators import nearest_station
+    from test_operators import _close, _hav
 
-    def hav(a1, o1, a2, o2):
-        hl, ho = math.radians(a2 - a1) / 2, math.radians(o2 - o1) / 2
-        a = (math.sin(hl) * math.sin(hl)
-             + math.cos(math.radians(a1)) * math.cos(math.radians(a2)) * math.sin(ho) * math.sin(ho))
-        return EARTH_RADIUS_KM * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
+    from beatline.operators import nearest_station
 
     st_rows = [(i + 1, f"D{i}", 34 + y / 64, -118 + x / 64) for i, (y, x) in enumerate(stations)]
     f_rows = [(i, None if y is None else 34 + y / 64, -118 + x / 64) for i, (y, x) in enumerate(points)]
@@ -74,9 +66,5 @@ def test_nearest_equals_brute_force(spark, stations, points):
         if la is None:
             assert got[i] is None
             continue
-        best = None
-        for fid, div, y, x in st_rows:
-            d = hav(la, lo, y, x)
-            if best is None or d < best[0]:
-                best = (d, fid)
-        assert got[i].key == best[1] and math.isclose(got[i].dist, best[0], rel_tol=1e-12, abs_tol=1e-9)
+        dist, fid = min((round(_hav(la, lo, y, x), 6), fid) for fid, _, y, x in st_rows)
+        assert got[i].key == fid and _close(got[i].dist, dist)

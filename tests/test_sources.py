@@ -2,14 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
 from beatline.plans import queries as Q
 from beatline.schemas import INCIDENT_HEADER
 from beatline.sources import (
-    drop_header, first_line, parse_incident_lines, read_incidents_csv,
-    read_incidents_csv_inferred, read_incomes_csv, read_lines, read_stations_csv, union_periods,
+    drop_header, first_line, parse_incident_lines, read_csv_inferred, read_geocodes_csv,
+    read_incidents_csv, read_incomes_csv, read_lines, read_stations_csv, union_periods,
 )
 
 
@@ -53,13 +54,62 @@ def test_incident_csv_two_periods(spark, tmp_path):
     assert rows[3].occurred_at is None and rows[3].category is None
 
 
-def test_inferred_reader_renames_both_headers(spark, tmp_path):
-    p1, p2, _, _ = _two_periods(tmp_path)
-    a = read_incidents_csv_inferred(spark, p1)
-    b = read_incidents_csv_inferred(spark, p2)
-    assert "area_id" in a.columns and "area_id" in b.columns
-    both = union_periods(a.select("incident_id", "area_id"), b.select("incident_id", "area_id"))
-    assert sorted(r.area_id for r in both.collect()) == [5, 5, 18]
+def test_inferred_look_at_a_file(spark, tmp_path):
+    p1, _, _, _ = _two_periods(tmp_path)
+    assert dict(read_csv_inferred(spark, p1).dtypes)["LAT"] == "double"
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    """Another order, blanks and a byte order mark around the names, columns the package doesn't know."""
+    p = _write(tmp_path / "st.csv", ["\ufeffFID, X ,Y,Extra,DIVISION,PREC,LOCATION", "1,-118.2,34.0,?,HARBOR,5,A ST"])
+    row = read_stations_csv(spark, p).first()
+    assert (row.fid, row.x, row.y, row.division, row.prec) == (1, -118.2, 34.0, "HARBOR", 5)
+    with pytest.raises(ValueError, match="PREC"):
+        read_stations_csv(spark, _write(tmp_path / "bad.csv", ["X,Y,FID,DIVISION,LOCATION", "1,2,3,A,B"]))
+
+
+def test_files_of_a_folder_must_share_a_header(spark, tmp_path):
+    folder = tmp_path / "st"
+    folder.mkdir()
+    _write(folder / "a.csv", ["LAT,LON,ZIPcode", "1,2,90001"])
+    _write(folder / "b.csv", ["LON,LAT,ZIPcode", "1,2,90001"])
+    with pytest.raises(Exception, match="header"):
+        read_geocodes_csv(spark, str(folder)).collect()
+
+
+def test_doubled_quotes_and_bad_numbers(spark, tmp_path):
+    p = _write(tmp_path / "inc.csv", ["Zip Code,Community,Estimated Median Income",
+                                      '90001,"The ""Old"" Town, East","$1,234"', "9O002,West,---"])
+    rows = {r.community: r for r in read_incomes_csv(spark, p).collect()}
+    assert rows['The "Old" Town, East'].income_text == "$1,234" and rows["West"].zip is None
+    from beatline.schemas import INCOME_HEADER, INCOME_SCHEMA
+    from beatline.sources import parse_csv_lines, read_by_header
+    bad = read_by_header(spark, p, INCOME_HEADER, INCOME_SCHEMA, bad_fields="bad").collect()
+    assert sorted(r.bad for r in bad) == [[], ["zip"]]
+    line = spark.createDataFrame([('90001,"The ""Old"" Town, East","$1,234"',)], "value string")
+    assert parse_csv_lines(line, INCOME_SCHEMA).first().community == 'The "Old" Town, East'
+
+
+def test_geocodes_file(spark, tmp_path):
+    p = _write(tmp_path / "geo.csv", ["LAT,LON,ZIPcode", '33.75,-118.28,"90731,90744"', "34.0,-118.2,90001"])
+    assert sorted(tuple(r) for r in read_geocodes_csv(spark, p).collect()) == [
+        (33.75, -118.28, "90731,90744"), (34.0, -118.2, "90001")]
+
+
+def test_rows_without_a_date_survive_every_reader(spark, tmp_path):
+    """100 orders, 10 of them undated: all 100 pass the two period files, and a rewritten source
+    gives the new rows."""
+    from beatline.plans.catalog import QUERIES
+    for n in (100, 300):
+        spark.range(n).select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"),
+            F.when(F.col("id") % 10 != 3, F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")).alias("o_orderdate"),
+        ).write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+        for key in ("all_incidents", "scan_incidents_csv", "typed_incidents", "scan_lines", "day_segments"):
+            assert QUERIES[key](spark, str(tmp_path)).count() == n, key
+        assert QUERIES["incident_row_count"](spark, str(tmp_path)).first()[0] == n
+        assert QUERIES["typed_incidents"](spark, str(tmp_path)).where("occurred_at IS NULL").count() >= n // 10
+        assert sum(r.crime_count for r in QUERIES["day_segment_counts_lines"](spark, str(tmp_path)).collect()) > 0
 
 
 def test_lines_keep_naive_split(spark, tmp_path):
@@ -113,6 +163,11 @@ def test_first_line_of_empty_file_and_positional_union(spark, tmp_path):
     empty = tmp_path / "empty.txt"
     empty.write_text("")
     assert first_line(spark, str(empty)) is None
+    full = _write(tmp_path / "full.txt", ["h", "a", "b"])
+    assert first_line(spark, [str(empty), full]) == "h"
+    lines = read_lines(spark, [str(empty), full])
+    assert sorted(r[0] for r in drop_header(lines, first_line(spark, [str(empty), full])).collect()) == ["a", "b"]
+    assert drop_header(lines, first_line(spark, str(empty))).count() == 3
     a = spark.createDataFrame([(1, "x")], "area_id int, area_name string")
     b = spark.createDataFrame([("y", 2)], "area_name string, area_id int")
     by_name = sorted(tuple(r) for r in union_periods(a, b).collect())

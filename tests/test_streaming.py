@@ -29,7 +29,7 @@ def test_stream_counts_follow_new_files(spark, tmp_path):
     run()
     first = inc.filter(F.col("occurred_at") < cut)
     assert _rows(spark.read.parquet(out1)) == _rows(Q.day_segment_counts(first))
-    inc.filter(F.col("occurred_at") >= cut).write.mode("append").parquet(src)
+    inc.filter(~F.coalesce(F.col("occurred_at") < cut, F.lit(False))).write.mode("append").parquet(src)
     run()
     assert _rows(spark.read.parquet(out1)) == _rows(Q.day_segment_counts(inc))
     assert _rows(spark.read.parquet(out2)) == _rows(Q.top_months_by_count(inc))
