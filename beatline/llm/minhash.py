@@ -23,6 +23,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import cut, ship
+from beatline.llm.common import cut, shared_folder, ship
 from beatline.llm.components import components
 
 BANDS, ROWS = 32, 5
@@ -39,12 +40,13 @@ HASHES = BANDS * ROWS
 #: Minima of the finer sketches, of which a byte each is kept.
 FINE = 2048
 #: Nodes of a bucket that are compared in one block, and pairs verified beside one text.
-BLOCK, BESIDE = 256, 256
+BLOCK, BESIDE = 1024, 256
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
 
 def universal(n: int = HASHES, seed: int = 20240) -> tuple[np.ndarray, np.ndarray]:
-    """Odd factors and offsets of ``n`` hash functions x -> (a * x + b) mod 2**64 >> 32."""
+    """Odd factors and offsets of ``n`` hash functions x -> (a * x + b) mod 2**64 >> 32; of their
+    minima the low 16 bits are kept, which differ for different minima but for one in 65536."""
     r = np.random.Generator(np.random.PCG64(seed + n))
     a = r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return a, r.integers(0, 1 << 63, n, dtype=np.uint64)
@@ -70,7 +72,7 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     step = max(1, 81920 // len(a))
     for i in range(0, len(hashes), step):
         np.minimum(low, (hashes[None, i:i + step] * a[:, None] + b[:, None]).min(axis=1), out=low)
-    return (low >> np.uint64(32)).astype("<u4")
+    return (low >> np.uint64(32)).astype("<u2")
 
 
 SIGNED = "doc_id long, n_shingles long, set_key binary, minima binary"
@@ -95,7 +97,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 def in_buckets(nodes: DataFrame, *keep: str) -> DataFrame:
     """A row for each node and band: the bucket and the columns ``keep``."""
-    width = 4 * ROWS
+    width = 2 * ROWS
     key = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(
         i.cast("short").alias("band"), F.xxhash64(F.substring(F.col("minima"), i * width + 1, F.lit(width))).alias("key")))
     return nodes.select(F.explode(key).alias("at"), *keep).select("at.band", "at.key", *keep)
@@ -108,20 +110,37 @@ def alike(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in batches:
-            x, y = (np.frombuffer(b"".join(p.column(k).to_pylist()), "<u4").reshape(-1, HASHES) for k in (2, 3))
+            x, y = (np.frombuffer(b"".join(p.column(k).to_pylist()), "<u2").reshape(-1, HASHES) for k in (2, 3))
             yield p.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold, made from the texts of both.
+class Texts:
+    """The texts of some ids (id, texts) as a table bucketed by id in the shared folder: they are
+    shuffled once, and later joins by id move the other side only."""
+
+    def __init__(self, docs: DataFrame, ids: DataFrame):
+        self.spark = spark = docs.sparkSession
+        self.name = f"beatline_texts_{uuid.uuid4().hex}"
+        rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (rows.groupBy("id").agg(F.collect_set("text").alias("texts")).repartition(n, "id").write
+         .bucketBy(n, "id").sortBy("id").option("path", shared_folder(spark, "texts")).saveAsTable(self.name))
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        """Forgets the name; the files stay until the shared folder is cleared."""
+        self.spark.sql(f"DROP TABLE {self.name}")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold, made from the ``texts`` (id, texts) of both.
 
     The text of ``a`` travels once for every BESIDE of its pairs, so a node with very many
     pairs is dealt out; a task reads its rows in order and holds one text's set at a time."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = cut(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
-                .groupBy("id").agg(F.collect_set("text").alias("texts")), "texts")
     salted = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BESIDE).cast("int").alias("parts")), "a").withColumn(
         "salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     heads = salted.select("a", "salt").distinct().join(texts.withColumnRenamed("id", "a"), "a").select(
@@ -165,10 +184,9 @@ def unsettled(nodes: DataFrame, buckets: DataFrame, found: DataFrame) -> DataFra
     return rows.where("id != center").join(mixed, ["band", "key"]).select("band", "key", "id")
 
 
-def sketches(rows: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def sketches(rows: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """id, minima, n_shingles and sketch (a byte of each of FINE minima) of the nodes in ``rows``."""
-    ids = rows.select("id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+    each = texts.join(rows.select("id").distinct(), "id", "left_semi").select("id", F.explode("texts").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = universal(FINE)
@@ -179,7 +197,7 @@ def sketches(rows: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> D
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "sketch": [signature(s, a, b).astype(np.uint8).tobytes() for s in sets]})
 
-    made = texts.mapInArrow(run, "id long, set_key binary, n_shingles long, sketch binary")
+    made = each.mapInArrow(run, "id long, set_key binary, n_shingles long, sketch binary")
     return made.dropDuplicates(["id", "set_key"]).join(nodes, ["id", "set_key"]).select(
         "id", "minima", "n_shingles", "sketch")
 
@@ -209,7 +227,7 @@ def across(rows: DataFrame, fine: DataFrame, found: DataFrame, percent: int, bes
                 flat = rows.values
                 ids, comps, n = (np.asarray(flat.field(k)) for k in (0, 1, 2))
                 first = np.array(flat.field(3).to_pylist())
-                keys = np.frombuffer(b"".join(flat.field(4).to_pylist()), "<u4").reshape(-1, BANDS, ROWS)[:, :band]
+                keys = np.frombuffer(b"".join(flat.field(4).to_pylist()), "<u2").reshape(-1, BANDS, ROWS)[:, :band]
                 x = np.frombuffer(b"".join(flat.field(5).to_pylist()), np.uint8).reshape(-1, FINE)
                 a, b = [], []
                 for k in range(len(ids)):
@@ -245,19 +263,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     nodes = cut(sets, "sets")
     buckets = cut(in_buckets(nodes, "id").groupBy("band", "key").agg(
         F.min("id").alias("center"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    first = in_buckets(nodes, "id").join(buckets, ["band", "key"]).where("id != center").select(
-        F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    links = cut(verify(cut(alike(first, nodes, agreements(HASHES, percent)).distinct(), "pairs"), docs, size, percent).distinct(), "links")
+    first = cut(in_buckets(nodes, "id").join(buckets, ["band", "key"]).where("id != center").select(
+        F.col("center").alias("a"), F.col("id").alias("b")).distinct(), "first")
+    stored = Texts(docs, first.select(F.col("a").alias("id")).union(first.select("b")).distinct())
+    texts = stored.table()
+    links = cut(verify(cut(alike(first, nodes, agreements(HASHES, percent)).distinct(), "pairs"), texts, size, percent).distinct(), "links")
     found = components(links, "a", "b")
     rest = cut(unsettled(nodes, buckets, found), "unsettled")
-    fine = cut(sketches(rest, nodes, docs, size), "sketches")
+    fine = cut(sketches(rest, nodes, texts, size), "sketches")
     # The most alike first, as long as that ties components; few pairs are left for the last, full round.
     best = True
     while True:
         pairs = cut(across(rest, fine, found, percent, best), "pairs")
         if pairs.isEmpty():
             break
-        links = cut(verify(pairs, docs, size, percent).distinct(), "links")
+        links = cut(verify(pairs, texts, size, percent).distinct(), "links")
         if not links.isEmpty():
             found = components(links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
         elif best:
@@ -265,6 +285,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             continue
         if not best:
             break
+    stored.drop()
     # An id with several sets ties them together; a set belongs to its smallest id's component.
     of_set = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component_id"))
