@@ -1,0 +1,77 @@
+"""Token files: exact round trip, only the frames that are needed, damage found."""
+
+import io
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import zstandard
+from cases import ROWS, docs, no_docs  # noqa: F401
+from tokenizers import Tokenizer
+
+from beatline.llm import tokenfile
+from beatline.llm.tokenfile import TokenFile, TokenFileWriter
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def written(docs, most=10):
+    out = io.BytesIO()
+    w = TokenFileWriter(out, frame_ids=most)
+    for i, ids in docs:
+        w.add(i, np.array(ids, "<u4").tobytes())
+    w.close()
+    return out.getvalue()
+
+
+DOCS = [(1, [5, 0]), (None, [0]), (4, list(range(37)) + [0]), (4, [1, 2, 0]), (9, []), (12, [7] * 9 + [0])]
+
+
+def test_round_trip_and_frames():
+    data = written(DOCS)
+    f = TokenFile(io.BytesIO(data))
+    assert [(i if v else None) for i, v in zip(f.doc_ids.tolist(), f.valid)] == [d for d, _ in DOCS]
+    assert [np.frombuffer(f.ids(k), "<u4").tolist() for k in range(len(DOCS))] == [ids for _, ids in DOCS]
+    # any zstandard decoder reads all ids; frames start at documents
+    whole = b"".join(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).readall() for _ in range(1))
+    assert np.frombuffer(whole, "<u4").tolist() == [i for _, ids in DOCS for i in ids]
+
+
+def test_reads_only_the_frames_of_a_document():
+    data = written(DOCS)
+    f = TokenFile(io.BytesIO(data))
+    read = []
+    inner = f.frame
+    f.frame = lambda k: (read.append(k), inner(k))[1]
+    f.ids(0)
+    assert set(read) == {0}
+
+
+def test_damage_is_found():
+    data = bytearray(written([(1, list(range(1000)))], most=1 << 12))
+    f = TokenFile(io.BytesIO(bytes(data)))
+    f.checksums[0] ^= 1
+    with pytest.raises(ValueError, match="checksum"):
+        f.ids(0)
+    with pytest.raises(ValueError, match="seek table"):
+        TokenFile(io.BytesIO(bytes(data[:-1]) + b"\0"))
+    assert struct.unpack("<I", data[-4:])[0] == tokenfile.END_MAGIC
+
+
+def test_operator(spark, docs, no_docs, tmp_path):
+    library = Tokenizer.from_file(PATH)
+    files = tokenfile.write(docs, str(tmp_path / "a"), PATH)
+    rows = tokenfile.read(files).collect()
+    order = sorted(ROWS, key=lambda r: (-1 if r[0] is None else r[0]))
+    start = 0
+    by_start = sorted(rows, key=lambda r: r.start)
+    assert [r.doc_id for r in by_start] == [r[0] for r in order]
+    for r, (i, text, *_) in zip(by_start, order):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        assert r.start == start and zlib.crc32(r.ids) == zlib.crc32(ids.tobytes())
+        start += len(ids)
+    some = tokenfile.read(files, wanted=[5, 10, 99]).collect()
+    assert sorted(r.doc_id for r in some) == [5, 5, 10]
+    assert tokenfile.read(tokenfile.write(no_docs, str(tmp_path / "b"), PATH)).count() == 0
