@@ -32,7 +32,7 @@ from beatline.llm.common import add_arrays
 #: The pre-splitting of byte-level vocabularies (a fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words of a generation that a worker remembers, and the bytes up to which a plain list serves merging.
-PIECES, SHORT = 100_000, 48
+PIECES, SHORT = 300_000, 48
 NEVER = np.int64(1) << 40
 
 

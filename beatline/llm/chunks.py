@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 #: Entries of a memory's generation, and characters of a slice of texts.
-MEMO, SLICE = 250_000, 1_000_000
+MEMO, SLICE = 600_000, 1_000_000
 
 
 class Memory:
@@ -28,9 +28,9 @@ class Memory:
             self.old, self.new = self.new, {}
         missing = strings.difference(self.new)
         if missing and self.old:
-            for s in missing & self.old.keys():
-                self.new[s] = self.old[s]
-            missing.difference_update(self.old)
+            again = [s for s in missing if s in self.old]
+            self.new.update(zip(again, map(self.old.__getitem__, again)))
+            missing = missing.difference(again)
         if missing:
             todo = list(missing)
             self.new.update(zip(todo, self.make(todo)))
