@@ -68,6 +68,33 @@ def fold(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``rows`` with __hit: whether a filter of 2 ** 24 bits, in 2 ** 18 masks of 64 at most that are
+    broadcast, has the row's id. False says that the id is not in ``ids``; true that it may be."""
+    def place(df: DataFrame) -> DataFrame:
+        h = F.xxhash64(key)
+        return df.withColumn("__mask", F.pmod(h, F.lit(1 << 18))).withColumn(
+            "__bit", F.pmod(F.shiftright(h, 20), F.lit(64)).cast("int"))
+
+    masks = place(ids.select(key).where(F.col(key).isNotNull())).groupBy("__mask").agg(
+        F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    hit = F.expr("coalesce((shiftrightunsigned(__bits, __bit) & 1L) = 1, false)")
+    return place(rows).join(F.broadcast(masks), "__mask", "left").withColumn("__hit", hit & F.col(key).isNotNull()).drop(
+        "__mask", "__bit", "__bits")
+
+
+def maybe_in(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be in ``ids``, so that most others need no shuffle before an exact join."""
+    return _marked(rows, ids, key).where("__hit").drop("__hit")
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not in ``ids`` (null is in none). Only rows that may be in ``ids`` are shuffled."""
+    marked = _marked(rows, ids, key)
+    sure = marked.where("NOT __hit").drop("__hit")
+    return sure.unionByName(marked.where("__hit").drop("__hit").join(ids.select(key), key, "left_anti").select(*rows.columns))
+
+
 def add_arrays(df: DataFrame, reads: list[str], adds: T.StructType,
                make: Callable[[], Callable[..., list[pa.Array]]], rows: int = 256) -> DataFrame:
     """``df`` plus the columns ``adds`` (which replace columns of the same name).

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import cut, shared_folder, ship
+from beatline.llm.common import cut, maybe_in, shared_folder, ship
 from beatline.llm.components import components
 
 BANDS, ROWS = 32, 5
@@ -103,17 +103,19 @@ def in_buckets(nodes: DataFrame, *keep: str) -> DataFrame:
     return nodes.select(F.explode(key).alias("at"), *keep).select("at.band", "at.key", *keep)
 
 
-def alike(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in ``least`` minima; ids of several sets count all."""
-    left = nodes.select(F.col("id").alias("a"), F.col("minima").alias("x"))
-    right = nodes.select(F.col("id").alias("b"), F.col("minima").alias("y"))
+def alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow the threshold; ids of several sets count all."""
+    least = agreements(HASHES, percent)
+    left = nodes.select(F.col("id").alias("a"), F.col("minima").alias("x"), F.col("n_shingles").alias("m"))
+    right = nodes.select(F.col("id").alias("b"), F.col("minima").alias("y"), F.col("n_shingles").alias("n"))
+    both = pairs.join(left, "a").join(right, "b").where(100 * F.least("m", "n") >= percent * F.greatest("m", "n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in batches:
             x, y = (np.frombuffer(b"".join(p.column(k).to_pylist()), "<u2").reshape(-1, HASHES) for k in (2, 3))
             yield p.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= least))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 class Texts:
@@ -123,9 +125,10 @@ class Texts:
     def __init__(self, docs: DataFrame, ids: DataFrame):
         self.spark = spark = docs.sparkSession
         self.name = f"beatline_texts_{uuid.uuid4().hex}"
-        rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (rows.groupBy("id").agg(F.collect_set("text").alias("texts")).repartition(n, "id").write
+        rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+        rows = maybe_in(rows, ids, "id").join(ids, "id", "left_semi")
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # grouping deals the rows out as the buckets do
+        (rows.groupBy("id").agg(F.collect_set("text").alias("texts")).write
          .bucketBy(n, "id").sortBy("id").option("path", shared_folder(spark, "texts")).saveAsTable(self.name))
 
     def table(self) -> DataFrame:
@@ -198,7 +201,7 @@ def sketches(rows: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) ->
                 "sketch": [signature(s, a, b).astype(np.uint8).tobytes() for s in sets]})
 
     made = each.mapInArrow(run, "id long, set_key binary, n_shingles long, sketch binary")
-    return made.dropDuplicates(["id", "set_key"]).join(nodes, ["id", "set_key"]).select(
+    return made.dropDuplicates(["id", "set_key"]).join(nodes.drop("n_shingles"), ["id", "set_key"]).select(
         "id", "minima", "n_shingles", "sketch")
 
 
@@ -259,7 +262,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text)."""
     signed = cut(signatures(docs, size), "signatures")
     sets = (signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key")
-            .agg(F.min("doc_id").alias("id"), F.any_value("minima").alias("minima")))
+            .agg(F.min("doc_id").alias("id"), F.any_value("minima").alias("minima"), F.any_value("n_shingles").alias("n_shingles")))
     nodes = cut(sets, "sets")
     buckets = cut(in_buckets(nodes, "id").groupBy("band", "key").agg(
         F.min("id").alias("center"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
@@ -267,7 +270,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.col("center").alias("a"), F.col("id").alias("b")).distinct(), "first")
     stored = Texts(docs, first.select(F.col("a").alias("id")).union(first.select("b")).distinct())
     texts = stored.table()
-    links = cut(verify(cut(alike(first, nodes, agreements(HASHES, percent)).distinct(), "pairs"), texts, size, percent).distinct(), "links")
+    links = verify(cut(alike(first, nodes, percent).distinct(), "pairs"), texts, size, percent)
+    # An id with several sets ties them together.
+    rows = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL").select("doc_id", "set_key")
+    several = rows.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x != y")
+    own = rows.join(several.select("doc_id"), "doc_id", "left_semi").join(nodes.select("id", "set_key"), "set_key")
+    links = cut(links.union(own.select("id", "doc_id")).distinct(), "links")
     found = components(links, "a", "b")
     rest = cut(unsettled(nodes, buckets, found), "unsettled")
     fine = cut(sketches(rest, nodes, texts, size), "sketches")
@@ -286,7 +294,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         if not best:
             break
     stored.drop()
-    # An id with several sets ties them together; a set belongs to its smallest id's component.
+    # A set belongs to the component of its smallest id.
     of_set = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component_id"))
     component = F.coalesce("component_id", "doc_id")

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from beatline.llm.common import maybe_in, without
 from beatline.llm.components import components, large_star, small_star
 
 
@@ -49,3 +50,15 @@ def test_steps(spark):
     df = spark.createDataFrame([(3, 1), (3, 2), (4, 3)], "u long, v long")
     assert sorted(map(tuple, large_star(df).collect())) == [(3, 1), (3, 2), (4, 1)]
     assert sorted(map(tuple, small_star(df).collect())) == [(2, 1), (3, 1), (4, 3)]
+
+
+def test_filters_by_id(spark):
+    """Rows in and not in a set of ids, with null and repeated ids and other columns of any name."""
+    rows = spark.createDataFrame([(i % 50, f"t{i}", "x") for i in range(120)] + [(None, "n", "x")], "doc_id long, text string, id string")
+    ids = spark.createDataFrame([(i,) for i in (1, 7, 49, 77)] + [(None,)], "doc_id long")
+    out = without(rows, ids, "doc_id")
+    assert out.columns == rows.columns
+    assert sorted(r.text for r in out.collect()) == sorted(r.text for r in rows.collect() if r.doc_id not in (1, 7, 49))
+    maybe = {r.text for r in maybe_in(rows, ids, "doc_id").collect()}
+    assert maybe >= {r.text for r in rows.collect() if r.doc_id in (1, 7, 49)} and len(maybe) < 20
+    assert without(rows, ids.limit(0), "doc_id").count() == 121 and maybe_in(rows, ids.limit(0), "doc_id").count() == 0
