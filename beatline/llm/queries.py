@@ -89,4 +89,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {"op4_mixing": mixing.SQL}
+#: Links and reachability by plain SQL, for small tables: ``links`` has both directions.
+REACH = """
+reach(a, b) AS (SELECT a, a FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+component AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+"""
+
+VECTORS_SQL = f"""
+WITH RECURSIVE fine AS (
+  SELECT vec_id AS a, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+nodes AS (SELECT DISTINCT vec_id AS a FROM embeddings WHERE vec_id IS NOT NULL),
+links AS (SELECT x.a, y.a AS b FROM fine x JOIN fine y ON x.label = y.label AND x.a <> y.a AND len(x.v) = len(y.v)
+          WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+{REACH}
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, least AS component_id, e.vec_id = least AS kept
+FROM embeddings e JOIN component c ON c.a = e.vec_id
+"""
+
+NEAR_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	
+]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+    generate_series(1, greatest(1, len(w) - 3)), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM words),
+nodes AS (SELECT DISTINCT doc_id AS a FROM documents),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS m, any_value(y.n) AS n, count(*) AS k
+           FROM each x JOIN each y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * k >= 80 * (m + n - k)),
+{REACH}
+SELECT s.doc_id, len(s) AS n_shingles, least AS component_id, s.doc_id = least AS kept
+FROM sets s JOIN component c ON c.a = s.doc_id
+"""
+
+#: The other operators (models, a vocabulary, parsers) have no SQL form; tests hold them against plain Python.
+ORACLE: dict[str, str] = {"op3_vectors": VECTORS_SQL, "op4_mixing": mixing.SQL, "op9_minhash": NEAR_SQL}
