@@ -56,10 +56,14 @@ def period_schedule(sizes: DataFrame, period: int) -> DataFrame:
             due = F.ceil((done + 1) * F.col("span") / q)
             return F.when((done < q) & released, F.struct(due.alias("due"), i.alias("i")))
 
+        def served(first: Column) -> Column:
+            return F.struct(
+                F.transform(state["done"], lambda n, i: F.when(i == first, n + 1).otherwise(n)).alias("done"),
+                F.concat(state["slots"], F.array(F.struct(first.alias("i"), state["done"].alias("before")))).alias("slots"))
+
+        # An array of one, so that the choice is made once and not for each source.
         first = F.array_min(F.transform("quota", candidate))["i"]
-        return F.struct(
-            F.transform(state["done"], lambda n, i: F.when(i == first, n + 1).otherwise(n)).alias("done"),
-            F.concat(state["slots"], F.array(F.struct(first.alias("i"), state["done"].alias("before")))).alias("slots"))
+        return F.get(F.transform(F.array(first), served), 0)
 
     return one.withColumn("slots", F.aggregate(
         F.sequence(F.lit(0), F.col("span") - 1), start, serve, lambda s: s["slots"]))
