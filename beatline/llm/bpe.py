@@ -82,11 +82,12 @@ class Bpe:
             whole[m] = ok and whole[a] and whole[b]
         self.token = {b: i for i, b in enumerate(self.bytes)
                       if b and whole[i] and i not in self.special.values()}
-        #: The longest token that starts with these three bytes; shorter ones have two at most.
-        self.reach: dict[bytes, int] = {}
+        #: Lengths of the tokens that start with these three bytes, longest first, then those of shorter tokens.
+        lengths: dict[bytes, set[int]] = {}
         for b in self.token:
             if len(b) > 2:
-                self.reach[b[:3]] = max(len(b), self.reach.get(b[:3], 0))
+                lengths.setdefault(b[:3], set()).add(len(b))
+        self.lengths = {b: (*sorted(n, reverse=True), 2, 1) for b, n in lengths.items()}
         self.split = regex.compile(SPLIT).findall
         # Letters and digits of the regex library that the tokenizer's older Unicode tables lack.
         recent = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(
@@ -136,13 +137,13 @@ class Bpe:
         return ok
 
     def propose(self, word: bytes) -> list[int]:
-        out, i, n, token, reach = [], 0, len(word), self.token, self.reach.get
+        out, i, n, token, lengths = [], 0, len(word), self.token.get, self.lengths.get
         while i < n:
-            j = min(n, i + reach(word[i:i + 3], 2))
-            while (t := token.get(word[i:j])) is None:
-                j -= 1
+            for k in lengths(word[i:i + 3], (2, 1)):
+                if (t := token(word[i:i + k])) is not None:
+                    break
             out.append(t)
-            i = j
+            i += k
         return out
 
     def merge(self, word: bytes) -> list[int]:

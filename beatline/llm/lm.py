@@ -42,17 +42,18 @@ from beatline.llm.chunks import Memory
 from beatline.llm.common import cut, ship
 
 #: Width, groups, leaves of a group, hidden width, and ids of a block (a window has two).
-WIDTH, GROUPS, LEAVES, HIDDEN, STEP = 16, 48, 48, 32, 16
+WIDTH, GROUPS, LEAVES, HIDDEN, STEP = 16, 32, 40, 16, 8
 #: Leaves of a group that its rarer ids share.
 COMMON = 8
 #: Share and least number of training texts that the attention weights see; rounds of averaging.
-TRAIN_SHARE, TRAIN_TEXTS, ROUNDS = 1 / 64, 2000, 4
-#: Most frequent words in the broadcast table, words that a task counts before it passes them on.
-HEAD, HELD = 150_000, 400_000
+TRAIN_SHARE, TRAIN_TEXTS, ROUNDS = 1 / 64, 2000, 3
+#: Most frequent words in the broadcast table, words that a task counts before it passes them on,
+#: words of a generation that a worker remembers.
+HEAD, HELD, WORDS = 200_000, 400_000, 400_000
 #: Weights that travel in one row when the tasks' weights are summed.
 PIECE = 1024
 #: Ids that are scored in one go, and windows of a training step.
-CHUNK, BATCH = 1 << 14, 64
+CHUNK, BATCH = 1 << 15, 128
 
 
 class Segments:
@@ -61,7 +62,7 @@ class Segments:
     def __init__(self, path: str):
         self.bpe = bpe.loaded(path)
         self.end = self.bpe.size
-        self.memory = Memory(self._make)
+        self.memory = Memory(self._make, WORDS)
 
     def _make(self, words: list[bytes]) -> list[bytes]:
         return [pack(f"<{len(ids)}I", *ids) for ids in map(self.bpe.propose, [b" " + w for w in words])]
@@ -174,6 +175,10 @@ SHAPES = {"by_group": (GROUPS, WIDTH), "by_leaf": (GROUPS * LEAVES, WIDTH), "ask
 DISTANCE = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)[None]
 
 
+def row_sums(a: np.ndarray) -> np.ndarray:
+    return a @ np.ones(a.shape[1], a.dtype)
+
+
 class Attention:
     """The model; weights are float32 arrays by name. Groups and leaves are those of the ids."""
 
@@ -181,6 +186,9 @@ class Attention:
         self.w = weights
         near = weights["near"][np.clip(DISTANCE, 0, 2 * STEP - 1)]
         self.bias = np.where(DISTANCE >= 0, near, np.float32(-1e9)).astype(np.float32)
+        # Input, question, key and value depend on the leaf alone: one table to look them up in.
+        x = weights["by_leaf"] + np.repeat(weights["by_group"], LEAVES, axis=0)
+        self.table = np.concatenate([x, *(x @ weights[n] for n in ("ask", "key", "value"))], axis=1)
 
     @classmethod
     def fresh(cls, vocabulary: Vocabulary, seed: int = 7) -> dict[str, np.ndarray]:
@@ -192,30 +200,29 @@ class Attention:
         w["out0"], w["fine0"] = vocabulary.log_groups.astype(np.float32), vocabulary.log_leaves.astype(np.float32)
         return w
 
-    def forward(self, groups: np.ndarray, leaves: np.ndarray) -> dict[str, np.ndarray]:
+    def forward(self, leaves: np.ndarray) -> dict[str, np.ndarray]:
         """Activations for blocks (rows of STEP ids); the first block of a text only is asked."""
         w = self.w
-        x = w["by_group"][groups.ravel()] + w["by_leaf"][leaves.ravel()]
-        q, k, v = x @ w["ask"], x @ w["key"], x @ w["value"]
-        n = len(groups) - 1
+        looked_up = self.table.take(leaves.ravel(), axis=0)
+        x, q, k, v = (looked_up[:, i * WIDTH:(i + 1) * WIDTH] for i in range(4))
+        n = len(leaves) - 1
         pairs = [np.lib.stride_tricks.as_strided(
             a, (n, 2 * STEP, WIDTH), (STEP * a.strides[0], a.strides[0], a.strides[1])) for a in (k, v)]
         asks = q.reshape(-1, STEP, WIDTH)[1:]
         p = asks @ pairs[0].transpose(0, 2, 1)
         p *= np.float32(WIDTH ** -0.5)
         p += self.bias
-        np.clip(p, -80, 80, out=p)
-        np.exp(p, out=p)
-        p *= DISTANCE >= 0
-        p /= p.sum(axis=2, keepdims=True)
-        seen = (p @ pairs[1]).reshape(-1, WIDTH)
+        np.minimum(p, 80, out=p)
+        np.exp(p, out=p)  # what lies ahead becomes zero
+        total = row_sums(p.reshape(-1, 2 * STEP)).reshape(n, STEP, 1)
+        seen = (p @ pairs[1] / total).reshape(-1, WIDTH)
         h = x[STEP:] + seen @ w["mix"]
         hidden = np.maximum(h @ w["up"] + w["up0"], 0)
         top = h + hidden @ w["down"]
         logits = top @ w["out"]
         logits += w["out0"]
-        return {"x": x, "q": q, "k": k, "v": v, "p": p, "seen": seen, "h": h, "hidden": hidden, "top": top,
-                "logits": np.clip(logits, -80, 80, out=logits)}
+        return {"x": x, "q": q, "k": k, "v": v, "p": p, "total": total, "seen": seen, "h": h, "hidden": hidden, "top": top,
+                "logits": np.minimum(logits, 80, out=logits)}
 
     def by_group(self, top: np.ndarray, groups: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each group aimed at: the group, its places and the scores of its leaves there."""
@@ -224,25 +231,26 @@ class Attention:
         for g in range(GROUPS):
             at = order[ends[g - 1] if g else 0:ends[g]]
             if len(at):
-                yield g, at, np.clip(top[at] @ self.w["fine"][g] + self.w["fine0"][g], -80, 80)
+                fine = top[at] @ self.w["fine"][g]
+                fine += self.w["fine0"][g]
+                yield g, at, np.minimum(fine, 80, out=fine)
 
-    def log_probability(self, groups: np.ndarray, leaves: np.ndarray, aim_group: np.ndarray,
-                        aim_leaf: np.ndarray) -> np.ndarray:
+    def log_probability(self, leaves: np.ndarray, aim_group: np.ndarray, aim_leaf: np.ndarray) -> np.ndarray:
         """Natural log probability of the leaf aimed at, from the second block on."""
-        a = self.forward(groups, leaves)
+        a = self.forward(leaves)
         logits = a["logits"]
         out = logits[np.arange(len(logits)), aim_group].astype(float)
         np.exp(logits, out=logits)
-        out -= np.log(logits.sum(axis=1))
+        out -= np.log(row_sums(logits))
         for g, at, fine in self.by_group(a["top"], aim_group):
             aim = fine[np.arange(len(at)), aim_leaf[at] - g * LEAVES]
-            out[at] += aim - np.log(np.exp(fine, out=fine).sum(axis=1))
+            out[at] += aim - np.log(row_sums(np.exp(fine, out=fine)))
         return out
 
     def gradients(self, groups: np.ndarray, leaves: np.ndarray, aim_group: np.ndarray, aim_leaf: np.ndarray,
                   weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over the places of weight 1, and its gradients."""
-        w, a = self.w, self.forward(groups, leaves)
+        w, a = self.w, self.forward(leaves)
 
         def softmax(scores: np.ndarray, aim: np.ndarray, each: np.ndarray) -> tuple[float, np.ndarray]:
             e = np.exp(scores - scores.max(axis=1, keepdims=True))
@@ -267,11 +275,11 @@ class Attention:
         g["up"], g["up0"] = a["h"].T @ hidden, hidden.sum(axis=0)
         h = top + hidden @ w["up"].T
         g["mix"] = a["seen"].T @ h
-        n = len(groups) - 1
+        n = len(leaves) - 1
         seen = (h @ w["mix"].T).reshape(n, STEP, WIDTH)
         blocks = {name: a[name].reshape(-1, STEP, WIDTH) for name in "qkv"}
         pair = {name: np.concatenate([blocks[name][:-1], blocks[name][1:]], axis=1) for name in "kv"}
-        p = a["p"]
+        p = a["p"] / a["total"]
         dp = seen @ pair["v"].transpose(0, 2, 1)
         ds = p * (dp - (p * dp).sum(axis=2, keepdims=True))
         near = np.bincount(np.clip(DISTANCE, 0, None).ravel(), ds.sum(axis=0).ravel(), 2 * STEP)
@@ -341,7 +349,7 @@ def score_texts(model: Attention, vocabulary: Vocabulary, texts: list[np.ndarray
         for i in range(0, len(blocks) - 1, step):
             part = blocks[i:i + step + 1]
             a, o = (v[i * STEP:(i + len(part) - 1) * STEP] for v in (aims, of))
-            got = model.log_probability(vocabulary.group[part], vocabulary.leaf[part], vocabulary.group[a], vocabulary.leaf[a])
+            got = model.log_probability(vocabulary.leaf[part], vocabulary.group[a], vocabulary.leaf[a])
             got += vocabulary.log_share[a]
             has = o >= 0
             total += np.bincount(o[has], got[has], len(some))
@@ -428,7 +436,16 @@ def score(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     texts = learn.count()
     total, kinds = n_words + texts, kinds + (texts > 0)
     norm = float(np.log10(total + 0.1 * (kinds + 1)))
-    head = words.orderBy(F.desc("times"), "word").limit(HEAD)
+    # The head: words from an eighth of a power of two on, so that HEAD words at most have as many.
+    size = F.floor(8 * F.log2("times"))
+    sizes = words.groupBy(size.alias("size")).count().orderBy(F.desc("size")).collect()  # 8 * 63 rows at most
+    held, least = 0, 8 * 64
+    for row in sizes:
+        held += row["count"]
+        if held > HEAD:
+            break
+        least = row["size"]
+    head = words.where(size >= least)
 
     table = bpe.loaded(path)
     end = table.size
@@ -463,13 +480,16 @@ def score(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
                 logs = [np.fromiter(map(known.get, w, repeat(nan)), float, len(w)) for w in texts]
                 scores = score_texts(model, vocabulary, cutter.ids(texts), end)
                 tail = [Counter(w[k] for k in np.flatnonzero(np.isnan(x)).tolist()) for w, x in zip(texts, logs)]
+                ends = np.cumsum([0, *map(len, tail)]).astype(np.int32)
+                rare = pa.StructArray.from_arrays(
+                    [pa.array([w for c in tail for w in c], pa.binary()).cast(pa.string()),
+                     pa.array([n for c in tail for n in c.values()], pa.int32())], ["word", "times"])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(place, place + len(texts))), part.column(0), part.column(2),
                     pa.array([len(w) + 1 for w in texts], pa.int64()),
                     pa.array([int((~np.isnan(x)).sum()) for x in logs], pa.int64()),
                     pa.array([float(np.nansum(x)) for x in logs]), pa.array(scores),
-                    pa.array([[{"word": w.decode("utf-8", "surrogatepass"), "times": n} for w, n in c.items()] for c in tail],
-                             pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())])))],
+                    pa.ListArray.from_arrays(pa.array(ends), rare)],
                     ["place", "doc_id", "held_out", "n_tokens", "head_known", "head_log", "score", "tail"])
                 place += len(texts)
 
