@@ -32,7 +32,7 @@ from beatline.llm.common import add_arrays
 #: The pre-splitting of byte-level vocabularies (a fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words of a generation that a worker remembers, and the bytes up to which a plain list serves merging.
-PIECES, SHORT = 300_000, 48
+PIECES, SHORT = 70_000, 48
 NEVER = np.int64(1) << 40
 
 
@@ -232,6 +232,12 @@ def loaded(path: str) -> Bpe:
     return _LOADED[path]
 
 
+def rest(path: str) -> None:
+    """What a worker does at the end of a task."""
+    loaded(path).chunks.memory.rest()
+    loaded(path).pieces.rest()
+
+
 IDS = T.ArrayType(T.IntegerType(), False)
 
 
@@ -251,7 +257,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
         bpe = loaded(path)
         return lambda texts: [_lists(bpe.encode([t or "" for t in texts.to_pylist()]))]
 
-    return add_arrays(df, [text], T.StructType([T.StructField(out, IDS)]), make)
+    return add_arrays(df, [text], T.StructType([T.StructField(out, IDS)]), make, done=lambda: rest(path))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -276,7 +282,7 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids"
         return both
 
     adds = T.StructType([T.StructField(ids, IDS), T.StructField(out, T.StringType())])
-    return add_arrays(df, [text], adds, make)
+    return add_arrays(df, [text], adds, make, done=lambda: rest(path))
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 #: Entries of a memory's generation, and characters of a slice of texts.
-MEMO, SLICE = 600_000, 1_000_000
+MEMO, SLICE = 200_000, 1_000_000
 
 
 class Memory:
@@ -37,6 +37,11 @@ class Memory:
         return self.new.__getitem__
 
 
+    def rest(self) -> None:
+        """Lets the old generation go, so that an idle worker keeps little."""
+        self.old = {}
+
+
 class Chunks:
     """``coder`` maps strings to their ids as bytes, each string on its own."""
 
@@ -73,12 +78,14 @@ class Chunks:
         out: list[bytes] = []
         whole = []
         for k, (head, chunks) in enumerate(zip(self.coder(first), split)):
-            ids = list(map(get, chunks))
-            if None in ids or chunks and first[k] and first[k][-1].isspace():
+            out.append(b"")
+            if chunks and first[k] and first[k][-1].isspace():
+                whole.append(k)
+                continue
+            try:
+                out[k] = head + b"".join(map(get, chunks))
+            except TypeError:  # None among them
                 whole.append(k)
-                out.append(b"")
-            else:
-                out.append(head + b"".join(ids))
         for k, ids in zip(whole, self.coder([texts[k] for k in whole])):
             out[k] = ids
         return out

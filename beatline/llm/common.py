@@ -18,7 +18,7 @@ import beatline
 from beatline.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -96,11 +96,12 @@ def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def add_arrays(df: DataFrame, reads: list[str], adds: T.StructType,
-               make: Callable[[], Callable[..., list[pa.Array]]], rows: int = 256) -> DataFrame:
+               make: Callable[[], Callable[..., list[pa.Array]]], rows: int = 256,
+               done: Callable[[], None] | None = None) -> DataFrame:
     """``df`` plus the columns ``adds`` (which replace columns of the same name).
 
     ``make()`` runs once a task and returns the function that maps the columns ``reads``, at
-    most ``rows`` rows of them at a time, to the new columns."""
+    most ``rows`` rows of them at a time, to the new columns; ``done()`` runs at its end."""
     ship(df.sparkSession)
     keep = [f for f in df.schema.fields if f.name.lower() not in {a.lower() for a in adds.names}]
     source = df.select(*[F.col(f"`{f.name}`") for f in keep],
@@ -117,6 +118,9 @@ def add_arrays(df: DataFrame, reads: list[str], adds: T.StructType,
                 new = each(*b.columns[n:])
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip([*b.columns[:n], *new], arrow)], schema=arrow)
+        if done is not None:
+            done()
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return source.mapInArrow(run, schema)
 

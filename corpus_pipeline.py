@@ -23,17 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from beatline.llm import bpe, minhash, mixing, pii, toxicity
-from beatline.llm.common import cut, fold, shared_folder
+from beatline.llm.common import cut, fold, maybe_in, shared_folder, without
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is in ``ids`` (doc_id, one row each) and those without id."""
-    rows = docs.select(*COLUMNS)
-    return rows.join(ids, "doc_id", "left_semi").unionByName(rows.where("doc_id IS NULL"))
-
-
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the documents whose id's crc32 leaves a remainder by 5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -43,11 +37,12 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
-    named = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    named = cut(named, "kept")
-    once = _kept(docs, named.where("rows = 1").select("doc_id"))
-    repeated = docs.select(*COLUMNS).join(named.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
-    return once.unionByName(repeated.dropDuplicates(["doc_id"]))
+    ids = cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "ids")
+    rows = docs.select(*COLUMNS)
+    again = ids.where("kept").select("doc_id")  # ids with several rows
+    once = maybe_in(rows, again, "doc_id").join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return without(rows, ids, "doc_id").unionByName(once.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
