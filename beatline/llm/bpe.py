@@ -31,8 +31,9 @@ from beatline.llm.common import add_arrays
 
 #: The pre-splitting of byte-level vocabularies (a fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words of a generation that a worker remembers, and the bytes up to which a plain list serves merging.
-PIECES, SHORT = 70_000, 48
+#: Chunks and words of a generation that a worker remembers: many, or few where its memory has other
+#: uses (then the old generation goes at the end of a task, too). Bytes up to which a plain list serves merging.
+MANY, FEW, SHORT = (600_000, 300_000), (200_000, 70_000), 48
 NEVER = np.int64(1) << 40
 
 
@@ -46,7 +47,7 @@ def byte_letters() -> dict[str, int]:
 class Bpe:
     """Tables of one vocabulary file and the words seen so far."""
 
-    def __init__(self, path: str, pieces: int = PIECES):
+    def __init__(self, path: str, memory: tuple[int, int] = MANY):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, letters = spec["model"], byte_letters()
@@ -103,8 +104,8 @@ class Bpe:
             SPLIT.replace(r"[^\s\p{L}\p{N}]", rf"(?:{odd}|[^\s\p{{L}}\p{{N}}])").replace(
                 r"\p{L}+", rf"(?:(?!{odd})\p{{L}})+").replace(r"\p{N}+", rf"(?:(?!{odd})\p{{N}})+")).findall
         self.pieces = Memory(lambda words: [
-            pack(f"<{len(ids)}I", *ids) for ids in self.encode_words([w.encode() for w in words])], pieces)
-        self.chunks = Chunks(self.code)
+            pack(f"<{len(ids)}I", *ids) for ids in self.encode_words([w.encode() for w in words])], memory[1])
+        self.chunks = Chunks(self.code, memory[0])
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a * self.size + b
@@ -222,20 +223,21 @@ class Bpe:
         return b"".join(map(self.bytes.__getitem__, known)).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
+_LOADED: dict[tuple, Bpe] = {}
 
 
-def loaded(path: str) -> Bpe:
+def loaded(path: str, memory: tuple[int, int] = MANY) -> Bpe:
     """The vocabulary, read once in each Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
+    if (path, memory) not in _LOADED:
+        _LOADED[path, memory] = Bpe(path, memory)
+    return _LOADED[path, memory]
 
 
-def rest(path: str) -> None:
+def rest(path: str, memory: tuple[int, int]) -> None:
     """What a worker does at the end of a task."""
-    loaded(path).chunks.memory.rest()
-    loaded(path).pieces.rest()
+    if memory != MANY:
+        loaded(path, memory).chunks.memory.rest()
+        loaded(path, memory).pieces.rest()
 
 
 IDS = T.ArrayType(T.IntegerType(), False)
@@ -250,14 +252,15 @@ def _texts(bpe: Bpe, ids: list[np.ndarray]) -> pa.Array:
     return pa.array(list(map(bpe.decode, ids)), pa.string())
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids",
+           memory: tuple[int, int] = MANY) -> DataFrame:
     """Adds ``out``: the ids of the column ``text`` in the vocabulary file ``path`` (which every
     machine must have there). Other columns stay; no shuffle."""
     def make():
-        bpe = loaded(path)
+        bpe = loaded(path, memory)
         return lambda texts: [_lists(bpe.encode([t or "" for t in texts.to_pylist()]))]
 
-    return add_arrays(df, [text], T.StructType([T.StructField(out, IDS)]), make, done=lambda: rest(path))
+    return add_arrays(df, [text], T.StructType([T.StructField(out, IDS)]), make, done=lambda: rest(path, memory))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -270,10 +273,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return add_arrays(df, [ids], T.StructType([T.StructField(out, T.StringType())]), make)
 
 
-def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded",
+                  memory: tuple[int, int] = MANY) -> DataFrame:
     """Adds the ids and the text that they decode to, in one pass over the table."""
     def make():
-        bpe = loaded(path)
+        bpe = loaded(path, memory)
 
         def both(texts: pa.Array) -> list[pa.Array]:
             coded = bpe.encode([t or "" for t in texts.to_pylist()])
@@ -282,7 +286,7 @@ def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids"
         return both
 
     adds = T.StructType([T.StructField(ids, IDS), T.StructField(out, T.StringType())])
-    return add_arrays(df, [text], adds, make, done=lambda: rest(path))
+    return add_arrays(df, [text], adds, make, done=lambda: rest(path, memory))
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -63,7 +63,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A row for each file, so a small table to broadcast.
     before = files.select("file", F.coalesce(F.sum("n").over(
         Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    coded = bpe.encode_decode(rows, public_tokenizers.path("byte_bpe_50k.json"))
+    # Workers that come from the stages before have memory in use.
+    coded = bpe.encode_decode(rows, public_tokenizers.path("byte_bpe_50k.json"), memory=bpe.FEW)
     return coded.join(F.broadcast(before), "file").select(
         "doc_id", "source", (F.col("before") + F.col("row")).alias("mix_position"),
         F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
