@@ -13,9 +13,9 @@ are asked, so each id is predicted once and from at least a block before it. Wha
 before a text is the end id, repeated. Windows are batched; a mask keeps them causal.
 
 What is gathered: counts of all words and subwords of the training texts, summed before
-and after a shuffle. Training texts for the attention weights are a share of TRAIN_SHARE
-of all training texts, and at least TRAIN_TEXTS; every task trains on its part of them,
-and the weights are averaged by the number of ids after each of ROUNDS rounds. The base
+and after a shuffle. The attention weights learn from every training text once, whatever
+their number: a hash deals the texts over ROUNDS rounds; in a round every task trains on
+its texts of that round, and the weights are averaged by the number of ids. The base
 score, with counts of words, looks up the HEAD most frequent words in a broadcast table
 and joins all others by a shuffle.
 
@@ -45,8 +45,8 @@ from beatline.llm.common import cut, ship
 WIDTH, GROUPS, LEAVES, HIDDEN, STEP = 16, 32, 40, 16, 8
 #: Leaves of a group that its rarer ids share.
 COMMON = 8
-#: Share and least number of training texts that the attention weights see; rounds of averaging.
-TRAIN_SHARE, TRAIN_TEXTS, ROUNDS = 1 / 64, 2000, 3
+#: Rounds of averaging, over which the training texts are dealt.
+ROUNDS = 3
 #: Most frequent words in the broadcast table, words that a task counts before it passes them on,
 #: words of a generation that a worker remembers.
 HEAD, HELD, WORDS = 200_000, 400_000, 400_000
@@ -303,9 +303,9 @@ class Attention:
         back("ask", q.reshape(-1, WIDTH))
         back("key", overlap(ds.transpose(0, 2, 1) @ blocks["q"][1:]))
         back("value", overlap(p.transpose(0, 2, 1) @ seen))
-        for name, at in (("by_group", groups.ravel()), ("by_leaf", leaves.ravel())):
-            g[name] = np.zeros_like(w[name])
-            np.add.at(g[name], at, x)
+        g["by_leaf"] = np.zeros_like(w["by_leaf"])
+        np.add.at(g["by_leaf"], leaves.ravel(), x)
+        g["by_group"] = g["by_leaf"].reshape(GROUPS, LEAVES, WIDTH).sum(axis=1)
         return loss, g
 
 
@@ -380,17 +380,17 @@ def train_part(weights: dict[str, np.ndarray], vocabulary: Vocabulary, batches:
     return w, seen
 
 
-def train(ids: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray], end: int,
-          rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Averages, weighed by ids, of the weights that the tasks reach, round by round. ``ids`` has
-    an array of ids a row; a round brings one weight vector back, summed by Spark."""
-    for k in range(rounds):
+def train(texts: DataFrame, path: str, vocabulary: Vocabulary, weights: dict[str, np.ndarray], end: int) -> dict[str, np.ndarray]:
+    """Averages, weighed by ids, of the weights that the tasks reach, round by round. ``texts`` has text
+    and turn, the round (from 0) that trains on it; a round brings one weight vector back, summed by Spark."""
+    for k in range(ROUNDS):
         rate = 0.01 * 0.6 ** k
         start = weights
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            texts = ([np.asarray(v, np.int64) for v in b.column(0).to_pylist()] for b in batches)
-            w, seen = train_part(start, vocabulary, (t[i:i + 16] for t in texts for i in range(0, len(t), 16)), end, rate)
+            cutter = segments(path)
+            some = (b.column(0).slice(i, 16).to_pylist() for b in batches for i in range(0, b.num_rows, 16))
+            w, seen = train_part(start, vocabulary, (cutter.ids([words_of(t) for t in part]) for part in some), end, rate)
             if seen:
                 flat = np.concatenate([w[n].ravel() for n in SHAPES]).astype(float) * seen
                 yield pa.RecordBatch.from_arrays([
@@ -407,10 +407,10 @@ def train(ids: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray]
                                               pa.array(list(held.values()), pa.list_(pa.float64()))], ["piece", "values"])
 
         schema = "piece int, values array<double>"
-        sums = ids.select("ids").mapInArrow(run, schema).repartition("piece").mapInArrow(add, schema)
+        sums = texts.where(F.col("turn") == k).select("text").mapInArrow(run, schema).repartition("piece").mapInArrow(add, schema)
         rows = dict(sums.collect())  # the weights once, whatever the number of tasks
         if not rows:
-            return weights
+            continue
         flat = np.concatenate([rows[i] for i in range(1, len(rows))]) / rows[0][0]
         weights, at = {}, 0
         for name, shape in SHAPES.items():
@@ -451,18 +451,8 @@ def score(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
     end = table.size
     vocabulary = Vocabulary.make(subword_counts(words, path, end), [*table.bytes, b""], texts)
     weights = Attention.fresh(vocabulary)
-    share = min(1.0, max(TRAIN_SHARE, TRAIN_TEXTS / max(1, texts)))
-
-    def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = segments(path)
-        for b in batches:
-            for i in range(0, b.num_rows, 64):
-                ids = cutter.ids([words_of(t) for t in b.column(0).slice(i, 64).to_pylist()])
-                yield pa.RecordBatch.from_pydict({"ids": pa.array([x.tolist() for x in ids], pa.list_(pa.int32()))})
-
-    picked = learn.where(F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(1 << 30)) < share * (1 << 30))
-    ids = cut(picked.select("text").mapInArrow(to_ids, "ids array<int>"), "train-ids")
-    weights = train(ids, vocabulary, weights, end)
+    turn = F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(ROUNDS))
+    weights = train(learn.select("text", turn.alias("turn")), path, vocabulary, weights, end)
 
     known = {r["word"].encode(): float(np.log10(r["times"] + 0.1)) for r in head.collect()}  # HEAD rows at most
     shared = spark.sparkContext.broadcast((known, weights, vocabulary))

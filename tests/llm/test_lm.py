@@ -1,6 +1,7 @@
 """Counts and base score against plain counting; the model's gradients and probabilities."""
 
 import math
+import uuid
 import zlib
 from collections import Counter
 
@@ -87,6 +88,26 @@ def test_training_learns_what_follows(spark):
     assert held and all(r.score > 0.6 * r.base_score for r in held)
 
 
+def test_every_training_text_reaches_the_weights(spark, monkeypatch, tmp_path):
+    plain = lm.train_part
+
+    def noted(weights, vocabulary, batches, end, rate):
+        def kept():
+            for texts in batches:
+                with open(f"{folder}/{uuid.uuid4()}", "w") as f:
+                    f.writelines(f"{len(t)}\n" for t in texts)
+                yield []  # what is trained on plays no part here
+        return plain(weights, vocabulary, kept(), end, rate)
+
+    folder = str(tmp_path)
+    monkeypatch.setattr(lm, "train_part", noted)
+    df = spark.range(6000).selectExpr("id AS doc_id", "repeat('a ', int(id)  % 7) AS text")
+    lm.score(df, PATH, fold("doc_id", 10) == 0)
+    seen = [int(n) for f in tmp_path.iterdir() for n in f.read_text().split()]
+    expect = [i % 7 for i in range(6000) if zlib.crc32(str(i).encode()) % 10]
+    assert sorted(seen) == sorted(expect)  # more than 2,000 texts, each of them once
+
+
 def test_counts_and_base(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 6)  # most words go through the join
     monkeypatch.setattr(lm, "HELD", 5)
