@@ -42,18 +42,18 @@ from beatline.llm.chunks import Memory
 from beatline.llm.common import cut, ship
 
 #: Width, groups, leaves of a group, hidden width, and ids of a block (a window has two).
-WIDTH, GROUPS, LEAVES, HIDDEN, STEP = 16, 32, 40, 16, 8
+WIDTH, GROUPS, LEAVES, HIDDEN, STEP = 16, 48, 48, 32, 16
 #: Leaves of a group that its rarer ids share.
 COMMON = 8
 #: Rounds of averaging, over which the training texts are dealt.
-ROUNDS = 3
+ROUNDS = 4
 #: Most frequent words in the broadcast table, words that a task counts before it passes them on,
 #: words of a generation that a worker remembers.
 HEAD, HELD, WORDS = 200_000, 400_000, 400_000
 #: Weights that travel in one row when the tasks' weights are summed.
 PIECE = 1024
 #: Ids that are scored in one go, and windows of a training step.
-CHUNK, BATCH = 1 << 15, 128
+CHUNK, BATCH = 1 << 15, 64
 
 
 class Segments:

@@ -80,6 +80,17 @@ def test_windows_are_causal_and_each_id_is_scored_once():
     assert np.allclose(x[:n], y[:n], atol=1e-5) and not np.allclose(x[n], y[n], atol=1e-5)
 
 
+def test_an_id_asks_at_least_sixteen_ids_back():
+    v = vocabulary()
+    w, end = lm.Attention.fresh(v), len(v.group) - 1
+    text = np.random.default_rng(6).integers(0, 50_000, 64)
+    other = text.copy()
+    other[16] = 7 if v.leaf[text[16]] != v.leaf[7] else 8
+    x, y = (lm.Attention(w).forward(v.leaf[lm.laid_out([t], end)[0]])["logits"] for t in (text, other))
+    moved = np.flatnonzero(np.abs(x - y).max(axis=1) > 1e-6)
+    assert moved.min() == 17 and moved.max() >= 17 + 15  # place k predicts id k from those before
+
+
 def test_training_learns_what_follows(spark):
     rows = [(i, " ".join(["left right"] * 40)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
