@@ -31,9 +31,10 @@ from beatline.llm.common import add_columns
 
 #: Characters sampled for each language, from pieces of at most PIECE characters.
 SAMPLE, PIECE = 30_000, 600
-#: Letters that are told apart, and the length of the segments parsed side by side.
-LETTERS, SEGMENT = 60, 512
-BREAK, UNKNOWN = 0, 1
+#: Letters of a language that have columns in its table (the others are searched for), and the
+#: length of the segments parsed side by side.
+DENSE, SEGMENT = 60, 512
+BREAK, UNKNOWN, PAD = 0, 1, 2
 UNDETERMINED = "und"
 
 
@@ -56,9 +57,9 @@ def samples(docs: DataFrame, chars: int = SAMPLE, piece: int = PIECE) -> dict[st
     return out
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the automaton of all substrings: state by symbol, the root is state 1 and
-    0 means that no substring goes on so."""
+def transitions(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the automaton of all substrings by state, at most three for each symbol of the
+    text; the root is state 1 and state 0 is none."""
     step: list[dict[int, int]] = [{}, {}]
     length, link, last = [0, 0], [0, 0], 1
     for c in symbols:
@@ -84,6 +85,12 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
+    return step
+
+
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """The transitions as a table: state by symbol, 0 means that no substring goes on so."""
+    step = transitions(symbols)
     table = np.zeros((len(step), width), np.int32)
     for s, row in enumerate(step):
         for c, t in row.items():
@@ -91,8 +98,66 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
     return table
 
 
+class Automaton:
+    """The automaton of a sample over its own letters, the most frequent first: a table of the states
+    by the first letters, and sorted keys of the transitions by all others. No letter is left out."""
+
+    def __init__(self, codes: np.ndarray, symbols: int):
+        times = np.bincount(codes, minlength=symbols)
+        times[:PAD + 1] = 0
+        letters = np.argsort(-times, kind="stable")[:np.count_nonzero(times)]
+        self.own = np.full(symbols, UNKNOWN, np.int32)  # by symbol of the parser; unknown here, too
+        self.own[[BREAK, PAD]] = BREAK, PAD
+        self.own[letters] = np.arange(PAD + 1, PAD + 1 + len(letters))
+        self.size = PAD + 1 + len(letters)
+        self.width = min(self.size, PAD + 1 + DENSE)
+        step = transitions(self.own[codes].tolist())
+        table = np.zeros((len(step), self.width), np.int32)
+        keys: list[int] = []
+        targets: list[int] = []
+        self.first = np.ones(self.size, np.int32)
+        for s, row in enumerate(step):
+            for c, t in row.items():
+                if c == UNKNOWN:
+                    continue
+                if s == 1:
+                    self.first[c] = t
+                if c < self.width:
+                    table[s, c] = t
+                else:
+                    keys.append(s * self.width * self.size + c)
+                    targets.append(t * self.width)
+        table[:, PAD] = np.arange(len(step))  # padding changes nothing
+        self.table = (table * self.width).ravel()
+        self.first *= self.width
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.targets = np.append(np.array(targets, np.int32)[order], 0).astype(np.int32)
+
+    def phrases(self, steps: np.ndarray) -> np.ndarray:
+        """Phrases of each column of symbols."""
+        steps = self.own.take(steps)
+        rare = (steps >= self.width).any(axis=1)
+        state = np.full(steps.shape[1], self.width, np.int32)
+        count = np.ones(steps.shape[1], np.int32)
+        for c, some in zip(steps, rare):
+            if some:
+                at = np.flatnonzero(c >= self.width)
+                after = self.table.take(state + np.where(c >= self.width, UNKNOWN, c))
+                key = state[at].astype(np.int64) * self.size + c[at]
+                place = np.searchsorted(self.keys, key)
+                after[at] = np.where(self.keys[place] == key, self.targets[place], 0)
+            else:
+                after = self.table.take(state + c)
+            ended = after == 0
+            count += ended
+            state = np.where(ended, self.first.take(c), after)
+        return count
+
+
 class Parser:
-    """Automata of the languages and the classes of all characters."""
+    """Automata of the languages and the classes of all characters. Each letter of the samples is a
+    symbol of its own; their number is bounded by the samples, not by the languages' scripts."""
 
     def __init__(self, texts: dict[str, str]):
         self.languages = sorted(texts)
@@ -107,20 +172,15 @@ class Parser:
                 if len(low) == 1:
                     folded[c] = ord(low)
         seen = Counter(ch for t in texts.values() for ch in t.lower() if ch.isalpha())
-        symbol = np.where(letter, UNKNOWN, BREAK).astype(np.uint8)
-        kept = sorted(seen, key=lambda ch: (-seen[ch], ch))[:LETTERS]
+        symbol = np.where(letter, UNKNOWN, BREAK).astype(np.int32)
+        kept = sorted(seen, key=lambda ch: (-seen[ch], ch))
         for i, ch in enumerate(kept):
-            symbol[ord(ch)] = 2 + i
-        self.symbol = np.where(letter, symbol[folded], BREAK).astype(np.uint8)
-        self.pad = 2 + len(kept)
-        self.width = self.pad + 1
+            symbol[ord(ch)] = PAD + 1 + i
+        self.symbol = np.where(letter, symbol[folded], BREAK).astype(np.int32)
         self.tables, self.bits = [], []
         for lang in self.languages:
             codes = self.codes(texts[lang])
-            table = suffix_automaton(codes.tolist(), self.width)
-            table[:, UNKNOWN] = 0
-            table[:, self.pad] = np.arange(len(table))  # padding changes nothing
-            self.tables.append((table * self.width).ravel())
+            self.tables.append(Automaton(codes, PAD + 1 + len(kept)))
             self.bits.append(np.log2(max(2, len(codes))))
 
     def codes(self, text: str) -> np.ndarray:
@@ -129,7 +189,7 @@ class Parser:
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (row) under each language (column)."""
         many = [-(-len(c) // SEGMENT) for c in codes]
-        flat = np.full((sum(many), SEGMENT), self.pad, np.uint8)
+        flat = np.full((sum(many), SEGMENT), PAD, np.int32)
         row = 0
         for c, n in zip(codes, many):
             flat[row:row + n].reshape(-1)[:len(c)] = c
@@ -138,17 +198,7 @@ class Parser:
         of = np.repeat(np.arange(len(codes)), many)
         out = np.zeros((len(codes), len(self.tables)), np.int64)
         for k, table in enumerate(self.tables):
-            root = np.int32(self.width)
-            first = table[root:root + self.width].copy()
-            first[first == 0] = root
-            state = np.full(len(flat), root, np.int32)
-            count = np.ones(len(flat), np.int32)
-            for c in steps:
-                after = table.take(state + c)
-                ended = after == 0
-                count += ended
-                state = np.where(ended, first.take(c), after)
-            np.add.at(out[:, k], of, count)
+            np.add.at(out[:, k], of, table.phrases(steps))
         return out
 
     def __call__(self, texts: list[str | None]) -> Iterable[tuple[str, float]]:

@@ -51,6 +51,19 @@ def test_phrases_equal_plain_cross_parsing():
     assert len(p.codes("x" * 2000)) == 2000
 
 
+def test_scripts_of_many_letters():
+    r = random.Random(3)
+    words = {lang: ["".join(chr(start + r.randrange(900)) for _ in range(2)) for _ in range(1500)]
+             for lang, start in (("ja", 0x4E00), ("ko", 0xAC00), ("zh", 0x4E00 + 600))}  # two share 300 letters
+    made = lambda lang, n: " ".join(r.choice(words[lang]) for _ in range(n))
+    p = langid.Parser(SAMPLES | {lang: made(lang, 9000) for lang in words})
+    assert len(set(p.codes("".join(w for some in words.values() for w in some)).tolist())) > 2000
+    for lang in words:
+        short = [made(lang, 6) for _ in range(30)]
+        assert [got for got, _ in p(short)] == [lang] * 30
+    assert p([text("bb", 20, 2)])[0][0] == "bb"
+
+
 def test_segments_cover_whole_texts():
     p = langid.Parser(SAMPLES)
     t = text("aa", 900, 4)
