@@ -35,10 +35,14 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 NUMBER = re.compile(r"[0-9][ ().0-9-]+[0-9]")
 HOST = re.compile(r"(?:[A-Za-z0-9-]+\.)*[A-Za-z0-9-]+(?::[0-9]{1,5})?(?:[/?#][^\s\"<>]*)?")
 ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
-QUOTED = re.compile(r"\s{0,3}[=:]\s{0,3}\"([0-9A-Za-z_+/=-]{16,256})\"")
+QUOTED = re.compile(r"\s{0,3}[=:]\s{0,3}\"([0-9A-Za-z_+/=-]{16,}+)\"")
 IBAN = re.compile(r"[:\s]{0,3}([A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]){11,30})(?![0-9A-Za-z])")
 SCHEMES = ("https", "http", "ftp")
-CUES = ("IBAN", "iban", "AKIA", "token", "secret", "password", "api_key")
+IBAN_CUES = ("IBAN", "iban", "Iban")
+#: In lower case, with one capital or one for each word, and in upper case.
+SECRET_CUES = tuple(sorted({f(w) for w in ("token", "secret", "password", "api_key")
+                            for f in (str.lower, str.capitalize, str.title, str.upper)}))
+CUES = (*IBAN_CUES, "AKIA", *SECRET_CUES)
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -203,10 +207,10 @@ class Finder:
         found = {
             "email": emails(text, at.get("@", [])), "ip": addresses(text, runs), "card": cards(text, chains),
             "phone": phones(text, at.get("+", [])), "url": urls(text, [e - 2 for e in at.get("://", [])]),
-            "iban": ibans(text, sorted(e + 1 for c in ("IBAN", "iban") for e in at.get(c, []))),
+            "iban": ibans(text, sorted(e + 1 for c in IBAN_CUES for e in at.get(c, []))),
             "ssn": social_numbers(text, chains),
             "secret": secrets(text, [e - 3 for e in at.get("AKIA", [])],
-                              [e + 1 for c in ("token", "secret", "password", "api_key") for e in at.get(c, [])]),
+                              [e + 1 for c in SECRET_CUES for e in at.get(c, [])]),
         }
         order = {k: i for i, k in enumerate(KINDS)}
         return sorted(((k, a, b) for k, spans in found.items() for a, b in spans),

@@ -63,6 +63,16 @@ def test_added_kinds(text, kind, found):
     assert [text[a:b] for k, a, b in pii.Finder()(text) if k == kind] == [found]
 
 
+@pytest.mark.parametrize("cue", ["API_KEY", "Api_Key", "Password", "PASSWORD", "Token", "token", "Secret"])
+@pytest.mark.parametrize("size", [16, 256, 257, 20_000])
+def test_quoted_secrets_of_any_length_and_case(cue, size):
+    text = f'set {cue}="{"aZ09" * (size // 4)}{"x" * (size % 4)}" now'
+    spans = pii.Finder()(text)
+    at = text.index('"') + 1
+    assert ("secret", at, at + size) in spans
+    assert pii.masked(text, spans) == f'set {cue}="<SECRET>" now'
+
+
 @pytest.mark.parametrize("text", ["IBAN DE89 3704 0044 0532 0130 01", "AKIAshort", "secret of life", "://", "1-2-3", "tokens = x"])
 def test_nothing_added(text):
     assert pii.Finder()(text) == []
