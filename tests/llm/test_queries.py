@@ -4,6 +4,7 @@ import subprocess
 import sys
 
 import duckdb
+import pytest
 
 import __spark_entry__ as E
 from beatline.llm.queries import ORACLE, QUERIES
@@ -11,15 +12,17 @@ from beatline.llm.queries import ORACLE, QUERIES
 
 def test_names():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-def test_mixing_equals_its_sql(spark):
+@pytest.mark.parametrize("key", ["op4_mixing", "op12_resample", "op13_topk"])
+def test_equals_its_sql(spark, key):
     con = duckdb.connect()
-    con.execute("create view documents as select * from read_parquet('/root/testdata/sf0.01/documents.parquet')")
-    cur = con.execute(ORACLE["op4_mixing"])
-    df = QUERIES["op4_mixing"](spark, "/root/testdata/sf0.01")
+    for t in ("documents", "benchmark", "embeddings"):
+        con.execute(f"create view {t} as select * from read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    cur = con.execute(ORACLE[key])
+    df = QUERIES[key](spark, "/root/testdata/sf0.01")
     columns = [d[0] for d in cur.description]
     assert sorted(map(repr, map(tuple, df.select(*columns).collect()))) == sorted(map(repr, cur.fetchall()))
 
