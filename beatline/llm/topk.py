@@ -225,6 +225,9 @@ def searched(pairs: DataFrame, k: int, lists: int, final: bool) -> DataFrame:
                 score = sum(local[at] for local in parts)
                 if score.dtype == object:
                     score = np.array([min(max(s, NONE), -NONE - 1) for s in score], np.int64)
+                if final:  # what stays below the threshold is no result
+                    reach = score >= bounds[at[0]]
+                    at, score = (at[0][reach], at[1][reach]), score[reach]
                 best.add(at[0], score, ids2[at[1]], rows2[at[1]])
         yield from out()
 
