@@ -1,7 +1,7 @@
 """DataFrame → DataFrame operators."""
 
 from beatline.operators.joins import estimated_bytes, join_dim, with_strategy
-from beatline.operators.nearest import nearest_distance, nearest_station
+from beatline.operators.nearest import nearest_distance, nearest_of_places, nearest_station
 from beatline.operators.profile import profile
 from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_and_count, mean_of_counted, not_null,
@@ -11,7 +11,7 @@ from beatline.operators.udf import with_udf
 
 __all__ = [
     "estimated_bytes", "join_dim", "with_strategy", "nearest_distance",
-    "nearest_station", "profile", "code_between", "containing", "count_by", "in_year",
+    "nearest_of_places", "nearest_station", "profile", "code_between", "containing", "count_by", "in_year",
     "mean_and_count", "mean_of_counted", "not_null", "rank_within", "row_count", "sort_by_count",
     "top_and_bottom", "top_k", "with_udf",
 ]

@@ -81,6 +81,16 @@ def nearest_division_stats(spark, sf_dir):
     return Q.nearest_division_stats(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir))
 
 
+def nearest_post(spark, sf_dir):
+    """Each incident's nearest post and the distance in metres, among posts that grow with the scale."""
+    n = nearest_station(S.incidents(spark, sf_dir), S.build_posts(spark, sf_dir), keep=("post",), out="n")
+    return n.select("incident_id", F.col("n.post").alias("post"), F.round(F.col("n.dist") * 1000).cast("long").alias("metres"))
+
+
+def post_workload(spark, sf_dir):
+    return Q.post_workload(S.incidents(spark, sf_dir), S.build_posts(spark, sf_dir))
+
+
 # --- sources and profile -------------------------------------------------------------
 
 def incident_profile(spark, sf_dir):
@@ -223,6 +233,8 @@ QUERIES: dict[str, Query] = {
     "division_distance_shuffle_hash": partial(division_distance_stats, strategy="shuffle_hash"),
     "yearly_nearest_distance": yearly_nearest_distance,
     "nearest_division_stats": nearest_division_stats,
+    "nearest_post": nearest_post,
+    "post_workload": post_workload,
     "incident_profile": incident_profile,
     "incident_row_count": incident_row_count,
     "scan_incidents_csv": scan_incidents_csv,

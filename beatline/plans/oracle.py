@@ -40,6 +40,14 @@ select -118.75 + (n_nationkey * 163 % 4096)::double / 1024.0 as x,
 from nation
 """
 
+# One post per supplier.
+POSTS = """
+select -118.75 + (place * 1009 % 4096)::double / 1024.0 as x,
+ case when s_suppkey % 41 <> 7 then 33.5 + (place * 613 % 4096)::double / 1024.0 end as y,
+ s_suppkey as fid, 'Post ' || cast(s_suppkey as varchar) as post
+from (select s_suppkey, case when s_suppkey % 10 = 3 then s_suppkey - 3 else s_suppkey end as place from supplier)
+"""
+
 # One ZIP for 25 customers.
 INCOMES = """
 select cast(z + 90000 as integer) as zip, 'The "Old" Town, ' || cast(z as varchar) as community,
@@ -84,7 +92,8 @@ LINES = "select concat_ws(',', " + ", ".join(
 
 def with_views(body: str, *names: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
     """``body`` after the views it names and then any further (name, sql) CTEs, in order."""
-    views = {"incidents": INCIDENTS, "stations": STATIONS, "incomes": INCOMES, "geocodes": GEOCODES, "lines": LINES}
+    views = {"incidents": INCIDENTS, "stations": STATIONS, "incomes": INCOMES, "geocodes": GEOCODES, "lines": LINES,
+             "posts": POSTS}
     wanted = set(names) | ({"incidents"} if "lines" in names else set())
     parts = [(n, q) for n, q in views.items() if n in wanted] + list(ctes)
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts) + "\n" + body
@@ -183,6 +192,14 @@ _ND = ("nd", f"select i.incident_id, i.occurred_at, (select min({_HAV_IS}) from
              f"from incidents i where i.weapon_code between 100 and 199")
 
 
+# Every pair of a place and a post.
+_POST = (
+    ("places", "select distinct lat, lon from incidents where lat is not null and lon is not null"),
+    ("post_of", f"select i.lat, i.lon, arg_min(s.post, {{'d': {_HAV_IS}, 'k': s.fid}}) as post, min({_HAV_IS}) as d "
+                f"from places i, posts s where s.y is not null group by 1, 2"),
+)
+
+
 def _profile() -> str:
     counted = [(n, t, "occurred_at" if n == "occurred_text" else "reported_at" if n == "reported_text" else v)
                for n, t, v in FILE_COLUMNS]
@@ -236,6 +253,13 @@ select {initcap('division')} as division,
        count(incident_id) as crime_count
 from best group by division
 """, "incidents", "stations", ctes=_nearest("i.weapon_code is not null")),
+    "nearest_post": with_views(
+        "select incident_id, post, cast(round(d * 1000) as bigint) as metres "
+        "from incidents left join post_of using (lat, lon)", "incidents", "posts", ctes=_POST),
+    "post_workload": with_views(f"""
+select post, {fmt3("avg(coalesce(d, 'inf'::double))")} as average_distance, count(incident_id) as crime_count
+from incidents left join post_of using (lat, lon) where weapon_code is not null group by post
+""", "incidents", "posts", ctes=_POST),
     "incident_profile": with_views(_profile(), "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),
     "scan_incidents_csv": with_views(f"select {CORE} from incidents", "incidents"),

@@ -17,9 +17,9 @@ from beatline.functions import (
     thousands, to_int,
 )
 from beatline.operators.joins import BROADCAST_BYTES, join_dim, with_strategy
-from beatline.operators.nearest import nearest_distance, nearest_station
+from beatline.operators.nearest import nearest_of_places
 from beatline.operators.relational import (
-    code_between, containing, count_by, in_year, mean_and_count, mean_of_counted, not_null,
+    code_between, containing, count_by, in_year, mean_of_counted, not_null,
     rank_within, sort_by_count, top_and_bottom,
 )
 from beatline.sources.text import drop_header
@@ -216,21 +216,34 @@ def division_distance_stats(incidents: DataFrame, stations: DataFrame,
 
 def yearly_nearest_distance(incidents: DataFrame, stations: DataFrame) -> DataFrame:
     """Per year: mean distance (32-bit) from firearm incidents to the nearest
-    station, and their count."""
+    station, and their count. The incidents are counted by year and place, and a place is
+    looked up once, with its years."""
     fire = code_between(incidents, "weapon_code", *FIREARM_CODES).withColumn("year", F.year("occurred_at"))
-    d = nearest_distance(fire, stations, out="distance")
-    d = d.withColumn("distance", F.col("distance").cast("float"))
-    means = mean_and_count(d, ["year"], "distance", "incident_id", "mean_distance", "crime_count")
+    places = _by_place(fire, "year").groupBy("lat", "lon").agg(F.collect_list(F.struct("year", "n", "ids")).alias("years"))
+    d = nearest_of_places(places, stations, keep=())
+    d = d.select(F.inline("years"), F.col("nearest.dist").cast("float").alias("distance"))
+    means = mean_of_counted(d, ["year"], "distance", "n", "ids", "mean_distance", "crime_count")
     return _report(means, "year").orderBy("year")
 
 
+def _nearest_stats(incidents: DataFrame, stations: DataFrame, name: str) -> DataFrame:
+    """``name`` of the nearest station, mean distance (double) and count of armed incidents, which are
+    counted by place before they are looked up."""
+    n = nearest_of_places(_by_place(not_null(incidents, "weapon_code")), stations, keep=(name,))
+    n = n.select("n", "ids", F.col(f"nearest.{name}").alias(name),
+                 F.coalesce(F.col("nearest.dist"), F.lit(float("inf"))).alias("distance"))
+    return mean_of_counted(n, [name], "distance", "n", "ids", "mean_distance", "crime_count")
+
+
 def nearest_division_stats(incidents: DataFrame, stations: DataFrame) -> DataFrame:
     """Per nearest division: mean distance (double) and count of armed
     incidents. An incident without coordinates has no nearest station: it
     counts under a NULL division with distance +inf."""
-    armed = not_null(incidents, "weapon_code")
-    n = nearest_station(armed, stations, keep=("division",), out="nearest")
-    n = n.select("incident_id", F.col("nearest.division").alias("division"),
-                 F.coalesce(F.col("nearest.dist"), F.lit(float("inf"))).alias("distance"))
-    g = mean_and_count(n, ["division"], "distance", "incident_id", "mean_distance", "crime_count")
+    g = _nearest_stats(incidents, stations, "division")
     return sort_by_count(_report(g.withColumn("division", F.initcap("division")), "division"), "crime_count", "division")
+
+
+def post_workload(incidents: DataFrame, posts: DataFrame) -> DataFrame:
+    """The same by post, for any number of posts: mean distance and count of the armed incidents
+    that a post is the nearest to."""
+    return sort_by_count(_report(_nearest_stats(incidents, posts, "post"), "post"), "crime_count", "post")

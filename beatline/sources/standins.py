@@ -101,6 +101,16 @@ def build_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def build_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A post per supplier, so their number grows with the scale; some share a position, some have none."""
+    k = F.col("s_suppkey")
+    at = F.when(k % 10 == 3, k - 3).otherwise(k)
+    return _table(spark, sf_dir, "supplier").select(
+        _grid(at * 1009 % 4096, -118.75).alias("x"),
+        F.when(k % 41 != 7, _grid(at * 613 % 4096, 33.5)).alias("y"),
+        k.alias("fid"), F.concat(F.lit("Post "), k.cast("string")).alias("post"))
+
+
 def build_incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ZIP, 25 customers each, money as text (``$12,345``), ``---`` for some ZIPs
     without an estimate."""

@@ -13,7 +13,7 @@ from beatline.functions import DESCENT_LABELS
 from beatline.plans.catalog import QUERIES
 from beatline.plans.oracle import ORACLE
 
-TABLES = ["orders", "nation", "customer"]
+TABLES = ["orders", "nation", "customer", "supplier"]
 
 
 def _norm(v):

@@ -43,14 +43,14 @@ def test_no_python_or_pairwise_operators(plans):
     assert "ArrowEvalPython" in plans["custom_row_function"]
 
 
-def test_nearest_does_not_shuffle_facts(plans):
-    # one shuffle for the group-by and one for the final sort; stations travel
-    # in a scalar subquery, not through a join
-    p = plans["nearest_division_stats"]
-    main = p.split("Subquery")[0]
-    assert "Subquery" in p
-    assert main.count("Exchange") <= 2
-    assert "Join" not in main
+@pytest.mark.parametrize("key", ["nearest_station", "nearest_division_stats", "yearly_nearest_distance", "nearest_post", "post_workload"])
+def test_nearest_goes_by_cells(plans, key):
+    """Equi-joins by cell, grid after grid; no array of stations, no lambda that searches them."""
+    p = plans[key].split("== Initial Plan ==")[0]
+    assert "lambda" not in p and "transform(" not in p and "Subquery" not in p
+    assert len(re.findall(r"Join \[(?:cast\()?parent#\d+.*\], \[.*\], LeftOuter", p)) >= 4
+    if key not in ("nearest_station", "nearest_post"):  # incidents are counted by place below the exchange
+        assert re.search(r"Exchange hashpartitioning\((year#\d+, )?lat.*\n.*Aggregate\(keys=.*functions=\[partial_", p)
 
 
 def test_filter_and_projection_reach_a_parquet_table(spark, tmp_path):
