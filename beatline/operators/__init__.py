@@ -7,11 +7,12 @@ from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_and_count, mean_of_counted, not_null,
     rank_within, row_count, sort_by_count, top_and_bottom, top_k,
 )
+from beatline.operators.temporal import as_of_join, in_periods, overlapping
 from beatline.operators.udf import with_udf
 
 __all__ = [
     "estimated_bytes", "join_dim", "with_strategy", "nearest_distance",
     "nearest_of_places", "nearest_station", "profile", "code_between", "containing", "count_by", "in_year",
     "mean_and_count", "mean_of_counted", "not_null", "rank_within", "row_count", "sort_by_count",
-    "top_and_bottom", "top_k", "with_udf",
+    "top_and_bottom", "top_k", "with_udf", "as_of_join", "in_periods", "overlapping",
 ]

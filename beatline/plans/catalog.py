@@ -91,6 +91,20 @@ def post_workload(spark, sf_dir):
     return Q.post_workload(S.incidents(spark, sf_dir), S.build_posts(spark, sf_dir))
 
 
+# --- joins by time --------------------------------------------------------------------
+
+def income_at_incident(spark, sf_dir):
+    return Q.income_at_incident(S.incidents(spark, sf_dir), S.build_geocodes(spark, sf_dir), S.build_estimates(spark, sf_dir))
+
+
+def incidents_under_watch(spark, sf_dir):
+    return Q.incidents_under_watch(S.incidents(spark, sf_dir), S.build_watches(spark, sf_dir))
+
+
+def overlapping_watches(spark, sf_dir):
+    return Q.overlapping_watches(S.build_watches(spark, sf_dir))
+
+
 # --- sources and profile -------------------------------------------------------------
 
 def incident_profile(spark, sf_dir):
@@ -235,6 +249,9 @@ QUERIES: dict[str, Query] = {
     "nearest_division_stats": nearest_division_stats,
     "nearest_post": nearest_post,
     "post_workload": post_workload,
+    "income_at_incident": income_at_incident,
+    "incidents_under_watch": incidents_under_watch,
+    "overlapping_watches": overlapping_watches,
     "incident_profile": incident_profile,
     "incident_row_count": incident_row_count,
     "scan_incidents_csv": scan_incidents_csv,

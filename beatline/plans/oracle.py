@@ -40,6 +40,21 @@ select -118.75 + (n_nationkey * 163 % 4096)::double / 1024.0 as x,
 from nation
 """
 
+# Income estimates of four years by ZIP.
+ESTIMATES = """
+select zip, make_date(year, 1, 1) as since,
+ cast(try_cast(regexp_replace(income_text, '[$,]', '', 'g') as float) + ((year - 1995) * 100)::float as float) as income
+from incomes, (values (1995), (1997), (1999), (2001)) as y(year)
+where (zip + year) % 7 <> 3 and zip % 11 <> 4
+"""
+
+# One watch of an area per supplier.
+WATCHES = """
+select s_suppkey as watch_id, cast(s_suppkey % 28 + 1 as integer) as area_id, start::timestamp as start_at,
+ case when s_suppkey % 13 <> 6 then (start + cast(s_suppkey * 17 % 131 as integer))::timestamp end as end_at
+from (select s_suppkey, date '1995-01-01' + cast((s_suppkey // 28 * 45 + s_suppkey % 28 * 80) % 2400 as integer) as start from supplier)
+"""
+
 # One post per supplier.
 POSTS = """
 select -118.75 + (place * 1009 % 4096)::double / 1024.0 as x,
@@ -93,7 +108,7 @@ LINES = "select concat_ws(',', " + ", ".join(
 def with_views(body: str, *names: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
     """``body`` after the views it names and then any further (name, sql) CTEs, in order."""
     views = {"incidents": INCIDENTS, "stations": STATIONS, "incomes": INCOMES, "geocodes": GEOCODES, "lines": LINES,
-             "posts": POSTS}
+             "estimates": ESTIMATES, "watches": WATCHES, "posts": POSTS}
     wanted = set(names) | ({"incidents"} if "lines" in names else set())
     parts = [(n, q) for n, q in views.items() if n in wanted] + list(ctes)
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts) + "\n" + body
@@ -260,6 +275,24 @@ from best group by division
 select post, {fmt3("avg(coalesce(d, 'inf'::double))")} as average_distance, count(incident_id) as crime_count
 from incidents left join post_of using (lat, lon) where weapon_code is not null group by post
 """, "incidents", "posts", ctes=_POST),
+    "income_at_incident": with_views(f"""
+select i.incident_id, i.occurred_at, i.zip, e.since, e.income
+from (select i.incident_id, i.occurred_at, try_cast({zip_head('g.zip_text')} as integer) as zip
+      from incidents i left join geocodes g on i.lat = g.lat and i.lon = g.lon) i
+left join estimates e on e.zip = i.zip and e.since <= i.occurred_at and not exists (
+  select 1 from estimates l where l.zip = i.zip and l.since <= i.occurred_at and l.since > e.since)
+""", "incidents", "geocodes", "incomes", "estimates"),
+    "incidents_under_watch": with_views("""
+select w.watch_id, count(*) as crime_count from watches w join incidents i on i.area_id = w.area_id
+ and i.occurred_at >= w.start_at and (w.end_at is null or i.occurred_at < w.end_at)
+group by w.watch_id
+""", "incidents", "watches"),
+    "overlapping_watches": with_views("""
+select a.area_id, a.watch_id as first_id, b.watch_id as second_id,
+ cast(date_diff('day', greatest(a.start_at, b.start_at), least(a.end_at, b.end_at)) as integer) as days
+from watches a join watches b on a.area_id = b.area_id and a.watch_id < b.watch_id
+ and a.start_at < b.end_at and b.start_at < a.end_at and a.start_at < a.end_at and b.start_at < b.end_at
+""", "watches"),
     "incident_profile": with_views(_profile(), "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),
     "scan_incidents_csv": with_views(f"select {CORE} from incidents", "incidents"),

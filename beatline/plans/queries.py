@@ -22,6 +22,7 @@ from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_of_counted, not_null,
     rank_within, sort_by_count, top_and_bottom,
 )
+from beatline.operators.temporal import as_of_join, in_periods, overlapping
 from beatline.sources.text import drop_header
 from beatline.schemas import PREMISES_FIELD_POS, TIME_FIELD_POS
 
@@ -146,6 +147,28 @@ def category_counts_extreme_areas(incidents: DataFrame, geocodes: DataFrame, inc
     return sort_by_count(matched.groupBy("category").agg(F.sum("n").alias("crime_count")), "crime_count", "category")
 
 
+def income_at_incident(incidents: DataFrame, geocodes: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Each incident with the ZIP of its place and the latest income estimate of that ZIP not after its
+    time (``since``, ``income``; NULL before the first estimate, without a ZIP or a time)."""
+    placed = geocoded(incidents.select("incident_id", "occurred_at", "lat", "lon"), geocodes)
+    facts = placed.select("incident_id", "occurred_at", to_int("zip").alias("zip"))
+    return as_of_join(facts, estimates, ["zip"], "occurred_at", "since", ["income"])
+
+
+def incidents_under_watch(incidents: DataFrame, watches: DataFrame) -> DataFrame:
+    """Per watch with incidents: how many incidents of its area lie in its period (a watch without an end goes on)."""
+    facts = incidents.select("incident_id", "area_id", "occurred_at")
+    return in_periods(facts, watches, ["area_id"], "occurred_at", "start_at", "end_at", open_ended=True).groupBy(
+        "watch_id").agg(F.count(F.lit(1)).alias("crime_count"))
+
+
+def overlapping_watches(watches: DataFrame) -> DataFrame:
+    """Pairs of watches of one area that share a moment, and how many days."""
+    pairs = overlapping(watches, watches, ["area_id"], "start_at", "end_at").where("watch_id < watch_id_2")
+    days = F.date_diff(F.least("end_at", "end_at_2").cast("date"), F.greatest("start_at", "start_at_2").cast("date"))
+    return pairs.select("area_id", F.col("watch_id").alias("first_id"), F.col("watch_id_2").alias("second_id"), days.alias("days"))
+
+
 # --- Q4 ---------------------------------------------------------------------------
 
 def _station_points(stations: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.functions.text import DESCENT_LABELS
+from beatline.functions.text import DESCENT_LABELS, parse_money
 from beatline.functions.time import pattern_text
 from beatline.schemas import (
     GEOCODE_HEADER, INCIDENT_COLUMNS, INCIDENT_CORE, INCIDENT_HEADER, INCOME_HEADER,
@@ -35,6 +35,8 @@ from beatline.sources.text import read_lines
 
 # Year of the category-by-area question (the driver's dates run 1995-2001).
 STANDIN_YEAR = 1997
+# Years from which income estimates hold.
+ESTIMATE_YEARS = (1995, 1997, 1999, 2001)
 # Second-period header: the later file names the area column without the blank.
 SECOND_HEADER_NAMES = tuple(h.strip() for h in INCIDENT_HEADER)
 SECOND_HEADER = ",".join(SECOND_HEADER_NAMES)
@@ -125,6 +127,27 @@ def build_incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def build_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Income estimates by ZIP from the first day of every second year on, as the income files of several
+    years give them; some ZIPs miss some years, and some have none."""
+    zip_ = F.col("zip")
+    year = F.explode(F.array(*[F.lit(y) for y in ESTIMATE_YEARS])).alias("year")
+    return build_incomes(spark, sf_dir).select("zip", parse_money("income_text").alias("base"), year).where(
+        ((zip_ + F.col("year")) % 7 != 3) & (zip_ % 11 != 4)).select(
+        "zip", F.make_date("year", F.lit(1), F.lit(1)).alias("since"),
+        (F.col("base") + (F.col("year") - 1995) * 100).alias("income"))
+
+
+def build_watches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periods in which an area is watched, one per supplier: up to 130 days long, some empty, some without
+    an end, some of an area that has no incidents."""
+    k = F.col("s_suppkey")
+    start = F.date_add(F.lit("1995-01-01").cast("date"), ((F.floor(k / 28) * 45 + k % 28 * 80) % 2400).cast("int"))
+    return _table(spark, sf_dir, "supplier").select(
+        k.alias("watch_id"), (k % 28 + 1).cast("int").alias("area_id"), start.cast("timestamp_ntz").alias("start_at"),
+        F.when(k % 13 != 6, F.date_add(start, (k * 17 % 131).cast("int")).cast("timestamp_ntz")).alias("end_at"))
+
+
 def build_geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinate → ZIP text, one point per customer, some of them at (0, 0), de-duplicated.
 

@@ -1,0 +1,101 @@
+"""Joins by time against plain loops, for any width of the bins; hot keys; plans."""
+
+import random
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import SF_SMALL, physical_plan
+from pyspark.sql import functions as F
+
+from beatline.operators import as_of_join, in_periods, overlapping
+from beatline.plans.catalog import QUERIES
+
+DAY0 = datetime(1996, 2, 27)
+
+
+def moment(r, days=900):
+    return DAY0 + timedelta(hours=r.randrange(24 * days))
+
+
+@pytest.mark.parametrize("width", [1, 30, 365, 100_000])
+def test_as_of(spark, width):
+    r = random.Random(width)
+    facts = [(i, r.choice(["a", "a", "a", "b", "c", None]), None if i % 17 == 0 else moment(r)) for i in range(400)]
+    states = [(r.choice(["a", "b", "d", None]), None if i % 19 == 0 else moment(r), i) for i in range(60)]
+    states += [states[3], (states[5][0], states[5][1], 999)]  # a repeated state, and two with one moment
+    facts += [facts[1], (1000, states[7][0], states[7][1])]  # a repeated fact, and one just when a state begins
+    got = as_of_join(spark.createDataFrame(facts, "id int, k string, at timestamp_ntz"),
+                     spark.createDataFrame(states, "k string, since timestamp_ntz, v int"), ["k"], "at", "since", ["v"], width)
+    assert got.columns == ["id", "k", "at", "since", "v"]
+
+    def latest(k, at):
+        known = [(s, v) for q, s, v in states if q == k and k and s and at and s <= at]
+        return max(known, default=(None, None))
+
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr((i, k, at, *latest(k, at))) for i, k, at in facts)
+
+
+def test_as_of_without_rows(spark):
+    facts = spark.createDataFrame([(1, "a", DAY0)], "id int, k string, at timestamp_ntz")
+    states = spark.createDataFrame([("a", DAY0, 1)], "k string, since timestamp_ntz, v int")
+    assert as_of_join(facts, states.limit(0), ["k"], "at", "since", ["v"]).collect() == [(1, "a", DAY0, None, None)]
+    assert as_of_join(facts.limit(0), states, ["k"], "at", "since", ["v"]).count() == 0
+
+
+def periods(r, n):
+    out = []
+    for i in range(n):
+        start = moment(r)
+        out.append((i, r.choice(["a", "a", "b", None]), start, None if i % 11 == 0 else start + timedelta(days=r.randrange(-5, 200))))
+    return out
+
+
+@pytest.mark.parametrize("width", [1, 30, 5000])
+@pytest.mark.parametrize("open_ended", [False, True])
+def test_in_periods(spark, width, open_ended):
+    r = random.Random(width)
+    facts = [(i, r.choice(["a", "b", "z", None]), None if i % 23 == 0 else moment(r)) for i in range(200)]
+    held = periods(r, 60)
+    got = in_periods(spark.createDataFrame(facts, "id int, k string, at timestamp_ntz"),
+                     spark.createDataFrame(held, "pid int, k string, start timestamp_ntz, stop timestamp_ntz"),
+                     ["k"], "at", "start", "stop", width, open_ended)
+    expect = [(i, p) for i, k, at in facts for p, q, a, b in held if at and k and k == q and a <= at
+              and (open_ended if b is None else at < b)]
+    assert sorted((x.id, x.pid) for x in got.collect()) == sorted(expect) and expect
+
+
+@pytest.mark.parametrize("width", [1, 30, 5000])
+def test_overlapping(spark, width):
+    """A pair that shares many bins comes once."""
+    r = random.Random(width)
+    a, b = periods(r, 50), periods(r, 70)
+    schema = "pid int, k string, start timestamp_ntz, stop timestamp_ntz"
+    got = overlapping(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["k"], "start", "stop", width)
+    expect = [(i, j) for i, k, s, e in a for j, q, t, f in b if k and k == q and e and f and s < e and t < f and s < f and t < e]
+    assert sorted((x.pid, x.pid_2) for x in got.collect()) == sorted(expect) and expect
+
+
+def test_hot_key_is_in_no_window(spark):
+    """Half of all facts have one key: windows see states and bins only, and facts meet them by an equi-join."""
+    facts = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 50).cast("int").alias("k"),
+                                       F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit(DAY0).cast("timestamp_ntz")).alias("at"))
+    states = spark.range(500).select((F.col("id") % 50).cast("int").alias("k"), F.timestamp_add(
+        "DAY", (F.col("id") * 3).cast("int"), F.lit(DAY0).cast("timestamp_ntz")).alias("since"), F.col("id").alias("v"))
+    for hint in ("merge", "broadcast"):
+        got = as_of_join(facts, states.hint(hint), ["k"], "at", "since", ["v"], width=30)
+        assert got.count() == 40_000
+        plan = physical_plan(got).split("== Initial Plan ==")[0]
+        assert len(re.findall(r"\n[^\n]*Window \[", plan)) == 2 and "NestedLoop" not in plan and "Cartesian" not in plan
+        for spec in re.findall(r"Window \[.*?\], \[(.*?)\], \[__", plan):  # of a key's bins, or of a key in one bin
+            assert spec.startswith("k#")
+        left = plan.split("Join [", 1)[1]
+        assert re.match(r"k#\d+L?, __bin#\d+\], \[__k#\d+L?, __piece#\d+\]", left)
+
+
+@pytest.mark.parametrize("key", ["income_at_incident", "incidents_under_watch", "overlapping_watches"])
+def test_plans_are_equi_joins(spark, key):
+    df = QUERIES[key](spark, SF_SMALL)
+    df.collect()
+    plan = physical_plan(df)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "__piece" in plan
