@@ -7,12 +7,14 @@ nodes that agree in all rows of a band share a bucket. A pair at the threshold o
 misses all buckets in about 3 of a million cases.
 
 No bucket is expanded into all its pairs. First every node of a bucket is compared with the
-bucket's smallest node. The links found make components; only in buckets that still hold
-different components are the remaining nodes compared with each other, in blocks of bounded
-size, where sizes and finer sketches rule pairs out: each node with the most alike of
-another component as long as that ties any, then all pairs that are left, so a pair that
-could tie two components is never left out. A pair is a link when its full sets, made again from the whole texts, reach the
-threshold.
+bucket's center, the node whose buckets have most nodes in all: in a group of near copies that is the
+text that the others were made from, or the one most like it. The links found make components; only in buckets
+that still hold different components are the nodes outside the bucket's largest component compared with the
+others, in blocks of bounded size, where sizes and finer sketches rule pairs out: each of them with the
+most alike of another component as long as that ties any, then with all that are left and were not compared
+before, so a pair that could tie two components is never left out. The work in a bucket grows with its
+nodes times the few that are outside its largest component. A pair is a link when its full sets, made again
+from the whole texts, reach the threshold.
 
 Defined results: null texts and texts without words have an empty set and link with
 nothing; a text with fewer words than a shingle has one shingle, all its words; rows
@@ -177,14 +179,24 @@ def with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def unsettled(nodes: DataFrame, buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """band, key and id of the nodes, but for its smallest one, of each bucket that holds
-    several components; the smallest node has been compared with the others."""
-    rows = in_buckets(with_component(nodes, found), "id", "component").join(
-        buckets.where("size > 2"), ["band", "key"])
+def shared_buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """band, key and id of the nodes of all buckets of several, and band, key and center of these buckets."""
+    sizes = in_buckets(nodes, "id").groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut(in_buckets(nodes, "id").join(sizes, ["band", "key"]), "members")
+    weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    centers = members.join(weight, "id").groupBy("band", "key").agg(
+        F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("most")).select(
+        "band", "key", (-F.col("most.id")).alias("center"))
+    return members.select("band", "key", "id"), cut(centers, "centers")
+
+
+def unsettled(members: DataFrame, centers: DataFrame, found: DataFrame) -> DataFrame:
+    """band, key and id of the nodes, but for its center, of each bucket that holds
+    several components; the center has been compared with the others."""
+    rows = with_component(members, found)
     mixed = rows.groupBy("band", "key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return rows.where("id != center").join(mixed, ["band", "key"]).select("band", "key", "id")
+    return rows.join(mixed, ["band", "key"]).join(centers, ["band", "key"]).where("id != center").select("band", "key", "id")
 
 
 def sketches(rows: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -207,37 +219,42 @@ def sketches(rows: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) ->
 
 def across(rows: DataFrame, fine: DataFrame, found: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs of nodes of different components that share a bucket of ``rows``, if sizes and sketches
-    allow the threshold; with ``best`` only each node's most alike in a block. A pair comes
-    from the first bucket that it shares."""
+    allow the threshold; with ``best`` only the most alike, in a block, of each node outside its bucket's
+    largest component. A pair comes from the first bucket that it shares."""
     now = with_component(rows, found)
-    mixed = now.groupBy("band", "key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("low < high").select("band", "key", "blocks")
-    # A bucket of several blocks becomes all pairs of blocks, each a group of two blocks at most.
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = (now.join(mixed, ["band", "key"])
-             .select("band", "key", "id", "component", mine.alias("mine"), F.explode(others).alias("other"))
-             .select("band", "key", "id", "component", F.least("mine", "other").alias("i"),
-                     F.greatest("mine", "other").alias("j"), (F.col("mine") < F.col("other")).alias("first")))
-    groups = (dealt.join(fine, "id").groupBy("band", "key", "i", "j").agg(F.collect_list(
-        F.struct("id", "component", "n_shingles", "first", "minima", "sketch")).alias("rows")))
+    parts = now.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("band", "key").agg(
+        F.count(F.lit(1)).alias("components"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("most")).where(
+        "components > 1").select("band", "key", F.col("most.component").alias("largest"),
+                                 F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("few"),
+                                 F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
+    # The few outside the largest component go to each block of all, and all to each block of the few.
+    h = F.xxhash64("id")
+    small = F.col("component") != F.col("largest")
+    dealt = now.join(mixed, ["band", "key"]).select("band", "key", "id", "component", small.alias("small"), "few", "blocks")
+    asking = dealt.where("small").select(
+        "band", "key", "id", "component", "small", F.lit(True).alias("first"), F.pmod(h, F.col("few")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    asked = dealt.select(
+        "band", "key", "id", "component", "small", F.lit(False).alias("first"), F.pmod(h, F.col("blocks")).cast("int").alias("j"),
+        F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"))
+    groups = (asking.unionByName(asked).join(fine, "id").groupBy("band", "key", "i", "j").agg(F.collect_list(
+        F.struct("id", "component", "n_shingles", "first", "small", "minima", "sketch")).alias("rows")))
     least = agreements(FINE, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for band, i, j, rows in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), batch.column(3)):
+            for band, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
                 flat = rows.values
                 ids, comps, n = (np.asarray(flat.field(k)) for k in (0, 1, 2))
-                first = np.array(flat.field(3).to_pylist())
-                keys = np.frombuffer(b"".join(flat.field(4).to_pylist()), "<u2").reshape(-1, BANDS, ROWS)[:, :band]
-                x = np.frombuffer(b"".join(flat.field(5).to_pylist()), np.uint8).reshape(-1, FINE)
+                first, few = (np.array(flat.field(k).to_pylist(), bool) for k in (3, 4))
+                keys = np.frombuffer(b"".join(flat.field(5).to_pylist()), "<u2").reshape(-1, BANDS, ROWS)[:, :band]
+                x = np.frombuffer(b"".join(flat.field(6).to_pylist()), np.uint8).reshape(-1, FINE)
                 a, b = [], []
-                for k in range(len(ids)):
-                    may = (comps != comps[k]) & (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k]))
-                    may &= first != first[k] if i < j else True
+                for k in np.flatnonzero(first):
+                    may = ~first & (comps != comps[k]) & (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k]))
                     if not best:
-                        may[:k + 1] = False
+                        may &= ~few | (ids > ids[k])  # of two of the few one asks
                     at = np.flatnonzero(may)
                     if band:
                         at = at[~(keys[at] == keys[k]).all(axis=2).any(axis=1)]
@@ -247,9 +264,10 @@ def across(rows: DataFrame, fine: DataFrame, found: DataFrame, percent: int, bes
                         at = at[np.argmax(same)][None]
                     a.append(np.minimum(ids[at], ids[k]))
                     b.append(np.maximum(ids[at], ids[k]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (a, b)], ["a", "b"])
+                none = [np.zeros(0, np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c + none)) for c in (a, b)], ["a", "b"])
 
-    return groups.select("band", "i", "j", "rows").mapInArrow(run, "a long, b long").where("a != b").distinct()
+    return groups.select("band", "rows").mapInArrow(run, "a long, b long").where("a != b").distinct()
 
 
 def agreements(hashes: int, percent: int) -> int:
@@ -264,27 +282,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sets = (signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key")
             .agg(F.min("doc_id").alias("id"), F.any_value("minima").alias("minima"), F.any_value("n_shingles").alias("n_shingles")))
     nodes = cut(sets, "sets")
-    buckets = cut(in_buckets(nodes, "id").groupBy("band", "key").agg(
-        F.min("id").alias("center"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    first = cut(in_buckets(nodes, "id").join(buckets, ["band", "key"]).where("id != center").select(
-        F.col("center").alias("a"), F.col("id").alias("b")).distinct(), "first")
+    members, centers = shared_buckets(nodes)
+    first = cut(members.join(centers, ["band", "key"]).where("id != center").select(
+        F.least("center", "id").alias("a"), F.greatest("center", "id").alias("b")).distinct(), "first")
     stored = Texts(docs, first.select(F.col("a").alias("id")).union(first.select("b")).distinct())
     texts = stored.table()
-    links = verify(cut(alike(first, nodes, percent).distinct(), "pairs"), texts, size, percent)
+    tested = cut(alike(first, nodes, percent).distinct(), "pairs")
+    links = verify(tested, texts, size, percent)
     # An id with several sets ties them together.
     rows = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL").select("doc_id", "set_key")
     several = rows.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x != y")
     own = rows.join(several.select("doc_id"), "doc_id", "left_semi").join(nodes.select("id", "set_key"), "set_key")
     links = cut(links.union(own.select("id", "doc_id")).distinct(), "links")
     found = components(links, "a", "b")
-    rest = cut(unsettled(nodes, buckets, found), "unsettled")
+    rest = cut(unsettled(members, centers, found), "unsettled")
     fine = cut(sketches(rest, nodes, texts, size), "sketches")
     # The most alike first, as long as that ties components; few pairs are left for the last, full round.
     best = True
     while True:
-        pairs = cut(across(rest, fine, found, percent, best), "pairs")
+        pairs = cut(across(rest, fine, found, percent, best).join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            break
+            if not best:
+                break
+            best = False
+            continue
+        tested = cut(tested.unionByName(pairs), "tested")
         links = cut(verify(pairs, texts, size, percent).distinct(), "links")
         if not links.isEmpty():
             found = components(links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
