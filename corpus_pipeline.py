@@ -6,13 +6,14 @@ and read again as the next stage's ``docs``. All but the last return the columns
 
 1. toxicity: documents that the classifier, trained on the labels, finds toxic go.
 2. near_duplicates: of each group of texts that share 0.8 of their five-word shingles, one
-   document stays, that with the smallest doc_id.
+   document stays, that with the smallest doc_id (ties: the first row of the files).
 3. personal_data: personal data in the texts is replaced by its kind; n_chars follows.
 4. mix: the documents in the order in which the sources' target weights interleave them.
 5. tokens: each document's place in the mix, its token ids, and the text they decode to.
 
 Defined results: null and empty texts are clean, are duplicates of nothing and have no ids; rows
-without doc_id are kept; of rows with the same doc_id one stays; an empty table gives an
+without doc_id are documents like others, and the last choice of their group; rows with the same doc_id are
+documents of their own: exact repeats and near copies go, other texts stay; an empty table gives an
 empty result; columns that documents doesn't have are dropped.
 """
 
@@ -36,13 +37,16 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
-    ids = cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "ids")
-    rows = docs.select(*COLUMNS)
-    again = ids.where("kept").select("doc_id")  # ids with several rows
-    once = maybe_in(rows, again, "doc_id").join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(rows, ids, "doc_id").unionByName(once.select(*COLUMNS))
+    """Each row is a document of its own, so rows of one id are held against each other by their sets."""
+    rows = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())  # the same in each scan of the files
+    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), size=5, percent=80)
+    members = found.select(F.col("doc_id").alias("row"), "component_id")
+    several = members.where("row != component_id").select("component_id").distinct()
+    groups = cut(members.join(several, "component_id", "left_semi"), "groups")
+    ids = maybe_in(rows.select("row", "doc_id"), groups, "row").join(groups, "row")
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    gone = cut(groups.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select("row"), "gone")
+    return without(rows, gone, "row").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
