@@ -73,6 +73,17 @@ def test_odd_rows(spark, small, tmp_path):
     assert final.count(5) == 1 and None in final and 12 not in final and 11 in final
 
 
+def test_rows_of_one_id(spark, tmp_path):
+    """Rows of one id are documents of their own: repeats and near copies go, other texts stay."""
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "pq")
+    rows = [(7, one), (7, two), (7, one), (7, None), (7, None), (3, one + " end"), (9, two), (None, two), (None, None), (8, "short")]
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(
+        3).write.parquet(str(tmp_path / "d"))
+    kept = P.near_duplicates(spark, spark.read.parquet(str(tmp_path / "d")), SF).collect()
+    assert sorted(((r.doc_id or -1, r.text or "") for r in kept)) == sorted(
+        [(3, one + " end"), (7, two), (7, ""), (7, ""), (-1, ""), (8, "short")])
+
+
 def test_empty_table(spark, small, tmp_path):
     none = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     assert through(spark, none, small, tmp_path)[-1].count() == 0
