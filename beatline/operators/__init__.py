@@ -1,5 +1,6 @@
 """DataFrame → DataFrame operators."""
 
+from beatline.operators.frames import rolling_counts, sessions
 from beatline.operators.joins import estimated_bytes, join_dim, with_strategy
 from beatline.operators.nearest import nearest_distance, nearest_of_places, nearest_station
 from beatline.operators.profile import profile
@@ -15,4 +16,5 @@ __all__ = [
     "nearest_of_places", "nearest_station", "profile", "code_between", "containing", "count_by", "in_year",
     "mean_and_count", "mean_of_counted", "not_null", "rank_within", "row_count", "sort_by_count",
     "top_and_bottom", "top_k", "with_udf", "as_of_join", "in_periods", "overlapping",
+    "rolling_counts", "sessions",
 ]

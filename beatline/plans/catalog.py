@@ -101,6 +101,14 @@ def incidents_under_watch(spark, sf_dir):
     return Q.incidents_under_watch(S.incidents(spark, sf_dir), S.build_watches(spark, sf_dir))
 
 
+def rolling_area_counts(spark, sf_dir):
+    return Q.rolling_area_counts(S.incidents(spark, sf_dir))
+
+
+def place_sessions(spark, sf_dir):
+    return Q.place_sessions(S.incidents(spark, sf_dir))
+
+
 def overlapping_watches(spark, sf_dir):
     return Q.overlapping_watches(S.build_watches(spark, sf_dir))
 
@@ -252,6 +260,8 @@ QUERIES: dict[str, Query] = {
     "income_at_incident": income_at_incident,
     "incidents_under_watch": incidents_under_watch,
     "overlapping_watches": overlapping_watches,
+    "rolling_area_counts": rolling_area_counts,
+    "place_sessions": place_sessions,
     "incident_profile": incident_profile,
     "incident_row_count": incident_row_count,
     "scan_incidents_csv": scan_incidents_csv,

@@ -293,6 +293,20 @@ select a.area_id, a.watch_id as first_id, b.watch_id as second_id,
 from watches a join watches b on a.area_id = b.area_id and a.watch_id < b.watch_id
  and a.start_at < b.end_at and b.start_at < a.end_at and a.start_at < a.end_at and b.start_at < b.end_at
 """, "watches"),
+    "rolling_area_counts": with_views("""
+select area_id, day, crime_count, cast(sum(crime_count) over (partition by area_id order by day
+  range between interval 29 days preceding and current row) as bigint) as last_30
+from (select area_id, cast(occurred_at as date) as day, count(*) as crime_count
+      from incidents where occurred_at is not null group by 1, 2)
+""", "incidents"),
+    "place_sessions": with_views("""
+select lat, lon, min(occurred_at) as start_at, max(occurred_at) as end_at, count(*) as events from (
+  select *, sum(far) over (partition by lat, lon order by occurred_at, incident_id) as series from (
+    select lat, lon, occurred_at, incident_id, case when occurred_at - lag(occurred_at) over (
+      partition by lat, lon order by occurred_at, incident_id) > interval 60 days then 1 else 0 end as far
+    from incidents where lat is not null and lon is not null and occurred_at is not null))
+group by lat, lon, series
+""", "incidents"),
     "incident_profile": with_views(_profile(), "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),
     "scan_incidents_csv": with_views(f"select {CORE} from incidents", "incidents"),

@@ -16,6 +16,7 @@ from beatline.functions import (
     day_segment, field, first_list_item, haversine_km, label_of, parse_money,
     thousands, to_int,
 )
+from beatline.operators.frames import rolling_counts, sessions
 from beatline.operators.joins import BROADCAST_BYTES, join_dim, with_strategy
 from beatline.operators.nearest import nearest_of_places
 from beatline.operators.relational import (
@@ -169,6 +170,19 @@ def overlapping_watches(watches: DataFrame) -> DataFrame:
     return pairs.select("area_id", F.col("watch_id").alias("first_id"), F.col("watch_id_2").alias("second_id"), days.alias("days"))
 
 
+ROLLING_DAYS, SESSION_HOURS = 30, 24 * 60
+
+
+def rolling_area_counts(incidents: DataFrame) -> DataFrame:
+    """Per area and day with incidents: how many that day and in the 30 days that end with it."""
+    return rolling_counts(incidents, ["area_id"], "occurred_at", ROLLING_DAYS)
+
+
+def place_sessions(incidents: DataFrame) -> DataFrame:
+    """Series of incidents at one place, of which no two neighbours lie more than 60 days apart."""
+    return sessions(incidents, ["lat", "lon"], "occurred_at", SESSION_HOURS)
+
+
 # --- Q4 ---------------------------------------------------------------------------
 
 def _station_points(stations: DataFrame) -> DataFrame:
