@@ -21,6 +21,7 @@ from beatline.operators.nearest import nearest_station
 from beatline.plans import queries as Q
 from beatline.sources import drop_header, read_incidents_csv, union_periods
 from beatline.sources import standins as S
+from beatline.streaming import incident_stream, late_counts, run_closed, run_late, windowed_counts_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +114,38 @@ def overlapping_watches(spark, sf_dir):
     return Q.overlapping_watches(S.build_watches(spark, sf_dir))
 
 
+# --- streams --------------------------------------------------------------------------
+
+def _streamed(spark, sf_dir, run):
+    """Runs a stream after each delivery into a new folder; the state goes on from run to run."""
+    folder = S.new_folder(spark, "stream")
+    for rows in S.deliveries(spark, sf_dir):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        run(incident_stream(spark, f"{folder}/in", rows.schema), folder)
+    return folder
+
+
+def weekly_area_counts_stream(spark, sf_dir):
+    """Incidents by week and area, each once, in the weeks that the watermark has closed."""
+    folder = _streamed(spark, sf_dir, lambda events, at: run_closed(windowed_counts_stream(
+        events, "occurred_at", "7 days", keys=("area_id",), event_id="incident_id"), f"{at}/out", f"{at}/state"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def sliding_counts_stream(spark, sf_dir):
+    """Incidents in four weeks, each week anew, every arrival counted."""
+    folder = _streamed(spark, sf_dir, lambda events, at: run_closed(windowed_counts_stream(
+        events, "occurred_at", "28 days", slide="7 days"), f"{at}/out", f"{at}/state"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def late_counts_stream(spark, sf_dir):
+    """Incidents that came after their watermark, by week."""
+    folder = _streamed(spark, sf_dir, lambda events, at: run_late(
+        events, f"{at}/out", f"{at}/state", "occurred_at", "7 days", event_id="incident_id"))
+    return late_counts(f"{folder}/out", spark)
+
+
 # --- sources and profile -------------------------------------------------------------
 
 def incident_profile(spark, sf_dir):
@@ -261,6 +294,9 @@ QUERIES: dict[str, Query] = {
     "incidents_under_watch": incidents_under_watch,
     "overlapping_watches": overlapping_watches,
     "rolling_area_counts": rolling_area_counts,
+    "weekly_area_counts_stream": weekly_area_counts_stream,
+    "sliding_counts_stream": sliding_counts_stream,
+    "late_counts_stream": late_counts_stream,
     "place_sessions": place_sessions,
     "incident_profile": incident_profile,
     "incident_row_count": incident_row_count,

@@ -306,6 +306,26 @@ select lat, lon, min(occurred_at) as start_at, max(occurred_at) as end_at, count
       partition by lat, lon order by occurred_at, incident_id) > interval 60 days then 1 else 0 end as far
     from incidents where lat is not null and lon is not null and occurred_at is not null))
 group by lat, lon, series
+""", "incidents"),
+    "weekly_area_counts_stream": with_views("""
+select start_at, start_at + interval 7 days as end_at, area_id, count(*) as crime_count
+from (select *, time_bucket(interval 7 days, occurred_at, timestamp '1970-01-01') as start_at from incidents)
+where not (year(occurred_at) < 1997 and incident_id % 97 = 1)
+ and start_at + interval 7 days <= (select max(occurred_at) - interval 7 days from incidents)
+group by start_at, area_id
+""", "incidents"),
+    "sliding_counts_stream": with_views("""
+select start_at, start_at + interval 28 days as end_at, cast(sum(case when incident_id % 50 = 0 then 2 else 1 end) as bigint) as crime_count
+from (select *, time_bucket(interval 7 days, occurred_at, timestamp '1970-01-01') - k * interval 7 days as start_at
+      from incidents, range(4) as r(k))
+where not (year(occurred_at) < 1997 and incident_id % 97 = 1)
+ and start_at + interval 28 days <= (select max(occurred_at) - interval 7 days from incidents)
+group by start_at
+""", "incidents"),
+    "late_counts_stream": with_views("""
+select time_bucket(interval 7 days, occurred_at, timestamp '1970-01-01') as start_at, start_at + interval 7 days as end_at,
+ count(*) as crime_count
+from incidents where year(occurred_at) < 1997 and incident_id % 97 = 1 group by 1
 """, "incidents"),
     "incident_profile": with_views(_profile(), "incidents"),
     "incident_row_count": with_views("select count(*) as row_count from incidents", "incidents"),

@@ -182,11 +182,25 @@ _CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false
               "ignoreTrailingWhiteSpace": "false"}
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path below the shared checkpoint folder that nothing uses yet."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/beatline-inputs/{name}-{uuid.uuid4().hex}"
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Incidents as they arrive: three deliveries in the order of time, some rows twice in one,
+    and some of the first period only with the last."""
+    inc = build_incidents(spark, sf_dir).select("incident_id", "occurred_at", "area_id")
+    year, k = F.year("occurred_at"), F.col("incident_id")
+    twice = inc.unionByName(inc.where(k % 50 == 0))
+    late = (year < 1997) & (k % 97 == 1)
+    return [twice.where((year < 1997) & ~late), twice.where((year >= 1997) & (year < 1999)), twice.where((year >= 1999) | late)]
+
+
 def _write_csv(df: DataFrame, name: str) -> str:
     """Writes ``df`` as CSV files, each with a header, in a new shared folder."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/beatline-inputs/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.options(**_CSV_WRITE).csv(path)
     return path
 

@@ -75,10 +75,10 @@ def test_facts_are_counted_before_the_join(plans):
 
 
 def test_no_job_while_planning(spark):
-    """Only the keys about CSV files run jobs (they write the files) before their result is asked for."""
+    """Only the keys about CSV files and streams run jobs (they write the files) before their result is asked for."""
     files = {"top_months_by_count_csv", "day_segment_counts_csv", "day_segment_counts_lines", "incident_profile",
              "incident_row_count", "scan_incidents_csv", "typed_incidents", "scan_stations", "scan_incomes",
-             "scan_geocodes", "scan_lines", "all_incidents"}
+             "scan_geocodes", "scan_lines", "all_incidents", "weekly_area_counts_stream", "sliding_counts_stream", "late_counts_stream"}
     sc = spark.sparkContext
     store = sc._jsc.sc().statusStore()
     # listing a Parquet table's schema is a job of its own; do that once before counting
