@@ -17,10 +17,12 @@ from beatline.functions import day_segment, label_of, thousands
 from beatline.operators import (
     code_between, containing, in_year, not_null, profile, row_count, top_k, with_udf,
 )
+from beatline.operators.changes import change_set
 from beatline.operators.nearest import nearest_station
 from beatline.plans import queries as Q
 from beatline.sources import drop_header, read_incidents_csv, union_periods
 from beatline.sources import standins as S
+from beatline.sources.csv import update_incidents_parquet, write_incidents_parquet
 from beatline.streaming import incident_stream, late_counts, run_closed, run_late, windowed_counts_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +116,37 @@ def overlapping_watches(spark, sf_dir):
     return Q.overlapping_watches(S.build_watches(spark, sf_dir))
 
 
+# --- near in space and time, levels, releases ---------------------------------------------
+
+def crowded_places(spark, sf_dir):
+    return Q.crowded_places(S.incidents(spark, sf_dir))
+
+
+def posts_nearby(spark, sf_dir):
+    return Q.posts_nearby(S.incidents(spark, sf_dir), S.build_posts(spark, sf_dir), S.build_watches(spark, sf_dir))
+
+
+def incident_cube(spark, sf_dir):
+    return Q.incident_cube(S.incidents(spark, sf_dir))
+
+
+def incident_rollup(spark, sf_dir):
+    return Q.incident_rollup(S.incidents(spark, sf_dir))
+
+
+def release_changes(spark, sf_dir):
+    """Which incidents the next release adds, removes or alters."""
+    return change_set(S.incidents(spark, sf_dir), S.build_next_release(spark, sf_dir), ["incident_id"])
+
+
+def release_update(spark, sf_dir):
+    """The stored table of the first release after the years that the next one changes were written anew."""
+    old, new, path = S.incidents(spark, sf_dir), S.build_next_release(spark, sf_dir), S.new_folder(spark, "release")
+    write_incidents_parquet(old, path)
+    update_incidents_parquet(old, new, change_set(old, new, ["incident_id"]), path)
+    return S.core(spark.read.parquet(path))
+
+
 # --- streams --------------------------------------------------------------------------
 
 def _streamed(spark, sf_dir, run):
@@ -298,6 +331,12 @@ QUERIES: dict[str, Query] = {
     "sliding_counts_stream": sliding_counts_stream,
     "late_counts_stream": late_counts_stream,
     "place_sessions": place_sessions,
+    "crowded_places": crowded_places,
+    "posts_nearby": posts_nearby,
+    "incident_cube": incident_cube,
+    "incident_rollup": incident_rollup,
+    "release_changes": release_changes,
+    "release_update": release_update,
     "incident_profile": incident_profile,
     "incident_row_count": incident_row_count,
     "scan_incidents_csv": scan_incidents_csv,

@@ -63,6 +63,17 @@ select -118.75 + (place * 1009 % 4096)::double / 1024.0 as x,
 from (select s_suppkey, case when s_suppkey % 10 = 3 then s_suppkey - 3 else s_suppkey end as place from supplier)
 """
 
+# A later release of the incidents.
+NEXT_RELEASE = """
+select * replace (
+  case when year(occurred_at) = 1997 and incident_id % 211 = 4 then occurred_at + interval 400 day else occurred_at end as occurred_at,
+  case when not (early and incident_id % 61 = 5) then victim_age end as victim_age)
+from (select *, coalesce(year(occurred_at) < 1999, true) as early from incidents) where not (early and incident_id % 83 = 2)
+union all by name
+select * replace (-incident_id - 1 as incident_id) from (select *, coalesce(year(occurred_at) < 1999, true) as early from incidents)
+where early and incident_id % 131 = 0
+"""
+
 # One ZIP for 25 customers.
 INCOMES = """
 select cast(z + 90000 as integer) as zip, 'The "Old" Town, ' || cast(z as varchar) as community,
@@ -108,7 +119,8 @@ LINES = "select concat_ws(',', " + ", ".join(
 def with_views(body: str, *names: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
     """``body`` after the views it names and then any further (name, sql) CTEs, in order."""
     views = {"incidents": INCIDENTS, "stations": STATIONS, "incomes": INCOMES, "geocodes": GEOCODES, "lines": LINES,
-             "estimates": ESTIMATES, "watches": WATCHES, "posts": POSTS}
+             "estimates": ESTIMATES, "watches": WATCHES, "posts": POSTS,
+             "next_release": NEXT_RELEASE}
     wanted = set(names) | ({"incidents"} if "lines" in names else set())
     parts = [(n, q) for n, q in views.items() if n in wanted] + list(ctes)
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts) + "\n" + body
@@ -155,6 +167,10 @@ def zip_head(x: str) -> str:
     return f"string_split({x}, ',')[1]"
 
 
+_SPOTS = ("spots", """
+select lat, lon, cast(occurred_at as date) as day, count(*) as n from incidents
+where lat is not null and lon is not null and occurred_at is not null group by 1, 2, 3
+""")
 TOP_MONTHS_ORACLE = with_views(f"""
 select year, month, crime_count, rank from (
   select cast(year(occurred_at) as integer) as year, cast(month(occurred_at) as integer) as month,
@@ -307,6 +323,38 @@ select lat, lon, min(occurred_at) as start_at, max(occurred_at) as end_at, count
     from incidents where lat is not null and lon is not null and occurred_at is not null))
 group by lat, lon, series
 """, "incidents"),
+    "crowded_places": with_views(f"""
+select a.lat, a.lon, a.day, a.n as crime_count, cast(sum(b.n) as bigint) as nearby
+from spots a join spots b on b.day between a.day - 7 and a.day + 7 and {hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= 2.5
+group by a.lat, a.lon, a.day, a.n
+""", "incidents", ctes=(_SPOTS,)),
+    "posts_nearby": with_views(f"""
+select a.lat, a.lon, a.day, a.n as watch_count, cast(coalesce(sum(b.n), 0) as bigint) as nearby
+from (select p.y as lat, p.x as lon, cast(w.start_at as date) as day, count(*) as n from watches w join posts p on w.watch_id = p.fid
+      where p.y is not null group by 1, 2, 3) a
+left join spots b on b.day between a.day - 7 and a.day + 7 and {hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= 2.5
+group by a.lat, a.lon, a.day, a.n
+""", "incidents", "posts", "watches", ctes=(_SPOTS,)),
+    "incident_cube": with_views(f"""
+select year, month, area_id, day_segment, grouping(year, month, area_id, day_segment) as level, count(*) as crime_count,
+ min(victim_age) as youngest, max(victim_age) as oldest
+from (select cast(year(occurred_at) as integer) as year, cast(month(occurred_at) as integer) as month, area_id,
+        {seg('time_hhmm')} as day_segment, victim_age from incidents)
+group by cube (year, month, area_id, day_segment)
+""", "incidents"),
+    "incident_rollup": with_views("""
+select year, month, area_id, grouping(year, month, area_id) as level, count(*) as crime_count
+from (select cast(year(occurred_at) as integer) as year, cast(month(occurred_at) as integer) as month, area_id from incidents)
+group by rollup (year, month, area_id)
+""", "incidents"),
+    "release_changes": with_views("""
+select coalesce(n.incident_id, o.incident_id) as incident_id,
+ case when o.incident_id is null then 'added' when n.incident_id is null then 'removed' else 'altered' end as change
+from incidents o full join next_release n on o.incident_id = n.incident_id
+where o.incident_id is null or n.incident_id is null or o.occurred_at is distinct from n.occurred_at
+ or o.victim_age is distinct from n.victim_age
+""", "incidents", "next_release"),
+    "release_update": with_views(f"select {CORE} from next_release", "incidents", "next_release"),
     "weekly_area_counts_stream": with_views("""
 select start_at, start_at + interval 7 days as end_at, area_id, count(*) as crime_count
 from (select *, time_bucket(interval 7 days, occurred_at, timestamp '1970-01-01') as start_at from incidents)

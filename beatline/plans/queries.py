@@ -18,6 +18,8 @@ from beatline.functions import (
 )
 from beatline.operators.frames import rolling_counts, sessions
 from beatline.operators.joins import BROADCAST_BYTES, join_dim, with_strategy
+from beatline.operators.levels import cube_sets, grouping_levels, rollup_sets
+from beatline.operators.near import counts_within
 from beatline.operators.nearest import nearest_of_places
 from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_of_counted, not_null,
@@ -183,6 +185,41 @@ def place_sessions(incidents: DataFrame) -> DataFrame:
     return sessions(incidents, ["lat", "lon"], "occurred_at", SESSION_HOURS)
 
 
+NEAR_KM, NEAR_DAYS = 2.5, 7
+
+
+def crowded_places(incidents: DataFrame) -> DataFrame:
+    """Per place and day with incidents: how many there, and how many within 2.5 km and 7 days, its own included."""
+    facts = incidents.select("lat", "lon", "occurred_at")
+    return counts_within(facts, facts, NEAR_KM, NEAR_DAYS, at="occurred_at")
+
+
+def posts_nearby(incidents: DataFrame, posts: DataFrame, watches: DataFrame) -> DataFrame:
+    """Per place and day on which a watch starts at a post: watches that start there, and incidents within 2.5 km and 7 days."""
+    starts = watches.join(posts, F.col("watch_id") == F.col("fid")).select(
+        F.col("y").alias("lat"), F.col("x").alias("lon"), F.col("start_at").alias("occurred_at"))
+    near = counts_within(starts, incidents.select("lat", "lon", "occurred_at"), NEAR_KM, NEAR_DAYS, at="occurred_at")
+    return near.withColumnRenamed("crime_count", "watch_count")
+
+
+def _dimensions(incidents: DataFrame) -> DataFrame:
+    return incidents.select(F.year("occurred_at").alias("year"), F.month("occurred_at").alias("month"), "area_id",
+                            day_segment("time_hhmm").alias("day_segment"), "victim_age")
+
+
+def incident_cube(incidents: DataFrame) -> DataFrame:
+    """Incidents by every subset of year, month, area and part of day, with the youngest and oldest victim."""
+    dims = ["year", "month", "area_id", "day_segment"]
+    return grouping_levels(_dimensions(incidents), dims, cube_sets(dims), {
+        "crime_count": ("count", F.lit(1)), "youngest": ("min", "victim_age"), "oldest": ("max", "victim_age")})
+
+
+def incident_rollup(incidents: DataFrame) -> DataFrame:
+    """Incidents by year, month and area, by year and month, by year, and in all."""
+    dims = ["year", "month", "area_id"]
+    return grouping_levels(_dimensions(incidents), dims, rollup_sets(dims))
+
+
 # --- Q4 ---------------------------------------------------------------------------
 
 def _station_points(stations: DataFrame) -> DataFrame:

@@ -141,3 +141,28 @@ def year_partitioned(incidents: DataFrame) -> DataFrame:
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in incidents.columns])
     return (incidents.withColumn(YEAR_PARTITION, F.year("occurred_at"))
             .repartitionByRange(F.col("occurred_at"), spread).sortWithinPartitions("occurred_at"))
+
+
+def update_incidents_parquet(old: DataFrame, new: DataFrame, changes: DataFrame, path: str, key: str = "incident_id") -> list[int | None]:
+    """Brings a table that :func:`write_incidents_parquet` stored from ``old`` up to ``new``: writes the years that
+    a changed row was or is in, and leaves the files of all others as they are. Returns these years.
+
+    ``changes`` is the change set of the two releases. A year that has lost all its rows loses its folder. The years come
+    to the driver, of which a calendar has few; running it again after a failure gives the same table."""
+    from beatline.operators.changes import touched_values
+    from beatline.operators.relational import YEAR_PARTITION
+    spark, year = new.sparkSession, F.year("occurred_at")
+    touched = [r["part"] for r in touched_values(old, new, changes, [key], year).collect()]
+    if not touched:
+        return []
+    known = [y for y in touched if y is not None]
+    within = year.isin(known) if known else F.lit(False)
+    rows = new.where((within | year.isNull()) if None in touched else within)
+    left = {r[0] for r in rows.select(year).distinct().collect()}
+    (year_partitioned(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(YEAR_PARTITION).parquet(path))
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for y in set(touched) - left:
+        folder = hadoop(f"{path}/{YEAR_PARTITION}={'__HIVE_DEFAULT_PARTITION__' if y is None else y}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return sorted(touched, key=lambda y: (y is None, y))
