@@ -9,9 +9,13 @@ class, and which voters still go together within a class; voters that say the sa
 share their weight. Its posterior probabilities are the labels on which a linear classifier
 is trained, over the voters and the presence of vocabulary words; that classifier scores.
 
-The lexicon, vocabulary and classifier are fitted on at most ``SAMPLE`` labelled rows, taken
+Words and stems are counted over all labelled rows. How much evidence an entry needs grows with the
+logarithm of the number of entries that could be chosen, so a rare toxic word enters once enough labels speak for it.
+The strongest entries are taken one by one, without those that a family taken before covers, up to ``VOCABULARY``
+families. The first ``WORDS`` of them are a voter each; all others are dealt to ``SHARED`` voters, which
+fire for any of theirs. The classifier is fitted on at most ``SAMPLE`` labelled rows, taken
 by a hash of their ids; the label model on the counts of all vote patterns, of which there
-are 2 ** VOTERS at most. Labels, language, source and id are no input of a score.
+are 2 ** VOTERS at most (16 bytes each). Labels, language, source and id are no input of a score.
 
 Defined results: null and empty texts have no votes and no words and score as the
 classifier's constant, below one half unless the labels say otherwise; labels that are null, or of unknown
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,19 +36,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beatline.llm.common import add_columns, cut, ship
+from beatline.llm.common import add_columns, cut, ship, without
 
 #: Insults to begin with, common words of several languages (a fixed list, a parameter).
 LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "worthless", "disgusting", "scum", "trash",
            "clown", "dumb", "imbecile", "bastard", "hate", "filthy", "idiota", "imbécile", "dummkopf")
-#: Bound of the rows that lexicon and classifier are fitted on; lexicon voters; vocabulary entries.
-SAMPLE, WORDS, VOCABULARY = 20_000, 16, 256
-#: Log odds times toxic texts from which an entry can't be chance among all words of the sample.
-EVIDENCE = 30.0
+#: Bound of the rows that the classifier is fitted on; entries that are voters; voters for all other entries; families.
+SAMPLE, WORDS, SHARED, VOCABULARY = 20_000, 16, 4, 256
+#: Entries that a task counts before it hands them on.
+HELD = 200_000
 #: Lengths of stems; an entry that ends in a star is a stem, the start of longer words.
 STEMS = (4, 5, 6)
 PATTERNS = ("two_entries", "disguised", "shouting", "exclaiming")
-VOTERS = WORDS + len(PATTERNS)
+LEXICAL = WORDS + SHARED
+VOTERS = LEXICAL + len(PATTERNS)
 ROUNDS = 40
 _BLANK = {i: " " for i in range(128) if not chr(i).isalnum()}
 _LEET = str.maketrans("013457@$!", "oieastasi")
@@ -56,7 +61,7 @@ def words_of(text: str | None) -> Counter:
     return Counter((text or "").lower().translate(_BLANK).split())
 
 
-def entries_of(words: Counter) -> set[str]:
+def entries_of(words: Iterable[str]) -> set[str]:
     """The words of a text and the stems of the longer ones."""
     return {w[:k] + "*" for k in STEMS for w in words if len(w) > k}.union(words)
 
@@ -65,7 +70,8 @@ class Voters:
     """Votes and vocabulary entries of a text."""
 
     def __init__(self, lexicon: list[str], vocabulary: list[str]):
-        self.lexicon, self.bits = frozenset(lexicon), {w: 1 << i for i, w in enumerate(lexicon[:WORDS])}
+        self.lexicon, self.bits = frozenset(lexicon), {
+            w: 1 << (i if i < WORDS else WORDS + i % SHARED) for i, w in enumerate(lexicon)}
         self.index = {w: i for i, w in enumerate(vocabulary)}
 
     def __call__(self, text: str | None) -> tuple[int, list[int]]:
@@ -73,20 +79,27 @@ class Voters:
         text = text or ""
         entries = entries_of(seen)
         hits = self.lexicon & entries
-        votes = sum(self.bits.get(w, 0) for w in hits)
+        votes = 0
+        for w in hits:
+            votes |= self.bits[w]
         n = sum(seen.values())
         capitals = sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         disguised = any(m[0].lower().translate(_LEET) in self.lexicon for m in _MIXED.finditer(text))
         marks = (len(hits) >= 2, disguised,
                  n >= 5 and capitals * 2 > sum(map(len, seen.elements())), _MARKS.search(text) is not None)
-        votes += sum(1 << (WORDS + i) for i, m in enumerate(marks) if m)
+        votes += sum(1 << (LEXICAL + i) for i, m in enumerate(marks) if m)
         return votes, sorted(self.index[w] for w in self.index.keys() & entries)
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic, a row for each id; of several labels the toxic one counts."""
+    return labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
     """At most ``limit`` of the labelled ``docs``: doc_id, text, toxic; those of the smallest hashes."""
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
+    known = known_labels(labels)
     # About twice the bound passes the first filter, so that few rows meet for the order.
     share = min(1.0, 2 * limit / max(1, known.count()))
     few = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
@@ -94,46 +107,75 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame
     return docs.join(F.broadcast(chosen), "doc_id")  # ``limit`` rows at most
 
 
-def lexicon_of(rows: DataFrame, given: tuple[str, ...] = LEXICON) -> tuple[list[str], list[str]]:
-    """Voter words and vocabulary from the sample: words by the log odds of the share of toxic
-    and of other texts that hold them, given words first if the sample doesn't speak against them."""
+def entry_counts(rows: DataFrame) -> DataFrame:
+    """word, one, none: how many toxic and other texts of ``rows`` (text, toxic) hold each word or stem."""
+    def handed(held: list[Counter]) -> Iterator[pa.RecordBatch]:
+        for k, texts in enumerate(held):
+            if texts:
+                yield pa.RecordBatch.from_pydict({
+                    "word": list(texts), "toxic": pa.array([k] * len(texts), pa.int32()),
+                    "texts": pa.array(list(texts.values()), pa.int64())})
+                texts.clear()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [Counter(), Counter()]
         for b in batches:
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held[toxic].update(entries_of(words_of(text)))
-        for k in (0, 1):
-            if held[k]:
-                yield pa.RecordBatch.from_pydict({
-                    "word": list(held[k]), "toxic": pa.array([k] * len(held[k]), pa.int32()),
-                    "texts": pa.array(list(held[k].values()), pa.int64())})
+                held[toxic].update(entries_of(set((text or "").lower().translate(_BLANK).split())))
+                if len(held[0]) + len(held[1]) > HELD:
+                    yield from handed(held)
+        yield from handed(held)
 
     parts = rows.select("text", "toxic").mapInArrow(count, "word string, toxic int, texts long")
+    return parts.groupBy("word").agg(
+        F.sum(F.when(F.col("toxic") == 1, F.col("texts")).otherwise(0)).alias("one"),
+        F.sum(F.when(F.col("toxic") == 0, F.col("texts")).otherwise(0)).alias("none"))
+
+
+def families(entries: Iterable[tuple[str, int]], limit: int = VOCABULARY) -> dict[str, int]:
+    """The first ``limit`` of ``entries`` (word, toxic texts; strongest first) that say something new: not what a taken
+    stem covers, nor a stem that a taken entry makes up (four fifths of its texts)."""
+    taken: dict[str, int] = {}
+    makes: dict[str, int] = {}  # of each start of a taken entry the most texts
+    for w, one in entries:
+        body = w.rstrip("*")
+        covered = any(body[:k] + "*" in taken for k in STEMS if len(body) >= k)
+        if covered or w.endswith("*") and makes.get(body, 0) >= 0.8 * one:
+            continue
+        taken[w] = one
+        for k in STEMS:
+            if len(body) >= k:
+                makes[body[:k]] = max(makes.get(body[:k], 0), one)
+        if len(taken) == limit:
+            break
+    return taken
+
+
+def lexicon_of(rows: DataFrame, given: tuple[str, ...] = LEXICON) -> tuple[list[str], list[str]]:
+    """Voter words and vocabulary from all labelled ``rows`` (text, toxic): words by the log odds of the share of toxic
+    and of other texts that hold them, given words first if the rows don't speak against them."""
     sizes = dict(rows.groupBy("toxic").count().collect())
     n = [sizes.get(0, 0), sizes.get(1, 0)]
     if not min(n):
         return list(given), list(given)
-    one = F.sum(F.when(F.col("toxic") == 1, F.col("texts")).otherwise(0))
-    none = F.sum(F.when(F.col("toxic") == 0, F.col("texts")).otherwise(0))
     odds = F.log((F.col("one") + 0.5) / (n[1] + 1)) - F.log((F.col("none") + 0.5) / (n[0] + 1))
-    words = (parts.groupBy("word").agg(one.alias("one"), none.alias("none")).withColumn("odds", odds)
-             .where((F.col("one") + F.col("none") >= 5) | F.col("word").isin(*given)))
-    # Evidence: odds in proportion to the toxic texts that hold the word.
-    strong = (words.where((F.col("odds") > 2) & (F.col("odds") * F.col("one") > EVIDENCE)).orderBy(F.desc(F.col("odds") * F.col("one")), "word").limit(VOCABULARY).collect())
+    words = cut(entry_counts(rows).where((F.col("one") > 0) | F.col("word").isin(*given)).withColumn("odds", odds), "toxicity-words")
+    # Evidence: odds in proportion to the toxic texts that hold the word, against chance among so many words.
+    evidence = F.col("odds") * F.col("one")
+    least = 2 * float(np.log(max(1, words.count()))) + 6
+    strong = words.where((F.col("odds") > 2) & (evidence > least)).orderBy(F.desc(evidence), F.desc(F.length("word")), "word")
     against = {r["word"] for r in words.where(F.col("word").isin(*given) & (F.col("odds") <= 0)).collect()}
-    # A stem that one chosen word makes up, or an entry that a chosen stem covers, says nothing new.
-    chosen: dict[str, int] = {}
-    for r in sorted(strong, key=lambda r: (-r["odds"] * r["one"], -len(r["word"]))):
-        w, one = r["word"], r["one"]
-        stem = w[:-1] if w.endswith("*") else None
-        if not any(w != c and (c.endswith("*") and w.startswith(c[:-1]) or stem and c.startswith(stem) and n >= 0.8 * one)
-                   for c, n in chosen.items()):
-            chosen[w] = one
+    strong = strong.select("word", "one")
+    first = strong.limit(16 * VOCABULARY).collect()
+    chosen = families(first)
+    if len(chosen) < VOCABULARY and len(first) == 16 * VOCABULARY:  # very large families: partition by partition
+        chosen = families(strong.toLocalIterator())
     ranked = list(chosen)
-    least = 0.25 * max(chosen.values(), default=0)
-    voters = [w for w, one in chosen.items() if one >= least]
-    voters += [w for w in given if w not in voters and w not in against]
-    return voters, ranked + [w for w in voters if w not in ranked]
+    common = 0.25 * max(chosen.values(), default=0)
+    voters = [w for w, one in chosen.items() if one >= common]
+    voters += [w for w in given if w not in chosen and w not in against]
+    voters += [w for w in ranked if w not in voters]
+    return voters, ranked + [w for w in voters if w not in chosen]
 
 
 class LabelModel:
@@ -144,7 +186,7 @@ class LabelModel:
     def __init__(self, votes: np.ndarray, counts: np.ndarray, known: np.ndarray):
         """``votes``: patterns by voters, 0 or 1; ``counts``: texts with the pattern;
         ``known``: labelled texts with the pattern, not toxic and toxic."""
-        share = np.clip(1 - 0.1 ** votes[:, :WORDS].sum(axis=1), 0.02, 0.98)
+        share = np.clip(1 - 0.1 ** votes[:, :LEXICAL].sum(axis=1), 0.02, 0.98)
         self.quiet = votes.sum(axis=1) == 0
         self.none = np.zeros(2)
         for _ in range(ROUNDS):
@@ -221,8 +263,9 @@ class Classifier:
 def fit(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text") -> tuple[Classifier, DataFrame]:
     """The classifier, and ``df`` without its texts with their votes and entries (FEATURES)."""
     ship(df.sparkSession)
-    labelled = cut(sample(train_on.select("doc_id", "text"), labels), "toxicity-sample")
-    voters, vocabulary = lexicon_of(labelled)
+    texts = train_on.select("doc_id", "text")
+    labelled = cut(sample(texts, labels), "toxicity-sample")
+    voters, vocabulary = lexicon_of(texts.join(known_labels(labels), "doc_id"))
     made = Classifier(voters, vocabulary, [0.0] * (VOTERS + len(vocabulary)), -2.0)
 
     def make():
@@ -230,18 +273,19 @@ def fit(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text
         return lambda texts: map(each, texts)
 
     featured = cut(add_columns(df, [text], FEATURES, make).drop(text), "toxicity")
-    counted = featured.groupBy("__votes").agg(F.count(F.lit(1)).alias("n")).collect()  # 2 ** VOTERS rows at most
+    counted = featured.groupBy("__votes").agg(F.count(F.lit(1)).alias("n")).toArrow()  # 2 ** VOTERS rows at most
+    counted = dict(zip(counted["__votes"].to_pylist(), counted["n"].to_pylist()))
     rows = add_columns(labelled, ["text"], FEATURES, make).select("__votes", "__words", "toxic").collect()  # SAMPLE at most
     known: dict[int, list[float]] = {}
     for r in rows:
         known.setdefault(r["__votes"], [0.0, 0.0])[r["toxic"]] += 1
-    patterns = sorted({r["__votes"] for r in counted} | known.keys())
+    patterns = sorted(counted.keys() | known.keys())
     if not patterns:
         return made, featured
     at = {p: i for i, p in enumerate(patterns)}
     counts, labelled_counts = np.zeros(len(patterns)), np.zeros((len(patterns), 2))
-    for r in counted:
-        counts[at[r["__votes"]]] = r["n"]
+    for p, n in counted.items():
+        counts[at[p]] = n
     for p, c in known.items():
         labelled_counts[at[p]] = c
     votes = bits(np.array(patterns, np.int64))
@@ -271,8 +315,13 @@ def score(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "te
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)).drop("__votes", "__words")
 
 
-def reject(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` that are not predicted toxic, in a second pass over their texts."""
+def reject(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
+    """The rows of ``df`` that are not predicted toxic. With a ``key``, a number that tells its rows apart and is the same
+    whenever ``df`` is read, texts are looked through once and the toxic rows leave by their keys; without one,
+    the classifier goes over the texts in a second pass."""
+    if key is not None:
+        rated = score(df.select(key, "doc_id", text), labels, train_on, text)
+        return without(df, cut(rated.where("predicted = 1").select(key), "toxic"), key)
     made, _ = fit(df.select("doc_id", text), labels, train_on, text)
 
     def make():

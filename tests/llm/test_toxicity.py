@@ -77,3 +77,55 @@ def test_edges(spark, docs, no_docs):
     unlabelled = toxicity.score(docs.select("doc_id", "text"), labels.limit(0), docs).collect()
     assert len(unlabelled) == len(TEXTS) + 2 and all(r.predicted == 0 for r in unlabelled if r.doc_id in (0, 1))
     assert toxicity.sample(docs, labels, limit=3).select("doc_id").distinct().count() <= 3
+
+
+def test_entries_are_counted_over_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "HELD", 7)  # counts are handed on in many parts
+    rows = [(t, i % 2) for i, t in enumerate(["Idiots idiot, stems stemmed", "", None, "a-b c! ABCDEFGH", "stemming stemmer idiot"] * 7)]
+    got = {r.word: (r.one, r.none) for r in toxicity.entry_counts(spark.createDataFrame(rows, "text string, toxic int")).collect()}
+    plain = {}
+    for text, toxic in rows:
+        for w in toxicity.entries_of(toxicity.words_of(text)):
+            plain.setdefault(w, [0, 0])[1 - toxic] += 1
+    assert got == {w: tuple(c) for w, c in plain.items()} and got["stem*"][0] > 0
+
+
+def test_families_like_a_plain_search(monkeypatch):
+    r = random.Random(5)
+    entries = sorted({(w[:k] + "*" if k else w, r.randrange(1, 50)) for w in ["".join(r.choices("ab", k=r.randint(3, 8))) for _ in range(300)]
+                      for k in (0, r.choice([0, *toxicity.STEMS])) if not k or len(w) > k}, key=lambda e: (-e[1], e[0]))
+    entries = list(dict(reversed(entries)).items())[::-1]  # each word once
+    plain = {}
+    for w, one in entries:
+        stem = w[:-1] if w.endswith("*") else None
+        if not any(c.endswith("*") and w.startswith(c[:-1]) or stem and c.startswith(stem) and n >= 0.8 * one for c, n in plain.items()):
+            plain[w] = one
+    assert toxicity.families(entries, 10_000) == plain and len(plain) > 20
+    assert list(toxicity.families(entries, 5)) == list(plain)[:5]
+
+
+def test_many_families_do_not_crowd_each_other_out(spark):
+    """More toxic words than voters, with many inflections each; every one of them is found, none of the clean texts is."""
+    r = random.Random(8)
+    stems = ["".join(r.choices("bcdfgklmnprstvz", k=7)) for _ in range(60)]
+    rows = []
+    for i in range(3000):
+        words = r.choices(WORDS, k=25)
+        if toxic := r.random() < 0.3:
+            words.insert(3, stems[i % 60] + r.choice(["", "en", "er", "ing", "ish", "ly"]))
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    made, _ = toxicity.fit(docs, labels, docs)
+    assert all(any(s.startswith(v.rstrip("*")) for v in made.voters) for s in stems)
+    out = {x.doc_id: x.predicted for x in toxicity.score(docs, labels, docs).collect()}
+    assert out == {i: t for i, _, t in rows}
+
+
+def test_rows_leave_by_key(spark):
+    rows = corpus(600)
+    docs = spark.createDataFrame([(i, t, 7 * i) for i, t, _ in rows] + [(3, None, 9_999)], "doc_id long, text string, row long").coalesce(1)
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    by_key = toxicity.reject(docs, labels, docs, key="row")
+    assert by_key.columns == docs.columns
+    assert sorted(by_key.collect(), key=str) == sorted(toxicity.reject(docs, labels, docs).collect(), key=str)
