@@ -32,8 +32,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the documents whose id's crc32 leaves a remainder by 5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    rows = docs.select(*COLUMNS)
-    return toxicity.reject(rows, labels, rows.where(fold("doc_id", 5) != 0))
+    rows = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())  # the same in each scan of the files
+    return toxicity.reject(rows, labels, rows.where(fold("doc_id", 5) != 0), key="row").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
