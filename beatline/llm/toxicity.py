@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beatline.llm.common import add_columns, cut, ship, without
+from beatline.llm.common import add_columns, cut, maybe_in, ship, without
 
 #: Insults to begin with, common words of several languages (a fixed list, a parameter).
 LEXICON = ("idiot", "moron", "stupid", "loser", "pathetic", "worthless", "disgusting", "scum", "trash",
@@ -265,7 +265,9 @@ def fit(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text
     ship(df.sparkSession)
     texts = train_on.select("doc_id", "text")
     labelled = cut(sample(texts, labels), "toxicity-sample")
-    voters, vocabulary = lexicon_of(texts.join(known_labels(labels), "doc_id"))
+    # Only texts that may have a label are shuffled; a merge at every size, as labels grow with the texts.
+    known = cut(known_labels(labels), "toxicity-labels")
+    voters, vocabulary = lexicon_of(maybe_in(texts, known, "doc_id").join(known.hint("merge"), "doc_id"))
     made = Classifier(voters, vocabulary, [0.0] * (VOTERS + len(vocabulary)), -2.0)
 
     def make():
