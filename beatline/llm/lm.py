@@ -13,11 +13,13 @@ are asked, so each id is predicted once and from at least a block before it. Wha
 before a text is the end id, repeated. Windows are batched; a mask keeps them causal.
 
 What is gathered: counts of all words and subwords of the training texts, summed before
-and after a shuffle. The attention weights learn from every training text once, whatever
-their number: a hash deals the texts over ROUNDS rounds; in a round every task trains on
-its texts of that round, and the weights are averaged by the number of ids. The base
-score, with counts of words, looks up the HEAD most frequent words in a broadcast table
-and joins all others by a shuffle.
+and after a shuffle. Then each text is cut once into ids, which are stored. The attention
+weights learn from every training text once, whatever their number: a hash deals the texts over
+ROUNDS rounds; in a round every task trains on its texts of that round, and the weights are
+averaged by the number of ids. So the weights, and with them the scores, depend on how the rows
+fall to tasks, that is on the files and the settings of the scan. The base score, with counts of
+words, looks up the HEAD most frequent words in a broadcast table and joins all others by a shuffle.
+A very long text takes some 12 bytes an id where it is laid out, beside its Arrow batch.
 
 Defined results: a null or empty text has one token, the end; repeated rows are scored
 alike; without training texts all counts are zero and the model is untrained, but all
@@ -34,8 +36,10 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beatline.llm import bpe
 from beatline.llm.chunks import Memory
@@ -52,8 +56,8 @@ ROUNDS = 4
 HEAD, HELD, WORDS = 200_000, 400_000, 400_000
 #: Weights that travel in one row when the tasks' weights are summed.
 PIECE = 1024
-#: Ids that are scored in one go, and windows of a training step.
-CHUNK, BATCH = 1 << 15, 64
+#: Ids that are scored in one go, windows of a training step, ids that a task lays out at a time for such steps.
+CHUNK, BATCH, PART = 1 << 13, 256, 1 << 17
 
 
 class Segments:
@@ -62,14 +66,19 @@ class Segments:
     def __init__(self, path: str):
         self.bpe = bpe.loaded(path)
         self.end = self.bpe.size
+        #: How an id is stored, the end included.
+        self.code = "H" if self.end < 1 << 16 else "I"
         self.memory = Memory(self._make, WORDS)
 
     def _make(self, words: list[bytes]) -> list[bytes]:
-        return [pack(f"<{len(ids)}I", *ids) for ids in map(self.bpe.propose, [b" " + w for w in words])]
+        return [pack(f"<{len(ids)}{self.code}", *ids) for ids in map(self.bpe.propose, [b" " + w for w in words])]
 
-    def ids(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+    def coded(self, texts: list[list[bytes]]) -> list[bytes]:
         get = self.memory.learn(set().union(*texts))
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in texts]
+        return [b"".join(map(get, words)) for words in texts]
+
+    def read(self, coded: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(ids, f"<{self.code}") for ids in coded]
 
 
 _SEGMENTS: dict[str, Segments] = {}
@@ -179,6 +188,16 @@ def row_sums(a: np.ndarray) -> np.ndarray:
     return a @ np.ones(a.shape[1], a.dtype)
 
 
+def sums_by(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows that share a place."""
+    order = np.argsort(at.astype(np.uint16 if size <= 1 << 16 else np.int64), kind="stable")
+    found = at[order]
+    first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[found[first]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    return out
+
+
 class Attention:
     """The model; weights are float32 arrays by name. Groups and leaves are those of the ids."""
 
@@ -189,6 +208,8 @@ class Attention:
         # Input, question, key and value depend on the leaf alone: one table to look them up in.
         x = weights["by_leaf"] + np.repeat(weights["by_group"], LEAVES, axis=0)
         self.table = np.concatenate([x, *(x @ weights[n] for n in ("ask", "key", "value"))], axis=1)
+        self.out = np.vstack([weights["out"], weights["out0"]])
+        self.fine = np.concatenate([weights["fine"], weights["fine0"][:, None]], axis=1)
 
     @classmethod
     def fresh(cls, vocabulary: Vocabulary, seed: int = 7) -> dict[str, np.ndarray]:
@@ -206,107 +227,115 @@ class Attention:
         looked_up = self.table.take(leaves.ravel(), axis=0)
         x, q, k, v = (looked_up[:, i * WIDTH:(i + 1) * WIDTH] for i in range(4))
         n = len(leaves) - 1
-        pairs = [np.lib.stride_tricks.as_strided(
-            a, (n, 2 * STEP, WIDTH), (STEP * a.strides[0], a.strides[0], a.strides[1])) for a in (k, v)]
-        asks = q.reshape(-1, STEP, WIDTH)[1:]
-        p = asks @ pairs[0].transpose(0, 2, 1)
-        p *= np.float32(WIDTH ** -0.5)
+        k, v = (np.lib.stride_tricks.as_strided(
+            a, (n, 2 * STEP, WIDTH), (STEP * a.strides[0], a.strides[0], a.strides[1])) for a in (k, v))
+        q = (q[STEP:] * np.float32(WIDTH ** -0.5)).reshape(n, STEP, WIDTH)
+        p = q @ k.transpose(0, 2, 1)
         p += self.bias
         np.minimum(p, 80, out=p)
         np.exp(p, out=p)  # what lies ahead becomes zero
-        total = row_sums(p.reshape(-1, 2 * STEP)).reshape(n, STEP, 1)
-        seen = (p @ pairs[1] / total).reshape(-1, WIDTH)
+        total = row_sums(p.reshape(-1, 2 * STEP))[:, None]
+        seen = (p @ v).reshape(-1, WIDTH)
+        seen /= total
         h = x[STEP:] + seen @ w["mix"]
-        hidden = np.maximum(h @ w["up"] + w["up0"], 0)
-        top = h + hidden @ w["down"]
-        logits = top @ w["out"]
-        logits += w["out0"]
-        return {"x": x, "q": q, "k": k, "v": v, "p": p, "total": total, "seen": seen, "h": h, "hidden": hidden, "top": top,
-                "logits": np.minimum(logits, 80, out=logits)}
-
-    def by_group(self, top: np.ndarray, groups: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each group aimed at: the group, its places and the scores of its leaves there."""
+        hidden = h @ w["up"]
+        hidden += w["up0"]
+        np.maximum(hidden, 0, out=hidden)
+        top = np.empty((len(h), WIDTH + 1), h.dtype)  # the last column meets the biases
+        np.add(h, hidden @ w["down"], out=top[:, :WIDTH])
+        top[:, WIDTH] = 1
+        return {"x": x, "q": q, "k": k, "v": v, "p": p, "total": total, "seen": seen, "h": h, "hidden": hidden, "top": top}
+
+    def chances(self, scores: np.ndarray, aim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Exponentials of the scores (in their place), their sums, and the log share of the one aimed at."""
+        np.minimum(scores, 80, out=scores)
+        at = scores[np.arange(len(scores)), aim]
+        np.exp(scores, out=scores)
+        sums = row_sums(scores)
+        return scores, sums, at - np.log(np.maximum(sums, 1e-30))
+
+    def by_group(self, top: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
+        """Places in the order of the groups aimed at, their activations, (group, from, to) of each
+        group's stretch, and the scores of its leaves there."""
         order = np.argsort(groups.astype(np.uint8 if GROUPS <= 256 else np.int32), kind="stable")
-        ends = np.cumsum(np.bincount(groups, minlength=GROUPS))
-        for g in range(GROUPS):
-            at = order[ends[g - 1] if g else 0:ends[g]]
-            if len(at):
-                fine = top[at] @ self.w["fine"][g]
-                fine += self.w["fine0"][g]
-                yield g, at, np.minimum(fine, 80, out=fine)
+        ends = np.cumsum(np.bincount(groups, minlength=GROUPS)).tolist()
+        spans = [(g, i, j) for g, (i, j) in enumerate(zip([0, *ends], ends)) if j > i]
+        top = top.take(order, axis=0)
+        fine = np.empty((len(top), LEAVES), top.dtype)
+        for g, i, j in spans:
+            np.matmul(top[i:j], self.fine[g], out=fine[i:j])
+        return order, top, spans, fine
 
     def log_probability(self, leaves: np.ndarray, aim_group: np.ndarray, aim_leaf: np.ndarray) -> np.ndarray:
         """Natural log probability of the leaf aimed at, from the second block on."""
-        a = self.forward(leaves)
-        logits = a["logits"]
-        out = logits[np.arange(len(logits)), aim_group].astype(float)
-        np.exp(logits, out=logits)
-        out -= np.log(row_sums(logits))
-        for g, at, fine in self.by_group(a["top"], aim_group):
-            aim = fine[np.arange(len(at)), aim_leaf[at] - g * LEAVES]
-            out[at] += aim - np.log(row_sums(np.exp(fine, out=fine)))
+        top = self.forward(leaves)["top"]
+        out = self.chances(top @ self.out, aim_group)[2].astype(float)
+        order, _, _, fine = self.by_group(top, aim_group)
+        out[order] += self.chances(fine, aim_leaf[order] % LEAVES)[2]
         return out
 
-    def gradients(self, groups: np.ndarray, leaves: np.ndarray, aim_group: np.ndarray, aim_leaf: np.ndarray,
+    def gradients(self, leaves: np.ndarray, aim_group: np.ndarray, aim_leaf: np.ndarray,
                   weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over the places of weight 1, and its gradients."""
         w, a = self.w, self.forward(leaves)
-
-        def softmax(scores: np.ndarray, aim: np.ndarray, each: np.ndarray) -> tuple[float, np.ndarray]:
-            e = np.exp(scores - scores.max(axis=1, keepdims=True))
-            e /= e.sum(axis=1, keepdims=True)
-            rows = np.arange(len(e))
-            lost = float(-(np.log(np.maximum(e[rows, aim], 1e-30)) * each).sum())
-            e[rows, aim] -= 1
-            e *= each[:, None]
-            return lost, e
-
-        each = weight / max(1.0, float(weight.sum()))
-        loss, e = softmax(a["logits"], aim_group, each)
-        g = {"out": a["top"].T @ e, "out0": e.sum(axis=0), "fine": np.zeros_like(w["fine"]), "fine0": np.zeros_like(w["fine0"])}
+        each = (weight / max(1.0, float(weight.sum()))).astype(a["top"].dtype)
+
+        def slopes(scores: np.ndarray, aim: np.ndarray, each: np.ndarray) -> tuple[float, np.ndarray]:
+            e, sums, logs = self.chances(scores, aim)
+            e *= (each / sums)[:, None]
+            e[np.arange(len(e)), aim] -= each
+            return -float(logs @ each), e
+
+        loss, e = slopes(a["top"] @ self.out, aim_group, each)
+        out = a["top"].T @ e
+        order, top, spans, fine = self.by_group(a["top"], aim_group)
+        lost, d = slopes(fine, aim_leaf[order] % LEAVES, each[order])
+        fines, sorted_back = np.zeros_like(self.fine), np.empty((len(top), WIDTH), top.dtype)
+        for k, i, j in spans:
+            np.matmul(top[i:j].T, d[i:j], out=fines[k])
+            np.matmul(d[i:j], w["fine"][k].T, out=sorted_back[i:j])
+        g = {"out": out[:-1], "out0": out[-1], "fine": fines[:, :-1], "fine0": fines[:, -1]}
         top = e @ w["out"].T
-        for k, at, fine in self.by_group(a["top"], aim_group):
-            lost, e = softmax(fine, aim_leaf[at] - k * LEAVES, each[at])
-            loss += lost
-            g["fine"][k], g["fine0"][k] = a["top"][at].T @ e, e.sum(axis=0)
-            top[at] += e @ w["fine"][k].T
+        top[order] += sorted_back
         g["down"] = a["hidden"].T @ top
-        hidden = (top @ w["down"].T) * (a["hidden"] > 0)
-        g["up"], g["up0"] = a["h"].T @ hidden, hidden.sum(axis=0)
-        h = top + hidden @ w["up"].T
+        hidden = top @ w["down"].T
+        hidden *= a["hidden"] > 0
+        g["up"], g["up0"] = a["h"].T @ hidden, row_sums(hidden.T)
+        h = top
+        h += hidden @ w["up"].T
         g["mix"] = a["seen"].T @ h
         n = len(leaves) - 1
-        seen = (h @ w["mix"].T).reshape(n, STEP, WIDTH)
-        blocks = {name: a[name].reshape(-1, STEP, WIDTH) for name in "qkv"}
-        pair = {name: np.concatenate([blocks[name][:-1], blocks[name][1:]], axis=1) for name in "kv"}
-        p = a["p"] / a["total"]
-        dp = seen @ pair["v"].transpose(0, 2, 1)
-        ds = p * (dp - (p * dp).sum(axis=2, keepdims=True))
+        seen = h @ w["mix"].T
+        # A question's slopes over what it asks sum to zero: take off their mean by its chances.
+        mean = row_sums(seen * a["seen"])[:, None]
+        seen, p = seen.reshape(n, STEP, WIDTH), a["p"]
+        p.reshape(-1, 2 * STEP)[...] /= a["total"]
+        ds = seen @ a["v"].transpose(0, 2, 1)
+        ds -= mean.reshape(n, STEP, 1)
+        ds *= p
         near = np.bincount(np.clip(DISTANCE, 0, None).ravel(), ds.sum(axis=0).ravel(), 2 * STEP)
-        g["near"] = near.astype(np.float32)
-        ds *= np.float32(WIDTH ** -0.5)
+        g["near"] = near.astype(h.dtype)
         x = np.zeros_like(a["x"])
         x[STEP:] += h
 
-        def back(name: str, d: np.ndarray) -> None:
-            g[name] = a["x"].T @ d
-            x.__iadd__(d @ w[name].T)
+        def back(name: str, d: np.ndarray, at: int = 0) -> None:
+            g[name] = a["x"][at:].T @ d
+            x[at:] += d @ w[name].T
 
         def overlap(d: np.ndarray) -> np.ndarray:
-            out = np.zeros_like(blocks["k"])
+            out = np.zeros((n + 1, STEP, WIDTH), d.dtype)
             out[:-1] += d[:, :STEP]
             out[1:] += d[:, STEP:]
             return out.reshape(-1, WIDTH)
 
-        q = np.zeros_like(blocks["q"])
-        q[1:] = ds @ pair["k"]
-        back("ask", q.reshape(-1, WIDTH))
-        back("key", overlap(ds.transpose(0, 2, 1) @ blocks["q"][1:]))
+        q = (ds @ a["k"]).reshape(-1, WIDTH)
+        q *= np.float32(WIDTH ** -0.5)
+        back("ask", q, STEP)
+        back("key", overlap(ds.transpose(0, 2, 1) @ a["q"]))
         back("value", overlap(p.transpose(0, 2, 1) @ seen))
-        g["by_leaf"] = np.zeros_like(w["by_leaf"])
-        np.add.at(g["by_leaf"], leaves.ravel(), x)
+        g["by_leaf"] = sums_by(leaves.ravel(), x, GROUPS * LEAVES)
         g["by_group"] = g["by_leaf"].reshape(GROUPS, LEAVES, WIDTH).sum(axis=1)
-        return loss, g
+        return loss + lost, g
 
 
 def laid_out(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -314,8 +343,8 @@ def laid_out(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray,
     ids. Also the id to predict and the text (-1: none) of each place from the second block on."""
     many = [-(-(len(t) + 1) // STEP) for t in texts]
     size = sum(many) + len(texts)
-    ids = np.full(size * STEP, end, np.int64)
-    aims, of = ids.copy(), np.full(size * STEP, -1)
+    ids = np.full(size * STEP, end, np.int32)
+    aims, of = ids.copy(), np.full(size * STEP, -1, np.int32)
     at = 0
     for k, (t, n) in enumerate(zip(texts, many)):
         at += STEP
@@ -360,8 +389,12 @@ def score_texts(model: Attention, vocabulary: Vocabulary, texts: list[np.ndarray
 def train_part(weights: dict[str, np.ndarray], vocabulary: Vocabulary, batches: Iterator[list[np.ndarray]],
                end: int, rate: float) -> tuple[dict[str, np.ndarray], int]:
     """The weights after one pass over a task's texts with Adam's steps, and the ids seen."""
-    w = {k: v.copy() for k, v in weights.items()}
-    m, s = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    flat = np.concatenate([weights[k].ravel() for k in SHAPES])
+    w, at = {}, 0  # parts of one vector, so that a step is taken over all at once
+    for k, shape in SHAPES.items():
+        size = int(np.prod(shape))
+        w[k], at = flat[at:at + size].reshape(shape), at + size
+    m, s = np.zeros_like(flat), np.zeros_like(flat)
     t = seen = 0
     for texts in batches:
         blocks, aims, of = laid_out(texts, end)
@@ -370,27 +403,31 @@ def train_part(weights: dict[str, np.ndarray], vocabulary: Vocabulary, batches:
             a, o = (v[i * STEP:(i + len(part) - 1) * STEP] for v in (aims, of))
             if not (o >= 0).any():
                 continue
-            _, g = Attention(w).gradients(vocabulary.group[part], vocabulary.leaf[part], vocabulary.group[a],
-                                          vocabulary.leaf[a], (o >= 0).astype(np.float32))
+            _, g = Attention(w).gradients(vocabulary.leaf[part], vocabulary.group[a], vocabulary.leaf[a], (o >= 0).astype(np.float32))
+            g = np.concatenate([g[k].ravel() for k in SHAPES])
             t, seen = t + 1, seen + int((o >= 0).sum())
-            for k in w:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                s[k] = 0.99 * s[k] + 0.01 * g[k] * g[k]
-                w[k] -= rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(s[k] / (1 - 0.99 ** t)) + 1e-8)
+            m += np.float32(0.1) * (g - m)
+            g *= g
+            g -= s
+            s += np.float32(0.01) * g
+            g = np.sqrt(s / np.float32(1 - 0.99 ** t))
+            g += np.float32(1e-8)
+            np.divide(m, g, out=g)
+            flat -= np.float32(rate / (1 - 0.9 ** t)) * g
     return w, seen
 
 
-def train(texts: DataFrame, path: str, vocabulary: Vocabulary, weights: dict[str, np.ndarray], end: int) -> dict[str, np.ndarray]:
-    """Averages, weighed by ids, of the weights that the tasks reach, round by round. ``texts`` has text
-    and turn, the round (from 0) that trains on it; a round brings one weight vector back, summed by Spark."""
+def train(coded: DataFrame, path: str, vocabulary: Vocabulary, weights: dict[str, np.ndarray], end: int) -> dict[str, np.ndarray]:
+    """Averages, weighed by ids, of the weights that the tasks reach, round by round. ``coded`` has ids
+    and turn, the round (from 0) that trains on them; a round brings one weight vector back, summed by Spark."""
     for k in range(ROUNDS):
         rate = 0.01 * 0.6 ** k
         start = weights
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cutter = segments(path)
-            some = (b.column(0).slice(i, 16).to_pylist() for b in batches for i in range(0, b.num_rows, 16))
-            w, seen = train_part(start, vocabulary, (cutter.ids([words_of(t) for t in part]) for part in some), end, rate)
+            read = segments(path).read
+            texts = (read(b.column(0).to_pylist()) for b in batches)
+            w, seen = train_part(start, vocabulary, ([t[i] for i in some] for t in texts for some in groups(t, PART)), end, rate)
             if seen:
                 flat = np.concatenate([w[n].ravel() for n in SHAPES]).astype(float) * seen
                 yield pa.RecordBatch.from_arrays([
@@ -407,7 +444,7 @@ def train(texts: DataFrame, path: str, vocabulary: Vocabulary, weights: dict[str
                                               pa.array(list(held.values()), pa.list_(pa.float64()))], ["piece", "values"])
 
         schema = "piece int, values array<double>"
-        sums = texts.where(F.col("turn") == k).select("text").mapInArrow(run, schema).repartition("piece").mapInArrow(add, schema)
+        sums = coded.where(F.col("turn") == k).select("ids").mapInArrow(run, schema).repartition("piece").mapInArrow(add, schema)
         rows = dict(sums.collect())  # the weights once, whatever the number of tasks
         if not rows:
             continue
@@ -420,8 +457,39 @@ def train(texts: DataFrame, path: str, vocabulary: Vocabulary, weights: dict[str
     return weights
 
 
-SCORED = ("place long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, score double, "
-          "tail array<struct<word:string,times:int>>")
+CODED = ("place long, doc_id long, held_out boolean, turn long, n_tokens long, head_known long, head_log double, ids binary, "
+         "tail array<struct<word:string,times:int>>")
+
+
+def encoded(rows: DataFrame, path: str, head: Broadcast) -> DataFrame:
+    """``rows`` (doc_id, held_out, turn, text) with a number of their own instead of the text, and the text's subword
+    ids, its number of tokens, how many words are in ``head`` (word to log), their logs' sum, and the other words."""
+    nan = float("nan")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        known, cutter = head.value.get, segments(path)
+        place = TaskContext.get().partitionId() << 40
+        for b in batches:
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64)
+                texts = [words_of(t) for t in part.column(3).to_pylist()]
+                logs = [np.fromiter(map(known, w, repeat(nan)), float, len(w)) for w in texts]
+                tail = [Counter(w[k] for k in np.flatnonzero(np.isnan(x)).tolist()) for w, x in zip(texts, logs)]
+                ends = np.cumsum([0, *map(len, tail)]).astype(np.int32)
+                rare = pa.StructArray.from_arrays(
+                    [pa.array([w for c in tail for w in c], pa.binary()).cast(pa.string()),
+                     pa.array([n for c in tail for n in c.values()], pa.int32())], ["word", "times"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.arange(place, place + len(texts))), *part.columns[:3],
+                    pa.array([len(w) + 1 for w in texts], pa.int64()),
+                    pa.array([int((~np.isnan(x)).sum()) for x in logs], pa.int64()),
+                    pa.array([float(np.nansum(x)) for x in logs]), pa.array(cutter.coded(texts), pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends), rare)],
+                    ["place", "doc_id", "held_out", "turn", "n_tokens", "head_known", "head_log", "ids", "tail"])
+                place += len(texts)
+
+    return rows.select("doc_id", "held_out", "turn", "text").mapInArrow(run, CODED)
 
 
 def score(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
@@ -447,51 +515,33 @@ def score(docs: DataFrame, path: str, held_out: Column) -> DataFrame:
         least = row["size"]
     head = words.where(size >= least)
 
+    known = {r["word"].encode(): float(np.log10(r["times"] + 0.1)) for r in head.collect()}  # HEAD rows at most
+    turn = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(ROUNDS)))
+    coded = cut(encoded(rows.withColumn("turn", turn.cast("long")), path, spark.sparkContext.broadcast(known)), "coded")
+
     table = bpe.loaded(path)
     end = table.size
     vocabulary = Vocabulary.make(subword_counts(words, path, end), [*table.bytes, b""], texts)
-    weights = Attention.fresh(vocabulary)
-    turn = F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(ROUNDS))
-    weights = train(learn.select("text", turn.alias("turn")), path, vocabulary, weights, end)
-
-    known = {r["word"].encode(): float(np.log10(r["times"] + 0.1)) for r in head.collect()}  # HEAD rows at most
-    shared = spark.sparkContext.broadcast((known, weights, vocabulary))
-    nan = float("nan")
+    weights = train(coded, path, vocabulary, Attention.fresh(vocabulary), end)
+    shared = spark.sparkContext.broadcast((weights, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        known, weights, vocabulary = shared.value
-        model, cutter = Attention(weights), segments(path)
-        place = TaskContext.get().partitionId() << 40
+        weights, vocabulary = shared.value
+        model, read = Attention(weights), segments(path).read
         for b in batches:
-            for i in range(0, b.num_rows, 64):
-                part = b.slice(i, 64)
-                texts = [words_of(t) for t in part.column(1).to_pylist()]
-                logs = [np.fromiter(map(known.get, w, repeat(nan)), float, len(w)) for w in texts]
-                scores = score_texts(model, vocabulary, cutter.ids(texts), end)
-                tail = [Counter(w[k] for k in np.flatnonzero(np.isnan(x)).tolist()) for w, x in zip(texts, logs)]
-                ends = np.cumsum([0, *map(len, tail)]).astype(np.int32)
-                rare = pa.StructArray.from_arrays(
-                    [pa.array([w for c in tail for w in c], pa.binary()).cast(pa.string()),
-                     pa.array([n for c in tail for n in c.values()], pa.int32())], ["word", "times"])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(place, place + len(texts))), part.column(0), part.column(2),
-                    pa.array([len(w) + 1 for w in texts], pa.int64()),
-                    pa.array([int((~np.isnan(x)).sum()) for x in logs], pa.int64()),
-                    pa.array([float(np.nansum(x)) for x in logs]), pa.array(scores),
-                    pa.ListArray.from_arrays(pa.array(ends), rare)],
-                    ["place", "doc_id", "held_out", "n_tokens", "head_known", "head_log", "score", "tail"])
-                place += len(texts)
+            scores = score_texts(model, vocabulary, read(b.column(0).to_pylist()), end)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(scores)], [*b.schema.names[1:], "score"])
 
-    scored = cut(rows.select("doc_id", "text", "held_out").mapInArrow(run, SCORED), "scored")
-    rare = scored.select("place", F.explode("tail").alias("t")).select("place", "t.word", F.col("t.times").alias("n"))
+    plain = coded.drop("tail", "turn", "ids")
+    scored = coded.select("ids", *plain.columns).mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())]))
+    rare = coded.select("place", F.explode("tail").alias("t")).select("place", "t.word", F.col("t.times").alias("n"))
     counted = rare.join(words, "word", "left")
     c = F.coalesce(F.col("times"), F.lit(0))
     tails = counted.groupBy("place").agg(
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("tail_known"), F.sum(F.col("n") * F.log10(c + 0.1)).alias("tail_log"))
     end_log = float(np.log10(texts + 0.1))
     zero = F.lit(0)
-    return scored.drop("tail").join(tails, "place", "left").select(
+    return scored.join(tails, "place", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("tail_known", zero) + F.lit(int(texts > 0))).cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),

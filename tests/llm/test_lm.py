@@ -32,7 +32,7 @@ def test_gradients():
     w["near"] = r.standard_normal(2 * lm.STEP) * 0.2
     end = len(v.group) - 1
     blocks, aims, of = lm.laid_out([r.integers(0, 50_000, 40), r.integers(0, 50_000, 3)], end)
-    args = (v.group[blocks], v.leaf[blocks], v.group[aims], v.leaf[aims], (of >= 0).astype(float))
+    args = (v.leaf[blocks], v.group[aims], v.leaf[aims], (of >= 0).astype(float))
     _, g = double(w).gradients(*args)
     for name in lm.SHAPES:
         for at in [np.unravel_index(int(np.argmax(np.abs(g[name]))), g[name].shape)]:
@@ -51,9 +51,10 @@ def test_next_id_probabilities_sum_to_one():
     assert first < 0
     blocks, _, _ = lm.laid_out([ids], end)
     a = model.forward(v.leaf[blocks])
-    group = np.exp(a["logits"][3]) / np.exp(a["logits"][3]).sum()
+    logits = a["top"][3] @ model.out
+    group = np.exp(logits) / np.exp(logits).sum()
     total = 0.0
-    for g, _, fine in ((g, None, a["top"][3] @ model.w["fine"][g] + model.w["fine0"][g]) for g in range(lm.GROUPS)):
+    for g, _, fine in ((g, None, a["top"][3] @ model.fine[g]) for g in range(lm.GROUPS)):
         leaf = np.exp(fine) / np.exp(fine).sum()
         mine = np.flatnonzero(v.group == g)
         total += float(sum(group[g] * leaf[v.leaf[i] - g * lm.LEAVES] * math.exp(v.log_share[i]) for i in mine.tolist()))
@@ -75,7 +76,7 @@ def test_windows_are_causal_and_each_id_is_scored_once():
     changed = long.copy()
     changed[-1] = 7
     other, _, _ = lm.laid_out([changed], end)
-    x, y = (model.forward(v.leaf[b])["logits"] for b in (blocks, other))
+    x, y = (model.forward(v.leaf[b])["top"] @ model.out for b in (blocks, other))
     n = len(long)
     assert np.allclose(x[:n], y[:n], atol=1e-5) and not np.allclose(x[n], y[n], atol=1e-5)
 
@@ -86,11 +87,30 @@ def test_an_id_asks_at_least_sixteen_ids_back():
     text = np.random.default_rng(6).integers(0, 50_000, 64)
     other = text.copy()
     other[16] = 7 if v.leaf[text[16]] != v.leaf[7] else 8
-    x, y = (lm.Attention(w).forward(v.leaf[lm.laid_out([t], end)[0]])["logits"] for t in (text, other))
+    model = lm.Attention(w)
+    x, y = (model.forward(v.leaf[lm.laid_out([t], end)[0]])["top"] @ model.out for t in (text, other))
     moved = np.flatnonzero(np.abs(x - y).max(axis=1) > 1e-6)
     assert moved.min() == 17 and moved.max() >= 17 + 15  # place k predicts id k from those before
 
 
+def test_sums_by_place():
+    at = np.array([3, 0, 3, 7, 3])
+    got = lm.sums_by(at, np.arange(10.0).reshape(5, 2), 9)
+    expect = np.zeros((9, 2))
+    np.add.at(expect, at, np.arange(10.0).reshape(5, 2))
+    assert (got == expect).all()
+
+
+def test_a_very_long_text_trains_in_steps():
+    v = vocabulary()
+    start, end = lm.Attention.fresh(v), len(v.group) - 1
+    long = np.tile(np.array([464, 3290, 318], "<u2"), 100_000)
+    w, seen = lm.train_part(start, v, iter([[long]]), end, 0.01)
+    assert seen == len(long) + 1 and all(np.isfinite(x).all() for x in w.values())
+    before, after = (lm.score_texts(lm.Attention(x), v, [long], end)[0] for x in (start, w))
+    assert after > 0.6 * before  # the share of an id in its leaf is no weight and stays
+
+
 def test_training_learns_what_follows(spark):
     rows = [(i, " ".join(["left right"] * 40)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
