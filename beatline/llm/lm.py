@@ -56,8 +56,9 @@ ROUNDS = 4
 HEAD, HELD, WORDS = 200_000, 400_000, 400_000
 #: Weights that travel in one row when the tasks' weights are summed.
 PIECE = 1024
-#: Ids that are scored in one go, windows of a training step, ids that a task lays out at a time for such steps.
-CHUNK, BATCH, PART = 1 << 13, 256, 1 << 17
+#: Ids that are scored in one go, windows of a task's first training step (four more with each step, as its first
+#: steps lead furthest) and at most, ids that a task lays out at a time for such steps.
+CHUNK, FIRST, BATCH, PART = 1 << 13, 64, 256, 1 << 17
 
 
 class Segments:
@@ -398,9 +399,11 @@ def train_part(weights: dict[str, np.ndarray], vocabulary: Vocabulary, batches:
     t = seen = 0
     for texts in batches:
         blocks, aims, of = laid_out(texts, end)
-        for i in range(0, len(blocks) - 1, BATCH):
-            part = blocks[i:i + BATCH + 1]
+        i = 0
+        while i < len(blocks) - 1:
+            part = blocks[i:i + min(BATCH, FIRST + 4 * t) + 1]
             a, o = (v[i * STEP:(i + len(part) - 1) * STEP] for v in (aims, of))
+            i += len(part) - 1
             if not (o >= 0).any():
                 continue
             _, g = Attention(w).gradients(vocabulary.leaf[part], vocabulary.group[a], vocabulary.leaf[a], (o >= 0).astype(np.float32))
