@@ -11,6 +11,7 @@ from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_and_count, mean_of_counted, not_null,
     rank_within, row_count, sort_by_count, top_and_bottom, top_k,
 )
+from beatline.operators.sketches import estimates, merged, summaries
 from beatline.operators.temporal import as_of_join, in_periods, overlapping
 from beatline.operators.udf import with_udf
 
@@ -20,5 +21,5 @@ __all__ = [
     "mean_and_count", "mean_of_counted", "not_null", "rank_within", "row_count", "sort_by_count",
     "top_and_bottom", "top_k", "with_udf", "as_of_join", "in_periods", "overlapping",
     "rolling_counts", "sessions", "change_set", "row_digest", "touched_values", "cube_sets", "grouping_levels",
-    "rollup_sets", "counts_within",
+    "rollup_sets", "counts_within", "estimates", "merged", "summaries",
 ]

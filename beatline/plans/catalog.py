@@ -134,6 +134,14 @@ def incident_rollup(spark, sf_dir):
     return Q.incident_rollup(S.incidents(spark, sf_dir))
 
 
+def yearly_from_months(spark, sf_dir):
+    """Per year: incidents, distinct places, and the median and ninth decile of the metres to the area's station,
+    from summaries by month that were stored before; the incidents are not read again."""
+    path = S.new_folder(spark, "months")
+    Q.monthly_summaries(S.incidents(spark, sf_dir), S.build_stations(spark, sf_dir)).write.parquet(path)
+    return Q.yearly_from_months(spark.read.parquet(path))
+
+
 def release_changes(spark, sf_dir):
     """Which incidents the next release adds, removes or alters."""
     return change_set(S.incidents(spark, sf_dir), S.build_next_release(spark, sf_dir), ["incident_id"])
@@ -335,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "posts_nearby": posts_nearby,
     "incident_cube": incident_cube,
     "incident_rollup": incident_rollup,
+    "yearly_from_months": yearly_from_months,
     "release_changes": release_changes,
     "release_update": release_update,
     "incident_profile": incident_profile,

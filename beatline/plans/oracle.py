@@ -347,6 +347,22 @@ select year, month, area_id, grouping(year, month, area_id) as level, count(*) a
 from (select cast(year(occurred_at) as integer) as year, cast(month(occurred_at) as integer) as month, area_id from incidents)
 group by rollup (year, month, area_id)
 """, "incidents"),
+    "yearly_from_months": with_views(f"""
+select t.year, t.crime_count, t.places, q.median_m, q.ninth_decile_m
+from (select year, count(*) as crime_count, count(distinct (lat, lon)) filter (where lat is not null and lon is not null) as places
+      from measured group by year) t
+left join (select year, min(least_m) filter (where upto >= ceil(0.5 * n)) as median_m,
+                  min(least_m) filter (where upto >= ceil(0.9 * n)) as ninth_decile_m
+           from (select year, least_m, sum(k) over (partition by year order by least_m) as upto,
+                        sum(k) over (partition by year) as n
+                 from (select year, (m >> s) << s as least_m, count(*) as k
+                       from (select *, greatest(length(bin(m)) - 8, 0) as s from measured where m is not null)
+                       group by 1, 2))
+           group by year) q on t.year is not distinct from q.year
+""", "incidents", "stations", ctes=(("measured", f"""
+select cast(year(i.occurred_at) as integer) as year, i.lat, i.lon,
+       cast(floor(cast({hav('i.lat', 'i.lon', 'coalesce(s.y, 0.0)', 'coalesce(s.x, 0.0)')} as double) * 1000) as bigint) as m
+from incidents i left join stations s on i.area_id = s.prec"""),)),
     "release_changes": with_views("""
 select coalesce(n.incident_id, o.incident_id) as incident_id,
  case when o.incident_id is null then 'added' when n.incident_id is null then 'removed' else 'altered' end as change

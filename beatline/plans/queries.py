@@ -25,6 +25,7 @@ from beatline.operators.relational import (
     code_between, containing, count_by, in_year, mean_of_counted, not_null,
     rank_within, sort_by_count, top_and_bottom,
 )
+from beatline.operators.sketches import estimates, merged, summaries
 from beatline.operators.temporal import as_of_join, in_periods, overlapping
 from beatline.sources.text import drop_header
 from beatline.schemas import PREMISES_FIELD_POS, TIME_FIELD_POS
@@ -321,3 +322,16 @@ def post_workload(incidents: DataFrame, posts: DataFrame) -> DataFrame:
     """The same by post, for any number of posts: mean distance and count of the armed incidents
     that a post is the nearest to."""
     return sort_by_count(_report(_nearest_stats(incidents, posts, "post"), "post"), "crime_count", "post")
+
+
+def monthly_summaries(incidents: DataFrame, stations: DataFrame) -> DataFrame:
+    """Per year and month: incidents, a sketch of their places, bins of the metres to the station of their area."""
+    rows = with_area_distance(incidents, stations).withColumns({"year": F.year("occurred_at"), "month": F.month("occurred_at")})
+    place = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.xxhash64("lat", "lon"))
+    return summaries(rows, ["year", "month"], place, F.floor(F.col("distance").cast("double") * 1000))
+
+
+def yearly_from_months(months: DataFrame) -> DataFrame:
+    """Summaries by month, merged to years and read."""
+    read = estimates(merged(months, ["year"]), ["year"], {"median_m": 0.5, "ninth_decile_m": 0.9})
+    return read.withColumnsRenamed({"times": "crime_count", "distinct_values": "places"})
