@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatline.functions.geo import EARTH_RADIUS_KM, haversine_km
+from beatline.operators.joins import with_strategy
 
 AXES = ("__x", "__y", "__z")
 CELL = ("__cx", "__cy", "__cz", "__bin")
@@ -62,6 +63,8 @@ def counts_within(facts: DataFrame, others: DataFrame, km: float, days: int, *,
         *CELL, F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), F.col("day").alias("__day"), F.col("n").alias("__n"))
     near = F.abs(F.col("day") - F.col("__day")) <= days
     same = [asked[c] == copies[c] for c in CELL]
+    # Spark's estimate knows nothing of the copies and would have them all broadcast.
+    copies = with_strategy(copies, "merge")
     met = asked.join(copies, [*same, near, haversine_km("lat", "lon", "__lat", "__lon") <= km], "left")
     return met.groupBy("lat", "lon", "day", "crime_count").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias(name)).select(
         "lat", "lon", F.date_from_unix_date("day").alias("day"), "crime_count", name)

@@ -85,3 +85,10 @@ def test_plan(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert re.search(r"Join \[__cx#\d+L, __cy#\d+L, __cz#\d+L, __bin#\d+L\]", plan)
     assert "partial_sum(__n" in plan and "partial_count(1)" in plan
+
+
+@pytest.mark.parametrize("key", ["crowded_places"])
+def test_copies_are_not_broadcast(spark, key):
+    """A row has several copies, of which Spark's estimate of bytes knows nothing: both sides are shuffled, whatever it says."""
+    plan = physical_plan(QUERIES[key](spark, SF_SMALL))
+    assert re.search(r"SortMergeJoin \[__cx#\d+L, __cy#\d+L, __cz#\d+L, __bin#\d+L\]", plan)
