@@ -87,7 +87,7 @@ def test_plan(spark):
     assert "partial_sum(__n" in plan and "partial_count(1)" in plan
 
 
-@pytest.mark.parametrize("key", ["crowded_places"])
+@pytest.mark.parametrize("key", ["crowded_places", "posts_nearby"])
 def test_copies_are_not_broadcast(spark, key):
     """A row has several copies, of which Spark's estimate of bytes knows nothing: both sides are shuffled, whatever it says."""
     plan = physical_plan(QUERIES[key](spark, SF_SMALL))
