@@ -3,6 +3,9 @@
 A space or newline that follows a character other than white space always starts a new
 piece, so the chunks between such places are coded independently, and a worker can
 remember them. A text in which white space follows white space is coded whole.
+
+Pre-splitting also cuts between a letter and a run of punctuation. Where coding is dear, a
+chunk that ends in such a run is put together from the chunk before the run and the run.
 """
 
 from __future__ import annotations
@@ -11,6 +14,9 @@ from collections.abc import Callable
 
 #: Entries of a memory's generation, and characters of a slice of texts.
 MEMO, SLICE = 600_000, 1_000_000
+#: Marks of which up to three end a chunk apart from the letter before them, and what lies above the
+#: letters that are letters in every version of Unicode.
+MARKS, TAIL, LATER = ",.;:!?#*$%&", 3, "\u0250"
 
 
 class Memory:
@@ -24,8 +30,16 @@ class Memory:
 
     def learn(self, strings: set[str]) -> Callable[[str], object]:
         """Makes what is missing and returns the lookup, good until the next call."""
+        self.turn()
+        return self.add(strings)
+
+    def turn(self) -> None:
+        """Starts a new generation if this one is full; until the next call, ``new`` keeps what it has."""
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
+
+    def add(self, strings: set[str]) -> Callable[[str], object]:
+        """As :meth:`learn`, within this generation."""
         missing = strings.difference(self.new)
         if missing and self.old:
             again = [s for s in missing if s in self.old]
@@ -43,21 +57,39 @@ class Memory:
 
 
 class Chunks:
-    """``coder`` maps strings to their ids as bytes, each string on its own."""
+    """``coder`` maps strings to their ids as bytes, each string on its own; if it is ``dear``,
+    marks at the end of a chunk are coded apart."""
 
-    def __init__(self, coder: Callable[[list[str]], list[bytes]], most: int = MEMO):
-        self.coder, self.memory = coder, Memory(self._make, most)
+    def __init__(self, coder: Callable[[list[str]], list[bytes]], most: int = MEMO, dear: bool = False):
+        self.coder, self.dear, self.memory = coder, dear, Memory(self._make, most)
+        self.tails: dict[str, bytes] = {}  # some 1,500 at most
 
-    def _make(self, chunks: list[str]) -> list[bytes | None]:
+    def _make(self, chunks: list[str]) -> list[bytes | bool]:
         """A chunk with a leading newline stands for itself, any other for itself after a space;
-        None if white space would meet white space."""
+        False if white space would meet white space."""
         odd = {c for c in chunks if not c or c[-1].isspace()}
-        plain = [c for c in chunks if c not in odd] if odd else chunks
+        parts = self._parted(chunks) if self.dear else {}
+        plain = [c for c in chunks if c not in odd and c not in parts] if odd or parts else chunks
         coded = self.coder([c if c[0] == "\n" else " " + c for c in plain])
-        if not odd:
+        if not odd and not parts:
             return coded
         rest = iter(coded)
-        return [None if c in odd else next(rest) for c in chunks]
+        return [False if c in odd else parts[c] if c in parts else next(rest) for c in chunks]
+
+    def _parted(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of the chunks that end in marks after a letter, from those of the chunk before the marks,
+        and of those that came to be known on the way."""
+        stems = {}
+        for c in chunks:
+            if c and c[-1] in MARKS:
+                stem = c.rstrip(MARKS)
+                if stem and len(c) - len(stem) <= TAIL and stem[-1].isalpha() and stem[-1] < LATER:
+                    stems[c] = stem
+        new = {c[len(s):] for c, s in stems.items()}.difference(self.tails)
+        self.tails.update(zip(new, self.coder(list(new))))
+        get = self.memory.add(set(stems.values()))
+        found = {c: get(s) + self.tails[c[len(s):]] for c, s in stems.items()}
+        return found | {c: self.memory.new[c] for c in chunks if c in self.memory.new}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -74,17 +106,19 @@ class Chunks:
     def _slice(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " \n").split(" ") for t in texts]
         first = [c.pop(0) for c in split]
-        get = self.memory.learn(set().union(*split))
+        self.memory.turn()
+        held = [list(map(self.memory.new.get, chunks)) for chunks in split]
+        get = self.memory.add({c for h, chunks in zip(held, split) if None in h for c, ids in zip(chunks, h) if ids is None})
         out: list[bytes] = []
         whole = []
-        for k, (head, chunks) in enumerate(zip(self.coder(first), split)):
+        for k, (head, h, chunks) in enumerate(zip(self.coder(first), held, split)):
             out.append(b"")
             if chunks and first[k] and first[k][-1].isspace():
                 whole.append(k)
                 continue
             try:
-                out[k] = head + b"".join(map(get, chunks))
-            except TypeError:  # None among them
+                out[k] = head + b"".join([get(c) if ids is None else ids for c, ids in zip(chunks, h)] if None in h else h)
+            except TypeError:  # False among them
                 whole.append(k)
         for k, ids in zip(whole, self.coder([texts[k] for k in whole])):
             out[k] = ids

@@ -36,7 +36,7 @@ from beatline.llm.common import ship
 
 FRAME_IDS = 1 << 18
 #: Strings coded in one call of the library, and chunks of a generation that a worker remembers.
-JOINT, MEMO = 1024, 200_000
+JOINT, MEMO = 64, 600_000
 #: Fixed values of the seekable zstandard layout: skippable frames and the table's end mark.
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
@@ -74,7 +74,7 @@ def coder(path: str) -> Chunks:
         rest = iter(out)
         return [ids_of(s).tobytes() if i in alone else next(rest) for i, s in enumerate(strings)]
 
-    _LOADED[path] = Chunks(code, MEMO)
+    _LOADED[path] = Chunks(code, MEMO, dear=True)
     return _LOADED[path]
 
 
@@ -212,7 +212,6 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 0, doc_id: str =
             writer.close()
             out.close()
             fs.move(temporary, f"{root}/{name}")
-            chunks.memory.rest()
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "file": [f"{folder}/{name}"],
                 "n_docs": pa.array([len(writer.docs)], pa.int64()), "n_ids": pa.array([sum(writer.sizes)], pa.int64())})
