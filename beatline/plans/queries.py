@@ -197,7 +197,8 @@ def crowded_places(incidents: DataFrame) -> DataFrame:
 
 def posts_nearby(incidents: DataFrame, posts: DataFrame, watches: DataFrame) -> DataFrame:
     """Per place and day on which a watch starts at a post: watches that start there, and incidents within 2.5 km and 7 days."""
-    starts = watches.join(posts, F.col("watch_id") == F.col("fid")).select(
+    # Both sides grow with the scale, and files that are packed well look small enough for a broadcast.
+    starts = join_dim(watches, posts, F.col("watch_id") == F.col("fid"), strategy="merge").select(
         F.col("y").alias("lat"), F.col("x").alias("lon"), F.col("start_at").alias("occurred_at"))
     near = counts_within(starts, incidents.select("lat", "lon", "occurred_at"), NEAR_KM, NEAR_DAYS, at="occurred_at")
     return near.withColumnRenamed("crime_count", "watch_count")

@@ -92,3 +92,9 @@ def test_copies_are_not_broadcast(spark, key):
     """A row has several copies, of which Spark's estimate of bytes knows nothing: both sides are shuffled, whatever it says."""
     plan = physical_plan(QUERIES[key](spark, SF_SMALL))
     assert re.search(r"SortMergeJoin \[__cx#\d+L, __cy#\d+L, __cz#\d+L, __bin#\d+L\]", plan)
+
+
+def test_posts_meet_watches_without_a_broadcast(spark):
+    """Both grow with the scale, and Spark's estimate goes by packed bytes: nothing in the plan passes through the driver."""
+    plan = physical_plan(QUERIES["posts_nearby"](spark, SF_SMALL))
+    assert re.search(r"SortMergeJoin \[watch_id#\d+L?\], \[fid#\d+L?\]", plan) and "Broadcast" not in plan
