@@ -35,8 +35,9 @@ from beatline.llm.chunks import Chunks
 from beatline.llm.common import ship
 
 FRAME_IDS = 1 << 18
-#: Strings coded in one call of the library, and chunks of a generation that a worker remembers.
-JOINT, MEMO = 64, 600_000
+#: Strings coded in one call of the library, and those that need no token between them; chunks of a generation
+#: that a worker remembers.
+JOINT, LED, MEMO = 64, 32, 600_000
 #: Fixed values of the seekable zstandard layout: skippable frames and the table's end mark.
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
@@ -48,7 +49,8 @@ def coder(path: str) -> Chunks:
     """The library's tokenizer, read once in each Python worker, with a memory of chunks.
 
     Strings are coded many at a time, joined by a special token, at which the library cuts
-    a text before all else; a string that holds that token is coded alone."""
+    a text before all else; a string that holds that token is coded alone. Strings that begin with
+    their only space or newline need none: each is cut off where an id begins with one."""
     if path in _LOADED:
         return _LOADED[path]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
@@ -74,7 +76,20 @@ def coder(path: str) -> Chunks:
         rest = iter(out)
         return [ids_of(s).tobytes() if i in alone else next(rest) for i, s in enumerate(strings)]
 
-    _LOADED[path] = Chunks(code, MEMO, dear=True)
+    blank = np.zeros(max(tok.get_vocab(with_added_tokens=True).values()) + 1, bool)
+    blank[[i for t, i in tok.get_vocab(with_added_tokens=False).items() if t[0] in "ĠĊ"]] = True
+    plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized or " " in t.content or "\n" in t.content
+                    for t in tok.get_added_tokens_decoder().values())
+
+    def led(strings: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for i in range(0, len(strings), LED):
+            ids = ids_of("".join(strings[i:i + LED]))
+            data, cuts = ids.tobytes(), (4 * np.flatnonzero(blank[ids])).tolist()
+            out += [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+        return out
+
+    _LOADED[path] = Chunks(code, MEMO, dear=True, led=led if plain else None)
     return _LOADED[path]
 
 
@@ -200,14 +215,12 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 0, doc_id: str =
         name = f"part-{part:06d}.ids.zst"
         temporary = f"{root}/.{name}.{uuid.uuid4().hex}"
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for i in range(0, len(ids), 256):
-                if writer is None:
-                    fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(temporary)
-                    writer = TokenFileWriter(out, level)
-                for d, coded in zip(ids[i:i + 256], chunks.encode(texts[i:i + 256])):
-                    writer.add(d, coded + end)
+            if writer is None and b.num_rows:
+                fs.create_dir(root, recursive=True)
+                out = fs.open_output_stream(temporary)
+                writer = TokenFileWriter(out, level)
+            for d, coded in zip(b.column(0).to_pylist(), chunks.encode_column(b.column(1).fill_null(""))):
+                writer.add(d, coded + end)
         if writer is not None:
             writer.close()
             out.close()
