@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import cut, discard
+from beatline.llm.common import cut, discard, shuffles_freed
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+    with shuffles_freed(edges.sparkSession):
+        return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:

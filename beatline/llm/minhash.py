@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import cut, maybe_in, shared_folder, ship
+from beatline.llm.common import cut, discard, maybe_in, shared_folder, ship, shuffles_freed
 from beatline.llm.components import components
 
 BANDS, ROWS = 32, 5
@@ -130,14 +130,16 @@ class Texts:
         rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
         rows = maybe_in(rows, ids, "id").join(ids, "id", "left_semi")
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # grouping deals the rows out as the buckets do
-        (rows.groupBy("id").agg(F.collect_set("text").alias("texts")).write
-         .bucketBy(n, "id").sortBy("id").option("path", shared_folder(spark, "texts")).saveAsTable(self.name))
+        with shuffles_freed(spark):
+            (rows.groupBy("id").agg(F.collect_set("text").alias("texts")).write
+             .bucketBy(n, "id").sortBy("id").option("path", shared_folder(spark, "texts")).saveAsTable(self.name))
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def drop(self) -> None:
-        """Forgets the name; the files stay until the shared folder is cleared."""
+        """Forgets the name and deletes the files, which dropping a table with a path of its own leaves."""
+        discard(self.table())
         self.spark.sql(f"DROP TABLE {self.name}")
 
 
@@ -288,6 +290,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     stored = Texts(docs, first.select(F.col("a").alias("id")).union(first.select("b")).distinct())
     texts = stored.table()
     tested = cut(alike(first, nodes, percent).distinct(), "pairs")
+    discard(first)
     links = verify(tested, texts, size, percent)
     # An id with several sets ties them together.
     rows = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL").select("doc_id", "set_key")
@@ -295,27 +298,39 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     own = rows.join(several.select("doc_id"), "doc_id", "left_semi").join(nodes.select("id", "set_key"), "set_key")
     links = cut(links.union(own.select("id", "doc_id")).distinct(), "links")
     found = components(links, "a", "b")
+    discard(links)
     rest = cut(unsettled(members, centers, found), "unsettled")
+    discard(members)
+    discard(centers)
     fine = cut(sketches(rest, nodes, texts, size), "sketches")
     # The most alike first, as long as that ties components; few pairs are left for the last, full round.
     best = True
     while True:
         pairs = cut(across(rest, fine, found, percent, best).join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
+            discard(pairs)
             if not best:
                 break
             best = False
             continue
-        tested = cut(tested.unionByName(pairs), "tested")
+        before, tested = tested, cut(tested.unionByName(pairs), "tested")
+        discard(before)
         links = cut(verify(pairs, texts, size, percent).distinct(), "links")
-        if not links.isEmpty():
-            found = components(links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
-        elif best:
+        discard(pairs)
+        linked_more = not links.isEmpty()
+        if linked_more:
+            before, found = found, components(
+                links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
+            discard(before)
+        discard(links)
+        if best and not linked_more:
             best = False
             continue
         if not best:
             break
     stored.drop()
+    for made in (rest, fine, tested):
+        discard(made)
     # A set belongs to the component of its smallest id.
     of_set = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component_id"))
