@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatline.llm.common import cut, discard, maybe_in, shared_folder, ship, shuffles_freed
@@ -234,14 +234,17 @@ def across(rows: DataFrame, fine: DataFrame, found: DataFrame, percent: int, bes
     h = F.xxhash64("id")
     small = F.col("component") != F.col("largest")
     dealt = now.join(mixed, ["band", "key"]).select("band", "key", "id", "component", small.alias("small"), "few", "blocks")
-    asking = dealt.where("small").select(
-        "band", "key", "id", "component", "small", F.lit(True).alias("first"), F.pmod(h, F.col("few")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-    asked = dealt.select(
-        "band", "key", "id", "component", "small", F.lit(False).alias("first"), F.pmod(h, F.col("blocks")).cast("int").alias("j"),
-        F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"))
-    groups = (asking.unionByName(asked).join(fine, "id").groupBy("band", "key", "i", "j").agg(F.collect_list(
-        F.struct("id", "component", "n_shingles", "first", "small", "minima", "sketch")).alias("rows")))
+
+    def blocks(first: bool, i: Column, j: Column) -> Column:
+        return F.struct(F.lit(first).alias("first"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    asked = F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda i: blocks(False, i, F.pmod(h, F.col("blocks"))))
+    asking = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: blocks(True, F.pmod(h, F.col("few")), j))
+    sent = dealt.select("band", "key", "id", "component", "small", F.explode(
+        F.when(F.col("small"), F.concat(asked, asking)).otherwise(asked)).alias("to")).select(
+        "band", "key", "id", "component", "small", "to.*")
+    groups = sent.join(fine, "id").groupBy("band", "key", "i", "j").agg(F.collect_list(
+        F.struct("id", "component", "n_shingles", "first", "small", "minima", "sketch")).alias("rows"))
     least = agreements(FINE, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

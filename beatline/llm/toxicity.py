@@ -277,10 +277,11 @@ def fit(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text
     featured = cut(add_columns(df, [text], FEATURES, make).drop(text), "toxicity")
     counted = featured.groupBy("__votes").agg(F.count(F.lit(1)).alias("n")).toArrow()  # 2 ** VOTERS rows at most
     counted = dict(zip(counted["__votes"].to_pylist(), counted["n"].to_pylist()))
-    rows = add_columns(labelled, ["text"], FEATURES, make).select("__votes", "__words", "toxic").collect()  # SAMPLE at most
+    # SAMPLE rows at most, as columns.
+    rows = add_columns(labelled, ["text"], FEATURES, make).select("__votes", "__words", "toxic").toArrow()
     known: dict[int, list[float]] = {}
-    for r in rows:
-        known.setdefault(r["__votes"], [0.0, 0.0])[r["toxic"]] += 1
+    for p, toxic in zip(rows["__votes"].to_pylist(), rows["toxic"].to_pylist()):
+        known.setdefault(p, [0.0, 0.0])[toxic] += 1
     patterns = sorted(counted.keys() | known.keys())
     if not patterns:
         return made, featured
@@ -292,12 +293,13 @@ def fit(df: DataFrame, labels: DataFrame, train_on: DataFrame, text: str = "text
         labelled_counts[at[p]] = c
     votes = bits(np.array(patterns, np.int64))
     posterior = LabelModel(votes, np.maximum(counts, labelled_counts.sum(axis=1)), labelled_counts).posterior(votes)
-    if rows:
+    if len(rows):
         inputs = np.zeros((len(rows), VOTERS + len(vocabulary)), np.float32)
-        for i, r in enumerate(rows):
-            inputs[i, :VOTERS] = votes[at[r["__votes"]]]
-            inputs[i, [VOTERS + k for k in r["__words"]]] = 1
-        targets = posterior[[at[r["__votes"]] for r in rows]]
+        place = [at[p] for p in rows["__votes"].to_pylist()]
+        inputs[:, :VOTERS] = votes[place]
+        words = rows["__words"].combine_chunks()
+        inputs[np.repeat(np.arange(len(rows)), words.value_lengths()), VOTERS + words.flatten().to_numpy()] = 1
+        targets = posterior[place]
     else:
         inputs, targets = np.pad(votes, ((0, 0), (0, len(vocabulary)))), posterior
     weights, constant = train(inputs, targets)

@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from conftest import physical_plan
 
+from beatline.llm import components as module
 from beatline.llm.common import maybe_in, without
 from beatline.llm.components import components, large_star, small_star
 
@@ -46,6 +48,18 @@ def test_empty(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    """Rounds go on until the edges are stars; the result is a stored table that later joins read without a shuffle."""
+    rounds = []
+    monkeypatch.setattr(module, "large_star", lambda edges: rounds.append(1) or large_star(edges))
+    stars = [(1, i) for i in range(2, 40)] + [(50, i) for i in range(51, 60)]
+    found = components(spark.createDataFrame(stars, "u long, v long"))
+    assert {r.node: r.component for r in found.collect()} == union_find(stars) and not rounds
+    assert "Exchange" not in physical_plan(found)
+    check(spark, [(3, 1), (3, 2)])
+    assert len(rounds) == 1
+
+
 def test_steps(spark):
     df = spark.createDataFrame([(3, 1), (3, 2), (4, 3)], "u long, v long")
     assert sorted(map(tuple, large_star(df).collect())) == [(3, 1), (3, 2), (4, 1)]

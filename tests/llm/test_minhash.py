@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from cases import TEXTS
+from conftest import physical_plan
 
 from beatline.llm import minhash
 from beatline.llm.minhash import near_duplicates
@@ -96,6 +97,20 @@ def test_blocks_and_salts_are_exact(spark, monkeypatch):
     check(spark, [(i, edited(base, r.randrange(8), r)) for i in range(60)])
 
 
+def test_a_bucket_is_dealt_out_in_one_pass(spark, monkeypatch):
+    """Askers and asked of all blocks come from one pass over the nodes; all pairs across components are found once."""
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    ids = range(1, 10)
+    same = np.zeros(minhash.HASHES, "<u2").tobytes(), np.zeros(minhash.FINE, np.uint8).tobytes()
+    rows = spark.createDataFrame([(0, 5, i) for i in ids], "band short, key long, id long")
+    fine = spark.createDataFrame([(i, same[0], 10, same[1]) for i in ids], "id long, minima binary, n_shingles long, sketch binary")
+    found = spark.createDataFrame([(i, 1) for i in range(1, 6)] + [(6, 6), (7, 6)], "node long, component long")
+    pairs = minhash.across(rows, fine, found, 80, best=False)
+    assert physical_plan(pairs).count("Generate explode") == 1
+    of = {i: 1 if i < 6 else 6 if i < 8 else i for i in ids}
+    assert sorted(map(tuple, pairs.collect())) == [(i, j) for i in ids for j in ids if i < j and of[i] != of[j]]
+
+
 @pytest.mark.parametrize("share", [0.5, 0.8, 0.95])
 def test_signatures_estimate_the_similarity(share):
     r = np.random.default_rng(5)
